@@ -2,6 +2,9 @@
 
 Overwrite means upsert by key, append adds rows without looking, and match means
 that the ends of a relationship must exist already. A null key never matches.
+
+An upsert runs one job when called: it writes the deduplicated input (see
+``staging``). The existing frame is read twice, so it should be a stored table.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 from propgraph.functions.columns import all_set
 from propgraph.model import PropertyGraph
 from propgraph.operators.joins import hub_join
+from propgraph.staging import stage
 
 Match = tuple[DataFrame, Mapping[str, str]]
 
@@ -44,15 +48,20 @@ def _upsert(existing: DataFrame, winners: DataFrame, keys: Sequence[str]) -> Dat
 
     Two parts: the existing rows, updated where a winner matches, and the winners
     whose key is new. A full outer join would do both at once, but it can neither
-    broadcast a small batch nor split a hot key of the existing side.
+    broadcast a small batch, which spares the shuffle of ``existing``, nor split a
+    hot key of the existing side. The winners are staged: both parts read them, and
+    their size on disk tells Spark whether to broadcast. Of ``existing`` the second
+    part reads the keys only.
     """
     keys = list(keys)
     values = [c for c in winners.columns if c not in keys]
-    created = winners.join(existing.select(*keys).distinct(), keys, "left_anti")
+    winners = stage(winners, "winners")
+    known = hub_join(existing.select(*keys), winners.select(*keys), keys, "left_semi").distinct()
+    created = winners.join(known, keys, "left_anti")
     if not values:
         return existing.unionByName(created, allowMissingColumns=True)
     update = winners.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in values])
-    joined = hub_join(existing, update, keys, "left")
+    joined = existing.join(update, keys, "left")
     # the marker, not a null test: an incoming null does overwrite
     kept = joined.select(
         *[
@@ -131,7 +140,10 @@ def upsert_endpoints(graph: PropertyGraph, rel_type: str, incoming: DataFrame) -
 def upsert_rels(
     graph: PropertyGraph, rel_type: str, incoming: DataFrame, set_cols: Sequence[str] | None = None
 ) -> PropertyGraph:
-    """Upsert relationships on their identity, and their ends as well."""
+    """Upsert relationships on their identity, and their ends as well.
+
+    Reads ``incoming`` three times, so stage a costly one first.
+    """
     rels = graph.rels[rel_type]
     if set_cols is None:
         set_cols = [c for c in incoming.columns if c not in rels.identity]

@@ -210,7 +210,7 @@ def endpoint_upsert(spark, sf_dir):
 @query
 def rel_upsert(spark, sf_dir):
     """An earlier and a later load, merged one after the other on the pair of ends."""
-    edges = tables.ratings(spark, sf_dir).select("source_id", "target_id", "timestamp", "rating")
+    edges = stage(tables.ratings(spark, sf_dir).select(*IDENTITY, "rating"), "ratings")
     graph = _rating_graph(spark, sf_dir, edges.where(F.lit(False)))
     for load in (F.col("timestamp") < LATER_LOAD, F.col("timestamp") >= LATER_LOAD):
         graph = write.upsert_rels(graph, "RELATES_TO", edges.where(load), ["timestamp", "rating"])
@@ -234,9 +234,9 @@ def rel_append_match(spark, sf_dir):
 @query
 def rel_merge_keyed(spark, sf_dir):
     """Ratings of smaller parts are set on relationships loaded earlier without one."""
-    edges = tables.ratings(spark, sf_dir)
+    edges = stage(tables.ratings(spark, sf_dir), "ratings")
     earlier = edges.where(F.col("timestamp") < LATER_LOAD).select(*IDENTITY).distinct()
-    existing = earlier.select(*IDENTITY, F.lit(0).cast("float").alias("rating"))
+    existing = stage(earlier.withColumn("rating", F.lit(0).cast("float")), "earlier")
     customers = tables.table(spark, sf_dir, "customer")
     parts = tables.table(spark, sf_dir, "part").where("p_size <= 25")
     return write.merge_rels(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph.model import End, Nodes, Pool, PropertyGraph, Rels
@@ -18,16 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _epoch_seconds(col: str) -> Column:
+    """Seconds since 1970 of a timestamp without zone, whatever the session time zone."""
+    return F.unix_date(F.to_date(col)) * 86400 + F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges customer -> part; the timestamp is in seconds, whatever the session time zone."""
-    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    """Edges customer -> part; the timestamp is in epoch seconds."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").alias("source_id"),
         F.col("l_partkey").alias("target_id"),
         F.col("l_quantity").cast("float").alias("rating"),
-        F.timestamp_diff("SECOND", epoch, F.col("l_shipdate")).cast("int").alias("timestamp"),
+        _epoch_seconds("l_shipdate").cast("int").alias("timestamp"),
     )
 
 

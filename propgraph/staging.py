@@ -35,9 +35,23 @@ def shared_dir(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+_made: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder. Whoever owns the folder sweeps it."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, remembered for ``drop_staged``."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this process has staged. Frames that read it are void afterwards."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -72,14 +72,16 @@ def ingest_in_batches(df: DataFrame, write_fn: Callable[[DataFrame, int], None],
         write_fn(staged.where(F.col("batch") == b).repartitionById(n, F.col("source_group")), b)
 
 
-def ingest_serially(df: DataFrame, write_fn: Callable[[DataFrame, int], None], slices: int = 1) -> None:
+def ingest_serially(df: DataFrame, write_fn: Callable[[DataFrame, int], None], slices: int | None = None) -> None:
     """Call ``write_fn(part, i)`` for one-partition parts in turn: one writer at a time.
 
-    For an outside sink that takes no concurrent writes; files never need it. With
-    more ``slices`` no single task handles all rows. The rows are cut by a number
-    written with them, so equal rows spread as well.
+    For an outside sink that takes no concurrent writes; files never need it. There
+    are ``slices`` parts (default: the shuffle partitions), so no task handles all
+    rows. The cut is by row count, written with the rows: equal rows spread as well.
     """
-    sliced = df.repartition(slices).withColumn("_slice", F.spark_partition_id())
+    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = df.repartition(n).withColumn("_slice", F.spark_partition_id())
     staged = stage(sliced, "slices", ["_slice"])
-    for i in range(slices):
-        write_fn(staged.where(F.col("_slice") == i).select(*df.columns).repartition(1), i)
+    for i in range(n):
+        # nothing but a file scan lies below the coalesce
+        write_fn(staged.where(F.col("_slice") == i).select(*df.columns).coalesce(1), i)

@@ -3,8 +3,9 @@
 Overwrite means upsert by key, append adds rows without looking, and match means
 that the ends of a relationship must exist already. A null key never matches.
 
-An upsert runs one job when called: it writes the deduplicated input (see
-``staging``). The existing frame is read twice, so it should be a stored table.
+An upsert that sets columns runs one job when called: it writes the deduplicated
+input (see ``staging``). The existing frame is read twice, so it should be a stored
+table.
 """
 
 from __future__ import annotations
@@ -55,11 +56,12 @@ def _upsert(existing: DataFrame, winners: DataFrame, keys: Sequence[str]) -> Dat
     """
     keys = list(keys)
     values = [c for c in winners.columns if c not in keys]
+    if not values:  # nothing to update, so the winners are read once
+        created = winners.join(existing.select(*keys).distinct(), keys, "left_anti")
+        return existing.unionByName(created, allowMissingColumns=True)
     winners = stage(winners, "winners")
     known = hub_join(existing.select(*keys), winners.select(*keys), keys, "left_semi").distinct()
     created = winners.join(known, keys, "left_anti")
-    if not values:
-        return existing.unionByName(created, allowMissingColumns=True)
     update = winners.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in values])
     joined = existing.join(update, keys, "left")
     # the marker, not a null test: an incoming null does overwrite
@@ -120,7 +122,8 @@ def merge_rels(
     """Merge relationships on ``identity`` and set ``set_cols``.
 
     Among several incoming rows of one identity the greatest ``set_cols`` win,
-    compared in the order given. With ``src``/``dst`` the ends must exist.
+    compared in the order given. A row with a null in its identity merges with
+    nothing and is dropped. With ``src``/``dst`` the ends must exist.
     """
     wanted = incoming.select(*dict.fromkeys([*identity, *set_cols]))
     matched = match_ends(wanted, src, dst, "left_semi")

@@ -210,7 +210,7 @@ def endpoint_upsert(spark, sf_dir):
 @query
 def rel_upsert(spark, sf_dir):
     """An earlier and a later load, merged one after the other on the pair of ends."""
-    edges = stage(tables.ratings(spark, sf_dir).select(*IDENTITY, "rating"), "ratings")
+    edges = tables.ratings(spark, sf_dir).select(*IDENTITY, "rating")
     graph = _rating_graph(spark, sf_dir, edges.where(F.lit(False)))
     for load in (F.col("timestamp") < LATER_LOAD, F.col("timestamp") >= LATER_LOAD):
         graph = write.upsert_rels(graph, "RELATES_TO", edges.where(load), ["timestamp", "rating"])
@@ -234,7 +234,7 @@ def rel_append_match(spark, sf_dir):
 @query
 def rel_merge_keyed(spark, sf_dir):
     """Ratings of smaller parts are set on relationships loaded earlier without one."""
-    edges = stage(tables.ratings(spark, sf_dir), "ratings")
+    edges = tables.ratings(spark, sf_dir)
     earlier = edges.where(F.col("timestamp") < LATER_LOAD).select(*IDENTITY).distinct()
     existing = stage(earlier.withColumn("rating", F.lit(0).cast("float")), "earlier")
     customers = tables.table(spark, sf_dir, "customer")
@@ -299,7 +299,7 @@ def serial_ingest(spark, sf_dir):
     def write_slice(part, i):
         part.write.mode("overwrite").parquet(f"{path}/slice={i}")
 
-    batching.ingest_serially(edges, write_slice, slices=4)
+    batching.ingest_serially(edges, write_slice)
     return spark.read.schema(edges.schema).parquet(path).select(*edges.columns)
 
 

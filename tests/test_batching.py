@@ -80,7 +80,7 @@ def test_ingest_runs_batches_in_order_with_one_group_per_partition(random_edges)
     assert sorted(seen) == sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("slices", [1, 3])
+@pytest.mark.parametrize("slices", [1, 3, None])
 def test_serial_ingest_writes_one_partition_at_a_time(random_edges, slices):
     seen = []
 
@@ -89,6 +89,7 @@ def test_serial_ingest_writes_one_partition_at_a_time(random_edges, slices):
         seen.append(part.collect())
 
     ingest_serially(random_edges, write, slices)
+    slices = slices or 8
     assert len(seen) == slices
     assert sorted(tuple(r) for part in seen for r in part) == sorted(tuple(r) for r in random_edges.collect())
     assert max(map(len, seen)) <= 1500 / slices + 10

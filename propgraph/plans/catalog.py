@@ -231,6 +231,13 @@ def rel_append_match(spark, sf_dir):
     )
 
 
+@query
+def rel_merge_bare(spark, sf_dir):
+    """The same three FROM per flight merged by their ends alone, with nothing to set."""
+    incoming = flights_from_x3(spark, sf_dir)
+    return write.merge_rels(incoming.where(F.lit(False)), incoming, ["source_key", "target_name"])
+
+
 @query
 def rel_merge_keyed(spark, sf_dir):
     """Ratings of smaller parts are set on relationships loaded earlier without one."""
@@ -351,3 +358,12 @@ def detach_delete(spark, sf_dir):
     nodes = Nodes(tables.nation_regions(spark, sf_dir), ("name",))
     graph = tables.natural_flight_graph(spark, sf_dir).with_nodes("Airports", nodes)
     return _rels_by_type(delete.delete_nodes(graph, "Airports", F.col("region") == "AFRICA", detach=True))
+
+
+@query
+def plain_delete(spark, sf_dir):
+    """All relationships first, then the airports of one region, which need no detaching now."""
+    nodes = Nodes(tables.nation_regions(spark, sf_dir), ("name",))
+    graph = tables.natural_flight_graph(spark, sf_dir).with_nodes("Airports", nodes)
+    bare = delete.delete_rels(graph)
+    return match.graph_summary(delete.delete_nodes(bare, "Airports", F.col("region") == "AFRICA"))

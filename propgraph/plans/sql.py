@@ -108,6 +108,8 @@ QUALIFY row_number() OVER (PARTITION BY source_id, target_id ORDER BY "timestamp
     "rel_append_match": f"""WITH {FLIGHTS}
 SELECT key AS source_key, origin_airport AS target_name
 FROM flights JOIN regions ON origin_airport = name, range(3) WHERE region <> 'AFRICA'""",
+    "rel_merge_bare": f"""WITH {FLIGHTS}
+SELECT DISTINCT key AS source_key, origin_airport AS target_name FROM flights, range(3)""",
     "rel_merge_keyed": f"""WITH {RATINGS},
 e AS (
   SELECT DISTINCT source_id, target_id, "timestamp", CAST(0 AS FLOAT) AS rating
@@ -145,4 +147,8 @@ SELECT type, count(*) FILTER (WHERE type <> 'FROM') AS rel_count FROM edges GROU
     "detach_delete": f"""WITH {FLIGHTS}
 SELECT type, count(*) AS rel_count FROM edges
 WHERE target_name NOT IN (SELECT name FROM regions WHERE region = 'AFRICA') GROUP BY type""",
+    "plain_delete": f"""WITH {FLIGHTS}
+SELECT 'node' AS kind, 'Airports' AS name, count(*) AS n FROM regions WHERE region <> 'AFRICA'
+UNION ALL SELECT 'node', 'Flights', count(*) FROM flights
+UNION ALL SELECT DISTINCT 'rel', type, 0 FROM edges""",
 }

@@ -75,6 +75,15 @@ class PropertyGraph:
     nodes: Mapping[str, Nodes] = field(default_factory=dict)
     rels: Mapping[str, Rels] = field(default_factory=dict)
 
+    def __post_init__(self):
+        ends: dict[int, tuple[End, End]] = {}
+        for name, rels in self.rels.items():
+            if rels.pool is not None and ends.setdefault(id(rels.pool), (rels.source, rels.target)) != (
+                rels.source,
+                rels.target,
+            ):
+                raise ValueError(f"{name} shares a pool with relationships between other ends")
+
     def with_nodes(self, label: str, nodes: Nodes) -> PropertyGraph:
         return replace(self, nodes={**self.nodes, label: nodes})
 

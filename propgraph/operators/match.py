@@ -120,7 +120,8 @@ def degree_top_k(
         return empty.where(F.lit(False))
     degrees = _union(frames).groupBy(*nodes.keys).agg(F.count("*").alias(count_col))
     if not keyed:
-        named = degrees.join(nodes.df.select(*nodes.keys, F.col(name_prop).alias("_name")), list(nodes.keys))
+        names = nodes.df.select(*nodes.keys, F.col(name_prop).alias("_name"))
+        named = hub_join(names, degrees, list(nodes.keys), "inner")
         degrees = named.groupBy(F.col("_name").alias(name_prop)).agg(F.sum(count_col).alias(count_col))
     top = degrees.select(F.col(name_prop).alias(name_col), count_col)
     return top.orderBy(F.desc(count_col), name_col).limit(k)

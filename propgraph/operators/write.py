@@ -107,7 +107,10 @@ def rename_keys(nodes: DataFrame, cols: Mapping[str, str]) -> DataFrame:
 def append_rels(
     existing: DataFrame, incoming: DataFrame, src: Match | None = None, dst: Match | None = None
 ) -> DataFrame:
-    """Create one relationship per incoming row and match of its ends."""
+    """Create one relationship per incoming row and match of its ends.
+
+    An end that is not given is taken to exist.
+    """
     return existing.unionByName(match_ends(incoming, src, dst), allowMissingColumns=True)
 
 
@@ -123,7 +126,8 @@ def merge_rels(
 
     Among several incoming rows of one identity the greatest ``set_cols`` win,
     compared in the order given. A row with a null in its identity merges with
-    nothing and is dropped. With ``src``/``dst`` the ends must exist.
+    nothing and is dropped. With ``src``/``dst`` the ends must exist; an end that is
+    not given is taken to exist.
     """
     wanted = incoming.select(*dict.fromkeys([*identity, *set_cols]))
     matched = match_ends(wanted, src, dst, "left_semi")

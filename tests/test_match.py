@@ -121,3 +121,9 @@ def test_one_type_of_a_stored_pool_reads_one_folder(spark, flights, tmp_path):
     back = read_graph(spark, str(tmp_path / "g"), flights)
     plan = back.rels["TO"].df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(type" in plan and "= TO)" in plan
+
+
+def test_a_pool_holds_relationships_between_the_same_ends_only(flights):
+    other = Rels(flights.rels["TO"].df, *[End("Airports", {c: "id"}) for c in ("source_key", "target_id")])
+    with pytest.raises(ValueError, match="pool"):
+        flights.with_rels("NEAR", other.with_df(other.df, flights.rels["FROM"].pool))

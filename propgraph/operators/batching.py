@@ -76,10 +76,10 @@ def ingest_serially(df: DataFrame, write_fn: Callable[[DataFrame, int], None], s
     """Call ``write_fn(part, i)`` for one-partition parts in turn: one writer at a time.
 
     For an outside sink that takes no concurrent writes; files never need it. There
-    are ``slices`` parts (default: the shuffle partitions), so no task handles all
-    rows. The cut is by row count, written with the rows: equal rows spread as well.
+    are ``slices`` parts (default: one per core), so no task handles all rows. The cut
+    is by row count, written with the rows: equal rows spread as well.
     """
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = slices or df.sparkSession.sparkContext.defaultParallelism
     sliced = df.repartition(n).withColumn("_slice", F.spark_partition_id())
     staged = stage(sliced, "slices", ["_slice"])
     for i in range(n):

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +20,13 @@ from pyspark.sql import functions as F
 from propgraph.functions.columns import all_set
 from propgraph.model import PropertyGraph
 from propgraph.operators.joins import hub_join
-from propgraph.staging import stage
+from propgraph.staging import stage_sized
 
 Match = tuple[DataFrame, Mapping[str, str]]
 
+# Bytes on disk up to which an incoming batch counts as small enough to broadcast
+SMALL_BATCH = 8 << 20
+
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the greatest, compared column by column from left to right.
@@ -49,28 +53,34 @@ def _upsert(existing: DataFrame, winners: DataFrame, keys: Sequence[str]) -> Dat
 
     Two parts: the existing rows, updated where a winner matches, and the winners
     whose key is new. A full outer join would do both at once, but it can neither
-    broadcast a small batch, which spares the shuffle of ``existing``, nor split a
-    hot key of the existing side. The winners are staged: both parts read them, and
-    their size on disk tells Spark whether to broadcast. Of ``existing`` the second
-    part reads the keys only.
+    broadcast a small batch nor split a hot key of the existing side.
+
+    The winners are staged, since both parts read them. A small batch is broadcast,
+    and ``existing`` is not shuffled at all. For a larger one ``existing`` is shuffled
+    once, and once more by its distinct keys; both parts share the winners' shuffle.
     """
     keys = list(keys)
     values = [c for c in winners.columns if c not in keys]
+    known = existing.select(*keys)
     if not values:  # nothing to update, so the winners are read once
-        created = winners.join(existing.select(*keys).distinct(), keys, "left_anti")
+        created = winners.join(known.distinct(), keys, "left_anti")
         return existing.unionByName(created, allowMissingColumns=True)
-    winners = stage(winners, "winners")
-    known = hub_join(existing.select(*keys), winners.select(*keys), keys, "left_semi").distinct()
-    created = winners.join(known, keys, "left_anti")
-    update = winners.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in values])
-    joined = existing.join(update, keys, "left")
-    # the marker, not a null test: an incoming null does overwrite
-    kept = joined.select(
+    renamed = {c: f"_new_{c}" for c in winners.columns}
+    staged, size = stage_sized(winners.withColumnsRenamed(renamed), "winners")
+    staged = staged.where(all_set(renamed[k] for k in keys))  # as the joins imply: one shuffle serves both
+    if size <= SMALL_BATCH:
+        known = hub_join(known, staged.select(*[F.col(renamed[k]).alias(k) for k in keys]), keys, "left_semi")
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(renamed[k]) for k in keys])
+    created = staged.join(known.distinct(), same, "left_anti").select(*[F.col(n).alias(c) for c, n in renamed.items()])
+
+    # a key is never null, so it marks a match; an incoming null does overwrite
+    hit = F.col(renamed[keys[0]]).isNotNull()
+    kept = existing.join(staged, same, "left").select(
         *[
-            F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+            F.when(hit, F.col(renamed[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
             for c in existing.columns
         ],
-        *[F.col(f"_new_{c}").alias(c) for c in values if c not in existing.columns],
+        *[F.col(renamed[c]).alias(c) for c in values if c not in existing.columns],
     )
     return kept.unionByName(created, allowMissingColumns=True)
 

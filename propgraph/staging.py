@@ -45,17 +45,28 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop file system and path object of ``path``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this process has staged. Frames that read it are void afterwards."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(conf).delete(path, True)
+        fs, path = _folder(spark, _made.pop())
+        fs.delete(path, True)
+
+
+def stage_sized(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """Write ``df`` as Parquet in the shared folder; the frame that reads it, and its bytes on disk."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    fs, folder = _folder(spark, path)
+    return spark.read.schema(df.schema).parquet(path), fs.getContentSummary(folder).getLength()
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return the frame that reads it."""
-    path = new_path(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stage_sized(df, name, partition_by)[0]

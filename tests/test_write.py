@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from helpers import rows
+from helpers import executed_plan, rows
 from pyspark.sql import functions as F
 
 from propgraph import (
@@ -19,6 +19,7 @@ from propgraph import (
     upsert_nodes,
     upsert_rels,
 )
+from propgraph.operators import write
 
 PAIR = ["source_id", "target_id"]
 KEYED = [*PAIR, "timestamp"]
@@ -59,6 +60,33 @@ def test_upsert_updates_each_of_several_existing_nodes_of_a_key(spark):
     assert rows(upsert_nodes(old, new, ["id"])) == [(1, "z"), (1, "z"), (None, "c")]
 
 
+@pytest.mark.parametrize("limit", [0, 8 << 20])
+def test_upsert_of_a_large_and_of_a_small_batch(spark, monkeypatch, limit):
+    monkeypatch.setattr(write, "SMALL_BATCH", limit)
+    old = spark.createDataFrame([(1, "a", 1), (1, "b", 1), (None, "c", 1), (4, "d", 1)], "k int, v string, w int")
+    new = spark.createDataFrame([(1, None), (2, "n"), (None, "x")], "k int, v string")
+    want = [(1, None, 1), (1, None, 1), (2, "n", None), (4, "d", 1), (None, "c", 1)]
+    assert rows(upsert_nodes(old, new, ["k"])) == want
+
+
+def test_large_batch_is_shuffled_once_for_both_parts(spark, conf, monkeypatch):
+    monkeypatch.setattr(write, "SMALL_BATCH", 0)
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    old = spark.range(100).selectExpr("id AS k", "1 AS v")
+    df = upsert_nodes(old, spark.range(50, 150).selectExpr("id AS k", "2 AS v"), ["k"])
+    assert df.agg(F.sum("v")).collect() == [(250,)]
+    df.collect()
+    assert "ReusedExchange" in executed_plan(df)
+
+
+def test_small_batch_leaves_the_graph_unshuffled(spark):
+    old = spark.range(100).selectExpr("id AS k", "1 AS v")
+    df = upsert_nodes(old, spark.range(50, 150).selectExpr("id AS k", "2 AS v"), ["k"])
+    df.collect()
+    plan = executed_plan(df)
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") <= 1
+
+
 def test_upsert_by_two_keys_and_with_keys_only(spark):
     old = spark.createDataFrame([(1, "a", 1)], "x int, y string, v int")
     new = spark.createDataFrame([(1, "a", 2), (1, "b", 3), (1, None, 4)], "x int, y string, v int")

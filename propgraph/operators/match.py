@@ -46,7 +46,8 @@ def scan_rels(
         extra = [p for p in props if p not in by_key]
         if extra:
             node_cols = [F.col(key).alias(col) for key, col in by_key.items()]
-            df = hub_join(df, nodes.select(*node_cols, *[F.col(p).alias(f"_{side}_{p}") for p in extra]), list(end.cols), "inner")
+            wanted = nodes.select(*node_cols, *[F.col(p).alias(f"_{side}_{p}") for p in extra])
+            df = hub_join(df, wanted, list(end.cols), "inner")
         out += [F.col(by_key.get(p, f"_{side}_{p}")).alias(f"{side}_{p}") for p in props]
     return df.select(*out, *own)
 

@@ -3,9 +3,9 @@
 Overwrite means upsert by key, append adds rows without looking, and match means
 that the ends of a relationship must exist already. A null key never matches.
 
-An upsert that sets columns runs one job when called: it writes the deduplicated
-input (see ``staging``). The existing frame is read twice, so it should be a stored
-table.
+An upsert runs two jobs when called: they write the deduplicated input and the new
+rows among it (see ``staging``). The second and the result each read the existing
+frame, so it should be a stored table.
 """
 
 from __future__ import annotations
@@ -19,14 +19,11 @@ from pyspark.sql import functions as F
 
 from propgraph.functions.columns import all_set
 from propgraph.model import PropertyGraph
-from propgraph.operators.joins import hub_join
-from propgraph.staging import stage_sized
+from propgraph.operators.joins import fresh, hub_join
+from propgraph.staging import stage
 
 Match = tuple[DataFrame, Mapping[str, str]]
 
-# Bytes on disk up to which an incoming batch counts as small enough to broadcast
-SMALL_BATCH = 8 << 20
-
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the greatest, compared column by column from left to right.
@@ -48,48 +45,57 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     return best.select(*keys, *[F.col("_best")[c].alias(c) for c in values])
 
 
-def _upsert(existing: DataFrame, winners: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _upsert(existing: DataFrame, winners: DataFrame, keys: Sequence[str], bulk: bool = False) -> DataFrame:
     """Lay ``winners`` (one row per key, no null keys) over ``existing``.
 
     Two parts: the existing rows, updated where a winner matches, and the winners
-    whose key is new. A full outer join would do both at once, but it can neither
-    broadcast a small batch nor split a hot key of the existing side.
+    whose key is new. The existing keys are first cut down to those of the winners:
+    Spark broadcasts a small batch, so ``existing`` is not shuffled for it, and beyond
+    that one shuffle of the keys serves the cut, the distinct and the comparison.
+
+    The winners and the new ones among them are staged, so the result holds the plan of
+    ``existing`` once, and a chain of upserts grows by one plan each time.
 
-    The winners are staged, since both parts read them. A small batch is broadcast,
-    and ``existing`` is not shuffled at all. For a larger one ``existing`` is shuffled
-    once, and once more by its distinct keys; both parts share the winners' shuffle.
+    ``bulk`` does both in one full outer join, for a batch of the size of ``existing``:
+    it reads that once, but can neither broadcast nor split a hot key.
     """
     keys = list(keys)
     values = [c for c in winners.columns if c not in keys]
-    known = existing.select(*keys)
-    if not values:  # nothing to update, so the winners are read once
-        created = winners.join(known.distinct(), keys, "left_anti")
-        return existing.unionByName(created, allowMissingColumns=True)
-    renamed = {c: f"_new_{c}" for c in winners.columns}
-    staged, size = stage_sized(winners.withColumnsRenamed(renamed), "winners")
-    staged = staged.where(all_set(renamed[k] for k in keys))  # as the joins imply: one shuffle serves both
-    if size <= SMALL_BATCH:
-        known = hub_join(known, staged.select(*[F.col(renamed[k]).alias(k) for k in keys]), keys, "left_semi")
+    renamed = {c: fresh(f"_new_{c}", existing, winners) for c in winners.columns}
+    incoming = winners.withColumnsRenamed(renamed)
     same = reduce(lambda a, b: a & b, [F.col(k) == F.col(renamed[k]) for k in keys])
-    created = staged.join(known.distinct(), same, "left_anti").select(*[F.col(n).alias(c) for c, n in renamed.items()])
-
-    # a key is never null, so it marks a match; an incoming null does overwrite
-    hit = F.col(renamed[keys[0]]).isNotNull()
-    kept = existing.join(staged, same, "left").select(
-        *[
-            F.when(hit, F.col(renamed[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
-            for c in existing.columns
-        ],
-        *[F.col(renamed[c]).alias(c) for c in values if c not in existing.columns],
-    )
+    hit = F.col(renamed[keys[0]]).isNotNull()  # a key is never null, so it marks a match; an incoming null does overwrite
+    updated = [
+        F.when(hit, F.col(renamed[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+        for c in existing.columns
+    ]
+    added = [F.col(renamed[c]).alias(c) for c in values if c not in existing.columns]
+    if bulk:
+        merged_keys = {k: F.coalesce(F.col(k), F.col(renamed[k])).alias(k) for k in keys}
+        columns = [merged_keys.get(c, u) for c, u in zip(existing.columns, updated, strict=True)]
+        return existing.join(incoming, same, "full_outer").select(*columns, *added)
+
+    staged = stage(incoming, "winners")
+    staged = staged.where(all_set(renamed[k] for k in keys))  # as the joins imply: one shuffle serves all
+    known = existing.select(*keys).join(staged.select(*[renamed[k] for k in keys]), same, "left_semi").distinct()
+    created = staged.join(known, same, "left_anti").select(*[F.col(n).alias(c) for c, n in renamed.items()])
+    created = stage(created, "created")
+    kept = existing.join(staged, same, "left").select(*updated, *added) if values else existing
     return kept.unionByName(created, allowMissingColumns=True)
 
 
 def upsert_nodes(
-    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None
+    existing: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] | None = None,
+    bulk: bool = False,
 ) -> DataFrame:
-    """Upsert nodes by key. Incoming columns win; columns absent from the input are kept."""
-    return _upsert(existing, one_per_key(incoming, keys, order), keys)
+    """Upsert nodes by key. Incoming columns win; columns absent from the input are kept.
+
+    ``bulk`` says that the batch is about as large as ``existing`` (see ``_upsert``).
+    """
+    return _upsert(existing, one_per_key(incoming, keys, order), keys, bulk)
 
 
 def append_nodes(existing: DataFrame, incoming: DataFrame) -> DataFrame:

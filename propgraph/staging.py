@@ -2,71 +2,113 @@
 
 Some steps must see the very same rows twice (a dense key needs the row counts of
 the partitions it numbers; batches are read one after another). They write their
-input once, to the folder that all executors share, and read it back: the lineage
+input once, to a folder that all executors share, and read it back: the lineage
 ends there, so a lost executor costs a re-read and nothing is computed anew.
+
+The folder is, in this order: the one given to ``staging``, the setting
+``spark.checkpoint.dir``, the checkpoint folder of the Spark context. Without any of
+them staging fails: a folder that only one machine sees is never chosen silently.
 """
 
 from __future__ import annotations
 
-import atexit
-import functools
-import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Shuffle files of a finished write are of no more use; Spark deletes them at once if this is set
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-@functools.cache
-def _local_dir() -> str:
-    path = tempfile.mkdtemp(prefix="propgraph-")
-    atexit.register(shutil.rmtree, path, ignore_errors=True)
-    return path
+
+@dataclass
+class _Scope:
+    folder: str | None
+    paths: list[str] = field(default_factory=list)
+
+
+_scope: ContextVar[_Scope | None] = ContextVar("propgraph_staging", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a private one only in local mode."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder for intermediate tables, without a slash at its end."""
+    scope = _scope.get()
+    path = (scope and scope.folder) or spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        context = spark.sparkContext._jsc.sc().getCheckpointDir()
+        path = context.get() if context.isDefined() else None
     if path:
         return path.rstrip("/")
-    if spark.conf.get("spark.master", "local").startswith("local"):
-        return _local_dir()
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
-_made: list[str] = []
+def use_local_folder(spark: SparkSession) -> None:
+    """For one machine only (``local``, ``local[n]``): where no folder is set, make one for this session.
+
+    For entry points of tests and benches; the library itself never calls it.
+    """
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        return
+    try:
+        shared_dir(spark)
+    except ValueError:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="propgraph-"))
+
+
+@contextmanager
+def staging(spark: SparkSession, folder: str | None = None) -> Iterator[None]:
+    """Delete at the end of the block what was staged in it; frames that read it are void then.
+
+    ``folder`` is where the block stages, if not in the session's folder. Outside of any
+    block what is staged stays, since the caller's frames still read it.
+    """
+    scope = _Scope(folder)
+    token = _scope.set(scope)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in scope.paths:
+            discard(spark, path)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, remembered for ``drop_staged``."""
+    """A fresh path in the shared folder; the block of ``staging`` around it deletes it."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    if scope := _scope.get():
+        scope.paths.append(path)
     return path
 
 
-def _folder(spark: SparkSession, path: str):
-    """The Hadoop file system and path object of ``path``."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that no frame needs any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete what this process has staged. Frames that read it are void afterwards."""
-    while _made:
-        fs, path = _folder(spark, _made.pop())
-        fs.delete(path, True)
+@contextmanager
+def _shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
-def stage_sized(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> tuple[DataFrame, int]:
-    """Write ``df`` as Parquet in the shared folder; the frame that reads it, and its bytes on disk."""
+def write_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as Parquet to ``path`` and return the frame that reads it."""
     spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
-    fs, folder = _folder(spark, path)
-    return spark.read.schema(df.schema).parquet(path), fs.getContentSummary(folder).getLength()
+    with _shuffles_cleaned(spark):
+        df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return the frame that reads it."""
-    return stage_sized(df, name, partition_by)[0]
+    return write_once(df, new_path(df.sparkSession, name), partition_by)

@@ -12,7 +12,7 @@ EDGE_SCHEMA = "source_id int, target_id int, rating float, timestamp int"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("propgraph-tests")
@@ -20,13 +20,11 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "America/Sao_Paulo")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("staged")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
-    from propgraph.staging import drop_staged
-
-    drop_staged(session)
     session.stop()
 
 

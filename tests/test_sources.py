@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from conftest import EDGE_SCHEMA
 from helpers import rows
 
 from propgraph import read_edge_list, read_table
-from propgraph.staging import drop_staged, shared_dir, stage
+from propgraph.staging import shared_dir, stage, staging
 
 
 def test_edge_list_keeps_bad_lines(spark, tmp_path):
@@ -40,17 +41,22 @@ def test_staging_uses_the_folder_that_the_session_names():
     assert shared_dir(session) == "hdfs://shared/points"
 
 
-def test_staging_makes_its_own_folder_in_local_mode_only():
-    assert "propgraph-" in shared_dir(FakeSession(master="local[2]"))
+def test_staging_without_a_folder_fails():
+    unset = SimpleNamespace(isDefined=lambda: False)
+    context = SimpleNamespace(_jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset)))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(FakeSession(master="yarn"))
+        shared_dir(SimpleNamespace(conf={}, sparkContext=context))
 
 
-def test_staged_table_reads_back_and_can_be_dropped(spark):
-    df = stage(spark.range(10).selectExpr("id", "id % 2 AS half"), "t", ["half"])
-    assert df.columns == ["id", "half"]
-    assert rows(df) == sorted((i, i % 2) for i in range(10))
-    folder = Path(df.inputFiles()[0].removeprefix("file:")).parents[1]
-    assert str(folder).lstrip("/").startswith(shared_dir(spark).lstrip("/"))
-    drop_staged(spark)
+def test_staged_table_reads_back_and_goes_with_its_block(spark, tmp_path):
+    kept = stage(spark.range(3), "kept")
+    with staging(spark):
+        df = stage(spark.range(10).selectExpr("id", "id % 2 AS half"), "t", ["half"])
+        assert df.columns == ["id", "half"]
+        assert rows(df) == sorted((i, i % 2) for i in range(10))
+        folder = Path(df.inputFiles()[0].removeprefix("file:")).parents[1]
+        assert str(folder).lstrip("/").startswith(shared_dir(spark).lstrip("/"))
     assert not folder.exists()
+    assert kept.count() == 3
+    with staging(spark, str(tmp_path)):
+        assert stage(spark.range(3), "t").inputFiles()[0].removeprefix("file://").startswith(str(tmp_path))

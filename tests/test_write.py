@@ -60,23 +60,36 @@ def test_upsert_updates_each_of_several_existing_nodes_of_a_key(spark):
     assert rows(upsert_nodes(old, new, ["id"])) == [(1, "z"), (1, "z"), (None, "c")]
 
 
-@pytest.mark.parametrize("limit", [0, 8 << 20])
-def test_upsert_of_a_large_and_of_a_small_batch(spark, monkeypatch, limit):
-    monkeypatch.setattr(write, "SMALL_BATCH", limit)
+@pytest.mark.parametrize("bulk", [False, True])
+@pytest.mark.parametrize("threshold", [-1, 10 << 20])
+def test_upsert_gives_the_same_rows_by_every_plan(spark, conf, bulk, threshold):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
     old = spark.createDataFrame([(1, "a", 1), (1, "b", 1), (None, "c", 1), (4, "d", 1)], "k int, v string, w int")
-    new = spark.createDataFrame([(1, None), (2, "n"), (None, "x")], "k int, v string")
+    new = spark.createDataFrame([(1, None), (2, "n"), (None, "x")], "k bigint, v string")
     want = [(1, None, 1), (1, None, 1), (2, "n", None), (4, "d", 1), (None, "c", 1)]
-    assert rows(upsert_nodes(old, new, ["k"])) == want
-
-
-def test_large_batch_is_shuffled_once_for_both_parts(spark, conf, monkeypatch):
-    monkeypatch.setattr(write, "SMALL_BATCH", 0)
-    conf("spark.sql.autoBroadcastJoinThreshold", -1)
-    old = spark.range(100).selectExpr("id AS k", "1 AS v")
-    df = upsert_nodes(old, spark.range(50, 150).selectExpr("id AS k", "2 AS v"), ["k"])
-    assert df.agg(F.sum("v")).collect() == [(250,)]
-    df.collect()
-    assert "ReusedExchange" in executed_plan(df)
+    assert rows(upsert_nodes(old, new, ["k"], bulk=bulk)) == want
+
+
+@pytest.mark.parametrize("threshold", [-1, 10 << 20])
+def test_upsert_of_keys_of_another_type(spark, conf, threshold):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    old = spark.range(1000).selectExpr("cast(id AS int) AS k", "1 AS v")
+    df = upsert_nodes(old, spark.range(500, 1500).selectExpr("id AS k", "2 AS v"), ["k"])
+    assert df.count() == 1500
+    assert df.agg(F.sum("v")).collect() == [(2500,)]
+
+
+@pytest.mark.parametrize("columns", [["k", "v"], ["k"]])
+def test_chained_upserts_grow_by_one_plan_each(spark, columns):
+    graph = spark.range(10).selectExpr("id AS k", "0 AS v")
+    leaves = []
+    for i in range(1, 7):
+        batch = spark.range(i, 10 + i).selectExpr("id AS k", f"{i} AS v").select(*columns)
+        graph = upsert_nodes(graph, batch, ["k"])
+        leaves.append(graph._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+    steps = {b - a for a, b in zip(leaves, leaves[1:], strict=False)}
+    assert max(steps) <= 2
+    assert graph.count() == 16
 
 
 def test_small_batch_leaves_the_graph_unshuffled(spark):

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from propgraph.llm import token_counts
+from propgraph.llm import exact_dedup, token_counts
 from propgraph.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,3 +26,18 @@ def op2_heap_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query
+def op6_fuse_filter_dedup(spark, sf_dir):
+    """One half of the rows is the snapshot taken in before, the other the batch that comes in."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    half = F.xxhash64("doc_id").bitwiseAND(1)
+    found = exact_dedup.dedup([docs.where(half == 0)], docs.where(half == 1))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+LLM_ORACLE["op6_fuse_filter_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph.llm import exact_dedup, token_counts
+from propgraph.llm import byte_bpe, exact_dedup, token_counts
 from propgraph.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +41,9 @@ LLM_ORACLE["op6_fuse_filter_dedup"] = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+
+@query
+def op7_tree_byte_bpe(spark, sf_dir):
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), ranks, pattern)

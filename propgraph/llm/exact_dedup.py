@@ -144,8 +144,9 @@ def dedup(
     suspects = stage(reduce(DataFrame.unionAll, [*repeated, *shared]).distinct(), "suspects")
 
     texts = reduce(DataFrame.unionAll, loads).withColumn("digest", digest(F.col("text")))
+    # suspects grow with the data: the texts are shuffled once, at every size
     exact = stage(
-        hub_join(texts, suspects, ["digest"], "left_semi")
+        hub_join(texts, suspects.hint("merge"), ["digest"], "left_semi")
         .groupBy("digest", "text")
         .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")),
         "same-bytes",

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph.llm import byte_bpe, exact_dedup, token_counts
+from propgraph.llm import byte_bpe, exact_dedup, token_counts, warc
 from propgraph.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,20 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
 def op7_tree_byte_bpe(spark, sf_dir):
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     return byte_bpe.digests(table(spark, sf_dir, "documents"), ranks, pattern)
+
+
+@query
+def op3_wacz_round_trip(spark, sf_dir):
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+LLM_ORACLE["op3_wacz_round_trip"] = """
+WITH rows AS (
+    SELECT page_id, coalesce(html, '') AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+    FROM pages),
+told AS (
+    SELECT *, strlen(payload) AS bytes, strlen(payload) >= 100 AND page_id > first_id AS again FROM rows)
+SELECT page_id, bytes AS payload_bytes, sha256(payload) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first_id END AS refers_to
+FROM told"""

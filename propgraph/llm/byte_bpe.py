@@ -19,6 +19,7 @@ Decoding concatenates the tokens' bytes up the same kind of tree.
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
@@ -30,15 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from propgraph.llm.common import slices
+from propgraph.llm.common import Remembered, slices
 
 LEAF_CHARS = 1 << 14  # texts are halved down to parts of at most so many characters
 REACH = 3  # characters in the longest literal of the pattern
 LEAF_IDS = 1 << 14  # and lists of ids when they are decoded
-LEAF_BYTES = 8  # matches are halved down to so many bytes
+LEAF_BYTES = 16  # matches are halved down to so many bytes
 LISTED_BYTES = 48  # longer pieces are merged by a heap
-KEPT_MATCHES = 1_000_000  # a worker remembers the encodings of at most so many matches at a time
-KEPT_BYTES = 64  # longer matches are not remembered
+KEPT_MATCHES = 400_000  # a worker remembers the encodings of at most twice as many matches at a time
 
 
 class ByteEncoder:
@@ -51,7 +51,7 @@ class ByteEncoder:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.tokens = {i: t for t, i in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.packed = _Packed(self)
+        self.packed = Remembered(self._pack, KEPT_MATCHES)
         self.stable: dict[tuple[int, int], bool] = {}
 
     # inside one match
@@ -61,13 +61,15 @@ class ByteEncoder:
         if len(piece) > LISTED_BYTES:
             return self._merge_long(piece)
         ranks, parts = self.ranks, [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            found = [ranks.get(a + b, _NONE) for a, b in zip(parts, parts[1:], strict=False)]
-            best = min(found)
-            if best == _NONE:
-                break
+        found = [ranks.get(a + b, _NONE) for a, b in zip(parts, parts[1:], strict=False)]
+        while found and (best := min(found)) != _NONE:
             i = found.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            parts[i] += parts.pop(i + 1)
+            del found[i]
+            if i:
+                found[i - 1] = ranks.get(parts[i - 1] + parts[i], _NONE)
+            if i < len(found):
+                found[i] = ranks.get(parts[i] + parts[i + 1], _NONE)
         return [ranks[p] for p in parts]
 
     def _merge_long(self, piece: bytes) -> list[int]:
@@ -122,6 +124,10 @@ class ByteEncoder:
         half = len(piece) // 2
         return self._join(self.encode_match(piece[:half]), self.encode_match(piece[half:]))
 
+    def _pack(self, match: str) -> bytes:
+        ids = self.encode_match(match.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     # a whole text
 
     def split(self, text: str) -> list[str]:
@@ -175,23 +181,6 @@ class ByteEncoder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-class _Packed(dict):
-    """Packed ids by match, made on demand; emptied when full, so its memory is bounded."""
-
-    def __init__(self, encoder: ByteEncoder):
-        super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, match: str) -> bytes:
-        piece = match.encode()
-        ids = np.array(self.encoder.encode_match(piece), "<u4").tobytes()
-        if len(piece) <= KEPT_BYTES:
-            if len(self) >= KEPT_MATCHES:
-                self.clear()
-            self[match] = ids
-        return ids
-
-
 _NONE = 1 << 60
 
 

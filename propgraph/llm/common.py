@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,3 +27,28 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20)
         step = max(1, batch.num_rows * limit // max(1, batch.column(column).nbytes))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+
+
+class Remembered(dict):
+    """What ``make`` gives for a string, made on demand.
+
+    Once ``most`` strings are held, they become the old ones and those from before go; an
+    old one that is met again stays. So frequent strings are kept and the memory is bounded.
+    Strings longer than ``longest`` are never held.
+    """
+
+    def __init__(self, make: Callable[[str], Any], most: int, longest: int = 64):
+        super().__init__()
+        self.make, self.most, self.longest = make, most, longest
+        self.old: dict[str, Any] = {}
+
+    def __missing__(self, text: str) -> Any:
+        if (value := self.old.get(text)) is None:
+            value = self.make(text)
+            if len(text) > self.longest:
+                return value
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[text] = value
+        return value

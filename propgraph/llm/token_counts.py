@@ -14,7 +14,7 @@ a word is merged once per task and not once per occurrence.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
 
@@ -23,14 +23,13 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import whole_text
+from propgraph.llm.common import Remembered, whole_text
 
 SPACE = "▁"  # what the models write for a space
 # what usual normalizers would change: full width, ligature, fraction, accents, spaces, controls, invisible
 PROBES = ["\uff21", "\ufb01", "\u00bd", "e\u0301", "\u00e9", "\u3000", "\t", "\r\n", "\x00", "\u200b", "\ufeff", " a  b ", "A"]
 PLACE, NUMBER = (1 << 40) - 1, (1 << 20) - 1
-KEPT_CHUNKS = 1_000_000  # of the words met, a worker remembers at most so many at a time
-KEPT_LENGTH = 64  # longer chunks are not remembered
+KEPT_WORDS = 400_000  # of the words met, a worker remembers at most twice as many at a time
 
 
 class PieceMerger:
@@ -47,8 +46,8 @@ class PieceMerger:
         self.byte_fallback = any(model.is_byte(i) for i in ids)
         self.pieces = pieces
         self.chunks = re.compile(self._boundaries()).findall
-        self.known = Remembered(self.count_chunk, KEPT_CHUNKS // 2)
-        self.words = Remembered(lambda word: self.count_text(SPACE + word), KEPT_CHUNKS)
+        self.known = Remembered(self.count_chunk, KEPT_WORDS // 2)
+        self.words = Remembered(lambda word: self.count_text(SPACE + word), KEPT_WORDS)
         self.by_word = self._only_marks_spaces()
         # symbols as numbers: of a piece, or of a character that occurs in pieces
         self.number = {p: i for i, p in enumerate(dict.fromkeys([*pieces, *"".join(pieces)]))}
@@ -129,22 +128,6 @@ class PieceMerger:
         return self.count_text(self.normalize(text))
 
 
-class Remembered(dict):
-    """Counts by chunk, made on demand; emptied when full, so its memory is bounded."""
-
-    def __init__(self, make: Callable[[str], int], most: int):
-        super().__init__()
-        self.make, self.most = make, most
-
-    def __missing__(self, chunk: str) -> int:
-        n = self.make(chunk)
-        if len(chunk) <= KEPT_LENGTH:
-            if len(self) >= self.most:
-                self.clear()
-            self[chunk] = n
-        return n
-
-
 @cache
 def _merger(model_file: str) -> PieceMerger:
     """One for each Python worker, which serves many tasks."""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph.llm import byte_bpe, exact_dedup, token_counts, warc
+from propgraph.llm import byte_bpe, exact_dedup, license_scan, token_counts, warc
 from propgraph.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +64,8 @@ SELECT page_id, bytes AS payload_bytes, sha256(payload) AS payload_digest,
        CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN again THEN first_id END AS refers_to
 FROM told"""
+
+
+@query
+def op10_signature_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))

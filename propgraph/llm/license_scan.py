@@ -32,31 +32,31 @@ BASE = {
 
 # label | keyword | pattern of the name, over words joined by single spaces; the more special first
 NAMES = """
-agpl-3.0 | affero | (?:gnu )?affero general public licen[cs]e(?: version| v)? 3(?: 0)?
+agpl-3.0 | affero | (?:gnu )?affero general public licen[cs]e(?: version| v)? v?3(?: 0)?
 agpl-3.0 | agpl | agpl(?: version)? ?v?3(?: 0)?(?: only| or later)?
 agpl | affero | (?:gnu )?affero general public licen[cs]e
-lgpl-2.1 | lesser general | (?:gnu )?lesser general public licen[cs]e(?: version| v)? 2 1
+lgpl-2.1 | lesser general | (?:gnu )?lesser general public licen[cs]e(?: version| v)? v?2 1
 lgpl-2.1 | lgpl | lgpl(?: version)? ?v?2 1(?: only| or later)?
-lgpl-3.0 | lesser general | (?:gnu )?lesser general public licen[cs]e(?: version| v)? 3(?: 0)?
+lgpl-3.0 | lesser general | (?:gnu )?lesser general public licen[cs]e(?: version| v)? v?3(?: 0)?
 lgpl-3.0 | lgpl | lgpl(?: version)? ?v?3(?: 0)?(?: only| or later)?
 lgpl | lesser general | (?:gnu )?lesser general public licen[cs]e
-lgpl-2.0 | library general | (?:gnu )?library general public licen[cs]e(?: version| v)? 2(?: 0)?
-gpl-2.0 | general public | (?:gnu )?general public licen[cs]e(?: version| v)? 2(?: 0)?
+lgpl-2.0 | library general | (?:gnu )?library general public licen[cs]e(?: version| v)? v?2(?: 0)?
+gpl-2.0 | general public | (?:gnu )?general public licen[cs]e(?: version| v)? v?2(?: 0)?
 gpl-2.0 | gpl | (?:gnu )?gpl(?: version)? ?v?2(?: 0)?(?: only| or later)?
-gpl-3.0 | general public | (?:gnu )?general public licen[cs]e(?: version| v)? 3(?: 0)?
+gpl-3.0 | general public | (?:gnu )?general public licen[cs]e(?: version| v)? v?3(?: 0)?
 gpl-3.0 | gpl | (?:gnu )?gpl(?: version)? ?v?3(?: 0)?(?: only| or later)?
 gpl | general public | (?:gnu )?general public licen[cs]e
-gfdl-1.3 | free documentation | (?:gnu )?free documentation licen[cs]e(?: version| v)? 1 3
-gfdl-1.2 | free documentation | (?:gnu )?free documentation licen[cs]e(?: version| v)? 1 2
+gfdl-1.3 | free documentation | (?:gnu )?free documentation licen[cs]e(?: version| v)? v?1 3
+gfdl-1.2 | free documentation | (?:gnu )?free documentation licen[cs]e(?: version| v)? v?1 2
 gfdl | free documentation | (?:gnu )?free documentation licen[cs]e
-apache-1.1 | apache | apache (?:software )?licen[cs]e(?: version| v)? 1 1
-apache-2.0 | apache | apache (?:software )?licen[cs]e(?: version| v)? 2(?: 0)?
+apache-1.1 | apache | apache (?:software )?licen[cs]e(?: version| v)? v?1 1
+apache-2.0 | apache | apache (?:software )?licen[cs]e(?: version| v)? v?2(?: 0)?
 apache-2.0 | apache | apache 2(?: 0)?
-mpl-1.1 | mozilla public | mozilla public licen[cs]e(?: version| v)? 1 1
-mpl-2.0 | mozilla public | mozilla public licen[cs]e(?: version| v)? 2(?: 0)?
+mpl-1.1 | mozilla public | mozilla public licen[cs]e(?: version| v)? v?1 1
+mpl-2.0 | mozilla public | mozilla public licen[cs]e(?: version| v)? v?2(?: 0)?
 mpl-2.0 | mpl | mpl(?: version)? ?v?2(?: 0)?
-epl-1.0 | eclipse public | eclipse public licen[cs]e(?: version| v)? 1(?: 0)?
-epl-2.0 | eclipse public | eclipse public licen[cs]e(?: version| v)? 2(?: 0)?
+epl-1.0 | eclipse public | eclipse public licen[cs]e(?: version| v)? v?1(?: 0)?
+epl-2.0 | eclipse public | eclipse public licen[cs]e(?: version| v)? v?2(?: 0)?
 cddl-1.0 | development and distribution | common development and distribution licen[cs]e(?: version| v)?(?: 1 0)?
 eupl-1.2 | european union public | european union public licen[cs]e(?: version| v)?(?: 1 2)?
 bsd-2-clause | bsd | (?:simplified bsd|bsd 2 clause|2 clause bsd|two clause bsd)
@@ -69,7 +69,7 @@ mit | mit | (?:mit|expat)
 isc | isc | isc
 zlib | zlib | zlib(?: libpng)?
 boost-1.0 | boost | boost software(?: licen[cs]e(?: version| v)?)?(?: 1 0)?
-artistic-2.0 | artistic | artistic licen[cs]e(?: version| v)? 2(?: 0)?
+artistic-2.0 | artistic | artistic licen[cs]e(?: version| v)? v?2(?: 0)?
 python-2.0 | python software | python software foundation
 unlicense | unlicense | unlicense
 wtfpl | wtfpl | wtfpl

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph.llm import byte_bpe, exact_dedup, license_scan, token_counts, warc
+from propgraph.llm import byte_bpe, exact_dedup, jaccard_join, license_scan, token_counts, warc
 from propgraph.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,33 @@ FROM told"""
 @query
 def op10_signature_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_parity_sketch_join(spark, sf_dir):
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"), 4, jaccard_join.Threshold(85, 100))
+
+
+LLM_ORACLE["op4_parity_sketch_join"] = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda w: w <> '') AS words
+    FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_distinct(
+        [words[i:i + 3] for i in range(1, greatest(len(words) - 2, 2))]) END AS shingles
+    FROM split),
+tokens AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+meets AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS common
+    FROM tokens AS a JOIN tokens AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+    GROUP BY ALL),
+links AS (SELECT a, b FROM meets WHERE 100 * common >= 85 * (n + m - common)),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM sets
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT sets.doc_id, len(sets.shingles) AS n_shingles, min(reach.b) AS component_id
+FROM sets JOIN reach ON reach.a = sets.doc_id GROUP BY sets.doc_id, len(sets.shingles)"""

@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph.llm import byte_bpe, exact_dedup, jaccard_join, license_scan, token_counts, warc
+from propgraph.llm import (
+    byte_bpe,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    license_scan,
+    paragraph_dedup,
+    token_counts,
+    warc,
+)
 from propgraph.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +108,14 @@ reach AS (
     SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
 SELECT sets.doc_id, len(sets.shingles) AS n_shingles, min(reach.b) AS component_id
 FROM sets JOIN reach ON reach.a = sets.doc_id GROUP BY sets.doc_id, len(sets.shingles)"""
+
+
+@query
+def op1_string_tiling_leaks(spark, sf_dir):
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "coverage", "matched_words", F.size("tiles").alias("n_tiles"))
+
+
+@query
+def op9_paragraph_minhash_dedup(spark, sf_dir):
+    return paragraph_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))

@@ -16,6 +16,7 @@ from propgraph.llm import (
     license_scan,
     paragraph_dedup,
     token_counts,
+    toxicity,
     warc,
 )
 from propgraph.llm.common import table
@@ -119,3 +120,9 @@ def op1_string_tiling_leaks(spark, sf_dir):
 @query
 def op9_paragraph_minhash_dedup(spark, sf_dir):
     return paragraph_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_block_max_toxicity(spark, sf_dir):
+    scores = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.select("doc_id", "held_out", "score", "predicted")

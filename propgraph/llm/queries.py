@@ -15,6 +15,7 @@ from propgraph.llm import (
     jaccard_join,
     license_scan,
     paragraph_dedup,
+    quality,
     token_counts,
     toxicity,
     warc,
@@ -126,3 +127,8 @@ def op9_paragraph_minhash_dedup(spark, sf_dir):
 def op5_block_max_toxicity(spark, sf_dir):
     scores = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scores.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op8_pu_quality(spark, sf_dir):
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from propgraph.llm import fuse_filter
 from propgraph.llm.common import whole_text
-from propgraph.operators.joins import hub_join
+from propgraph.operators.joins import fresh, hub_join
 from propgraph.staging import new_path, stage, write_once
 
 KEYS_PER_FILTER = 1 << 18
@@ -170,3 +170,19 @@ def dedup(
     )
 
 
+
+
+def keep_one(docs: DataFrame, earlier: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay of equal texts: the greatest id, once.
+
+    Where ``earlier`` is true, a row belongs to the snapshot, else to the batch.
+    """
+    found = dedup([docs.where(earlier)], docs.where(~earlier), id_col, text_col)
+    groups = found.where("group_size > 1").select("digest", "keep_id").distinct()
+    key, kept, many = (fresh(n, docs) for n in ("_digest", "_keep_id", "_many"))
+    groups = stage(groups.toDF(key, kept).withColumn(many, F.lit(True)), "copies")
+    rows = docs.withColumn(key, sha256(whole_text(text_col)))
+    rows = hub_join(rows, groups.hint("merge"), [key], "left")
+    sole, repeated = rows.where(F.col(many).isNull()), rows.where(F.col(many))
+    repeated = repeated.where(F.col(id_col).eqNullSafe(F.col(kept))).dropDuplicates([key])
+    return sole.unionByName(repeated).select(docs.columns)

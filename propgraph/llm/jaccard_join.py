@@ -27,10 +27,9 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache, reduce
+from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +42,7 @@ from propgraph.operators.joins import hub_join
 from propgraph.staging import stage
 
 BLOCK = 512  # members of a bucket that are compared at once with as many others
+PAIRS = 200_000  # pairs that a task compares at once
 SKETCH_BITS = 1 << 15  # the longest sketch that is kept for the Hamming distance
 
 
@@ -114,8 +114,11 @@ def segment_keys(tokens: np.ndarray, threshold: Threshold) -> np.ndarray:
 
 
 def parity_sketch(tokens: np.ndarray) -> np.ndarray:
-    """Bits, as 64-bit words, whose number is a power of two and about four times that of the tokens."""
-    bits = min(SKETCH_BITS, max(64, 1 << (4 * len(tokens) - 1).bit_length()))
+    """Bits, as 64-bit words, whose number is a power of two and at least that of the tokens.
+
+    Strangers differ in nearly half of them, which is far above what linked sets may differ in.
+    """
+    bits = min(SKETCH_BITS, max(64, 1 << (len(tokens) - 1).bit_length()))
     at = (shingles.mix(tokens, 3) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits(np.bincount(at, minlength=bits) & 1, bitorder="little").view(np.uint64)
 
@@ -221,11 +224,12 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame
 # pairs of buckets
 
 
-def _block_pairs(members: DataFrame, threshold: Threshold) -> DataFrame:
+def _block_pairs(members: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
     """Pairs of nodes of one bucket and two components that may be linked by their sketches.
 
-    ``members``: key, node, component, n, sketch. A bucket is dealt into blocks, and each
-    two blocks meet in one group of at most 2 * BLOCK rows, so a large bucket is many groups.
+    ``members``: key, node, component. A bucket is dealt into blocks, and each two blocks
+    meet in one group of at most 2 * BLOCK rows, so a large bucket is many groups. The
+    sketches join last, so they are shuffled once.
     """
     sizes = members.groupBy("key").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -239,52 +243,77 @@ def _block_pairs(members: DataFrame, threshold: Threshold) -> DataFrame:
         "mine",
         "node",
         "component",
-        "n",
-        "sketch",
     )
+    rows = hub_join(rows, sets.select("node", "n", "sketch").hint("merge"), ["node"], "inner")
     group = ["key", "i", "j"]
     dealt = rows.repartition(*group).sortWithinPartitions(*group)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _groups(batches, group):
-            yield pa.RecordBatch.from_pandas(_compare(part, threshold), preserve_index=False)
+        rest = None
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            part = part if rest is None else pa.concat_tables([rest, part])
+            cuts = _cuts(part, group)
+            yield from _compare(part, cuts, threshold)
+            rest = part.slice(cuts[-1])  # its group may go on in the next batch
+        if rest is not None:
+            yield from _compare(rest, [0, len(rest)], threshold)
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pd.DataFrame]:
-    """Runs of rows with equal ``by`` of a sorted stream, each as one frame."""
-    rest: pd.DataFrame | None = None
-    for batch in batches:
-        part = batch.to_pandas()
-        part = part if rest is None else pd.concat([rest, part], ignore_index=True)
-        if not len(part):
-            continue
-        keys = part[by].to_numpy()
-        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield part.iloc[a:b]
-        rest = part.iloc[cuts[-1] :]
-    if rest is not None and len(rest):
-        yield rest
-
-
-def _compare(part: pd.DataFrame, threshold: Threshold) -> pd.DataFrame:
-    node, comp, n = (part[c].to_numpy() for c in ("node", "component", "n"))
-    sketches = [np.frombuffer(s, np.uint64) for s in part["sketch"]]
-    width = min(map(len, sketches))
-    bits = np.stack([fold(s, width) for s in sketches])
-    mine, i, j = part["mine"].to_numpy(), part["i"].iloc[0], part["j"].iloc[0]
-    left, right = (np.flatnonzero(mine == i), np.flatnonzero(mine == j)) if i != j else (np.arange(len(part)),) * 2
-    out = []
-    for x in left:
-        y = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if i == j else True)]
-        if len(y):
-            away = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1)
-            y = y[away <= threshold.differ(n[y], n[x])]
-            out.append(np.stack([np.minimum(node[y], node[x]), np.maximum(node[y], node[x])], axis=1))
-    pairs = np.concatenate(out) if out else np.empty((0, 2), np.int64)
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+def _cuts(part: pa.Table, by: list[str]) -> list[int]:
+    """Where groups of equal ``by`` begin in a sorted table."""
+    new = np.zeros(max(0, len(part) - 1), bool)
+    for name in by:
+        column = part.column(name).to_numpy()
+        new |= column[1:] != column[:-1]
+    return [0, *(np.flatnonzero(new) + 1).tolist()]
+
+
+@cache
+def _triangle(size: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.triu_indices(size, 1)
+
+
+def _compare(part: pa.Table, cuts: list[int], threshold: Threshold) -> Iterator[pa.RecordBatch]:
+    """The pairs within each group, PAIRS at a time, that their sketches do not rule out."""
+    column = {c: part.column(c).to_numpy() for c in ("i", "j", "mine", "node", "component", "n")}
+    sketches = [np.frombuffer(s, np.uint64) for s in part.column("sketch").to_pylist()]
+    left, right, waiting = [], [], 0
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        if column["i"][a] == column["j"][a]:
+            x, y = _triangle(b - a)
+        else:
+            first = column["mine"][a:b] == column["i"][a]
+            x, y = (g.ravel() for g in np.meshgrid(np.flatnonzero(first), np.flatnonzero(~first)))
+        left.append(x + a)
+        right.append(y + a)
+        waiting += len(x)
+        if waiting >= PAIRS or k == len(cuts) - 2:
+            yield _near(np.concatenate(left), np.concatenate(right), column, sketches, threshold)
+            left, right, waiting = [], [], 0
+
+
+def _near(x: np.ndarray, y: np.ndarray, column: dict, sketches: list[np.ndarray], threshold: Threshold) -> pa.RecordBatch:
+    node, n = column["node"], column["n"]
+    apart = column["component"][x] != column["component"][y]
+    sized = np.minimum(n[x], n[y]) * threshold.den >= np.maximum(n[x], n[y]) * threshold.num
+    x, y = x[apart & sized], y[apart & sized]
+    widths = np.array([len(s) for s in sketches])
+    width, close = np.minimum(widths[x], widths[y]), np.zeros(len(x), bool)
+    for w in np.unique(width).tolist():
+        of_width = np.flatnonzero(width == w)
+        rows = np.unique(np.concatenate([x[of_width], y[of_width]]))
+        bits = np.stack([fold(sketches[r], w) for r in rows.tolist()])
+        step = max(1, (1 << 22) // w)
+        for at in range(0, len(of_width), step):
+            some = of_width[at : at + step]
+            p, q = np.searchsorted(rows, x[some]), np.searchsorted(rows, y[some])
+            away = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1)
+            close[some] = away <= threshold.differ(n[x[some]], n[y[some]])
+    x, y = node[x[close]], node[y[close]]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
 
 def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
@@ -300,9 +329,8 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> D
     placed = stage(placed, "placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     members = hub_join(placed, mixed.select("key"), ["key"], "left_semi")
-    members = hub_join(members, sets.select("node", "n", "sketch").hint("merge"), ["node"], "inner")
-    members = stage(members.select("key", "node", "component", "n", "sketch"), "mixed-buckets")
-    second = verify(stage(_block_pairs(members, threshold), "block-pairs"), sets, threshold)
+    members = stage(members.select("key", "node", "component"), "mixed-buckets")
+    second = verify(stage(_block_pairs(members, sets, threshold), "block-pairs"), sets, threshold)
     return first.unionByName(second)
 
 

@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import hashlib
+import zipfile
+
+import pytest
+from pyarrow import fs
+
+from propgraph.llm import warc
+from propgraph.staging import new_path
+
+BIG = "<p>é</p>" * 30
+ROWS = [
+    (1, "http://a/x", BIG),
+    (2, "http://b/\r\ny {z", BIG),
+    (3, None, "small"),
+    (4, "http://c", "small"),
+    (5, "http://d", None),
+    (6, "http://e", ""),
+    (None, "http://f", BIG),
+    (None, "http://g", BIG + "!"),
+    (1, "http://h", BIG),
+    (7, "http://i", "head\r\n\r\n" + "x" * 3_000_000),
+    (8, "http://j", BIG + "?"),
+    (2, "http://k", BIG + "?"),
+]
+
+
+def pages(spark, rows=ROWS):
+    return spark.createDataFrame([(*r, b"p", "d") for r in rows], "page_id long, url string, html string, payload binary, digest string")
+
+
+def want(rows):
+    out = []
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        same = [p for p, _, h in rows if (h or "") == (html or "") and p is not None]
+        again = len(data) >= 100 and bool(same) and (page_id is None or page_id > min(same))
+        kind = "revisit" if again else "response"
+        out.append((str(page_id), len(data), hashlib.sha256(data).hexdigest(), kind, str(min(same) if again else None)))
+    return sorted(out)
+
+
+def got(df):
+    return sorted(
+        (str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, str(r.refers_to)) for r in df.collect()
+    )
+
+
+def test_round_trip(spark):
+    assert got(warc.round_trip(spark, pages(spark))) == want(ROWS)
+    assert warc.round_trip(spark, pages(spark, [])).count() == 0
+
+
+def test_many_archives_and_ranges(spark):
+    rows = [(i, f"http://x/{i}", f"page {i} " * (i % 40)) for i in range(300)]
+    archives = warc.write_archives(warc.classify(pages(spark, rows)), new_path(spark, "warc"), archive_bytes=2000)
+    assert archives.count() > 10
+    spans = warc.locate(archives, span_bytes=500)
+    assert spans.count() > archives.count()
+    assert got(warc.resolve(warc.read_records(spans))) == want(rows)
+
+
+def archive(folder):
+    made = warc._Archive(str(folder))
+    for i in range(3):
+        payload = f"payload {i}".encode()
+        record = warc._record(i, f"http://{i}", payload, hashlib.sha256(payload).hexdigest(), None)
+        made.add(record, f"http://{i}", hashlib.sha256(payload).hexdigest())
+    return made.close()
+
+
+@pytest.mark.parametrize("limit", [zipfile.ZIP64_LIMIT, 10])
+def test_directory_with_and_without_zip64(tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(zipfile, "ZIP64_LIMIT", limit)
+    path, size, records = archive(tmp_path)
+    with open(path, "rb") as f:
+        data = f.read()
+    assert (len(data), records) == (size, 3)
+    assert (b"PK\x06\x07" in data) == (limit == 10)
+    with warc._open(path) as file:
+        members = warc.read_directory(file)
+    with zipfile.ZipFile(path) as known:
+        assert [m.name for m in members] == known.namelist() == [warc.DATA, warc.INDEX]
+        for m in members:
+            assert (m.method, data[m.start : m.start + m.size]) == (0, known.read(m.name))
+
+
+def test_damaged_files_are_refused(tmp_path):
+    path, *_ = archive(tmp_path)
+    data = open(path, "rb").read()
+    for bad in (b"no zip", data.replace(b"PK\x01\x02", b"PK\x01\x03"), data.replace(b"PK\x03\x04", b"PK\x03\x05")):
+        broken = tmp_path / "broken.zip"
+        broken.write_bytes(bad)
+        with fs.LocalFileSystem().open_input_file(str(broken)) as file, pytest.raises(ValueError):
+            warc.read_directory(file)
+
+
+def test_a_payload_that_differs_from_its_digest_fails(spark):
+    rows = warc.classify(pages(spark, [(1, "u", "text")])).withColumn("digest", warc.F.lit("0" * 64))
+    records = warc.read_records(warc.locate(warc.write_archives(rows, new_path(spark, "warc"))))
+    with pytest.raises(Exception, match="differs from its digest"):
+        warc.resolve(records).collect()

@@ -2,11 +2,14 @@
 
 from propgraph.model import End, Nodes, Pool, PropertyGraph, Rels
 from propgraph.operators.batching import (
+    Batched,
+    append_in_batches,
     batch_edges,
     batch_heatmap,
     group_edges,
     ingest_in_batches,
     ingest_serially,
+    merge_in_batches,
 )
 from propgraph.operators.checks import (
     constraint_report,
@@ -35,11 +38,13 @@ from propgraph.sources.store import read_graph, write_graph
 from propgraph.sources.text import read_edge_list, read_table
 
 __all__ = [
+    "Batched",
     "End",
     "Nodes",
     "Pool",
     "PropertyGraph",
     "Rels",
+    "append_in_batches",
     "append_nodes",
     "append_rels",
     "batch_edges",
@@ -57,6 +62,7 @@ __all__ = [
     "ingest_in_batches",
     "ingest_serially",
     "key_violations",
+    "merge_in_batches",
     "merge_rels",
     "node_set",
     "read_edge_list",

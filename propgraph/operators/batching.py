@@ -8,15 +8,19 @@ blocks as in Gemulla et al., KDD 2011).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from propgraph.functions.columns import batch_of, hash_group, snake_group
 from propgraph.operators.joins import hub_join
 from propgraph.operators.shape import row_key
-from propgraph.staging import stage
+from propgraph.operators.write import Match, match_ends, merge_rels
+from propgraph.staging import stage, staging
 
 
 def _dealt(edges: DataFrame, col: str, n: int, group: str) -> DataFrame:
@@ -42,34 +46,113 @@ def group_edges(df: DataFrame, src: str, dst: str, n: int, balanced: bool = Fals
     return df.select(*columns, "source_group", "target_group")
 
 
-def batch_edges(df: DataFrame, n: int) -> DataFrame:
-    """Add int column ``batch``, 0..n-1, to grouped edges."""
-    return df.withColumn("batch", batch_of("source_group", "target_group", n))
+@dataclass(frozen=True)
+class Batched:
+    """Edges with ``source_group``, ``target_group`` and ``batch``, all of them 0..n-1 or null."""
 
+    df: DataFrame
+    n: int
 
-def batch_heatmap(df: DataFrame) -> DataFrame:
+
+def batch_edges(df: DataFrame, src: str, dst: str, n: int, balanced: bool = False) -> Batched:
+    """Group the edges (see ``group_edges``) and add int column ``batch``; the result carries ``n``."""
+    grouped = group_edges(df, src, dst, n, balanced)
+    return Batched(grouped.withColumn("batch", batch_of("source_group", "target_group", n)), n)
+
+
+def batch_heatmap(batched: Batched) -> DataFrame:
     """Relationships per block. The largest block bounds how well a batch can spread.
 
     A node lies in one group, but its edges spread over all batches, so a hub with a
     share s of the edges fills about s/n of them into each of its blocks.
     """
-    return df.groupBy("batch", "source_group", "target_group").agg(F.count("*").alias("rel_count"))
+    return batched.df.groupBy("batch", "source_group", "target_group").agg(F.count("*").alias("rel_count"))
+
 
+def _checked(batched: Batched) -> DataFrame:
+    """The edges; a task that meets a group or batch out of range fails."""
+    names = ("source_group", "target_group", "batch")
+    fits = reduce(lambda a, b: a & b, [F.coalesce(F.col(c).between(0, batched.n - 1), F.lit(True)) for c in names])
+    place = F.concat_ws(", ", *[F.concat(F.lit(f"{c} "), F.col(c)) for c in names])
+    failed = F.raise_error(F.concat(F.lit(f"not within {batched.n} groups: "), place))
+    return batched.df.withColumn("batch", F.when(fits, F.col("batch")).otherwise(failed.cast("int")))
 
-def ingest_in_batches(df: DataFrame, write_fn: Callable[[DataFrame, int], None], n: int) -> None:
+
+def ingest_in_batches(batched: Batched, write_fn: Callable[[DataFrame, int], None]) -> None:
     """Call ``write_fn(part, b)`` for each batch b in turn; a part has one partition per group.
 
     The batched edges are written once, partitioned by batch, so each batch reads
-    only its own files. The rebalance evens out the file sizes and splits a large
-    batch. Rows with a null node match nothing and are left out.
+    only its own files; the copy is deleted at the end. The rebalance evens out the file
+    sizes and splits a large batch. Rows with a null node match nothing and are left out;
+    a group or batch out of range is an error.
 
     Spark may run a task again, so ``write_fn`` should be idempotent: write to a path
     of its own per batch, or merge instead of append.
     """
-    spread = df.where(F.col("batch").isNotNull()).hint("rebalance", F.col("batch"))
-    staged = stage(spread, "batches", ["batch"]).select(*df.columns)
-    for b in range(n):
-        write_fn(staged.where(F.col("batch") == b).repartitionById(n, F.col("source_group")), b)
+    df, n = batched.df, batched.n
+    spread = _checked(batched).where(F.col("batch").isNotNull()).hint("rebalance", F.col("batch"))
+    with staging(df.sparkSession):
+        staged = stage(spread, "batches", ["batch"]).select(*df.columns)
+        for b in range(n):
+            write_fn(staged.where(F.col("batch") == b).repartitionById(n, F.col("source_group")), b)
+
+
+def append_in_batches(incoming: Batched, path: str, src: Match | None = None, dst: Match | None = None) -> DataFrame:
+    """Create the relationships of ``incoming`` batch by batch below ``path``, which must be new.
+
+    As ``append_rels`` onto nothing. The ends are matched once, before the edges are
+    dealt into batches, so no batch reads the nodes again.
+    """
+    matched = match_ends(incoming.df, src, dst)
+
+    def write_batch(part: DataFrame, b: int) -> None:
+        part.drop("batch").write.mode("overwrite").parquet(f"{path}/batch={b}")
+
+    ingest_in_batches(replace(incoming, df=matched), write_batch)
+    return _written(matched, path)
+
+
+def merge_in_batches(
+    existing: DataFrame,
+    incoming: Batched,
+    src: str,
+    dst: str,
+    identity: Sequence[str],
+    set_cols: Sequence[str],
+    path: str,
+    src_nodes: Match | None = None,
+    dst_nodes: Match | None = None,
+) -> DataFrame:
+    """Merge ``incoming`` into ``existing`` batch by batch below ``path``, which must be new.
+
+    As ``merge_rels``, onto frames that have all columns. ``identity`` holds both ends, so all rows of one identity lie in one
+    batch. The existing relationships are dealt into the same batches by hash, and each
+    batch is merged with its own part only; the ends are matched once. ``incoming`` must be
+    grouped by hash too.
+    """
+    spark, n = existing.sparkSession, incoming.n
+    columns = existing.columns
+    matched = match_ends(incoming.df, src_nodes, dst_nodes, "left_semi")
+    known = batch_edges(existing, src, dst, n).df.withColumn("batch", F.coalesce("batch", F.lit(-1)))
+    with staging(spark):
+        old = stage(known.hint("rebalance", F.col("batch")), "existing", ["batch"])
+
+        def write_batch(part: DataFrame, b: int) -> None:
+            own = old.where(F.col("batch") == b).select(*columns)
+            with staging(spark):
+                merged = merge_rels(own, part, identity, set_cols)
+                merged.write.mode("overwrite").parquet(f"{path}/batch={b}")
+
+        ingest_in_batches(replace(incoming, df=matched), write_batch)
+        # relationships with a null end match nothing and stay as they are
+        old.where("batch = -1").select(*columns).write.mode("overwrite").parquet(f"{path}/batch=-1")
+    return spark.read.schema(existing.schema).parquet(path).select(*columns)
+
+
+def _written(like: DataFrame, path: str) -> DataFrame:
+    spark = like.sparkSession
+    schema = StructType([f for f in like.schema if f.name != "batch"])
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def ingest_serially(df: DataFrame, write_fn: Callable[[DataFrame, int], None], slices: int | None = None) -> None:
@@ -81,7 +164,8 @@ def ingest_serially(df: DataFrame, write_fn: Callable[[DataFrame, int], None], s
     """
     n = slices or df.sparkSession.sparkContext.defaultParallelism
     sliced = df.repartition(n).withColumn("_slice", F.spark_partition_id())
-    staged = stage(sliced, "slices", ["_slice"])
-    for i in range(n):
-        # nothing but a file scan lies below the coalesce
-        write_fn(staged.where(F.col("_slice") == i).select(*df.columns).coalesce(1), i)
+    with staging(df.sparkSession):
+        staged = stage(sliced, "slices", ["_slice"])
+        for i in range(n):
+            # nothing but a file scan lies below the coalesce
+            write_fn(staged.where(F.col("_slice") == i).select(*df.columns).coalesce(1), i)

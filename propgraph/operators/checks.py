@@ -36,6 +36,8 @@ def constraint_report(graph: PropertyGraph, constraints: Sequence[tuple[str, str
         if kind not in KINDS:
             raise ValueError(f"kind must be one of {KINDS}, not {kind!r}")
         checks.setdefault((label, prop), []).append(kind)
+    if not checks:
+        raise ValueError("no constraint is declared")
     rows = []
     for (label, prop), kinds in checks.items():
         counted = graph.nodes[label].df.groupBy(prop).agg(F.count("*").alias("n"))

@@ -1,21 +1,33 @@
-"""Questions asked of the graph: scans, counts and top-k degrees."""
+"""Questions asked of the graph: scans, counts and top-k degrees.
+
+One rule for all: a relationship with a null end is none, so it is neither counted nor
+ranked nor scanned. Scans also drop relationships whose ends are not among the nodes,
+whatever properties are asked for; counts take the ends to exist.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.model import End, PropertyGraph
+from propgraph.functions.columns import all_set
+from propgraph.model import End, PropertyGraph, Rels
 from propgraph.operators.joins import hub_join
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    if not frames:
+        raise ValueError("the graph has neither nodes nor relationships")
     return reduce(DataFrame.unionByName, frames)
 
 
+def _has_ends(rels: Rels) -> Column:
+    return all_set([*rels.source.cols, *rels.target.cols])
+
+
 def scan_nodes(graph: PropertyGraph, label: str, props: Sequence[str] | None = None) -> DataFrame:
     """The nodes of one label: keys, then ``props`` (default: all properties)."""
     nodes = graph.nodes[label]
@@ -28,17 +40,18 @@ def scan_rels(
     rel_type: str,
     source_props: Sequence[str] | None = None,
     target_props: Sequence[str] | None = None,
+    ends_exist: bool = False,
 ) -> DataFrame:
     """The relationships of one type with properties of both ends.
 
     Columns: ``source_<prop>``, ``target_<prop>`` (default: keys and all
-    properties), then the relationship's own properties. An end of which only keys
-    are asked for needs no join: the relationship row carries them, and the graph
-    holds no relationship without its ends.
+    properties), then the relationship's own properties. An end of which only keys are
+    asked for is looked up as well, unless ``ends_exist`` says that each relationship has
+    both of its nodes; then the relationship row itself carries the keys.
     """
     rels = graph.rels[rel_type]
     own = [c for c in rels.df.columns if c not in {*rels.source.cols, *rels.target.cols}]
-    df, out = rels.df, []
+    df, out = rels.df.where(_has_ends(rels)), []
     for side, end, props in (("source", rels.source, source_props), ("target", rels.target, target_props)):
         by_key = {key: col for col, key in end.cols.items()}
         nodes = graph.nodes[end.label].df
@@ -48,6 +61,9 @@ def scan_rels(
             node_cols = [F.col(key).alias(col) for key, col in by_key.items()]
             wanted = nodes.select(*node_cols, *[F.col(p).alias(f"_{side}_{p}") for p in extra])
             df = hub_join(df, wanted, list(end.cols), "inner")
+        elif not ends_exist:
+            keys = nodes.select(*[F.col(key).alias(col) for key, col in by_key.items()])
+            df = hub_join(df, keys, list(end.cols), "left_semi")
         out += [F.col(by_key.get(p, f"_{side}_{p}")).alias(f"{side}_{p}") for p in props]
     return df.select(*out, *own)
 
@@ -67,7 +83,7 @@ def count_rels(graph: PropertyGraph, directed: bool = True) -> DataFrame:
     counts = [nodes.df.where(F.lit(False)).agg(F.count("*").alias("n")) for nodes in list(graph.nodes.values())[:1]]
     for df, rels, _, _ in graph.rel_reads():
         ways = F.lit(1) if directed else F.when(rels.is_loop(), 1).otherwise(2)
-        counts.append(df.agg(F.coalesce(F.sum(ways), F.lit(0)).alias("n")))
+        counts.append(df.where(_has_ends(rels)).agg(F.coalesce(F.sum(ways), F.lit(0)).alias("n")))
     return _union(counts).agg(F.sum("n").alias("rel_count"))
 
 
@@ -77,7 +93,8 @@ def graph_summary(graph: PropertyGraph) -> DataFrame:
         nodes.df.agg(F.count("*").alias("n")).select(F.lit("node").alias("kind"), F.lit(label).alias("name"), "n")
         for label, nodes in graph.nodes.items()
     ]
-    for df, _, types, type_col in graph.rel_reads():
+    for df, rels, types, type_col in graph.rel_reads():
+        df = df.where(_has_ends(rels))
         tests = [F.lit(True) if type_col is None else F.col(type_col) == t for t in types]
         counts = df.agg(*[F.count_if(test).alias(f"_{i}") for i, test in enumerate(tests)])
         pairs = [F.struct(F.lit(t).alias("name"), F.col(f"_{i}").alias("n")) for i, t in enumerate(types)]
@@ -110,6 +127,7 @@ def degree_top_k(
         frames.append(df.select(*[F.col(by_key[key]).alias(key) for key in nodes.keys]))
 
     for df, rels, _, _ in graph.rel_reads(types):
+        df = df.where(_has_ends(rels))
         ends = (rels.source.label, rels.target.label)
         if ends == (label, other):
             take(df, rels.source)

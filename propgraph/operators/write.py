@@ -16,12 +16,16 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
 from propgraph.functions.columns import all_set
 from propgraph.model import PropertyGraph
 from propgraph.operators.joins import fresh, hub_join
 from propgraph.staging import stage
 
+# of these a maximum is a hash aggregate
+FIXED_WIDTH = (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType)
+
 Match = tuple[DataFrame, Mapping[str, str]]
 
 
@@ -41,10 +45,25 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     if len(ranked) == 1:
         # a bare maximum, unlike that of a struct, is a hash aggregate
         return df.groupBy(*keys).agg(F.max(ranked[0]).alias(ranked[0]))
+    if len(ranked) == 2 and all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in ranked):
+        return _greatest_pair(df, keys, *ranked).select(*keys, *values)
     best = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_best"))
     return best.select(*keys, *[F.col("_best")[c].alias(c) for c in values])
 
 
+def _greatest_pair(df: DataFrame, keys: list[str], first: str, second: str) -> DataFrame:
+    """The greatest (first, second) per key by hash aggregates; null is below every value.
+
+    The copies of a pair are combined before either shuffle.
+    """
+    pairs = df.groupBy(*keys, first).agg(F.max(second).alias(second))
+    top = F.max(first)
+    of_null = F.max(F.when(F.col(first).isNull(), F.col(second)))
+    return pairs.groupBy(*keys).agg(
+        top.alias(first), F.when(top.isNull(), of_null).otherwise(F.max_by(second, first)).alias(second)
+    )
+
+
 def _upsert(existing: DataFrame, winners: DataFrame, keys: Sequence[str], bulk: bool = False) -> DataFrame:
     """Lay ``winners`` (one row per key, no null keys) over ``existing``.
 

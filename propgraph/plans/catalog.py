@@ -17,7 +17,10 @@ from propgraph.staging import new_path, stage
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-N_GROUPS = 5
+N_GROUPS = 64
+# Batches run one after another; at this scale of data so many are enough
+INGEST_GROUPS = 16
+HEAD = 5000
 # 1998-01-01 in epoch seconds: ratings before it count as loaded earlier
 LATER_LOAD = 883612800
 
@@ -74,7 +77,9 @@ def flights(spark, sf_dir):
 
 @query
 def flights_head(spark, sf_dir):
-    return tables.flights(spark, sf_dir).where(F.col("key") < 5000)
+    """The first rows by key: they are found first, then numbered."""
+    first = shape.head(tables.flight_rows(spark, sf_dir), tables.FLIGHT_ORDER, HEAD)
+    return shape.row_key(first, tables.FLIGHT_ORDER, keep=tables.FLIGHT_COLS)
 
 
 @query
@@ -88,6 +93,12 @@ def flights_from(spark, sf_dir):
     return shape.rename(keyed, {"origin_airport": "target_name", "key": "source_key"})
 
 
+@query
+def flights_to(spark, sf_dir):
+    keyed = tables.flights(spark, sf_dir, ["destination_airport"])
+    return shape.rename(keyed, {"destination_airport": "target_name", "key": "source_key"})
+
+
 @query
 def flights_from_x3(spark, sf_dir):
     return shape.copies(flights_from(spark, sf_dir), 3)
@@ -112,7 +123,7 @@ def rel_scan(spark, sf_dir):
 
 @query
 def graph_summary(spark, sf_dir):
-    return match.graph_summary(tables.natural_flight_graph(spark, sf_dir))
+    return match.graph_summary(tables.natural_flight_graph(spark, sf_dir, staged=True))
 
 
 @query
@@ -120,12 +131,21 @@ def stored_graph_summary(spark, sf_dir):
     path = new_path(spark, "graph")
     graph = tables.flight_graph(tables.flights(spark, sf_dir), ["key"])
     store.write_graph(graph, path)
-    return match.graph_summary(store.read_graph(spark, path, graph))
+    return match.graph_summary(store.read_graph(spark, path))
+
+
+@query
+def stored_rel_scan(spark, sf_dir):
+    """A graph opened from its folder alone, by label and type name."""
+    path = new_path(spark, "graph")
+    keyed = tables.flights(spark, sf_dir, ["airline", "origin_airport", "destination_airport"])
+    store.write_graph(tables.flight_graph(keyed, ["key"]), path)
+    return match.scan_rels(store.read_graph(spark, path), "TO", ["key", "airline"], ["name"])
 
 
 @query
 def node_count(spark, sf_dir):
-    return match.count_nodes(tables.natural_flight_graph(spark, sf_dir))
+    return match.count_nodes(tables.natural_flight_graph(spark, sf_dir, staged=True))
 
 
 @query
@@ -169,23 +189,26 @@ def airport_top10_to(spark, sf_dir):
 
 @query
 def node_upsert(spark, sf_dir):
-    """Customers in credit meet customers with an urgent order; some are in one frame only."""
-    customers = tables.table(spark, sf_dir, "customer").where("c_acctbal >= 0")
-    existing = customers.select(
-        F.col("c_custkey").alias("source_id"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment")
+    """Customers in credit meet those in debt and all who ordered; some are in one frame only."""
+    customers = tables.table(spark, sf_dir, "customer")
+    balance = F.col("c_acctbal").alias("balance")
+    existing = customers.where("c_acctbal >= 0").select(
+        F.col("c_custkey").alias("source_id"), balance, F.col("c_mktsegment").alias("segment")
     )
-    urgent = tables.table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
-    # the balance is unknown where all urgent orders are filled: an incoming null
+    # the balance is unknown where all orders are filled: an incoming null
     unfilled = F.count_if(F.col("o_orderstatus") != "F") > 0
-    incoming = urgent.groupBy(F.col("o_custkey").alias("source_id")).agg(
-        F.when(unfilled, F.max("o_totalprice")).alias("balance")
+    ordered = (
+        tables.table(spark, sf_dir, "orders")
+        .groupBy(F.col("o_custkey").alias("source_id"))
+        .agg(F.when(unfilled, F.max("o_totalprice")).alias("balance"))
     )
-    return write.upsert_nodes(existing, incoming, ["source_id"])
+    in_debt = customers.where("c_acctbal < 0").select(F.col("c_custkey").alias("source_id"), balance)
+    return write.upsert_nodes(existing, ordered.unionByName(in_debt), ["source_id"])
 
 
 @query
 def node_append(spark, sf_dir):
-    names = airports(spark, sf_dir)
+    names = stage(airports(spark, sf_dir), "airports")
     return write.append_nodes(names, names)
 
 
@@ -202,19 +225,43 @@ def _rating_graph(spark, sf_dir, existing: DataFrame) -> PropertyGraph:
 
 @query
 def endpoint_upsert(spark, sf_dir):
+    """Ends of all ratings, and of customers in debt that have rated nothing: those come with a null target."""
     edges = tables.ratings(spark, sf_dir)
+    in_debt = tables.table(spark, sf_dir, "customer").where("c_acctbal < 0")
+    unrated = in_debt.select(F.col("c_custkey").alias("source_id"))
     graph = _rating_graph(spark, sf_dir, edges.where(F.lit(False)))
-    return write.upsert_endpoints(graph, "RELATES_TO", edges).nodes["Source"].df
+    incoming = edges.unionByName(unrated, allowMissingColumns=True)
+    return write.upsert_endpoints(graph, "RELATES_TO", incoming).nodes["Source"].df
 
 
-@query
-def rel_upsert(spark, sf_dir):
+def _two_loads(spark, sf_dir) -> PropertyGraph:
     """An earlier and a later load, merged one after the other on the pair of ends."""
-    edges = tables.ratings(spark, sf_dir).select(*IDENTITY, "rating")
+    edges = stage(tables.ratings(spark, sf_dir).select(*IDENTITY, "rating"), "ratings")
     graph = _rating_graph(spark, sf_dir, edges.where(F.lit(False)))
     for load in (F.col("timestamp") < LATER_LOAD, F.col("timestamp") >= LATER_LOAD):
         graph = write.upsert_rels(graph, "RELATES_TO", edges.where(load), ["timestamp", "rating"])
-    return graph.rels["RELATES_TO"].df
+    return graph
+
+
+@query
+def rel_upsert(spark, sf_dir):
+    return _two_loads(spark, sf_dir).rels["RELATES_TO"].df
+
+
+@query
+def rel_upsert_with_ends(spark, sf_dir):
+    """Relationships and both node sets after the two loads, in one frame."""
+    graph = _two_loads(spark, sf_dir)
+    rels = graph.rels["RELATES_TO"].df.withColumn("kind", F.lit("rel"))
+    source = graph.nodes["Source"].df.select(F.lit("Source").alias("kind"), "source_id")
+    target = graph.nodes["Target"].df.select(F.lit("Target").alias("kind"), "target_id")
+    return rels.unionByName(source, allowMissingColumns=True).unionByName(target, allowMissingColumns=True)
+
+
+def _loaded_airports(spark, sf_dir) -> DataFrame:
+    """All nations; those of one region without a name yet, so no relationship finds them."""
+    nations = tables.nation_regions(spark, sf_dir)
+    return nations.select(F.when(F.col("region") != "AFRICA", F.col("name")).alias("name"))
 
 
 @query
@@ -222,46 +269,62 @@ def rel_append_match(spark, sf_dir):
     """Three FROM per flight, to airports outside one region only; the others are not loaded."""
     keyed = tables.flights(spark, sf_dir, ["origin_airport"])
     incoming = shape.copies(shape.rename(keyed, {"key": "source_key", "origin_airport": "target_name"}), 3)
-    loaded = tables.nation_regions(spark, sf_dir).where("region <> 'AFRICA'")
     return write.append_rels(
         incoming.where(F.lit(False)),
         incoming,
         src=(keyed, {"source_key": "key"}),
-        dst=(loaded, {"target_name": "name"}),
+        dst=(_loaded_airports(spark, sf_dir), {"target_name": "name"}),
+    )
+
+
+@query
+def rel_append_match_int(spark, sf_dir):
+    """32-bit ids in the relationships, 64-bit keys in the nodes."""
+    narrow = {c: F.col(c).cast("int") for c in ("source_id", "target_id")}
+    edges = tables.ratings(spark, sf_dir).withColumns(narrow)
+    parts = tables.table(spark, sf_dir, "part")
+    return write.append_rels(
+        edges.where(F.lit(False)),
+        edges,
+        src=(tables.table(spark, sf_dir, "customer"), {"source_id": "c_custkey"}),
+        dst=(parts.select(F.when(F.col("p_size") <= 25, F.col("p_partkey")).alias("p_partkey")), {"target_id": "p_partkey"}),
     )
 
 
 @query
 def rel_merge_bare(spark, sf_dir):
-    """The same three FROM per flight merged by their ends alone, with nothing to set."""
-    incoming = flights_from_x3(spark, sf_dir)
-    return write.merge_rels(incoming.where(F.lit(False)), incoming, ["source_key", "target_name"])
+    """Three FROM per flight merged by their ends alone with the TO of all flights, with nothing to set."""
+    keyed = tables.flights(spark, sf_dir, ["origin_airport", "destination_airport"])
+    existing = shape.rename(keyed, {"destination_airport": "target_name", "key": "source_key"})
+    incoming = shape.copies(shape.rename(keyed, {"origin_airport": "target_name", "key": "source_key"}), 3)
+    return write.merge_rels(existing, incoming, ["source_key", "target_name"])
+
+
+def _earlier_ratings(edges: DataFrame) -> DataFrame:
+    earlier = edges.where(F.col("timestamp") < LATER_LOAD).select(*IDENTITY).distinct()
+    return stage(earlier.withColumn("rating", F.lit(0).cast("float")), "earlier")
+
+
+def _rating_ends(spark, sf_dir) -> tuple[write.Match, write.Match]:
+    """All customers, and all parts; larger parts without a key yet, so no rating finds them."""
+    parts = tables.table(spark, sf_dir, "part")
+    keyed = parts.select(F.when(F.col("p_size") <= 25, F.col("p_partkey")).alias("p_partkey"))
+    return (tables.table(spark, sf_dir, "customer"), {"source_id": "c_custkey"}), (keyed, {"target_id": "p_partkey"})
 
 
 @query
 def rel_merge_keyed(spark, sf_dir):
     """Ratings of smaller parts are set on relationships loaded earlier without one."""
     edges = tables.ratings(spark, sf_dir)
-    earlier = edges.where(F.col("timestamp") < LATER_LOAD).select(*IDENTITY).distinct()
-    existing = stage(earlier.withColumn("rating", F.lit(0).cast("float")), "earlier")
-    customers = tables.table(spark, sf_dir, "customer")
-    parts = tables.table(spark, sf_dir, "part").where("p_size <= 25")
-    return write.merge_rels(
-        existing,
-        edges,
-        IDENTITY,
-        ["rating"],
-        src=(customers, {"source_id": "c_custkey"}),
-        dst=(parts, {"target_id": "p_partkey"}),
-    )
+    src, dst = _rating_ends(spark, sf_dir)
+    return write.merge_rels(_earlier_ratings(edges), edges, IDENTITY, ["rating"], src=src, dst=dst)
 
 
 # Batches
 
 
-def _batched(spark, sf_dir) -> DataFrame:
-    grouped = batching.group_edges(tables.ratings(spark, sf_dir), "source_id", "target_id", N_GROUPS)
-    return batching.batch_edges(grouped, N_GROUPS)
+def _batched(spark, sf_dir, n: int = N_GROUPS) -> batching.Batched:
+    return batching.batch_edges(tables.ratings(spark, sf_dir), "source_id", "target_id", n)
 
 
 @query
@@ -277,7 +340,7 @@ def edge_groups_balanced(spark, sf_dir):
 
 @query
 def edge_batches(spark, sf_dir):
-    return _batched(spark, sf_dir)
+    return _batched(spark, sf_dir).df
 
 
 @query
@@ -288,56 +351,65 @@ def batch_heatmap(spark, sf_dir):
 @query
 def ingest_union(spark, sf_dir):
     path = new_path(spark, "ingested")
-    edges = _batched(spark, sf_dir)
+    edges = _batched(spark, sf_dir, INGEST_GROUPS)
 
     def write_batch(part, b):
         part.drop("batch").write.mode("overwrite").parquet(f"{path}/batch={b}")
 
-    batching.ingest_in_batches(edges, write_batch, N_GROUPS)
-    loaded = spark.read.schema(edges.schema).parquet(path)
+    batching.ingest_in_batches(edges, write_batch)
+    loaded = spark.read.schema(edges.df.schema).parquet(path)
     return loaded.groupBy("batch").agg(F.count("*").alias("rel_count"))
 
 
 @query
-def serial_ingest(spark, sf_dir):
-    path = new_path(spark, "ingested")
-    edges = tables.ratings(spark, sf_dir)
+def ingest_merge_keyed(spark, sf_dir):
+    """The merge of ``rel_merge_keyed``, batch by batch."""
+    edges = stage(tables.ratings(spark, sf_dir), "ratings")
+    src, dst = _rating_ends(spark, sf_dir)
+    batched = batching.batch_edges(edges, "source_id", "target_id", INGEST_GROUPS)
+    return batching.merge_in_batches(
+        _earlier_ratings(edges), batched, "source_id", "target_id", IDENTITY, ["rating"], new_path(spark, "merged"), src, dst
+    )
 
-    def write_slice(part, i):
-        part.write.mode("overwrite").parquet(f"{path}/slice={i}")
 
-    batching.ingest_serially(edges, write_slice)
-    return spark.read.schema(edges.schema).parquet(path).select(*edges.columns)
+@query
+def ingest_append_match(spark, sf_dir):
+    """The creates of ``rel_append_match``, batch by batch: string targets, few and hot, three copies of each edge."""
+    keyed = tables.flights(spark, sf_dir, ["origin_airport"])
+    edges = shape.copies(shape.rename(keyed, {"key": "source_key", "origin_airport": "target_name"}), 3)
+    batched = batching.batch_edges(edges, "source_key", "target_name", INGEST_GROUPS)
+    src, dst = (keyed, {"source_key": "key"}), (_loaded_airports(spark, sf_dir), {"target_name": "name"})
+    loaded = batching.append_in_batches(batched, new_path(spark, "created"), src, dst)
+    return loaded.select("source_key", "target_name")
 
 
 # Checks and deletes
 
 
-def _loaded_twice(spark, sf_dir) -> DataFrame:
-    """The airports, and some of the nations appended once more; a few of those without a name."""
-    again = tables.nation_regions(spark, sf_dir).where("region IN ('ASIA', 'EUROPE')")
-    named = again.select(F.when(F.col("region") == "ASIA", F.col("name")).alias("name"))
-    return write.append_nodes(airports(spark, sf_dir), named)
+def _loaded_twice(spark, sf_dir, names: DataFrame) -> DataFrame:
+    """The airports, and all nations appended once more: under the same name, without one, or under another."""
+    again = tables.nation_regions(spark, sf_dir)
+    other = F.when(F.col("region") != "EUROPE", F.concat(F.lit("NEW "), F.col("name")))
+    named = again.select(F.when(F.col("region") == "ASIA", F.col("name")).otherwise(other).alias("name"))
+    return write.append_nodes(names, named)
 
 
 @query
 def unique_violations(spark, sf_dir):
-    return checks.unique_violations(_loaded_twice(spark, sf_dir), "name")
+    return checks.unique_violations(_loaded_twice(spark, sf_dir, airports(spark, sf_dir)), "name")
 
 
 @query
 def key_violations(spark, sf_dir):
-    return checks.key_violations(_loaded_twice(spark, sf_dir), "name")
+    return checks.key_violations(_loaded_twice(spark, sf_dir, airports(spark, sf_dir)), "name")
 
 
 @query
 def constraint_report(spark, sf_dir):
-    graph = PropertyGraph(
-        {
-            "Airports": Nodes(_loaded_twice(spark, sf_dir), ("name",)),
-            "Flights": Nodes(tables.flights(spark, sf_dir, []), ("key",)),
-        }
-    )
+    ends = ["origin_airport", "destination_airport"]
+    keyed = tables.flights(spark, sf_dir, ends)
+    twice = _loaded_twice(spark, sf_dir, shape.node_set(keyed, ends, "name"))
+    graph = PropertyGraph({"Airports": Nodes(twice, ("name",)), "Flights": Nodes(keyed, ("key",))})
     declared = [("Airports", "name", "unique"), ("Airports", "name", "key"), ("Flights", "key", "unique")]
     return checks.constraint_report(graph, declared)
 
@@ -367,3 +439,10 @@ def plain_delete(spark, sf_dir):
     graph = tables.natural_flight_graph(spark, sf_dir).with_nodes("Airports", nodes)
     bare = delete.delete_rels(graph)
     return match.graph_summary(delete.delete_nodes(bare, "Airports", F.col("region") == "AFRICA"))
+
+
+@query
+def delete_everything(spark, sf_dir):
+    """All nodes go, and all relationships with them."""
+    graph = tables.natural_flight_graph(spark, sf_dir)
+    return match.graph_summary(delete.delete_nodes(graph, detach=True))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from propgraph.plans.catalog import LATER_LOAD, N_GROUPS
+from propgraph.plans.catalog import HEAD, INGEST_GROUPS, LATER_LOAD, N_GROUPS
 
 RATINGS = """ratings AS (
   SELECT o_custkey AS source_id, l_partkey AS target_id, CAST(l_quantity AS FLOAT) AS rating,
@@ -28,18 +28,21 @@ edges AS (
 regions AS (SELECT n_name AS name, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
 
-def _group(col: str) -> str:
-    return f"CAST(('0x' || substr(md5(CAST({col} AS VARCHAR)), 1, 8))::BIGINT % {N_GROUPS} AS INTEGER)"
+def _group(col: str, n: int) -> str:
+    return f"CAST(('0x' || substr(md5(CAST({col} AS VARCHAR)), 1, 8))::BIGINT % {n} AS INTEGER)"
 
 
-GROUPS = f"""grouped AS (
-  SELECT *, {_group("source_id")} AS source_group, {_group("target_id")} AS target_group FROM ratings),
-batched AS (
-  SELECT *, CAST((target_group - source_group + {N_GROUPS}) % {N_GROUPS} AS INTEGER) AS batch FROM grouped)"""
+def _groups(n: int) -> str:
+    return f"""grouped AS (
+  SELECT *, {_group("source_id", n)} AS source_group, {_group("target_id", n)} AS target_group FROM ratings),
+batched AS (SELECT *, CAST((target_group - source_group + {n}) % {n} AS INTEGER) AS batch FROM grouped)"""
+
+
+GROUPS = _groups(N_GROUPS)
 
 TWICE = """twice AS (
   SELECT name FROM airports
-  UNION ALL SELECT CASE WHEN region = 'ASIA' THEN name END FROM regions WHERE region IN ('ASIA', 'EUROPE'))"""
+  UNION ALL SELECT CASE WHEN region = 'ASIA' THEN name WHEN region <> 'EUROPE' THEN 'NEW ' || name END FROM regions)"""
 
 
 def _snake(rank: str) -> str:
@@ -67,9 +70,10 @@ SELECT year, month, day, airline, flight_number, origin_airport, destination_air
     "targets": f"WITH {RATINGS} SELECT DISTINCT target_id FROM ratings",
     "sources_head": f"WITH {RATINGS} SELECT DISTINCT source_id FROM ratings ORDER BY source_id LIMIT 5",
     "flights": f"WITH {FLIGHTS} SELECT * FROM flights",
-    "flights_head": f"WITH {FLIGHTS} SELECT * FROM flights WHERE key < 5000",
+    "flights_head": f"WITH {FLIGHTS} SELECT * FROM flights WHERE key < {HEAD}",
     "airports": f"WITH {FLIGHTS} SELECT name FROM airports",
     "flights_from": f"WITH {FLIGHTS} SELECT origin_airport AS target_name, key AS source_key FROM flights",
+    "flights_to": f"WITH {FLIGHTS} SELECT destination_airport AS target_name, key AS source_key FROM flights",
     "flights_from_x3": f"""WITH {FLIGHTS}
 SELECT origin_airport AS target_name, key AS source_key FROM flights, range(3)""",
     "node_scan": f"WITH {FLIGHTS} SELECT key, airline, flight_number FROM flights",
@@ -79,6 +83,8 @@ FROM edges e JOIN flights f ON e.source_key = f.key JOIN airports a ON e.target_
 WHERE e.type = 'FROM'""",
     "graph_summary": SUMMARY,
     "stored_graph_summary": SUMMARY,
+    "stored_rel_scan": f"""WITH {FLIGHTS}
+SELECT key AS source_key, airline AS source_airline, destination_airport AS target_name FROM flights""",
     "node_count": f"""WITH {FLIGHTS}
 SELECT (SELECT count(*) FROM flights) + (SELECT count(*) FROM airports) AS node_count""",
     "rel_count": f"WITH {FLIGHTS} SELECT count(*) AS rel_count FROM edges",
@@ -90,9 +96,11 @@ FROM flights""",
     "airport_top10_to": _top10("flight_end_count", "'TO'"),
     "node_upsert": """WITH e AS (
   SELECT c_custkey AS source_id, c_acctbal AS balance, c_mktsegment AS segment FROM customer WHERE c_acctbal >= 0),
-i AS (
+o AS (
   SELECT o_custkey AS source_id, CASE WHEN bool_or(o_orderstatus <> 'F') THEN max(o_totalprice) END AS balance
-  FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey)
+  FROM orders GROUP BY o_custkey
+  UNION ALL SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0),
+i AS (SELECT source_id, max(balance) AS balance FROM o GROUP BY source_id)
 SELECT coalesce(e.source_id, i.source_id) AS source_id,
   CASE WHEN i.source_id IS NOT NULL THEN i.balance ELSE e.balance END AS balance, segment
 FROM e FULL JOIN i ON e.source_id = i.source_id""",
@@ -100,16 +108,27 @@ FROM e FULL JOIN i ON e.source_id = i.source_id""",
     "endpoint_upsert": f"""WITH {RATINGS},
 known AS (SELECT c_custkey AS source_id, c_acctbal AS balance FROM customer WHERE c_acctbal >= 0)
 SELECT source_id, balance FROM known
-UNION ALL SELECT DISTINCT source_id, CAST(NULL AS DOUBLE) FROM ratings
+UNION ALL SELECT DISTINCT source_id, CAST(NULL AS DOUBLE)
+FROM (SELECT source_id FROM ratings UNION ALL SELECT c_custkey FROM customer WHERE c_acctbal < 0)
 WHERE source_id NOT IN (SELECT source_id FROM known)""",
     "rel_upsert": f"""WITH {RATINGS}
 SELECT source_id, target_id, "timestamp", rating FROM ratings
 QUALIFY row_number() OVER (PARTITION BY source_id, target_id ORDER BY "timestamp" DESC, rating DESC) = 1""",
+    "rel_upsert_with_ends": f"""WITH {RATINGS},
+rels AS (SELECT * FROM ratings
+  QUALIFY row_number() OVER (PARTITION BY source_id, target_id ORDER BY "timestamp" DESC, rating DESC) = 1)
+SELECT source_id, target_id, "timestamp", rating, 'rel' AS kind FROM rels
+UNION ALL SELECT source_id, NULL, NULL, NULL, 'Source'
+FROM (SELECT source_id FROM ratings UNION SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
+UNION ALL SELECT NULL, p_partkey, NULL, NULL, 'Target' FROM part""",
+    "rel_append_match_int": f"""WITH {RATINGS}
+SELECT CAST(source_id AS INTEGER) AS source_id, CAST(target_id AS INTEGER) AS target_id, rating, "timestamp"
+FROM ratings JOIN part ON target_id = p_partkey WHERE p_size <= 25""",
     "rel_append_match": f"""WITH {FLIGHTS}
 SELECT key AS source_key, origin_airport AS target_name
 FROM flights JOIN regions ON origin_airport = name, range(3) WHERE region <> 'AFRICA'""",
     "rel_merge_bare": f"""WITH {FLIGHTS}
-SELECT DISTINCT key AS source_key, origin_airport AS target_name FROM flights, range(3)""",
+SELECT DISTINCT source_key, target_name FROM edges""",
     "rel_merge_keyed": f"""WITH {RATINGS},
 e AS (
   SELECT DISTINCT source_id, target_id, "timestamp", CAST(0 AS FLOAT) AS rating
@@ -129,8 +148,7 @@ FROM ratings JOIN s USING (source_id) JOIN t USING (target_id)""",
     "edge_batches": f"WITH {RATINGS}, {GROUPS} SELECT * FROM batched",
     "batch_heatmap": f"""WITH {RATINGS}, {GROUPS}
 SELECT batch, source_group, target_group, count(*) AS rel_count FROM batched GROUP BY ALL""",
-    "ingest_union": f"WITH {RATINGS}, {GROUPS} SELECT batch, count(*) AS rel_count FROM batched GROUP BY batch",
-    "serial_ingest": f"WITH {RATINGS} SELECT * FROM ratings",
+    "ingest_union": f"WITH {RATINGS}, {_groups(INGEST_GROUPS)} SELECT batch, count(*) AS rel_count FROM batched GROUP BY batch",
     "unique_violations": f"""WITH {FLIGHTS}, {TWICE}
 SELECT name, count(*) AS n_nodes FROM twice WHERE name IS NOT NULL GROUP BY name HAVING count(*) > 1""",
     "key_violations": f"""WITH {FLIGHTS}, {TWICE}
@@ -151,4 +169,8 @@ WHERE target_name NOT IN (SELECT name FROM regions WHERE region = 'AFRICA') GROU
 SELECT 'node' AS kind, 'Airports' AS name, count(*) AS n FROM regions WHERE region <> 'AFRICA'
 UNION ALL SELECT 'node', 'Flights', count(*) FROM flights
 UNION ALL SELECT DISTINCT 'rel', type, 0 FROM edges""",
+    "delete_everything": """SELECT unnest(['node', 'node', 'rel', 'rel']) AS kind,
+  unnest(['Airports', 'Flights', 'FROM', 'TO']) AS name, CAST(0 AS BIGINT) AS n""",
 }
+ORACLE["ingest_merge_keyed"] = ORACLE["rel_merge_keyed"]
+ORACLE["ingest_append_match"] = ORACLE["rel_append_match"]

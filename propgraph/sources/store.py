@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from propgraph.model import Pool, PropertyGraph
+from propgraph.model import End, Nodes, Pool, PropertyGraph, Rels
 
 
 def _pools(graph: PropertyGraph) -> dict[int, tuple[str, list[str]]]:
@@ -19,7 +20,7 @@ def _pools(graph: PropertyGraph) -> dict[int, tuple[str, list[str]]]:
 
 
 def write_graph(graph: PropertyGraph, path: str) -> None:
-    """Write all frames below ``path``, which must be new. Pools are partitioned by type."""
+    """Write all frames and what tells them apart below ``path``, which must be new. Pools are partitioned by type."""
     for label, nodes in graph.nodes.items():
         nodes.df.write.parquet(f"{path}/nodes/{label}")
     for name, rels in graph.rels.items():
@@ -29,25 +30,59 @@ def write_graph(graph: PropertyGraph, path: str) -> None:
         pool = graph.rels[types[0]].pool
         kept = pool.df.where(pool.df[pool.type_col].isin(types))
         kept.write.partitionBy(pool.type_col).parquet(f"{path}/rels/{folder}")
+    # last, so a graph that was not written to its end cannot be opened
+    spark = next(iter([*graph.nodes.values(), *graph.rels.values()])).df.sparkSession
+    spark.createDataFrame([(_describe(graph),)], "value string").coalesce(1).write.text(f"{path}/about")
 
 
-def read_graph(spark: SparkSession, path: str, like: PropertyGraph) -> PropertyGraph:
-    """The graph below ``path`` with the labels, types, keys and schemas of ``like``."""
+def _describe(graph: PropertyGraph) -> str:
+    """Keys, ends, identities, pools and schemas as JSON."""
+    folders = {t: folder for folder, types in _pools(graph).values() for t in types}
 
-    def load(folder, df):
-        return spark.read.schema(df.schema).parquet(f"{path}/{folder}").select(*df.columns)
+    def end(e: End) -> dict:
+        return {"label": e.label, "cols": dict(e.cols)}
 
-    graph = like
-    for label, nodes in like.nodes.items():
-        graph = graph.with_nodes(label, replace(nodes, df=load(f"nodes/{label}", nodes.df)))
-    for name, rels in like.rels.items():
-        if rels.pool is None:
-            graph = graph.with_rels(name, rels.with_df(load(f"rels/{name}", rels.df)))
-    for folder, types in _pools(like).values():
-        old = like.rels[types[0]].pool
-        pool = Pool(load(f"rels/{folder}", old.df), old.type_col)
-        for name in types:
+    return json.dumps(
+        {
+            "nodes": {n: {"keys": nodes.keys, "schema": nodes.df.schema.jsonValue()} for n, nodes in graph.nodes.items()},
+            "rels": {
+                n: {
+                    "source": end(r.source),
+                    "target": end(r.target),
+                    "identity": r.identity,
+                    "schema": r.df.schema.jsonValue(),
+                    "pool": folders.get(n),
+                }
+                for n, r in graph.rels.items()
+            },
+            "pools": {
+                folder: {"type_col": pool.type_col, "schema": pool.df.schema.jsonValue()}
+                for folder, types in _pools(graph).values()
+                for pool in [graph.rels[types[0]].pool]
+            },
+        }
+    )
+
+
+def read_graph(spark: SparkSession, path: str) -> PropertyGraph:
+    """The graph that ``write_graph`` wrote below ``path``, from what it says about itself."""
+    about = json.loads(spark.read.text(f"{path}/about").first()[0])
+
+    def load(folder: str, schema: dict) -> DataFrame:
+        kind = StructType.fromJson(schema)
+        return spark.read.schema(kind).parquet(f"{path}/{folder}").select(*kind.names)
+
+    nodes = {n: Nodes(load(f"nodes/{n}", d["schema"]), tuple(d["keys"])) for n, d in about["nodes"].items()}
+    pools = {f: Pool(load(f"rels/{f}", d["schema"]), d["type_col"]) for f, d in about["pools"].items()}
+    rels = {}
+    for name, d in about["rels"].items():
+        pool = pools.get(d["pool"])
+        if pool is None:
+            df = load(f"rels/{name}", d["schema"])
+        else:
             # one type alone reads only its own partition folder
-            own = pool.df.where(pool.df[pool.type_col] == name).select(*like.rels[name].df.columns)
-            graph = graph.with_rels(name, like.rels[name].with_df(own, pool))
-    return graph
+            columns = StructType.fromJson(d["schema"]).names
+            df = pool.df.where(pool.df[pool.type_col] == name).select(*columns)
+        ends = (End(d[side]["label"], d[side]["cols"]) for side in ("source", "target"))
+        rels[name] = Rels(df, *ends, tuple(d["identity"]), pool)
+    return PropertyGraph(nodes, rels)

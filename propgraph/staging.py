@@ -64,10 +64,12 @@ def use_local_folder(spark: SparkSession) -> None:
 def staging(spark: SparkSession, folder: str | None = None) -> Iterator[None]:
     """Delete at the end of the block what was staged in it; frames that read it are void then.
 
-    ``folder`` is where the block stages, if not in the session's folder. Outside of any
+    ``folder`` is where the block stages, if not where the block around it does, or in the
+    session's folder. Outside of any
     block what is staged stays, since the caller's frames still read it.
     """
-    scope = _Scope(folder)
+    outer = _scope.get()
+    scope = _Scope(folder or (outer.folder if outer else None))
     token = _scope.set(scope)
     try:
         yield

@@ -2,13 +2,25 @@ from __future__ import annotations
 
 import random
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from propgraph import batch_edges, batch_heatmap, group_edges, ingest_in_batches, ingest_serially
+from propgraph import (
+    append_in_batches,
+    append_rels,
+    batch_edges,
+    batch_heatmap,
+    group_edges,
+    ingest_in_batches,
+    ingest_serially,
+    merge_in_batches,
+    merge_rels,
+)
 from propgraph.functions.columns import snake_group
+from propgraph.staging import staging
 
 
 @pytest.fixture
@@ -20,7 +32,8 @@ def random_edges(edges):
 @pytest.mark.parametrize("balanced", [False, True])
 @pytest.mark.parametrize("n", [1, 5])
 def test_groups_of_a_batch_share_no_node(random_edges, n, balanced):
-    df = batch_edges(group_edges(random_edges, "source_id", "target_id", n, balanced), n)
+    batched = batch_edges(random_edges, "source_id", "target_id", n, balanced)
+    df = batched.df
     source, target = defaultdict(set), defaultdict(set)
     pairs = defaultdict(set)
     for r in df.collect():
@@ -32,7 +45,7 @@ def test_groups_of_a_batch_share_no_node(random_edges, n, balanced):
     for found in pairs.values():
         assert len({s for s, _ in found}) == len({t for _, t in found}) == len(found)
     assert rows(df.select(*random_edges.columns)) == rows(random_edges)
-    assert sum(r["rel_count"] for r in batch_heatmap(df).collect()) == 1500
+    assert sum(r["rel_count"] for r in batch_heatmap(batched).collect()) == 1500
 
 
 def test_snake_order(spark):
@@ -43,8 +56,9 @@ def test_snake_order(spark):
 def test_balanced_blocks_even_out_a_hub(edges):
     hub = [(1, t, 1.0, t) for t in range(1000)] + [(s, s, 1.0, s) for s in range(2, 502)]
     n = 5
-    df = batch_edges(group_edges(edges(*hub), "source_id", "target_id", n, balanced=True), n)
-    sizes = [r["rel_count"] for r in batch_heatmap(df).collect()]
+    batched = batch_edges(edges(*hub), "source_id", "target_id", n, balanced=True)
+    df = batched.df
+    sizes = [r["rel_count"] for r in batch_heatmap(batched).collect()]
     # the hub cannot be split between groups, but it meets all batches
     assert max(sizes) <= 1000 / n + 500 / n
     of_hub = Counter(r["batch"] for r in df.where("source_id = 1").collect())
@@ -54,17 +68,17 @@ def test_balanced_blocks_even_out_a_hub(edges):
 @pytest.mark.parametrize("balanced", [False, True])
 def test_null_ends_keep_their_row_but_are_not_ingested(edges, balanced):
     df = edges((1, 10, 1.0, 1), (None, 10, 1.0, 2), (1, None, 1.0, 3))
-    out = batch_edges(group_edges(df, "source_id", "target_id", 2, balanced), 2)
-    assert len(rows(out)) == 3
-    assert len(rows(out.where("batch is null"))) == 2
+    out = batch_edges(df, "source_id", "target_id", 2, balanced)
+    assert len(rows(out.df)) == 3
+    assert len(rows(out.df.where("batch is null"))) == 2
     written = []
-    ingest_in_batches(out, lambda part, b: written.extend(part.collect()), 2)
+    ingest_in_batches(out, lambda part, b: written.extend(part.collect()))
     assert [r["timestamp"] for r in written] == [1]
 
 
 def test_ingest_runs_batches_in_order_with_one_group_per_partition(random_edges):
     n = 4
-    df = batch_edges(group_edges(random_edges, "source_id", "target_id", n), n)
+    batched = batch_edges(random_edges, "source_id", "target_id", n)
     seen, order = [], []
 
     def write(part, b):
@@ -75,9 +89,49 @@ def test_ingest_runs_batches_in_order_with_one_group_per_partition(random_edges)
         assert {r["batch"] for r in placed} == {b}
         seen.extend(tuple(r)[:-1] for r in placed)
 
-    ingest_in_batches(df, write, n)
+    ingest_in_batches(batched, write)
     assert order == list(range(n))
-    assert sorted(seen) == sorted(tuple(r) for r in df.collect())
+    assert sorted(seen) == sorted(tuple(r) for r in batched.df.collect())
+
+
+@pytest.mark.parametrize("column", ["batch", "source_group", "target_group"])
+@pytest.mark.parametrize("value", [-1, 4])
+def test_a_group_or_batch_out_of_range_fails(random_edges, column, value):
+    batched = batch_edges(random_edges, "source_id", "target_id", 4)
+    off = F.when(F.col("timestamp") == 7, value).otherwise(F.col(column)).cast("int")
+    with pytest.raises(Exception, match="not within 4 groups"):
+        ingest_in_batches(replace(batched, df=batched.df.withColumn(column, off)), lambda part, b: part.collect())
+
+
+def test_ingest_leaves_no_copy_behind(spark, random_edges, tmp_path):
+    batched = batch_edges(random_edges, "source_id", "target_id", 2)
+
+    def fail(part, b):
+        assert list(tmp_path.iterdir())
+        raise RuntimeError("sink")
+
+    with staging(spark, str(tmp_path)):
+        ingest_in_batches(batched, lambda part, b: part.count())
+        ingest_serially(random_edges, lambda part, i: part.count(), 2)
+        with pytest.raises(RuntimeError, match="sink"):
+            ingest_in_batches(batched, fail)
+    assert not list(tmp_path.iterdir())
+
+
+def test_merge_in_batches_equals_the_merge_at_once(spark, random_edges, edges, tmp_path):
+    identity, rng = ["source_id", "target_id", "timestamp"], random.Random(5)
+    old = edges(*[(rng.randrange(60), rng.randrange(40), 9.0, i) for i in range(700, 900)], (None, 1, 9.0, 1))
+    nodes = spark.range(50).withColumnRenamed("id", "k")
+    ends = (nodes, {"source_id": "k"}), (nodes.where("k % 3 <> 0"), {"target_id": "k"})
+    want = merge_rels(old, random_edges, identity, ["rating"], *ends)
+    got = merge_in_batches(
+        old, batch_edges(random_edges, "source_id", "target_id", 3), "source_id", "target_id", identity, ["rating"],
+        str(tmp_path / "merged"), *ends,
+    )
+    assert rows(got) == rows(want)
+    copied = random_edges.unionAll(random_edges)
+    created = append_in_batches(batch_edges(copied, "source_id", "target_id", 3), str(tmp_path / "created"), *ends)
+    assert rows(created.select(copied.columns)) == rows(append_rels(copied.limit(0), copied, *ends))
 
 
 @pytest.mark.parametrize("slices", [1, 3, None])

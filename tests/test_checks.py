@@ -29,3 +29,8 @@ def test_report(twice):
 def test_report_on_an_empty_label(twice):
     graph = PropertyGraph({"N": Nodes(twice.where("false"), ("id",))})
     assert rows(constraint_report(graph, [("N", "id", "key")])) == [("N", "id", "key", 0)]
+
+
+def test_report_without_constraints(twice):
+    with pytest.raises(ValueError, match="no constraint"):
+        constraint_report(PropertyGraph({"N": Nodes(twice, ("id",))}), [])

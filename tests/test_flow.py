@@ -29,7 +29,7 @@ def test_flow(spark, tmp_path):
         {"FROM": pg.Rels(from_rels, *ends), "TO": pg.Rels(to_rels, *ends)},
     )
     pg.write_graph(graph, str(tmp_path / "v1"))
-    graph = pg.read_graph(spark, str(tmp_path / "v1"), like=graph)
+    graph = pg.read_graph(spark, str(tmp_path / "v1"))
 
     assert pg.degree_top_k(graph, "Airports", "Flights", k=2).collect() == [("DFW", 3), ("SEA", 3)]
     assert rows(pg.scan_rels(graph, "FROM", ["key", "airline"], ["name"])) == [
@@ -52,7 +52,7 @@ def test_flow(spark, tmp_path):
     assert counts == {"Flights": 5, "Airports": 3, "FROM": 4, "TO": 2}
 
     n = 3
-    batched = pg.batch_edges(pg.group_edges(graph.rels["FROM"].df, "source_key", "target_name", n), n)
-    pg.ingest_in_batches(batched, lambda part, b: part.write.parquet(f"{tmp_path}/load/{b}"), n)
+    batched = pg.batch_edges(graph.rels["FROM"].df, "source_key", "target_name", n)
+    pg.ingest_in_batches(batched, lambda part, b: part.write.parquet(f"{tmp_path}/load/{b}"))
     loaded = spark.read.parquet(*[f"{tmp_path}/load/{b}" for b in range(n)])
     assert rows(loaded, "source_key", "target_name") == rows(graph.rels["FROM"].df)

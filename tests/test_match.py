@@ -99,6 +99,38 @@ def test_scans(flights):
     assert rows(keys) == [(0, 2), (1, 3), (2, 1)]
 
 
+@pytest.fixture
+def torn(spark):
+    """Relationships with null ends, and with an end that is not among the nodes."""
+    df = spark.createDataFrame(
+        [("A", "B", 1), ("A", None, 2), (None, "B", 3), (None, None, 4), ("A", "Z", 5)],
+        "source_name string, target_name string, miles int",
+    )
+    airports = Nodes(spark.createDataFrame([("A",), ("B",), (None,)], "name string"), ("name",))
+    rels = Rels(df, End("Airports", {"source_name": "name"}), End("Airports", {"target_name": "name"}))
+    return PropertyGraph({"Airports": airports}, {"ROUTE": rels})
+
+
+def test_null_ends_are_no_relationships(torn):
+    assert rows(count_rels(torn)) == [(2,)]
+    assert rows(count_rels(torn, directed=False)) == [(4,)]
+    assert ("rel", "ROUTE", 2) in rows(graph_summary(torn))
+    assert degree_top_k(torn, "Airports", "Airports").collect() == [("A", 2), ("B", 1), ("Z", 1)]
+
+
+def test_scans_give_the_same_rows_whatever_is_asked_for(spark, torn):
+    named = spark.createDataFrame([("A", 1), ("B", 2)], "name string, size int")
+    graph = torn.with_nodes("Airports", Nodes(named, ("name",)))
+    assert rows(scan_rels(graph, "ROUTE", ["name"], ["name"])) == [("A", "B", 1)]
+    assert rows(scan_rels(graph, "ROUTE", ["size"], ["size"])) == [(1, 2, 1)]
+    assert rows(scan_rels(graph, "ROUTE", ["name"], ["name"], ends_exist=True)) == [("A", "B", 1), ("A", "Z", 5)]
+
+
+def test_an_empty_graph_has_no_answer():
+    with pytest.raises(ValueError, match="neither"):
+        count_nodes(PropertyGraph())
+
+
 def test_scan_keeps_relationship_properties(routes):
     out = scan_rels(routes, "ROUTE")
     assert out.columns == ["source_name", "target_name", "miles"]
@@ -109,7 +141,7 @@ def test_stored_graph_reads_back_equal(spark, flights, routes, tmp_path):
     for i, graph in enumerate((flights, routes)):
         path = str(tmp_path / str(i))
         write_graph(graph, path)
-        back = read_graph(spark, path, graph)
+        back = read_graph(spark, path)
         assert rows(graph_summary(back)) == rows(graph_summary(graph))
         for name, rels in graph.rels.items():
             assert back.rels[name].df.columns == rels.df.columns
@@ -118,7 +150,7 @@ def test_stored_graph_reads_back_equal(spark, flights, routes, tmp_path):
 
 def test_one_type_of_a_stored_pool_reads_one_folder(spark, flights, tmp_path):
     write_graph(flights, str(tmp_path / "g"))
-    back = read_graph(spark, str(tmp_path / "g"), flights)
+    back = read_graph(spark, str(tmp_path / "g"))
     plan = back.rels["TO"].df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(type" in plan and "= TO)" in plan
 

@@ -19,7 +19,7 @@ from propgraph import (
     upsert_nodes,
     upsert_rels,
 )
-from propgraph.operators import write
+from propgraph.operators.joins import hub_join
 
 PAIR = ["source_id", "target_id"]
 KEYED = [*PAIR, "timestamp"]
@@ -191,3 +191,34 @@ def test_upsert_agrees_with_a_dict_on_random_input(spark):
     )
     assert {r["k"]: r["v"] for r in out.collect()} == want
     assert out.count() == len(want)
+
+
+KEYS = [
+    ("int", "bigint", [1, 2, 3, None]),
+    ("float", "double", [0.0, 1.5, 2.25, None]),
+    ("decimal(10,0)", "decimal(12,2)", [1, 2, 3, None]),
+    ("date", "timestamp_ntz", ["2020-01-01", "2020-01-02", None]),
+    ("string COLLATE UTF8_LCASE", "string COLLATE UTF8_LCASE", ["a", "B", None]),
+    ("int", "string", ["1", "2", None]),
+]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize(("left", "right", "values"), KEYS)
+def test_hub_join_equals_the_plain_join(spark, conf, how, left, right, values):
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    raw = spark.createDataFrame([(None if v is None else str(v), i) for v in values for i in range(10)], "v string, i int")
+    one = raw.select(F.col("v").cast(left).alias("k"), "i", F.lit(1).alias("_split"))
+    other = raw.where("i < 2").select(F.upper("v").cast(right).alias("k"), F.col("i").alias("j"))
+    plain = one.join(other, one.k == other.k, how)
+    plain = plain.drop(other.k) if how in ("inner", "left") else plain
+    joined = hub_join(one, other, ["k"], how)
+    assert joined.columns == plain.columns
+    key = lambda r: tuple(map(str, r))
+    assert sorted(joined.collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+def test_hub_join_needs_a_common_type(spark):
+    one, other = spark.range(3).selectExpr("array(id) AS k"), spark.range(3).selectExpr("id AS k")
+    with pytest.raises(TypeError, match="no common type"):
+        hub_join(one, other, ["k"], "inner")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propgraph.operators.joins import hub_join
-from propgraph.staging import stage
+from propgraph.staging import new_path, stage, staging, write_once
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -45,6 +45,12 @@ def components(links: DataFrame) -> DataFrame:
 
     Loops, repeated links and links with a null end add nothing.
     """
+    spark, path = links.sparkSession, new_path(links.sparkSession, "components")
+    with staging(spark):
+        return write_once(_stars(links), path)
+
+
+def _stars(links: DataFrame) -> DataFrame:
     ordered = F.struct(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     links = stage(links.where("a <> b").select(F.inline(F.array(ordered))).distinct(), "links")
     state = _state(links)

@@ -39,7 +39,7 @@ from propgraph.llm import shingles
 from propgraph.llm.common import slices, whole_text
 from propgraph.llm.components import components
 from propgraph.operators.joins import hub_join
-from propgraph.staging import stage
+from propgraph.staging import new_path, stage, staging, write_once
 
 BLOCK = 512  # members of a bucket that are compared at once with as many others
 PAIRS = 200_000  # pairs that a task compares at once
@@ -139,37 +139,21 @@ def set_prints(tokens: np.ndarray) -> tuple[int, int]:
 # steps over texts
 
 
-def _fingerprints(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n, f1, f2 of each row's set; the fingerprints are 0 for an empty set."""
+def _keyed(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
+    """doc_id, n, f1, f2 of each row's set, and its join keys; the fingerprints are 0 for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            sets = [shingles.shingle_set(t.as_py(), k) for t in batch.column("text")]
+        for batch in slices(batches, "text", 1 << 20):
+            sets = [shingles.shingle_set(t, k) for t in batch.column("text").to_pylist()]
             prints = [set_prints(s) if len(s) else (0, 0) for s in sets]
             columns = [[len(s) for s in sets], [p[0] for p in prints], [p[1] for p in prints]]
-            arrays = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "f1", "f2"])
-
-    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long")
-
-
-def _keys(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
-    """key, f1 for every segment that takes part in the join."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
-            keys, prints, sizes = [], [], []
-            for text in batch.column("text"):
-                tokens = shingles.shingle_set(text.as_py(), k)
-                if len(tokens):
-                    keys.append(segment_keys(tokens, threshold))
-                    prints.append(set_prints(tokens)[0])
-                    sizes.append(len(keys[-1]))
-            if keys:
-                columns = [np.concatenate(keys), np.repeat(np.array(prints, np.int64), sizes)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "f1"])
+            keys = [segment_keys(s, threshold) if len(s) else s.view(np.int64) for s in sets]
+            starts = np.cumsum([0, *map(len, keys)])
+            listed = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate(keys)))
+            arrays = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns), listed]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "f1", "f2", "keys"])
 
-    return docs.select("text").mapInArrow(run, "key long, f1 long")
+    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, keys array<long>")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -321,17 +305,20 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> D
 
     ``buckets``: key, node, distinct. ``sets``: node, n, tokens, sketch.
     """
-    centres = buckets.groupBy("key").agg(F.min("node").alias("a"))
-    stars = hub_join(buckets, centres, ["key"], "inner").where("a <> node")
-    first = verify(stage(stars.select("a", F.col("node").alias("b")).distinct(), "stars"), sets, threshold)
-    joined = components(first)
-    placed = hub_join(buckets, joined, ["node"], "left").withColumn("component", F.coalesce("component", "node"))
-    placed = stage(placed, "placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    members = hub_join(placed, mixed.select("key"), ["key"], "left_semi")
-    members = stage(members.select("key", "node", "component"), "mixed-buckets")
-    second = verify(stage(_block_pairs(members, sets, threshold), "block-pairs"), sets, threshold)
-    return first.unionByName(second)
+    spark = buckets.sparkSession
+    links = new_path(spark, "links")
+    with staging(spark):
+        centres = buckets.groupBy("key").agg(F.min("node").alias("a"))
+        stars = hub_join(buckets, centres, ["key"], "inner").where("a <> node")
+        first = verify(stage(stars.select("a", F.col("node").alias("b")).distinct(), "stars"), sets, threshold)
+        joined = components(first)
+        placed = hub_join(buckets, joined, ["node"], "left").withColumn("component", F.coalesce("component", "node"))
+        placed = stage(placed, "placed")
+        mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+        members = hub_join(placed, mixed.select("key"), ["key"], "left_semi")
+        members = stage(members.select("key", "node", "component"), "mixed-buckets")
+        second = verify(stage(_block_pairs(members, sets, threshold), "block-pairs"), sets, threshold)
+        return write_once(first.unionByName(second), links)
 
 
 def jaccard_groups(
@@ -343,16 +330,19 @@ def jaccard_groups(
 ) -> DataFrame:
     """One row per row: doc_id, n_shingles, component_id (the smallest id that links reach, its own included)."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    members = stage(_fingerprints(docs, k), "fingerprints")
+    spark = docs.sparkSession
+    members, met = new_path(spark, "members"), new_path(spark, "met")
+    with staging(spark):
+        keyed = stage(_keyed(docs, k, threshold), "keyed")
+        members = write_once(keyed.drop("keys"), members)
+        keys = keyed.select(F.explode("keys").alias("key"), "f1")
+        # several sets in one bucket; copies of a set are combined before the shuffle
+        shared = keys.groupBy("key").agg(F.min("f1").alias("x"), F.max("f1").alias("y")).where("x <> y").select("key")
+        shared = stage(shared, "shared-keys").hint("merge")
+        met = write_once(hub_join(keys, shared, ["key"], "left_semi").distinct(), met)
     nodes = members.where("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
     nodes = stage(nodes.where("node IS NOT NULL"), "nodes")
 
-    keys = _keys(docs, k, threshold)
-    # several sets in one bucket; copies of a set are combined before the shuffle
-    shared = keys.groupBy("key").agg(F.min("f1").alias("x"), F.max("f1").alias("y")).where("x <> y").select("key")
-    shared = stage(shared, "shared-keys").hint("merge")
-    met = stage(hub_join(keys, shared, ["key"], "left_semi").distinct(), "met")
-
     asked = hub_join(nodes, met.select("f1").distinct(), ["f1"], "left_semi").select(F.col("node").alias("doc_id"))
     found = _sets(hub_join(docs, stage(asked, "asked").hint("merge"), ["doc_id"], "left_semi"), k)
     # of repeated ids only the row whose set made the node

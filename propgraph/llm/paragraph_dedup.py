@@ -29,7 +29,7 @@ from propgraph.llm.common import slices, whole_text
 from propgraph.llm.components import components
 from propgraph.llm.jaccard_join import Threshold, link_buckets, parity_sketch, set_prints
 from propgraph.operators.joins import hub_join
-from propgraph.staging import stage
+from propgraph.staging import new_path, stage, staging, write_once
 
 LEAST_WORDS = 50
 ROWS = 3  # hash functions of a band
@@ -59,36 +59,23 @@ def paragraphs(text: str, least: int) -> Iterator[tuple[int, int, int]]:
         at += len(line) + 1
 
 
-def _rows(docs: DataFrame, k: int, least: int) -> DataFrame:
-    """doc_id, start, end, n_words, f1, f2 of each paragraph."""
+def _keyed(docs: DataFrame, k: int, least: int, bands: int) -> DataFrame:
+    """doc_id, start, end, n_words, f1, f2 of each paragraph, and its band keys."""
     names = ["doc_id", "start", "end", "n_words", "f1", "f2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            rows = []
+        for batch in slices(batches, "text", 1 << 20):
+            rows, keys = [], []
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text").to_pylist(), strict=True):
                 for a, b, n in paragraphs(text, least):
-                    rows.append((doc_id.as_py(), a, b, n, *set_prints(shingles.shingle_set(text[a:b], k))))
-            columns = [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
-
-    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
-
-
-def _keys(docs: DataFrame, k: int, least: int, bands: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            keys, prints = [], []
-            for text in batch.column("text").to_pylist():
-                for a, b, _ in paragraphs(text, least):
                     tokens = shingles.shingle_set(text[a:b], k)
+                    rows.append((doc_id.as_py(), a, b, n, *set_prints(tokens)))
                     keys.append(band_keys(tokens, bands))
-                    prints.append(set_prints(tokens)[0])
-            if keys:
-                columns = [np.concatenate(keys), np.repeat(np.array(prints, np.int64), bands)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node"])
+            columns = [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * len(names)
+            arrays = [*(pa.array(c, pa.int64()) for c in columns), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, [*names, "keys"])
 
-    return docs.select("text").mapInArrow(run, "key long, node long")
+    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", keys array<long>")
 
 
 def _texts(docs: DataFrame, k: int, least: int) -> DataFrame:
@@ -134,11 +121,15 @@ def repeated_paragraphs(
     document whose paragraph stays), kept.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    rows = stage(_rows(docs, k, least), "paragraphs")
-    keys = _keys(docs, k, least, tune_bands(threshold))
-    shared = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("key")
-    shared = stage(shared, "shared-bands").hint("merge")
-    met = stage(hub_join(keys, shared, ["key"], "left_semi").distinct(), "met")
+    spark = docs.sparkSession
+    rows, met = new_path(spark, "paragraphs"), new_path(spark, "met")
+    with staging(spark):
+        keyed = stage(_keyed(docs, k, least, tune_bands(threshold)), "keyed")
+        rows = write_once(keyed.drop("keys"), rows)
+        keys = keyed.select(F.explode("keys").alias("key"), F.col("f1").alias("node"))
+        shared = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("key")
+        shared = stage(shared, "shared-bands").hint("merge")
+        met = write_once(hub_join(keys, shared, ["key"], "left_semi").distinct(), met)
     asked = stage(met.select("node").distinct(), "asked").hint("merge")
     texts = hub_join(_texts(docs, k, least), asked, ["node"], "left_semi").groupBy("node").agg(F.min("text").alias("text"))
     sets = stage(_sets(texts, k), "sets")

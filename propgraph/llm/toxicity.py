@@ -34,7 +34,7 @@ TERMS = 1024
 LEAST_RATIO = 1.5  # times as frequent in toxic examples as in others
 LEAST_DOCS = 8  # toxic examples that must have a term
 NEIGHBOURS = 16
-BLOCK = 64  # examples of a block
+BLOCK = 512  # examples of a block
 PULL = 0.1  # similarity that the background rate counts for
 
 SCORED = StructType(
@@ -91,7 +91,7 @@ class BlockIndex:
     share: np.ndarray  # the rows that an example stands for
     background: float
     tops: np.ndarray  # term x block
-    postings: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # by block: terms, places, weights
+    postings: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # by block: where each term begins, places, weights
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         terms, counts = self.vocabulary.counts(text)
@@ -105,15 +105,17 @@ class BlockIndex:
         if not len(terms) or not len(self.ids):
             return np.empty(0, np.int64), np.empty(0)
         most = weights @ self.tops[terms]
-        asked = np.zeros(len(self.idf))
-        asked[terms] = weights
         best, sims = np.empty(0, np.int64), np.empty(0)
         for block in np.argsort(-most, kind="stable").tolist():
             # with room for rounding, and on to equal bounds: a tie may go to a smaller id
             if most[block] <= 0 or len(best) == k and most[block] < sims[-1] - 1e-9:
                 break
-            listed, places, values = self.postings[block]
-            scores = np.bincount(places, asked[listed] * values, minlength=BLOCK)
+            begins, places, values = self.postings[block]
+            starts, sizes = begins[terms], begins[terms + 1] - begins[terms]
+            # the postings of all asked terms, one run after another
+            ends = sizes.cumsum()
+            at = np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)
+            scores = np.bincount(places[at], np.repeat(weights, sizes) * values[at], minlength=BLOCK)
             local = np.flatnonzero(scores > 0)
             best, sims = np.concatenate([best, block * BLOCK + local]), np.concatenate([sims, np.round(scores[local], 12)])
             order = np.lexsort((self.ids[best], -sims))[:k]
@@ -220,8 +222,9 @@ def _index(vocabulary: Vocabulary, idf: np.ndarray, vectors: list, rate: dict[in
             tops[t, block] = max(tops[t, block], w)
     postings = []
     for rows in lists:
-        terms, places, weights = zip(*sorted(rows), strict=True)
-        postings.append((np.array(terms), np.array(places), np.array(weights)))
+        terms, places, weights = (np.array(c) for c in zip(*sorted(rows), strict=True))
+        begins = np.searchsorted(terms, np.arange(len(vocabulary.terms) + 1))
+        postings.append((begins, places, weights))
     labels = np.array([r.label for r in some], float)
     share = np.array([rate[r.label] for r in some], float)
     share = share / share.mean() if len(share) else share

@@ -38,7 +38,8 @@ REACH = 3  # characters in the longest literal of the pattern
 LEAF_IDS = 1 << 14  # and lists of ids when they are decoded
 LEAF_BYTES = 16  # matches are halved down to so many bytes
 LISTED_BYTES = 48  # longer pieces are merged by a heap
-KEPT_MATCHES = 400_000  # a worker remembers the encodings of at most twice as many matches at a time
+KEPT_PAIRS = 50_000  # and of so many pairs of tokens whether they are neighbours
+KEPT_MATCHES = 150_000  # a worker remembers the encodings of at most twice as many matches at a time
 
 
 class ByteEncoder:
@@ -97,7 +98,7 @@ class ByteEncoder:
         """Whether the bytes of two tokens encode to just these two."""
         if (known := self.stable.get((a, b))) is None:
             known = self._merge(self.tokens[a] + self.tokens[b]) == [a, b]
-            if len(self.stable) >= KEPT_MATCHES:
+            if len(self.stable) >= KEPT_PAIRS:
                 self.stable.clear()
             self.stable[a, b] = known
         return known

@@ -13,7 +13,7 @@ import xxhash
 from propgraph.llm.common import Remembered
 
 ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 
 

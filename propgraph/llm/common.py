@@ -19,7 +19,7 @@ def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``limit`` bytes of ``column``, one row at least."""
     for batch in batches:
         if batch.num_rows == 0:

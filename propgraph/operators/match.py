@@ -1,8 +1,9 @@
 """Questions asked of the graph: scans, counts and top-k degrees.
 
-One rule for all: a relationship with a null end is none, so it is neither counted nor
-ranked nor scanned. Scans also drop relationships whose ends are not among the nodes,
-whatever properties are asked for; counts take the ends to exist.
+One rule for all: a null end is no node, so it is never ranked, and a relationship with
+one is neither counted nor scanned. A top-k looks only at the end that it ranks, which
+lets it read that column alone. Scans also drop relationships whose ends are not among
+the nodes, whatever properties are asked for; counts and top-k take the ends to exist.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.functions.columns import all_set
+from propgraph.functions.columns import all_set, holds
 from propgraph.model import End, PropertyGraph, Rels
 from propgraph.operators.joins import hub_join
 
@@ -124,16 +125,15 @@ def degree_top_k(
 
     def take(df: DataFrame, end: End) -> None:
         by_key = {key: col for col, key in end.cols.items()}
-        frames.append(df.select(*[F.col(by_key[key]).alias(key) for key in nodes.keys]))
+        frames.append(df.where(all_set(end.cols)).select(*[F.col(by_key[key]).alias(key) for key in nodes.keys]))
 
     for df, rels, _, _ in graph.rel_reads(types):
-        df = df.where(_has_ends(rels))
         ends = (rels.source.label, rels.target.label)
         if ends == (label, other):
             take(df, rels.source)
         if ends == (other, label):
             # between nodes of one label both ends count, but a loop only once
-            take(df.where(~rels.is_loop()) if label == other else df, rels.target)
+            take(df.where(~holds(rels.is_loop())) if label == other else df, rels.target)
     if not frames:
         empty = nodes.df.select(F.col(name_prop).alias(name_col), F.lit(0).cast("bigint").alias(count_col))
         return empty.where(F.lit(False))

@@ -12,8 +12,8 @@ segments more than D + 1, so that a set may leave its poor segments out: a pair
 more segments than either has poor ones, unless both have too many, and sets with too
 many give all their segments. So no pair is lost, and no bucket fills up with strangers.
 
-Equal sets are one node. A bucket first ties all its members to its smallest, which links
-a group of near copies in linear time; only buckets whose members are still in several
+Equal sets are one node. A bucket's members are first compared with one of them, in a few
+turns, which links a group of near copies in linear time; only buckets whose members are still in several
 components are then compared pair by pair, in blocks of bounded size, inside tasks.
 Nothing is capped and no list of a bucket's members is ever built.
 
@@ -42,6 +42,7 @@ from propgraph.operators.joins import hub_join
 from propgraph.staging import new_path, stage, staging, write_once
 
 BLOCK = 512  # members of a bucket that are compared at once with as many others
+STAR_TURNS = 4  # rounds in which the members of a bucket are compared with one of them
 PAIRS = 200_000  # pairs that a task compares at once
 SKETCH_BITS = 1 << 15  # the longest sketch that is kept for the Hamming distance
 
@@ -192,7 +193,7 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame
     def side(name: str, *columns: str) -> DataFrame:
         return sets.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
-    # a is the smallest of its bucket, so it may stand in very many pairs; the sets grow with the data
+    # a is the centre of a bucket, so it may stand in very many pairs; the sets grow with the data
     near = hub_join(pairs, side("a", "n", "sketch").hint("merge"), ["a"], "inner")
     near = hub_join(near, side("b", "n", "sketch").hint("merge"), ["b"], "inner")
     n_a, n_b = F.col("n_a"), F.col("n_b")
@@ -306,19 +307,28 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> D
     ``buckets``: key, node, distinct. ``sets``: node, n, tokens, sketch.
     """
     spark = buckets.sparkSession
-    links = new_path(spark, "links")
+    path, links = new_path(spark, "links"), None
     with staging(spark):
-        centres = buckets.groupBy("key").agg(F.min("node").alias("a"))
-        stars = hub_join(buckets, centres, ["key"], "inner").where("a <> node")
-        first = verify(stage(stars.select("a", F.col("node").alias("b")).distinct(), "stars"), sets, threshold)
-        joined = components(first)
-        placed = hub_join(buckets, joined, ["node"], "left").withColumn("component", F.coalesce("component", "node"))
-        placed = stage(placed, "placed")
-        mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        members = hub_join(placed, mixed.select("key"), ["key"], "left_semi")
-        members = stage(members.select("key", "node", "component"), "mixed-buckets")
-        second = verify(stage(_block_pairs(members, sets, threshold), "block-pairs"), sets, threshold)
-        return write_once(first.unionByName(second), links)
+        placed = buckets.select("key", "node", F.col("node").alias("component"))
+        for turn in range(STAR_TURNS):
+            # another centre each turn, by the same order in all buckets, so most pairs come up once
+            order = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "component")
+            centres = placed.groupBy("key").agg(F.min(order).alias("centre"))
+            centres = centres.select("key", F.col("centre.node").alias("a"), F.col("centre.component").alias("of_a"))
+            stars = hub_join(placed, centres, ["key"], "inner").where("component <> of_a")
+            pairs = stage(stars.select("a", F.col("node").alias("b")).distinct(), "stars")
+            found = verify(pairs, sets, threshold)
+            if links is not None and found.isEmpty():
+                break
+            links = found if links is None else links.unionByName(found)
+            joined = components(links)
+            placed = hub_join(placed.drop("component"), joined, ["node"], "left")
+            placed = placed.select("key", "node", F.coalesce("component", "node").alias("component"))
+            placed = stage(placed, "placed")
+            mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+            placed = stage(hub_join(placed, mixed.select("key"), ["key"], "left_semi"), "mixed-buckets")
+        rest = verify(stage(_block_pairs(placed, sets, threshold), "block-pairs"), sets, threshold)
+        return write_once(links.unionByName(rest), path)
 
 
 def jaccard_groups(

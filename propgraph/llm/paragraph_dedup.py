@@ -10,7 +10,7 @@ Paragraphs with equal shingles are one node, however often they occur, and a gro
 near copies is tied to its smallest node first (see ``jaccard_join.link_buckets``).
 
 Defined results: a null text counts as empty and has no paragraphs. Null ids come first,
-so such a row's paragraph stays. Of repeated rows the same paragraph stays in each. A
+so such a row's paragraph stays; paragraphs of such rows alone are matched by copies only. Of repeated rows the same paragraph stays in each. A
 paragraph that repeats inside one text is removed there too. Other columns are ignored.
 """
 
@@ -78,33 +78,26 @@ def _keyed(docs: DataFrame, k: int, least: int, bands: int) -> DataFrame:
     return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", keys array<long>")
 
 
-def _texts(docs: DataFrame, k: int, least: int) -> DataFrame:
-    """node (the first fingerprint) and text of each paragraph."""
+def _sets(docs: DataFrame, k: int) -> DataFrame:
+    """node, f2, n, tokens, sketch of the paragraphs asked for: ``places`` (start, end, node) of each text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            found = [text[a:b] for text in batch.column("text").to_pylist() for a, b, _ in paragraphs(text, least)]
-            prints = [set_prints(shingles.shingle_set(t, k))[0] for t in found]
-            arrays = [pa.array(prints, pa.int64()), pa.array(found, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, ["node", "text"])
-
-    return docs.select("text").mapInArrow(run, "node long, text string")
-
-
-def _sets(texts: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            sets = [shingles.shingle_set(t, k) for t in batch.column("text").to_pylist()]
-            arrays = [
-                batch.column("node"),
-                pa.array([set_prints(s)[1] for s in sets], pa.int64()),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                pa.array([parity_sketch(s).tobytes() for s in sets], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, ["node", "f2", "n", "tokens", "sketch"])
-
-    return texts.mapInArrow(run, "node long, f2 long, n long, tokens array<long>, sketch binary")
+            rows = []
+            for text, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist(), strict=True):
+                for place in places:
+                    tokens = shingles.shingle_set(text[place["start"] : place["end"]], k)
+                    prints = set_prints(tokens) if len(tokens) else (0, 0)
+                    if prints[0] == place["node"]:  # of repeated ids only the row that has the paragraph
+                        sketch = parity_sketch(tokens).tobytes()
+                        rows.append((prints[0], prints[1], len(tokens), tokens.view(np.int64), sketch))
+            if rows:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+                arrays = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, ["node", "f2", "n", "tokens", "sketch"])
+
+    wanted = docs.select("text", "places")
+    return wanted.mapInArrow(run, "node long, f2 long, n long, tokens array<long>, sketch binary")
 
 
 def repeated_paragraphs(
@@ -130,9 +123,14 @@ def repeated_paragraphs(
         shared = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("key")
         shared = stage(shared, "shared-bands").hint("merge")
         met = write_once(hub_join(keys, shared, ["key"], "left_semi").distinct(), met)
-    asked = stage(met.select("node").distinct(), "asked").hint("merge")
-    texts = hub_join(_texts(docs, k, least), asked, ["node"], "left_semi").groupBy("node").agg(F.min("text").alias("text"))
-    sets = stage(_sets(texts, k), "sets")
+    # one place of each node that meets another, and the places by document
+    asked = met.select(F.col("node").alias("f1")).distinct()
+    place = F.min(F.struct(F.col("doc_id").alias("id"), "start", "end")).alias("place")
+    places = hub_join(rows.where("doc_id IS NOT NULL"), asked, ["f1"], "left_semi").groupBy("f1").agg(place)
+    listed = F.collect_list(F.struct("place.start", "place.end", F.col("f1").alias("node"))).alias("places")
+    places = stage(places.groupBy(F.col("place.id").alias("id")).agg(listed), "places").hint("merge")
+    texts = hub_join(docs.select(F.col("doc_id").alias("id"), "text"), places, ["id"], "inner")
+    sets = stage(_sets(texts, k).dropDuplicates(["node"]), "sets")
     linked = components(link_buckets(met, sets, threshold)).withColumnRenamed("node", "f1")
     linked = hub_join(linked, sets.select(F.col("node").alias("f1"), "f2"), ["f1"], "inner")
 

@@ -111,6 +111,16 @@ def test_features_and_risk():
     assert (model.scores(good) > 0.5).mean() > 0.95 and (model.scores(bad[200:]) < 0.5).mean() > 0.95
 
 
+def test_packed_covers_a_whole_text():
+    draw = random.Random(5)
+    head = "".join(draw.choices("abcdefghij ", k=1 << 16))
+    packed = quality.NAMES.index("packed")
+    for text in (head + "junk " * 40_000, "junk " * 40_000 + head, head, "é" * 40_000, "a"):
+        data = text.encode()
+        assert quality.features(text)[packed] == len(zlib.compress(data, 1)) / len(data)
+    assert quality.features(head + "junk " * 40_000)[packed] < 0.5 * quality.features(head)[packed]
+
+
 # licenses
 
 TEXTS = [

@@ -65,7 +65,8 @@ bsd-4-clause | bsd | (?:original bsd|bsd 4 clause|4 clause bsd|four clause bsd)
 bsd-0-clause | bsd | (?:bsd zero clause|zero clause bsd|0bsd)
 bsd | bsd | bsd
 mit-0 | mit | mit(?: 0| no attribution)
-mit | mit | (?:mit|expat)
+mit | mit | mit
+mit | expat | expat
 isc | isc | isc
 zlib | zlib | zlib(?: libpng)?
 boost-1.0 | boost | boost software(?: licen[cs]e(?: version| v)?)?(?: 1 0)?
@@ -84,9 +85,9 @@ cc-by-nc-{v} | cc by nc | cc by nc {v}
 cc-by-nd-{v} | cc by nd | cc by nd {v}
 cc-by-sa-{v} | cc by sa | cc by sa {v}
 cc-by-{v} | cc by | cc by {v}
-cc-by-nc-nd | attribution noncommercial | creative commons attribution non ?commercial no ?deriv(?:ative)?s
-cc-by-nc-sa | attribution noncommercial | creative commons attribution non ?commercial share ?alike
-cc-by-nc | attribution noncommercial | creative commons attribution non ?commercial
+cc-by-nc-nd | creative commons attribution | creative commons attribution non ?commercial no ?deriv(?:ative)?s
+cc-by-nc-sa | creative commons attribution | creative commons attribution non ?commercial share ?alike
+cc-by-nc | creative commons attribution | creative commons attribution non ?commercial
 cc-by-nd | creative commons attribution | creative commons attribution no ?deriv(?:ative)?s
 cc-by-sa | creative commons attribution | creative commons attribution share ?alike
 cc-by | creative commons attribution | creative commons attribution
@@ -108,7 +109,7 @@ SINGLE = (
     (7, 0.3, "copyright", "copyright", "copyright (?:c )?(?:19|20)[0-9][0-9]"),
 )
 # a rule's match holds one of these, a base phrase too
-GATES = ("licen", "spdx", "copyright", "rights", "domain", "proprietary", "cc", "under")
+GATES = ("licen", "spdx", "boost", "copyright", "rights", "domain", "proprietary", "cc", "under")
 
 FOUND = "array<struct<start:int,neg_end:int,priority:int,label:string,weight:double>>"
 

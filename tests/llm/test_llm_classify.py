@@ -186,3 +186,49 @@ def test_every_rule_holds_its_keyword_and_a_gate():
     assert len(license_scan.rules()) > 300
     for rule in license_scan.rules():
         assert any(gate in rule.pattern for gate in ("licen", "spdx", "copyright", "rights", "domain", "proprietary", "under"))
+
+
+def matches(parsed):
+    """Every text that a parsed pattern of literals, classes, branches and options matches."""
+    out = [""]
+    for op, value in parsed:
+        match str(op):
+            case "LITERAL":
+                more = [chr(value)]
+            case "IN":
+                more = [chr(c) for kind, v in value for c in ([v] if str(kind) == "LITERAL" else range(v[0], v[1] + 1))]
+            case "BRANCH":
+                more = [m for branch in value[1] for m in matches(branch)]
+            case "SUBPATTERN":
+                more = matches(value[-1])
+            case "MAX_REPEAT":
+                assert value[:2] == (0, 1)
+                more = ["", *matches(value[2])]
+            case _:
+                raise ValueError(op)
+        out = [a + b for a in out for b in dict.fromkeys(more)]
+    return out
+
+
+def test_every_match_of_a_rule_holds_its_keyword_and_a_gate():
+    from re import _parser
+
+    lost = set()
+    for rule in license_scan.rules():
+        for text in matches(_parser.parse(rule.pattern)):
+            if rule.keyword not in text or not any(gate in text for gate in license_scan.GATES):
+                lost.add((rule.label, rule.keyword))
+    assert not lost
+
+
+def test_matches_are_found_wherever_the_keyword_was_too_narrow(spark):
+    texts = {
+        "Licensed under Creative Commons Attribution-Non-Commercial": "cc-by-nc",
+        "Licensed under Creative Commons Attribution-Non-Commercial-ShareAlike": "cc-by-nc-sa",
+        "Licensed under Creative Commons Attribution-NonCommercial-NoDerivs": "cc-by-nc-nd",
+        "Licensed under Creative Commons Attribution": "cc-by",
+        "the Expat License": "mit",
+        "Boost Software 1.0": "boost-1.0",
+    }
+    df = spark.createDataFrame(list(texts.items()), "text string, doc_id string")
+    assert all(r.labels == r.doc_id for r in license_scan.scan(df).collect())

@@ -1,27 +1,37 @@
-"""Substring dedup by paragraphs: MinHash banding, exact verification, components.
-
-A paragraph is a line of a text. Paragraphs of at least ``least`` words are banded by the
-minima of several hash functions over their word shingles; the bands are tuned so that a
-pair at the threshold collides with a stated probability. Colliding paragraphs are
-verified by the exact Jaccard similarity of their shingles, and clusters are the
-components of the verified links. In a cluster the first paragraph stays.
+"""Substring dedup by paragraphs: MinHash banding, exact verification, runs, components.
+
+A paragraph is a line of a text that has words. All of them are banded by the minima of
+several hash functions over their word shingles; the bands are tuned so that a pair at the
+threshold collides with a stated probability. Colliding paragraphs are verified by the
+exact Jaccard similarity of their shingles; the components of the verified links say which
+paragraphs are alike.
+
+A passage is a run of neighbouring paragraphs (lines without words between them do not
+count) of at least ``least`` words, and it repeats where paragraphs alike follow each other
+in the same order elsewhere. Words are counted by the longest of the paragraphs alike, so
+that all copies of a run are of one length. Each run is cut into its shortest windows of
+``least`` words from every paragraph on and up to every paragraph, which together cover it;
+equal windows tie their paragraphs one by one, and clusters are the components of these
+ties. In a cluster the first paragraph stays. No pairs of documents are made.
 
 Paragraphs with equal shingles are one node, however often they occur, and a group of
 near copies is tied to its smallest node first (see ``jaccard_join.link_buckets``).
 
 Defined results: a null text counts as empty and has no paragraphs. Null ids come first,
 so such a row's paragraph stays; paragraphs of such rows alone are matched by copies only. Of repeated rows the same paragraph stays in each. A
-paragraph that repeats inside one text is removed there too. Other columns are ignored.
+passage that repeats inside one text is removed there too, also where it overlaps itself. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propgraph.llm import shingles
@@ -41,8 +51,13 @@ def tune_bands(threshold: Threshold, recall: float = RECALL, rows: int = ROWS) -
     return math.ceil(math.log(1 - recall) / math.log(1 - (threshold.num / threshold.den) ** rows))
 
 
+@cache
+def _draw(n: int) -> np.ndarray:
+    return np.random.default_rng(11).integers(0, 1 << 63, (2, n), np.uint64)
+
+
 def band_keys(tokens: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
-    draw = np.random.default_rng(11).integers(0, 1 << 63, (2, bands * rows), np.uint64)
+    draw = _draw(bands * rows)
     least = (tokens[:, None] * (draw[0] | np.uint64(1)) + draw[1]).min(axis=0).reshape(bands, rows)
     keys = np.arange(bands, dtype=np.uint64)
     for j in range(rows):
@@ -50,34 +65,93 @@ def band_keys(tokens: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def paragraphs(text: str, least: int) -> Iterator[tuple[int, int, int]]:
-    """Start, end (in characters) and number of words of each line with enough words."""
+def has_near(n: int, threshold: Threshold) -> bool:
+    """Whether a set of ``n`` tokens can reach the threshold with any set but itself: with one token more at best."""
+    return n * threshold.den >= (n + 1) * threshold.num
+
+
+def paragraphs(text: str) -> Iterator[tuple[int, int, int]]:
+    """Start, end (in characters) and number of words of each line with words."""
     at = 0
     for line in text.split("\n"):
-        if len(line) >= 2 * least - 1 and (n := len(shingles.words(line))) >= least:
+        if n := len(shingles.words(line)):
             yield at, at + len(line), n
         at += len(line) + 1
 
 
-def _keyed(docs: DataFrame, k: int, least: int, bands: int) -> DataFrame:
-    """doc_id, start, end, n_words, f1, f2 of each paragraph, and its band keys."""
-    names = ["doc_id", "start", "end", "n_words", "f1", "f2"]
+def windows(spans: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """First place and end of the shortest windows that sum up to ``least``, from each place on and up to each place."""
+    sums = np.append(0, spans.cumsum())
+    ends = np.searchsorted(sums, sums[:-1] + least)
+    found = {(i, j) for i, j in enumerate(ends.tolist()) if j < len(sums)}
+    begins = np.searchsorted(sums, sums[1:] - least, side="right") - 1
+    found.update((i, j + 1) for j, i in enumerate(begins.tolist()) if i >= 0)
+    return sorted(found)
+
+
+def _keyed(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
+    """doc_id, row, line, start, end, n_words, f1, f2 of each paragraph, and its band keys.
+
+    ``row`` tells rows apart and holds once written; ``line`` counts the paragraphs of a text.
+    """
+    names, bands = ["doc_id", "row", "line", "start", "end", "n_words", "f1", "f2"], tune_bands(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             rows, keys = [], []
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text").to_pylist(), strict=True):
-                for a, b, n in paragraphs(text, least):
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "row", "text"))
+            for doc_id, row, text in zip(*columns, strict=True):
+                for line, (a, b, n) in enumerate(paragraphs(text)):
                     tokens = shingles.shingle_set(text[a:b], k)
-                    rows.append((doc_id.as_py(), a, b, n, *set_prints(tokens)))
-                    keys.append(band_keys(tokens, bands))
+                    rows.append((doc_id, row, line, a, b, n, *set_prints(tokens)))
+                    keys.append(band_keys(tokens, bands) if has_near(len(tokens), threshold) else [])
             columns = [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * len(names)
             arrays = [*(pa.array(c, pa.int64()) for c in columns), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, [*names, "keys"])
 
+    docs = docs.withColumn("row", F.monotonically_increasing_id())
     return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", keys array<long>")
 
 
+def _windows(found: DataFrame, least: int) -> DataFrame:
+    """doc_id, start, row, line, size, run of each window of matched neighbours: ``run`` stands for what it holds."""
+    names = ["doc_id", "start", "row", "line", "size"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "lines"):
+            rows, runs = [], []
+            columns = (batch.column(c) for c in ("doc_id", "row", "lines"))
+            for doc_id, row, lines in zip(*columns, strict=True):
+                fields = lines.values.flatten()  # line, start, like, span
+                line, start, like, span = (f.to_numpy()[np.argsort(fields[0].to_numpy())] for f in fields)
+                cuts = np.flatnonzero(np.diff(line) != 1) + 1
+                for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(line)], strict=True):
+                    for i, j in windows(span[a:b], least):
+                        rows.append((doc_id.as_py(), int(start[a + i]), row.as_py(), int(line[a + i]), j - i))
+                        runs.append(xxhash.xxh3_128_digest(like[a + i : a + j].tobytes()))
+            columns = [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * len(names)
+            arrays = [*(pa.array(c, pa.int64()) for c in columns), pa.array(runs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, [*names, "run"])
+
+    lines = F.collect_list(F.struct("line", "start", "like", "span")).alias("lines")
+    listed = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), lines)
+    return listed.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", run binary")
+
+
+def _ties(found: DataFrame, least: int) -> DataFrame:
+    """a, b: each paragraph of a repeated window, and that in its place in the window's first occurrence."""
+    met = stage(_windows(found, least), "windows")
+    first = F.min(F.struct("doc_id", "start", "row", "line")).alias("first")
+    repeated = met.groupBy("run").agg(F.count("*").alias("times"), first).where("times > 1").select("run", "first")
+    again = hub_join(met, repeated, ["run"], "inner").where("row <> first.row OR line <> first.line")
+    again = again.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1)))
+    return again.select(_node("row", F.col("line") + F.col("at")).alias("a"), _node("first.row", F.col("first.line") + F.col("at")).alias("b"))
+
+
+def _node(row: str, line: Column) -> Column:
+    return F.xxhash64(F.col(row), line)
+
+
 def _sets(docs: DataFrame, k: int) -> DataFrame:
     """node, f2, n, tokens, sketch of the paragraphs asked for: ``places`` (start, end, node) of each text."""
 
@@ -108,7 +182,7 @@ def repeated_paragraphs(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per paragraph that has a copy or near copy.
+    """One row per paragraph of a repeated passage: a run of ``least`` words that has a copy or near copy.
 
     doc_id, start, end (characters of the text), n_words, cluster_id, keep_doc_id (the
     document whose paragraph stays), kept.
@@ -117,7 +191,7 @@ def repeated_paragraphs(
     spark = docs.sparkSession
     rows, met = new_path(spark, "paragraphs"), new_path(spark, "met")
     with staging(spark):
-        keyed = stage(_keyed(docs, k, least, tune_bands(threshold)), "keyed")
+        keyed = stage(_keyed(docs, k, threshold), "keyed")
         rows = write_once(keyed.drop("keys"), rows)
         keys = keyed.select(F.explode("keys").alias("key"), F.col("f1").alias("node"))
         shared = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("key")
@@ -134,17 +208,23 @@ def repeated_paragraphs(
     linked = components(link_buckets(met, sets, threshold)).withColumnRenamed("node", "f1")
     linked = hub_join(linked, sets.select(F.col("node").alias("f1"), "f2"), ["f1"], "inner")
 
-    copies = rows.groupBy("f1", "f2").agg(F.count("*").alias("copies"))
+    # like: the component of paragraphs alike; span: the words of its longest
+    copies = rows.groupBy("f1", "f2").agg(F.count("*").alias("copies"), F.max("n_words").alias("most"))
     groups = hub_join(copies, linked, ["f1", "f2"], "left").where("copies > 1 OR component IS NOT NULL")
-    groups = stage(groups.select("f1", "f2", F.coalesce("component", "f1").alias("cluster_id")), "groups")
-    found = stage(hub_join(rows, groups, ["f1", "f2"], "inner").drop("f1", "f2"), "clustered")
-    first = found.groupBy("cluster_id").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    return hub_join(found, first, ["cluster_id"], "inner").select(
+    groups = stage(groups.select("f1", "f2", "most", F.coalesce("component", "f1").alias("like")), "groups")
+    spans = groups.groupBy("like").agg(F.max("most").alias("span"))
+    groups = stage(hub_join(groups.drop("most"), spans, ["like"], "inner"), "spans")
+    found = stage(hub_join(rows, groups, ["f1", "f2"], "inner").drop("f1", "f2"), "alike")
+    clusters = components(_ties(found, least))
+    found = found.withColumn("node", _node("row", F.col("line"))).drop("row", "line", "span")
+    found = stage(hub_join(found, clusters, ["node"], "inner").drop("node"), "clustered")
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+    return hub_join(found, first, ["component"], "inner").select(
         "doc_id",
         "start",
         "end",
         "n_words",
-        "cluster_id",
+        F.xxhash64("like", "first.doc_id", "first.start").alias("cluster_id"),
         F.col("first.doc_id").alias("keep_doc_id"),
         (F.struct("doc_id", "start").eqNullSafe(F.col("first"))).alias("kept"),
     )

@@ -227,6 +227,62 @@ def test_repeated_paragraphs(spark):
     assert paragraph_dedup.repeated_paragraphs(frame(spark, [])).count() == 0
 
 
+def test_passages_broken_over_short_lines(spark):
+    draw = random.Random(14)
+    passage, other, x, y = words(draw, 64), words(draw, 80), words(draw, 20), words(draw, 20)
+    near = list(other)
+    near[1] = "changed"
+    wrap = lambda found, n: "\n".join(" ".join(found[i : i + n]) for i in range(0, len(found), n))
+    ends = [wrap(words(draw, 40), 40) for _ in range(4)]
+    rows = [
+        (1, "intro line\n" + wrap(passage, 8) + "\nits own end"),
+        (2, wrap(passage, 8).replace("\n", "\n \n") + "\nanother end"),  # lines without words do not part a run
+        (3, wrap(passage[:48], 8) + "\na run under 50 words"),
+        (4, wrap(other, 40)),
+        (5, wrap(near, 40) + "\nmore"),
+        (6, wrap(x, 20) + "\n" + ends[0]),
+        (7, wrap(x, 20) + "\n" + ends[0]),
+        (8, wrap(x, 20) + "\n" + ends[1]),  # the first of another run with the same line stays whole
+        (9, wrap(x, 20) + "\n" + ends[1]),
+        (10, wrap(x, 20) + "\n" + ends[2]),
+        (11, wrap(y, 1) + "\n" + wrap(y, 1)),  # 20 words twice
+    ]
+    found = paragraph_dedup.repeated_paragraphs(frame(spark, rows)).collect()
+    got = {i: sorted((r.keep_doc_id, r.kept) for r in found if r.doc_id == i) for i, _ in rows}
+    assert got == {
+        1: [(1, True)] * 8,
+        2: [(1, False)] * 8,
+        3: [],
+        4: [(4, True)] * 2,
+        5: [(4, False)] * 2,
+        6: [(6, True)] * 2,
+        7: [(6, False)] * 2,
+        8: [(8, True)] * 2,
+        9: [(8, False)] * 2,
+        10: [],
+        11: [],
+    }
+    texts = dict(rows)
+    assert sorted(" ".join(passage).split()) == sorted(w for r in found if r.doc_id == 2 for w in texts[2][r.start : r.end].split())
+
+
+def test_windows_cover_every_run():
+    draw = np.random.default_rng(3)
+    for _ in range(200):
+        spans = draw.integers(1, 40, draw.integers(1, 12))
+        found = paragraph_dedup.windows(spans, 50)
+        assert all(spans[i:j].sum() >= 50 for i, j in found)
+        covered = {at for i, j in found for at in range(i, j)}
+        assert covered == (set(range(len(spans))) if spans.sum() >= 50 else set())
+
+
+def test_sets_without_a_near_one_need_no_bands():
+    for num in (50, 80, 85, 99):
+        for n in range(1, 120):
+            near = any(100 * min(n, m) >= num * max(n, m) for m in range(1, 400) if m != n)
+            assert paragraph_dedup.has_near(n, Threshold(num, 100)) or not near
+
+
 def test_bands_reach_the_recall():
     bands = paragraph_dedup.tune_bands(Threshold(80, 100))
     assert 1 - (1 - 0.8**paragraph_dedup.ROWS) ** bands >= paragraph_dedup.RECALL

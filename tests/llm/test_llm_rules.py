@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from propgraph.llm import quality_rules
+from propgraph.llm.quality_rules import RULES, Cascade, Measured, Rule, cascade_order, judge
+
+SPACE = re.compile(r"[\x20\x09-\x0D]+")
+GOOD = "one two three four five six seven eight nine ten alpha beta gamma delta epsilon zeta eta theta iota kappa"
+REJECTED = {
+    "word_length": " ".join(f"{chr(97 + i)}{chr(97 + j)}" for i in range(5) for j in range(6)),
+    "symbols": GOOD + " # % &",
+    "dup_lines": "\n".join([GOOD, "again and again", "again and again", "again and again"]),
+    "bullets": "\n".join(f"- {w}" for w in GOOD.split()),
+    "ellipses": "\n".join(f"{w} more of it..." for w in GOOD.split()),
+    "few_letters": GOOD + " 11111" * 2 + " 22222 33333 44444 55555 66666",
+    "capitals": GOOD.upper(),
+    "shouts": GOOD.replace(" ", "! "),
+    "digits": GOOD + "7" * 60,
+    "braces": GOOD + " {x} {y}",
+    "frequent_run": " ".join(f"quick brown fox {w}" for w in GOOD.split()),
+    "filler": GOOD + " Lorem Ipsum dolor",
+}
+TEXTS = [
+    *REJECTED.values(),
+    GOOD,
+    None,
+    "",
+    " \n\t\x0b\x0c\r ",
+    "a" * 300_000,
+    "wörter mit é 日本 " * 9,
+    "x y z w v u t s " * 3 + GOOD,
+    "a " * 30,
+    "l\nl\nl \n l\n\n\n",
+    (GOOD + "\n") * 5000,
+]
+
+
+def brute(text):
+    text = text or ""
+    words = [w for w in SPACE.split(text) if w]
+    runs = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    inside = {p for i in range(len(words) - 7) if runs[tuple(words[i : i + 8])] > 1 for p in range(i, i + 8)}
+    lines = [line for line in text.split("\n") if SPACE.sub("", line)]
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    failed = len(words) < 20 or 100 * len(inside) > 30 * len(words)
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(inside), failed
+
+
+def test_counts_and_verdicts(spark):
+    rows = [(i, t, "x", 1) for i, t in enumerate(TEXTS)]
+    df = spark.createDataFrame([*rows, rows[0], (None, GOOD, "x", 1)], "doc_id long, text string, kept string, n_words int")
+    got = judge(df).collect()
+    assert len(got) == len(TEXTS) + 2
+    for r in got:
+        text = GOOD if r.doc_id is None else TEXTS[r.doc_id]
+        want = brute(text)
+        assert tuple(r)[1:7] == want
+        assert r.kept == (not want[-1] and not any(rule.rejects(Measured(text or "")) for rule in RULES))
+    assert {r.doc_id for r in got if r.kept} == {None, TEXTS.index(GOOD)}
+    assert judge(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", REJECTED)
+def test_each_rule_rejects_its_text(name):
+    m = Measured(REJECTED[name])
+    assert name in [rule.name for rule in RULES if rule.rejects(m)]
+    assert not next(rule for rule in RULES if rule.name == name).rejects(Measured(GOOD))
+
+
+def test_order_is_by_rejections_per_cost_of_what_is_left():
+    rejected = np.array([[1, 1, 0, 0], [1, 1, 0, 0], [1, 1, 0, 0], [0, 0, 1, 0], [0, 0, 0, 0]], bool)
+    # the second rejects what the first does, for half the cost; then the third has more to reject than the first
+    assert cascade_order(rejected, np.array([2.0, 1.0, 5.0, 0.5])) == [1, 2, 3, 0]
+
+
+def test_the_rest_of_a_task_stops_at_the_first_rejection():
+    ran = Counter()
+
+    def rule(name, verdict):
+        def rejects(m):
+            ran[name] += 1
+            return verdict(m)
+
+        return Rule(name, rejects)
+
+    rules = [rule("never", lambda m: False), rule("short", lambda m: m.n_words < 5)]
+    cascade = Cascade(rules, sample=4)
+    texts = ["a", "b c", "d " * 9, "e"] + ["f"] * 100
+    assert [cascade.rejects(Measured(t)) for t in texts] == [len(t.split()) < 5 for t in texts]
+    assert ran == {"short": 104, "never": 4}
+
+
+def test_verdicts_do_not_depend_on_the_sample(monkeypatch):
+    texts = [t or "" for t in TEXTS] * 3
+    verdicts = []
+    for sample in (1, 7, 1000):
+        cascade = Cascade(RULES, sample)
+        verdicts.append([cascade.rejects(Measured(t)) for t in texts])
+    assert verdicts[0] == verdicts[1] == verdicts[2]
+    assert quality_rules.SAMPLE == 64

@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from propgraph.llm import merkle
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, lo string, tree int, digest string, held int"
+
+
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row, text):
+    def field(v):
+        return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+    doc_id, _, lang, source, n_chars = row
+    return sha(*map(field, (doc_id, source, lang, n_chars, text)))
+
+
+def tree(digests):
+    """The top, and the siblings (before, after) of each leaf level by level."""
+    paths, at, level = [[] for _ in digests], list(range(len(digests))), digests
+    while len(level) > 1:
+        for path, i in zip(paths, at, strict=True):
+            run = level[i // 16 * 16 :][:16]
+            path.append(("".join(run[: i % 16]), "".join(run[i % 16 + 1 :])))
+        at = [i // 16 for i in at]
+        level = [sha(*level[i : i + 16]) for i in range(0, len(level), 16)]
+    return level[0], paths
+
+
+def brute(rows):
+    sources = {}
+    for row in rows:
+        sources.setdefault(row[3], []).append((row[0] is not None, row[0] or 0, leaf(row, row[1]), row))
+    names = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    for members in sources.values():
+        members.sort(key=lambda m: m[:3])
+    built = [tree([m[2] for m in sources[s]]) for s in names]
+    if not built:
+        return []
+    root, upper = tree([top for top, _ in built])
+    out = []
+    for name, (subroot, paths), above in zip(names, built, upper, strict=True):
+        for (*_, digest, row), path in zip(sources[name], paths, strict=True):
+            path, folded = path + above, digest
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0 and row[1] is not None:
+                folded = leaf(row, "".join(c.lower() if c.isascii() else c for c in row[1]))
+            for before, after in path:
+                folded = sha(before, folded, after)
+            proof = sha(*[a + b for a, b in path])
+            out.append((str(row[0]), digest, subroot, root, proof, folded, folded == root))
+    return sorted(out)
+
+
+def found(spark, rows):
+    df = spark.createDataFrame([(*r, "x", 1, "y", 2) for r in rows], SCHEMA)
+    got = merkle.proofs(df, merkle.lower_cased()).withColumn("proof", merkle.proof_digest())
+    columns = ["doc_id", "leaf", "subroot", "root", "proof", "folded_root", "verified"]
+    return sorted((str(r[0]), *r[1:]) for r in got.select(*columns).collect())
+
+
+def mixed():
+    draw = random.Random(4)
+    rows = []
+    for i in range(700):
+        text = None if i % 9 == 0 else draw.choice(["Ab", "É X", "", "zz"]) + str(i)
+        source = None if i % 11 == 0 else "hot" if i % 3 == 0 else f"s{i % 37}"
+        rows.append((i, text, draw.choice(["de", None]), source, i if i % 4 else None))
+    rows += [rows[5], rows[5], (None, "T", "x", "hot", 1), (3, "other", "x", "hot", 2)]  # copies, null id, one id twice
+    return rows + [(9999, "Long " * 50_000, "en", "alone", 1)]
+
+
+@pytest.mark.parametrize("partitions", [1, 8])
+def test_manifest_equals_brute_force(spark, conf, partitions):
+    conf("spark.sql.shuffle.partitions", partitions)
+    rows = mixed()
+    got = found(spark, rows)
+    assert got == brute(rows)
+    assert {r[-1] for r in got} == {True, False}
+
+
+@pytest.mark.parametrize("n", [0, 1, 16, 17])
+def test_one_source(spark, n):
+    rows = [(i, "Xx", "d", "s", 1) for i in range(n)]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_without_claims_all_is_verified(spark):
+    rows = [(i, "Xx", "d", f"s{i % 18}", 1) for i in range(40)]
+    df = spark.createDataFrame([(*r, "x", 1, "y", 2) for r in rows], SCHEMA)
+    got = merkle.proofs(df).collect()
+    assert len(got) == 40 and all(r.verified for r in got)
+    assert {len(r.path) for r in got} == {3}  # one level in its source, two over the sources

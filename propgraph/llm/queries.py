@@ -11,12 +11,16 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from propgraph.llm import (
     byte_bpe,
+    conversation_trie,
     decontaminate,
     exact_dedup,
     jaccard_join,
     license_scan,
+    merkle,
+    oracle,
     paragraph_dedup,
     quality,
+    quality_rules,
     token_counts,
     toxicity,
     warc,
@@ -135,6 +139,33 @@ def op8_pu_quality(spark, sf_dir):
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_euler_tour_trie(spark, sf_dir):
+    return conversation_trie.rebuilt_trie(table(spark, sf_dir, "conversations")).drop("entered")
+
+
+LLM_ORACLE["op11_euler_tour_trie"] = oracle.TRIE
+
+
+@query
+def op12_interval_merkle_manifest(spark, sf_dir):
+    found = merkle.proofs(table(spark, sf_dir, "documents"), merkle.lower_cased())
+    return found.withColumn("proof_sha256", merkle.proof_digest()).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
+LLM_ORACLE["op12_interval_merkle_manifest"] = oracle.MANIFEST
+
+
+@query
+def op13_rule_cascade(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLE["op13_rule_cascade"] = oracle.RULES
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

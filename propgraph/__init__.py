@@ -26,6 +26,16 @@ from propgraph.operators.match import (
     scan_rels,
 )
 from propgraph.operators.shape import copies, head, node_set, rename, row_key
+from propgraph.operators.stored import (
+    append_stored_nodes,
+    append_stored_rels,
+    compact,
+    delete_stored_nodes,
+    delete_stored_rels,
+    merge_stored_rels,
+    upsert_stored_nodes,
+    upsert_stored_rels,
+)
 from propgraph.operators.write import (
     append_nodes,
     append_rels,
@@ -34,6 +44,7 @@ from propgraph.operators.write import (
     upsert_nodes,
     upsert_rels,
 )
+from propgraph.sources.buckets import Store, create_store, open_store
 from propgraph.sources.store import read_graph, write_graph
 from propgraph.sources.text import read_edge_list, read_table
 
@@ -44,18 +55,25 @@ __all__ = [
     "Pool",
     "PropertyGraph",
     "Rels",
+    "Store",
     "append_in_batches",
     "append_nodes",
     "append_rels",
+    "append_stored_nodes",
+    "append_stored_rels",
     "batch_edges",
     "batch_heatmap",
+    "compact",
     "constraint_report",
     "copies",
     "count_nodes",
     "count_rels",
+    "create_store",
     "degree_top_k",
     "delete_nodes",
     "delete_rels",
+    "delete_stored_nodes",
+    "delete_stored_rels",
     "graph_summary",
     "group_edges",
     "head",
@@ -64,7 +82,9 @@ __all__ = [
     "key_violations",
     "merge_in_batches",
     "merge_rels",
+    "merge_stored_rels",
     "node_set",
+    "open_store",
     "read_edge_list",
     "read_graph",
     "read_table",
@@ -76,5 +96,7 @@ __all__ = [
     "upsert_endpoints",
     "upsert_nodes",
     "upsert_rels",
+    "upsert_stored_nodes",
+    "upsert_stored_rels",
     "write_graph",
 ]

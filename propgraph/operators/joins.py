@@ -23,7 +23,7 @@ def _common_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[
         raise TypeError(f"the join columns {list(on)} have no common type") from e
 
 
-def _plain(col: Column, kind: DataType) -> Column | None:
+def plain_key(col: Column, kind: DataType) -> Column | None:
     """A value that is the same for equal keys; None where equality is not that of the bytes."""
     if isinstance(kind, StringType) and kind.collation != "UTF8_BINARY":
         return None
@@ -49,7 +49,7 @@ def hub_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) ->
     kinds = _common_types(left, right, on)
     there = [fresh(f"_right_{i}", left, right) for i in range(len(on))]
     split = fresh("_split", left, right)
-    hashed = [_plain(F.col(c).cast(kind), kind) for c, kind in zip(on, kinds, strict=True)]
+    hashed = [plain_key(F.col(c).cast(kind), kind) for c, kind in zip(on, kinds, strict=True)]
     hashed = [h for h in hashed if h is not None]
     rest = [c for c in right.columns if c not in on]
     right_split = split + "r"

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
@@ -64,6 +64,20 @@ def _greatest_pair(df: DataFrame, keys: list[str], first: str, second: str) -> D
     )
 
 
+def _laid(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> tuple[Column, list[Column], list[Column], dict]:
+    """How to lay rows over others: the match, the columns after it, those that are new, and fresh names for the incoming."""
+    renamed = {c: fresh(f"_new_{c}", existing, incoming) for c in incoming.columns}
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(renamed[k]) for k in keys])
+    hit = F.col(renamed[keys[0]]).isNotNull()  # a key is never null, so it marks a match; an incoming null does overwrite
+    values = [c for c in incoming.columns if c not in keys]
+    updated = [
+        F.when(hit, F.col(renamed[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+        for c in existing.columns
+    ]
+    added = [F.col(renamed[c]).alias(c) for c in values if c not in existing.columns]
+    return same, updated, added, renamed
+
+
 def _upsert(existing: DataFrame, winners: DataFrame, keys: Sequence[str], bulk: bool = False) -> DataFrame:
     """Lay ``winners`` (one row per key, no null keys) over ``existing``.
 
@@ -80,26 +94,30 @@ def _upsert(existing: DataFrame, winners: DataFrame, keys: Sequence[str], bulk:
     """
     keys = list(keys)
     values = [c for c in winners.columns if c not in keys]
-    renamed = {c: fresh(f"_new_{c}", existing, winners) for c in winners.columns}
+    same, updated, added, renamed = _laid(existing, winners, keys)
     incoming = winners.withColumnsRenamed(renamed)
-    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(renamed[k]) for k in keys])
-    hit = F.col(renamed[keys[0]]).isNotNull()  # a key is never null, so it marks a match; an incoming null does overwrite
-    updated = [
-        F.when(hit, F.col(renamed[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
-        for c in existing.columns
-    ]
-    added = [F.col(renamed[c]).alias(c) for c in values if c not in existing.columns]
     if bulk:
         merged_keys = {k: F.coalesce(F.col(k), F.col(renamed[k])).alias(k) for k in keys}
         columns = [merged_keys.get(c, u) for c, u in zip(existing.columns, updated, strict=True)]
         return existing.join(incoming, same, "full_outer").select(*columns, *added)
 
-    staged = stage(incoming, "winners")
-    staged = staged.where(all_set(renamed[k] for k in keys))  # as the joins imply: one shuffle serves all
-    known = existing.select(*keys).join(staged.select(*[renamed[k] for k in keys]), same, "left_semi").distinct()
-    created = staged.join(known, same, "left_anti").select(*[F.col(n).alias(c) for c, n in renamed.items()])
+    if not values:
+        # nothing to set, so only the new keys matter
+        known = existing.select(*keys).join(incoming, same, "left_semi").distinct()
+        created = winners.join(known, keys, "left_anti").select(*keys)
+        return existing.unionByName(stage(created, "created"), allowMissingColumns=True)
+    return lay_over(existing, stage(winners, "winners"), keys)
+
+
+def lay_over(existing: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``existing`` updated where a row of ``staged`` (one per key, no null keys) matches, and the rows whose key is new."""
+    keys = list(keys)
+    same, updated, added, renamed = _laid(existing, staged, keys)
+    incoming = staged.withColumnsRenamed(renamed).where(all_set(renamed[k] for k in keys))  # as the joins imply: one shuffle serves all
+    known = existing.select(*keys).join(incoming.select(*[renamed[k] for k in keys]), same, "left_semi").distinct()
+    created = incoming.join(known, same, "left_anti").select(*[F.col(n).alias(c) for c, n in renamed.items()])
     created = stage(created, "created")
-    kept = existing.join(staged, same, "left").select(*updated, *added) if values else existing
+    kept = existing.join(incoming, same, "left").select(*updated, *added)
     return kept.unionByName(created, allowMissingColumns=True)
 
 

@@ -25,7 +25,7 @@ from propgraph.operators.match import (
     scan_nodes,
     scan_rels,
 )
-from propgraph.operators.shape import copies, head, node_set, rename, row_key
+from propgraph.operators.shape import copies, extend_keys, head, node_set, rename, row_key
 from propgraph.operators.stored import (
     append_stored_nodes,
     append_stored_rels,
@@ -43,6 +43,7 @@ from propgraph.operators.write import (
     upsert_endpoints,
     upsert_nodes,
     upsert_rels,
+    with_rel_ids,
 )
 from propgraph.sources.buckets import Store, create_store, open_store
 from propgraph.sources.store import read_graph, write_graph
@@ -74,6 +75,7 @@ __all__ = [
     "delete_rels",
     "delete_stored_nodes",
     "delete_stored_rels",
+    "extend_keys",
     "graph_summary",
     "group_edges",
     "head",
@@ -98,5 +100,6 @@ __all__ = [
     "upsert_rels",
     "upsert_stored_nodes",
     "upsert_stored_rels",
+    "with_rel_ids",
     "write_graph",
 ]

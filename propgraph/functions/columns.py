@@ -17,9 +17,9 @@ def holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def hash_group(col: str, n: int) -> Column:
+def hash_group(col: str | Column, n: int) -> Column:
     """A group 0..n-1 that depends on the value only: leading 32 bits of its md5, mod n."""
-    digest = F.md5(F.col(col).cast("string"))
+    digest = F.md5((F.col(col) if isinstance(col, str) else col).cast("string"))
     return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % n).cast("int")
 
 

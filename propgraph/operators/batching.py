@@ -8,26 +8,29 @@ blocks as in Gemulla et al., KDD 2011).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from propgraph.functions.columns import batch_of, hash_group, snake_group
-from propgraph.operators.joins import hub_join
+from propgraph.operators.joins import common_types, fresh, hub_join
 from propgraph.operators.shape import row_key
-from propgraph.operators.write import Match, match_ends, merge_rels
-from propgraph.staging import stage, staging
+from propgraph.operators.write import Match, lay_over_all, match_ends, one_per_key
+from propgraph.sources import files
+from propgraph.staging import discard, stage, staging
 
 
 def _dealt(edges: DataFrame, col: str, n: int, group: str) -> DataFrame:
     """Node -> group: nodes by falling degree, then key, dealt in snake order."""
-    degrees = edges.where(F.col(col).isNotNull()).groupBy(col).agg((-F.count("*")).alias("_degree"))
-    ranked = row_key(degrees, ["_degree", col], name="_rank", keep=[col])
-    return ranked.select(col, snake_group(F.col("_rank"), n).alias(group))
+    degree, rank = fresh("_degree", edges), fresh("_rank", edges)
+    degrees = edges.where(F.col(col).isNotNull()).groupBy(col).agg((-F.count("*")).alias(degree))
+    ranked = row_key(degrees, [degree, col], name=rank, keep=[col])
+    return ranked.select(col, snake_group(F.col(rank), n).alias(group))
 
 
 def group_edges(df: DataFrame, src: str, dst: str, n: int, balanced: bool = False) -> DataFrame:
@@ -78,7 +81,7 @@ def _checked(batched: Batched) -> DataFrame:
     return batched.df.withColumn("batch", F.when(fits, F.col("batch")).otherwise(failed.cast("int")))
 
 
-def ingest_in_batches(batched: Batched, write_fn: Callable[[DataFrame, int], None]) -> None:
+def ingest_in_batches(batched: Batched, write_fn: Callable[[DataFrame, int], None], ledger: str | None = None) -> None:
     """Call ``write_fn(part, b)`` for each batch b in turn; a part has one partition per group.
 
     The batched edges are written once, partitioned by batch, so each batch reads
@@ -86,29 +89,83 @@ def ingest_in_batches(batched: Batched, write_fn: Callable[[DataFrame, int], Non
     sizes and splits a large batch. Rows with a null node match nothing and are left out;
     a group or batch out of range is an error.
 
-    Spark may run a task again, so ``write_fn`` should be idempotent: write to a path
-    of its own per batch, or merge instead of append.
+    ``ledger`` is a folder that makes the load resumable. The copy is kept there, and a marker is
+    written after each batch. A call with the ledger of one that was broken off goes on
+    with the copy of that call, whatever ``batched`` holds by then, and skips the marked
+    batches; after the last one a call does nothing.
+
+    Spark may run a task again, and a batch may have been broken off before its marker, so
+    ``write_fn`` should be idempotent: write to a path of its own per batch, or merge instead
+    of append.
     """
+
+    def by_group(part: DataFrame, b: int) -> None:
+        write_fn(part.repartitionById(batched.n, F.col("source_group")), b)
+
+    _each_batch(batched, by_group, ledger)
+
+
+def _each_batch(batched: Batched, write_fn: Callable[[DataFrame, int], None], ledger: str | None) -> None:
+    """Stage the edges by batch and call ``write_fn`` with what each batch's files hold."""
     df, n = batched.df, batched.n
+    spark = df.sparkSession
     spread = _checked(batched).where(F.col("batch").isNotNull()).hint("rebalance", F.col("batch"))
-    with staging(df.sparkSession):
-        staged = stage(spread, "batches", ["batch"]).select(*df.columns)
-        for b in range(n):
-            write_fn(staged.where(F.col("batch") == b).repartitionById(n, F.col("source_group")), b)
+
+    def run(staged: DataFrame, b: int) -> None:
+        write_fn(staged.select(*df.columns).where(F.col("batch") == b), b)
+
+    if ledger is None:
+        with staging(spark):
+            staged = stage(spread, "batches", ["batch"])
+            for b in range(n):
+                run(staged, b)
+        return
+    ledger = ledger.rstrip("/")
+    rest = sorted(set(range(n)) - _marked(spark, ledger, batched))
+    if rest:
+        copy = f"{ledger}/input"
+        if "input.json" not in files.names(spark, ledger):
+            spread.write.mode("overwrite").partitionBy("batch").parquet(copy)
+            files.write_text(spark, f"{ledger}/input.json", _about(batched))
+        staged = spark.read.schema(df.schema).parquet(copy)
+        for b in rest:
+            run(staged, b)
+            files.write_text(spark, f"{ledger}/done/{b}", "")
+        discard(spark, copy)
 
 
-def append_in_batches(incoming: Batched, path: str, src: Match | None = None, dst: Match | None = None) -> DataFrame:
+def _about(batched: Batched) -> str:
+    return json.dumps({"n": batched.n, "schema": batched.df.schema.jsonValue()})
+
+
+def _marked(spark: SparkSession, ledger: str, batched: Batched) -> set[int]:
+    """The batches that are done; an error if the ledger is that of another load."""
+    if "input.json" in files.names(spark, ledger):
+        about = json.loads(files.read_text(spark, f"{ledger}/input.json"))
+        if about["n"] != batched.n or _columns(about["schema"]) != _columns(batched.df.schema.jsonValue()):
+            raise ValueError(f"{ledger} belongs to a load with other columns or another number of batches")
+    return {int(name) for name in files.names(spark, f"{ledger}/done") if name.isdigit()}
+
+
+def _columns(schema: dict) -> list[tuple]:
+    return [(f["name"], json.dumps(f["type"])) for f in schema["fields"]]
+
+
+def append_in_batches(
+    incoming: Batched, path: str, src: Match | None = None, dst: Match | None = None, ledger: str | None = None
+) -> DataFrame:
     """Create the relationships of ``incoming`` batch by batch below ``path``, which must be new.
 
     As ``append_rels`` onto nothing. The ends are matched once, before the edges are
-    dealt into batches, so no batch reads the nodes again.
+    dealt into batches, so no batch reads the nodes again. With the ``ledger`` of a call that
+    was broken off (see ``ingest_in_batches``) ``path`` is the same as then.
     """
     matched = match_ends(incoming.df, src, dst)
 
     def write_batch(part: DataFrame, b: int) -> None:
         part.drop("batch").write.mode("overwrite").parquet(f"{path}/batch={b}")
 
-    ingest_in_batches(replace(incoming, df=matched), write_batch)
+    ingest_in_batches(replace(incoming, df=matched), write_batch, ledger)
     return _written(matched, path)
 
 
@@ -122,31 +179,42 @@ def merge_in_batches(
     path: str,
     src_nodes: Match | None = None,
     dst_nodes: Match | None = None,
+    ledger: str | None = None,
 ) -> DataFrame:
     """Merge ``incoming`` into ``existing`` batch by batch below ``path``, which must be new.
 
-    As ``merge_rels``, onto frames that have all columns. ``identity`` holds both ends, so all rows of one identity lie in one
-    batch. The existing relationships are dealt into the same batches by hash, and each
-    batch is merged with its own part only; the ends are matched once. ``incoming`` must be
-    grouped by hash too.
+    As ``merge_rels``, onto a frame that has all columns; these keep the types they have there.
+    ``identity`` holds both ends, so all rows of one identity lie in one batch. The ends are
+    matched and the greatest row of each identity is found once, before the batches. Then
+    both sides are dealt by a hash of their ends in the type that holds those of both,
+    however ``incoming`` was grouped, and a batch is one join of its two parts.
     """
     spark, n = existing.sparkSession, incoming.n
-    columns = existing.columns
-    matched = match_ends(incoming.df, src_nodes, dst_nodes, "left_semi")
-    known = batch_edges(existing, src, dst, n).df.withColumn("batch", F.coalesce("batch", F.lit(-1)))
+    wanted = incoming.df.select(*dict.fromkeys([*identity, *set_cols]))
+    winners = one_per_key(match_ends(wanted, src_nodes, dst_nodes, "left_semi"), identity, set_cols)
+    kinds = common_types(existing, winners, [src, dst])
+    groups = ("source_group", "target_group")
+    if taken := {*groups, "batch"} & set(existing.columns):
+        raise ValueError(f"the relationships have a column named {taken.pop()}")
+
+    def dealt(df: DataFrame) -> DataFrame:
+        hashed = {g: hash_group(F.col(c).cast(kind), n) for g, c, kind in zip(groups, (src, dst), kinds, strict=True)}
+        return df.withColumns(hashed).withColumn("batch", batch_of(*groups, n))
+
+    kept_types = [F.col(f.name).cast(f.dataType).alias(f.name) for f in existing.schema]
+    known = dealt(existing).select(*existing.columns, F.coalesce("batch", F.lit(-1)).alias("batch"))
     with staging(spark):
         old = stage(known.hint("rebalance", F.col("batch")), "existing", ["batch"])
 
         def write_batch(part: DataFrame, b: int) -> None:
-            own = old.where(F.col("batch") == b).select(*columns)
-            with staging(spark):
-                merged = merge_rels(own, part, identity, set_cols)
-                merged.write.mode("overwrite").parquet(f"{path}/batch={b}")
+            own = old.where(F.col("batch") == b).drop("batch")
+            merged = lay_over_all(own, part.drop("batch", *groups), identity)
+            merged.select(*kept_types).write.mode("overwrite").parquet(f"{path}/batch={b}")
 
-        ingest_in_batches(replace(incoming, df=matched), write_batch)
+        _each_batch(Batched(dealt(winners), n), write_batch, ledger)
         # relationships with a null end match nothing and stay as they are
-        old.where("batch = -1").select(*columns).write.mode("overwrite").parquet(f"{path}/batch=-1")
-    return spark.read.schema(existing.schema).parquet(path).select(*columns)
+        old.where("batch = -1").drop("batch").write.mode("overwrite").parquet(f"{path}/batch=-1")
+    return spark.read.schema(existing.schema).parquet(path).select(*existing.columns)
 
 
 def _written(like: DataFrame, path: str) -> DataFrame:
@@ -163,9 +231,10 @@ def ingest_serially(df: DataFrame, write_fn: Callable[[DataFrame, int], None], s
     is by row count, written with the rows: equal rows spread as well.
     """
     n = slices or df.sparkSession.sparkContext.defaultParallelism
-    sliced = df.repartition(n).withColumn("_slice", F.spark_partition_id())
+    number = fresh("_slice", df)
+    sliced = df.repartition(n).withColumn(number, F.spark_partition_id())
     with staging(df.sparkSession):
-        staged = stage(sliced, "slices", ["_slice"])
+        staged = stage(sliced, "slices", [number])
         for i in range(n):
             # nothing but a file scan lies below the coalesce
-            write_fn(staged.where(F.col("_slice") == i).select(*df.columns).coalesce(1), i)
+            write_fn(staged.where(F.col(number) == i).select(*df.columns).coalesce(1), i)

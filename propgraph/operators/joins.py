@@ -15,7 +15,7 @@ def fresh(name: str, *frames: DataFrame) -> str:
     return name
 
 
-def _common_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[DataType]:
+def common_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[DataType]:
     try:
         both = left.select(*on).unionAll(right.select(*on))
         return [f.dataType for f in both.schema]
@@ -46,7 +46,7 @@ def hub_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) ->
     to broadcast, Spark broadcasts as usual and no shuffle takes place.
     """
     on = list(on)
-    kinds = _common_types(left, right, on)
+    kinds = common_types(left, right, on)
     there = [fresh(f"_right_{i}", left, right) for i in range(len(on))]
     split = fresh("_split", left, right)
     hashed = [plain_key(F.col(c).cast(kind), kind) for c, kind in zip(on, kinds, strict=True)]

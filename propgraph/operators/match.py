@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from propgraph.functions.columns import all_set, holds
 from propgraph.model import End, PropertyGraph, Rels
-from propgraph.operators.joins import hub_join
+from propgraph.operators.joins import fresh, hub_join
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -57,15 +57,16 @@ def scan_rels(
         by_key = {key: col for col, key in end.cols.items()}
         nodes = graph.nodes[end.label].df
         props = list(nodes.columns if props is None else props)
-        extra = [p for p in props if p not in by_key]
+        extra, held = [p for p in props if p not in by_key], {}
         if extra:
             node_cols = [F.col(key).alias(col) for key, col in by_key.items()]
-            wanted = nodes.select(*node_cols, *[F.col(p).alias(f"_{side}_{p}") for p in extra])
+            held = {p: fresh(f"_{side}_{p}", df, nodes) for p in extra}
+            wanted = nodes.select(*node_cols, *[F.col(p).alias(held[p]) for p in extra])
             df = hub_join(df, wanted, list(end.cols), "inner")
         elif not ends_exist:
             keys = nodes.select(*[F.col(key).alias(col) for key, col in by_key.items()])
             df = hub_join(df, keys, list(end.cols), "left_semi")
-        out += [F.col(by_key.get(p, f"_{side}_{p}")).alias(f"{side}_{p}") for p in props]
+        out += [F.col(by_key.get(p) or held[p]).alias(f"{side}_{p}") for p in props]
     return df.select(*out, *own)
 
 
@@ -139,8 +140,9 @@ def degree_top_k(
         return empty.where(F.lit(False))
     degrees = _union(frames).groupBy(*nodes.keys).agg(F.count("*").alias(count_col))
     if not keyed:
-        names = nodes.df.select(*nodes.keys, F.col(name_prop).alias("_name"))
+        named_by = fresh("_name", nodes.df)
+        names = nodes.df.select(*nodes.keys, F.col(name_prop).alias(named_by))
         named = hub_join(names, degrees, list(nodes.keys), "inner")
-        degrees = named.groupBy(F.col("_name").alias(name_prop)).agg(F.sum(count_col).alias(count_col))
+        degrees = named.groupBy(F.col(named_by).alias(name_prop)).agg(F.sum(count_col).alias(count_col))
     top = degrees.select(F.col(name_prop).alias(name_col), count_col)
     return top.orderBy(F.desc(count_col), name_col).limit(k)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propgraph.operators.joins import fresh
 from propgraph.staging import stage
 
 # monotonically_increasing_id: partition number above, row number in the lower 33 bits
@@ -34,7 +36,8 @@ def node_set(df: DataFrame, cols: str | Sequence[str], name: str) -> DataFrame:
 
 def copies(df: DataFrame, n: int) -> DataFrame:
     """The bag union of ``n`` copies of ``df``, read once."""
-    return df.select("*", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("_copy")).drop("_copy")
+    number = fresh("_copy", df)
+    return df.select("*", F.explode(F.sequence(F.lit(1), F.lit(n))).alias(number)).drop(number)
 
 
 def head(df: DataFrame, order_cols: Sequence[str], n: int = 5) -> DataFrame:
@@ -48,8 +51,9 @@ def row_key(
     name: str = "key",
     buckets: int | None = None,
     keep: Sequence[str] | None = None,
+    first: int = 0,
 ) -> DataFrame:
-    """Number the rows 0, 1, 2, ... in the order of ``order_cols``, as bigint ``name``.
+    """Number the rows from ``first`` (0, 1, 2, ...) in the order of ``order_cols``, as bigint ``name``.
 
     ``order_cols`` must be unique together; the key then depends on the data alone.
     Rows are range-partitioned into ``buckets`` (default: the shuffle partitions),
@@ -62,18 +66,39 @@ def row_key(
     """
     spark = df.sparkSession
     keep = list(df.columns if keep is None else keep)
+    slot, bucket, start = (fresh(c, df) for c in ("_slot", "_bucket", "_start"))
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
-        .select(*keep, F.monotonically_increasing_id().alias("_slot"))
+        .select(*keep, F.monotonically_increasing_id().alias(slot))
     )
-    rows = stage(ordered, "keyed").withColumn("_bucket", F.shiftright("_slot", _ROW_BITS))
-    sizes = sorted((r["_bucket"], r["count"]) for r in rows.groupBy("_bucket").count().collect())
-    starts = accumulate((size for _, size in sizes), initial=0)
-    offsets = spark.createDataFrame(
-        [(bucket, start) for (bucket, _), start in zip(sizes, starts)], "_bucket bigint, _start bigint"
-    )
-    place = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    rows = stage(ordered, "keyed").withColumn(bucket, F.shiftright(slot, _ROW_BITS))
+    sizes = sorted(rows.groupBy(bucket).agg(F.count("*")).collect())
+    starts = accumulate((size for _, size in sizes), initial=first)
+    offsets = spark.createDataFrame([(b, at) for (b, _), at in zip(sizes, starts)], f"{bucket} bigint, {start} bigint")
+    place = F.col(slot).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     # offsets has one row per bucket
-    return rows.join(F.broadcast(offsets), "_bucket").select((F.col("_start") + place).alias(name), *keep)
+    return rows.join(F.broadcast(offsets), bucket).select((F.col(start) + place).alias(name), *keep)
+
+
+def extend_keys(keyed: DataFrame, incoming: DataFrame, order_cols: Sequence[str], name: str = "key") -> DataFrame:
+    """``keyed`` and, numbered after its greatest key, the rows of ``incoming`` that it does not have yet.
+
+    ``order_cols`` are unique together and tell the rows apart (null equals null). No key that
+    was given ever changes: of a row that is there already nothing is added, so a load that is
+    given twice adds nothing the second time. New rows are numbered in the order of
+    ``order_cols`` within their load; repeated ones among them count once. Columns that only
+    one side has are null in the other's rows.
+
+    ``keyed`` should be a stored table. Runs jobs when called.
+    """
+    order_cols = list(order_cols)
+    there = [fresh(f"_there_{i}", keyed, incoming) for i in range(len(order_cols))]
+    known = keyed.select(*[F.col(c).alias(t) for c, t in zip(order_cols, there, strict=True)])
+    same = [F.col(c).eqNullSafe(F.col(t)) for c, t in zip(order_cols, there, strict=True)]
+    new = incoming.dropDuplicates(order_cols).join(known, reduce(lambda a, b: a & b, same), "left_anti")
+    last = keyed.agg(F.max(name)).first()[0]
+    # staged, for the numbering reads it twice
+    numbered = row_key(stage(new, "new-rows"), order_cols, name, first=0 if last is None else last + 1)
+    return keyed.unionByName(numbered, allowMissingColumns=True)

@@ -20,7 +20,15 @@ from pyspark.sql.types import StructField, StructType
 from propgraph.functions.columns import all_set, holds
 from propgraph.model import End
 from propgraph.operators.joins import hub_join
-from propgraph.operators.write import lay_over, match_ends, one_per_key, rename_keys
+from propgraph.operators.write import (
+    REL_ID,
+    lay_over,
+    match_ends,
+    not_loaded_yet,
+    one_per_key,
+    rename_keys,
+    with_rel_ids,
+)
 from propgraph.sources.buckets import BUCKET, LOAD, Store, StoredTable, Tombs
 from propgraph.staging import stage
 
@@ -128,8 +136,13 @@ def upsert_stored_rels(
     return store.commit(changed)
 
 
-def append_stored_rels(store: Store, rel_type: str, incoming: DataFrame, match: bool = True) -> Store:
-    """Create a relationship per row; with ``match`` and match of its ends, as ``append_rels``."""
+def append_stored_rels(
+    store: Store, rel_type: str, incoming: DataFrame, match: bool = True, load: str | None = None
+) -> Store:
+    """Create a relationship per row; with ``match`` and match of its ends, as ``append_rels``.
+
+    With the id of its ``load`` a repeated append adds nothing that is there.
+    """
     rows = incoming
     if match:
         rows = stage(incoming, "batch")
@@ -137,7 +150,13 @@ def append_stored_rels(store: Store, rel_type: str, incoming: DataFrame, match:
             nodes = store.nodes(end.label)
             touched = _buckets(rows, nodes.bucket(_end_columns(nodes, end)))
             rows = match_ends(rows, (store.read(nodes, touched), end.cols), None)
-    table, rows = _fitted(store.rels(rel_type), rows)
+    known = store.rels(rel_type)
+    if load is not None:
+        rows = with_rel_ids(rows, load)
+    table, rows = _fitted(known, rows)
+    if load is not None and REL_ID in known.schema.names:
+        rows = stage(rows, "created")
+        rows = not_loaded_yet(rows, store.read(known, _buckets(rows)), load)
     return store.commit({table.name: _added(store, table, rows, store.next_version(), False)})
 
 

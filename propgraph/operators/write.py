@@ -26,6 +26,8 @@ from propgraph.staging import stage
 # of these a maximum is a hash aggregate
 FIXED_WIDTH = (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType)
 
+REL_ID = "rel_id"
+
 Match = tuple[DataFrame, Mapping[str, str]]
 
 
@@ -47,8 +49,9 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
         return df.groupBy(*keys).agg(F.max(ranked[0]).alias(ranked[0]))
     if len(ranked) == 2 and all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in ranked):
         return _greatest_pair(df, keys, *ranked).select(*keys, *values)
-    best = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_best"))
-    return best.select(*keys, *[F.col("_best")[c].alias(c) for c in values])
+    best = fresh("_best", df)
+    found = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias(best))
+    return found.select(*keys, *[F.col(best)[c].alias(c) for c in values])
 
 
 def _greatest_pair(df: DataFrame, keys: list[str], first: str, second: str) -> DataFrame:
@@ -94,21 +97,26 @@ def _upsert(existing: DataFrame, winners: DataFrame, keys: Sequence[str], bulk:
     """
     keys = list(keys)
     values = [c for c in winners.columns if c not in keys]
-    same, updated, added, renamed = _laid(existing, winners, keys)
-    incoming = winners.withColumnsRenamed(renamed)
     if bulk:
-        merged_keys = {k: F.coalesce(F.col(k), F.col(renamed[k])).alias(k) for k in keys}
-        columns = [merged_keys.get(c, u) for c, u in zip(existing.columns, updated, strict=True)]
-        return existing.join(incoming, same, "full_outer").select(*columns, *added)
-
+        return lay_over_all(existing, winners, keys)
     if not values:
         # nothing to set, so only the new keys matter
-        known = existing.select(*keys).join(incoming, same, "left_semi").distinct()
+        same, _, _, renamed = _laid(existing, winners, keys)
+        known = existing.select(*keys).join(winners.withColumnsRenamed(renamed), same, "left_semi").distinct()
         created = winners.join(known, keys, "left_anti").select(*keys)
         return existing.unionByName(stage(created, "created"), allowMissingColumns=True)
     return lay_over(existing, stage(winners, "winners"), keys)
 
 
+def lay_over_all(existing: DataFrame, winners: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """As ``lay_over``, in one full outer join, with nothing staged."""
+    keys = list(keys)
+    same, updated, added, renamed = _laid(existing, winners, keys)
+    merged_keys = {k: F.coalesce(F.col(k), F.col(renamed[k])).alias(k) for k in keys}
+    columns = [merged_keys.get(c, u) for c, u in zip(existing.columns, updated, strict=True)]
+    return existing.join(winners.withColumnsRenamed(renamed), same, "full_outer").select(*columns, *added)
+
+
 def lay_over(existing: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``existing`` updated where a row of ``staged`` (one per key, no null keys) matches, and the rows whose key is new."""
     keys = list(keys)
@@ -157,14 +165,47 @@ def rename_keys(nodes: DataFrame, cols: Mapping[str, str]) -> DataFrame:
     return nodes.select(*[F.col(key).alias(col) for col, key in cols.items()])
 
 
+def with_rel_ids(rels: DataFrame, load: str, name: str = REL_ID) -> DataFrame:
+    """``rels`` with an id each that depends on the load's id and the row alone.
+
+    Equal rows are told apart by a copy number: they are counted first and dealt out again, so
+    no task has to gather them. The id is the load's, a digest of the row, and that number.
+    """
+    columns = rels.columns
+    n = fresh("_copies", rels)
+    counted = rels.groupBy(*columns).agg(F.count("*").alias(n))
+    row = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}) if columns else F.lit("")
+    copy = fresh("_copy", rels)
+    dealt = counted.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))).alias(copy))
+    digest = F.substring(F.sha2(row, 256), 1, 32)
+    return dealt.select(*columns, F.concat_ws("-", F.lit(load), digest, F.col(copy).cast("string")).alias(name))
+
+
+def not_loaded_yet(rels: DataFrame, existing: DataFrame, load: str, name: str = REL_ID) -> DataFrame:
+    """Those of ``rels`` (with ids of ``load``) that ``existing`` does not have; of that only the ids of this load are read."""
+    if name not in existing.columns:
+        return rels
+    known = existing.where(F.col(name).startswith(f"{load}-")).select(name)
+    return rels.join(known, name, "left_anti").select(*rels.columns)
+
+
 def append_rels(
-    existing: DataFrame, incoming: DataFrame, src: Match | None = None, dst: Match | None = None
+    existing: DataFrame,
+    incoming: DataFrame,
+    src: Match | None = None,
+    dst: Match | None = None,
+    load: str | None = None,
 ) -> DataFrame:
     """Create one relationship per incoming row and match of its ends.
 
-    An end that is not given is taken to exist.
+    An end that is not given is taken to exist. ``load`` names the load: each relationship then
+    gets an id (see ``with_rel_ids``) in column ``REL_ID``, and one that is there already is
+    not created again, so a load may be repeated, whole or where it was broken off.
     """
-    return existing.unionByName(match_ends(incoming, src, dst), allowMissingColumns=True)
+    created = match_ends(incoming, src, dst)
+    if load is not None:
+        created = not_loaded_yet(with_rel_ids(created, load), existing, load)
+    return existing.unionByName(created, allowMissingColumns=True)
 
 
 def merge_rels(

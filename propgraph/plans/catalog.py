@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph.model import End, Nodes, PropertyGraph, Rels
-from propgraph.operators import batching, checks, delete, match, shape, write
+from propgraph.operators import batching, checks, delete, match, shape, stored, write
 from propgraph.plans import tables
-from propgraph.sources import store, text
+from propgraph.sources import buckets, store, text
 from propgraph.staging import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,9 @@ INGEST_GROUPS = 16
 HEAD = 5000
 # 1998-01-01 in epoch seconds: ratings before it count as loaded earlier
 LATER_LOAD = 883612800
+LATER_DAY, LATER_YEAR = "1998-01-01", 1998
+# Few, for small tables: a bucket should be a few files
+STORE_BUCKETS = 8
 
 IDENTITY = ["source_id", "target_id", "timestamp"]
 
@@ -212,12 +215,16 @@ def node_append(spark, sf_dir):
     return write.append_nodes(names, names)
 
 
+def _rating_end_names() -> tuple[End, End]:
+    return End("Source", {"source_id": "source_id"}), End("Target", {"target_id": "target_id"})
+
+
 def _rating_graph(spark, sf_dir, existing: DataFrame) -> PropertyGraph:
     """Customers in credit and all parts as nodes, ``existing`` as relationships."""
     customers = tables.table(spark, sf_dir, "customer").where("c_acctbal >= 0")
     known = customers.select(F.col("c_custkey").alias("source_id"), F.col("c_acctbal").alias("balance"))
     parts = tables.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("target_id"))
-    rels = Rels(existing, End("Source", {"source_id": "source_id"}), End("Target", {"target_id": "target_id"}))
+    rels = Rels(existing, *_rating_end_names())
     return PropertyGraph(
         {"Source": Nodes(known, ("source_id",)), "Target": Nodes(parts, ("target_id",))}, {"RELATES_TO": rels}
     )
@@ -251,7 +258,10 @@ def rel_upsert(spark, sf_dir):
 @query
 def rel_upsert_with_ends(spark, sf_dir):
     """Relationships and both node sets after the two loads, in one frame."""
-    graph = _two_loads(spark, sf_dir)
+    return _in_one_frame(_two_loads(spark, sf_dir))
+
+
+def _in_one_frame(graph: PropertyGraph) -> DataFrame:
     rels = graph.rels["RELATES_TO"].df.withColumn("kind", F.lit("rel"))
     source = graph.nodes["Source"].df.select(F.lit("Source").alias("kind"), "source_id")
     target = graph.nodes["Target"].df.select(F.lit("Target").alias("kind"), "target_id")
@@ -300,6 +310,74 @@ def rel_merge_bare(spark, sf_dir):
     return write.merge_rels(existing, incoming, ["source_key", "target_name"])
 
 
+@query
+def rel_append_retried(spark, sf_dir):
+    """The creates of ``rel_append_match``, given twice: a part got in at the first try, the second gives all."""
+    keyed = tables.flights(spark, sf_dir, ["origin_airport"])
+    incoming = shape.copies(shape.rename(keyed, {"key": "source_key", "origin_airport": "target_name"}), 3)
+    ends = (keyed, {"source_key": "key"}), (_loaded_airports(spark, sf_dir), {"target_name": "name"})
+    first = incoming.where(F.pmod("source_key", F.lit(3)) == 0)
+    got_in = stage(write.append_rels(incoming.where(F.lit(False)), first, *ends, load="flights"), "got-in")
+    return write.append_rels(got_in, incoming, *ends, load="flights").drop(write.REL_ID)
+
+
+@query
+def flights_extended(spark, sf_dir):
+    """Flights before a day are loaded and keyed first; then all are, and once more."""
+    rows = stage(tables.flight_rows(spark, sf_dir), "flight-rows")
+    keyed = shape.row_key(rows.where(F.col("l_shipdate") < F.lit(LATER_DAY).cast("timestamp_ntz")), tables.FLIGHT_ORDER)
+    for _ in range(2):
+        keyed = stage(shape.extend_keys(stage(keyed, "keyed"), rows, tables.FLIGHT_ORDER), "extended")
+    return keyed.select("key", *tables.FLIGHT_COLS)
+
+
+# Stored graphs
+
+
+@query
+def stored_upsert(spark, sf_dir):
+    """The loads of ``rel_upsert_with_ends`` into a stored graph, each a version of its own."""
+    edges = stage(tables.ratings(spark, sf_dir).select(*IDENTITY, "rating"), "ratings")
+    graph = _rating_graph(spark, sf_dir, edges.where(F.lit(False)))
+    kept = buckets.create_store(graph, new_path(spark, "store"), STORE_BUCKETS)
+    for load in (F.col("timestamp") < LATER_LOAD, F.col("timestamp") >= LATER_LOAD):
+        kept = stored.upsert_stored_rels(kept, "RELATES_TO", edges.where(load), ["timestamp", "rating"])
+    return _in_one_frame(kept.graph())
+
+
+@query
+def stored_merge_keyed(spark, sf_dir):
+    """The merge of ``rel_merge_keyed`` into a stored graph."""
+    edges = tables.ratings(spark, sf_dir)
+    (customers, src), (parts, dst) = _rating_ends(spark, sf_dir)
+    graph = PropertyGraph(
+        {
+            "Source": Nodes(customers.select(F.col("c_custkey").alias("source_id")), ("source_id",)),
+            "Target": Nodes(parts.select(F.col("p_partkey").alias("target_id")), ("target_id",)),
+        },
+        {"RELATES_TO": Rels(_earlier_ratings(edges), *_rating_end_names(), tuple(IDENTITY))},
+    )
+    kept = buckets.create_store(graph, new_path(spark, "store"), STORE_BUCKETS)
+    return stored.merge_stored_rels(kept, "RELATES_TO", edges, ["rating"]).graph().rels["RELATES_TO"].df
+
+
+@query
+def stored_delete(spark, sf_dir):
+    """Airports of one region go with their relationships, and early flights' TO; before and after compaction."""
+    nodes = Nodes(tables.nation_regions(spark, sf_dir), ("name",))
+    flights_df = tables.flights(spark, sf_dir, ["year", "origin_airport", "destination_airport"])
+    graph = tables.flight_graph(flights_df, ["key"]).with_nodes("Airports", nodes)
+    to_rels = graph.rels["TO"]
+    dated = shape.rename(flights_df, {"key": "source_key", "destination_airport": "target_name", "year": "year"})
+    graph = graph.with_rels("TO", to_rels.with_df(dated))
+    kept = buckets.create_store(graph, new_path(spark, "store"), STORE_BUCKETS)
+    kept = stored.delete_stored_nodes(kept, "Airports", F.col("region") == "AFRICA", detach=True)
+    kept = stored.delete_stored_rels(kept, "TO", F.col("year") < LATER_YEAR)
+    states = {"hidden": kept, "compacted": stored.compact(kept)}
+    counted = [match.graph_summary(s.graph()).select(F.lit(n).alias("state"), "kind", "name", "n") for n, s in states.items()]
+    return counted[0].unionByName(counted[1])
+
+
 def _earlier_ratings(edges: DataFrame) -> DataFrame:
     earlier = edges.where(F.col("timestamp") < LATER_LOAD).select(*IDENTITY).distinct()
     return stage(earlier.withColumn("rating", F.lit(0).cast("float")), "earlier")
@@ -361,6 +439,28 @@ def ingest_union(spark, sf_dir):
     return loaded.groupBy("batch").agg(F.count("*").alias("rel_count"))
 
 
+@query
+def ingest_resumed(spark, sf_dir):
+    """The load of ``ingest_union``, broken off in its sixth batch and gone on with by its ledger."""
+    path, ledger = new_path(spark, "ingested"), new_path(spark, "ledger")
+    edges = _batched(spark, sf_dir, INGEST_GROUPS)
+
+    def write_batch(part, b):
+        part.drop("batch").write.mode("overwrite").parquet(f"{path}/batch={b}")
+
+    def broken_off(part, b):
+        if b == 5:
+            raise InterruptedError
+        write_batch(part, b)
+
+    try:
+        batching.ingest_in_batches(edges, broken_off, ledger)
+    except InterruptedError:
+        batching.ingest_in_batches(edges, write_batch, ledger)
+    loaded = spark.read.schema(edges.df.schema).parquet(path)
+    return loaded.groupBy("batch").agg(F.count("*").alias("rel_count"))
+
+
 @query
 def ingest_merge_keyed(spark, sf_dir):
     """The merge of ``rel_merge_keyed``, batch by batch."""

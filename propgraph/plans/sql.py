@@ -174,3 +174,20 @@ UNION ALL SELECT DISTINCT 'rel', type, 0 FROM edges""",
 }
 ORACLE["ingest_merge_keyed"] = ORACLE["rel_merge_keyed"]
 ORACLE["ingest_append_match"] = ORACLE["rel_append_match"]
+ORACLE["ingest_resumed"] = ORACLE["ingest_union"]
+ORACLE["rel_append_retried"] = ORACLE["rel_append_match"]
+ORACLE["stored_upsert"] = ORACLE["rel_upsert_with_ends"]
+ORACLE["stored_merge_keyed"] = ORACLE["rel_merge_keyed"]
+ORACLE["stored_delete"] = f"""WITH {FLIGHTS},
+kept AS (
+  SELECT type, year FROM edges JOIN flights ON source_key = key
+  WHERE target_name NOT IN (SELECT name FROM regions WHERE region = 'AFRICA')),
+counted AS (
+  SELECT 'node' AS kind, 'Airports' AS name, count(*) AS n FROM regions WHERE region <> 'AFRICA'
+  UNION ALL SELECT 'node', 'Flights', count(*) FROM flights
+  UNION ALL SELECT 'rel', type, count(*) FILTER (type = 'FROM' OR year >= 1998) FROM kept GROUP BY type)
+SELECT state, counted.* FROM counted, (SELECT unnest(['hidden', 'compacted']) AS state)"""
+ORACLE["flights_extended"] = f"""WITH {FLIGHTS}
+SELECT row_number() OVER (ORDER BY year >= 1998, key) - 1 AS key, year, month, day, airline, flight_number,
+  origin_airport, destination_airport
+FROM flights"""

@@ -20,6 +20,7 @@ from propgraph import (
     merge_rels,
 )
 from propgraph.functions.columns import snake_group
+from propgraph.operators import batching
 from propgraph.staging import staging
 
 
@@ -153,3 +154,98 @@ def test_string_keys(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "y")], "s string, t string")
     out = group_edges(df, "s", "t", 7)
     assert out.where("source_group is null or target_group is null").isEmpty()
+
+
+def distinct_edges(spark, n, ids="bigint"):
+    rng = random.Random(11)
+    pairs = rng.sample([(a, b) for a in range(40) for b in range(40)], n)
+    df = spark.createDataFrame([(a, b, 1.0) for a, b in pairs], "s bigint, t bigint, w double")
+    return df.withColumns({c: F.col(c).cast(ids) for c in ("s", "t")})
+
+
+@pytest.mark.parametrize("balanced", [False, True])
+@pytest.mark.parametrize("ids", ["bigint", "double", "int"])
+def test_merge_in_batches_whatever_the_grouping_and_the_types(spark, tmp_path, balanced, ids):
+    incoming = distinct_edges(spark, 400)
+    old = distinct_edges(spark, 400, ids).where("s < 20").withColumn("w", F.lit(9.0))
+    batched = batch_edges(incoming, "s", "t", 4, balanced)
+    got = merge_in_batches(old, batched, "s", "t", ["s", "t"], ["w"], str(tmp_path / "merged"))
+    assert got.dtypes == old.dtypes and got.count() == 400
+    assert rows(got) == rows(merge_rels(old, incoming.withColumns({c: F.col(c).cast(ids) for c in ("s", "t")}), ["s", "t"], ["w"]))
+
+
+class Broken(RuntimeError):
+    pass
+
+
+def broken_at(write, at):
+    ran = []
+
+    def run(part, b):
+        if b == at:
+            raise Broken
+        ran.append(b)
+        write(part, b)
+
+    return run, ran
+
+
+def test_a_load_goes_on_where_it_was_broken_off(spark, random_edges, tmp_path):
+    batched = batch_edges(random_edges, "source_id", "target_id", 8)
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+
+    def write(part, b):
+        part.write.mode("overwrite").parquet(f"{out}/n={b}")
+
+    first, ran = broken_at(write, 6)
+    with pytest.raises(Broken):
+        ingest_in_batches(batched, first, ledger)
+    assert ran == [0, 1, 2, 3, 4, 5]
+    # the input is that of the first call, even if its source has changed since
+    again, ran = broken_at(write, None)
+    ingest_in_batches(replace(batched, df=batched.df.where("rating < 0")), again, ledger)
+    assert ran == [6, 7]
+    assert rows(spark.read.parquet(out), *random_edges.columns) == rows(random_edges)
+    ingest_in_batches(batched, again, ledger)
+    assert ran == [6, 7] and not (tmp_path / "ledger" / "input").exists()
+    with pytest.raises(ValueError, match="another"):
+        ingest_in_batches(batch_edges(random_edges, "source_id", "target_id", 9), write, ledger)
+
+
+def test_a_copy_that_was_broken_off_is_made_anew(spark, random_edges, tmp_path):
+    batched = batch_edges(random_edges, "source_id", "target_id", 3)
+    failing = F.when(F.col("timestamp") == 700, F.raise_error("stop").cast("float")).otherwise(F.col("rating"))
+    with pytest.raises(Exception, match="stop"):
+        ingest_in_batches(replace(batched, df=batched.df.withColumn("rating", failing)), lambda *_: None, str(tmp_path))
+    seen = []
+    ingest_in_batches(batched, lambda part, b: seen.append(part.count()), str(tmp_path))
+    assert sum(seen) == random_edges.count()
+
+
+def test_a_merge_and_an_append_go_on_as_well(spark, random_edges, tmp_path, monkeypatch):
+    batched = batch_edges(random_edges, "source_id", "target_id", 3)
+    identity = ["source_id", "target_id", "timestamp"]
+    old = random_edges.where("source_id < 20").withColumn("rating", F.lit(9.0).cast("float"))
+    want = merge_rels(old, random_edges, identity, ["rating"])
+    mark, calls = batching.files.write_text, []
+
+    def fails_once(spark, path, text):
+        calls.append(path)
+        if len(calls) == 3:  # the copy, one batch, then the marker of the second is lost
+            raise Broken
+        mark(spark, path, text)
+
+    for name in ("merge", "append"):
+        calls.clear()
+        path, ledger = str(tmp_path / name), str(tmp_path / f"{name}-ledger")
+
+        def load():
+            if name == "merge":
+                return merge_in_batches(old, batched, "source_id", "target_id", identity, ["rating"], path, ledger=ledger)
+            return append_in_batches(batched, path, ledger=ledger)
+
+        monkeypatch.setattr(batching.files, "write_text", fails_once)
+        with pytest.raises(Broken):
+            load()
+        monkeypatch.setattr(batching.files, "write_text", mark)
+        assert rows(load(), *old.columns) == rows(want if name == "merge" else random_edges, *old.columns)

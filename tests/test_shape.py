@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import random
 
-from helpers import executed_plan, rows
+from helpers import bag, executed_plan, rows
 from pyspark.sql import functions as F
 
-from propgraph import copies, head, node_set, rename, row_key
+from propgraph import copies, extend_keys, group_edges, head, ingest_serially, node_set, rename, row_key
 from propgraph.operators import shape
+from propgraph.operators.write import one_per_key
+from propgraph.staging import stage
 
 
 def test_node_set_of_one_and_of_two_columns(edges):
@@ -74,3 +76,31 @@ def test_row_key_has_no_single_task_window(spark):
     df = shape.row_key(spark.range(100).toDF("a"), ["a"])
     df.collect()
     assert "Window" not in executed_plan(df)
+
+
+def test_extended_keys_never_change(spark, conf):
+    first = spark.createDataFrame([(2, "b"), (None, "z"), (1, "a")], "x int, y string")
+    keyed = stage(row_key(first, ["x", "y"]), "keyed")
+    assert rows(keyed, "key", "x") == sorted([(0, None), (1, 1), (2, 2)], key=repr)
+    # rows that are there, null among them; repeated new ones; another column
+    more = spark.createDataFrame([(0, "c", 7), (2, "b", 7), (None, "z", 7), (0, "c", 7), (2, "c", 8)], "x int, y string, v int")
+    for partitions in (1, 6):
+        conf("spark.sql.shuffle.partitions", partitions)
+        twice = stage(extend_keys(keyed, more, ["x", "y"]), "extended")
+        want = [(0, None, "z", None), (1, 1, "a", None), (2, 2, "b", None), (3, 0, "c", 7), (4, 2, "c", 8)]
+        assert rows(twice, "key", "x", "y", "v") == bag(want)
+        assert rows(extend_keys(twice, more, ["x", "y"]), *twice.columns) == rows(twice)
+    assert rows(extend_keys(keyed.limit(0), first, ["x", "y"])) == rows(keyed)
+
+
+def test_columns_of_the_user_survive(spark):
+    df = spark.createDataFrame([(5, 6, 7, 8), (6, 5, 8, 7)], "_copy int, _bucket int, _slot int, _start int")
+    assert rows(copies(df, 2)) == bag([(5, 6, 7, 8)] * 2 + [(6, 5, 8, 7)] * 2)
+    assert rows(row_key(df, ["_bucket"])) == [(0, 6, 5, 8, 7), (1, 5, 6, 7, 8)]
+    edges = spark.createDataFrame([(1, 10, 3, 4, 5), (1, 11, 3, 4, 5)], "s int, t int, _degree int, _rank int, _slice int")
+    assert group_edges(edges, "s", "t", 2, balanced=True).select("_degree", "_rank").distinct().collect() == [(3, 4)]
+    seen = []
+    ingest_serially(edges, lambda part, i: seen.extend(part.collect()), 2)
+    assert sorted(r["t"] for r in seen) == [10, 11] and {r["_slice"] for r in seen} == {5}
+    best = one_per_key(spark.createDataFrame([(1, "x", "p"), (1, "y", "q")], "k int, _best string, b string"), ["k"])
+    assert rows(best) == [(1, "y", "q")]

@@ -212,3 +212,11 @@ def test_names_that_the_store_needs(spark, tmp_path):
     df = spark.createDataFrame([(1, 2)], f"id long, {BUCKET} int")
     with pytest.raises(ValueError, match=BUCKET):
         create_store(PropertyGraph({"A": Nodes(df, ("id",))}), str(tmp_path / "s"))
+
+
+def test_a_repeated_append_adds_nothing(spark, both):
+    store, g = both
+    batch = spark.createDataFrame([(7, 1, 9, 5.0), (7, 1, 9, 5.0), (7, 99, 9, 1.0), (3, 3, 9, 1.0)], EDGES)
+    once = append_stored_rels(store, "RATED", batch, load="l1")
+    assert once.graph().rels["RATED"].df.count() == g.rels["RATED"].df.count() + 3
+    assert content(append_stored_rels(once, "RATED", batch, load="l1").graph()) == content(once.graph())

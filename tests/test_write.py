@@ -18,8 +18,10 @@ from propgraph import (
     upsert_endpoints,
     upsert_nodes,
     upsert_rels,
+    with_rel_ids,
 )
 from propgraph.operators.joins import hub_join
+from propgraph.staging import stage
 
 PAIR = ["source_id", "target_id"]
 KEYED = [*PAIR, "timestamp"]
@@ -222,3 +224,19 @@ def test_hub_join_needs_a_common_type(spark):
     one, other = spark.range(3).selectExpr("array(id) AS k"), spark.range(3).selectExpr("id AS k")
     with pytest.raises(TypeError, match="no common type"):
         hub_join(one, other, ["k"], "inner")
+
+
+def test_a_load_that_is_repeated_adds_nothing(spark):
+    nodes = spark.createDataFrame([(1,), (2,)], "id int")
+    batch = spark.createDataFrame([(1, 2, None), (1, 2, None), (2, 1, 0.5), (2, 9, 0.5)], "s int, t int, w double")
+    ends = (nodes, {"s": "id"}), (nodes, {"t": "id"})
+    nothing = batch.limit(0)
+    once = stage(append_rels(nothing, batch, *ends, load="a"), "once")
+    assert once.count() == 3 and once.select("rel_id").distinct().count() == 3
+    assert rows(append_rels(once, batch.repartition(5), *ends, load="a")) == rows(once)
+    # a part that got in before; another load with the same rows
+    part = once.limit(1)
+    assert rows(append_rels(part, batch, *ends, load="a")) == rows(once)
+    assert with_rel_ids(nothing, "x").count() == 0
+    both = append_rels(once, batch, *ends, load="b")
+    assert both.count() == 6 and both.select("rel_id").distinct().count() == 6

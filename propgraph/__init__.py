@@ -27,9 +27,11 @@ from propgraph.operators.match import (
 )
 from propgraph.operators.shape import copies, extend_keys, head, node_set, rename, row_key
 from propgraph.operators.stored import (
+    ConstraintError,
     append_stored_nodes,
     append_stored_rels,
     compact,
+    declare,
     delete_stored_nodes,
     delete_stored_rels,
     merge_stored_rels,
@@ -51,6 +53,7 @@ from propgraph.sources.text import read_edge_list, read_table
 
 __all__ = [
     "Batched",
+    "ConstraintError",
     "End",
     "Nodes",
     "Pool",
@@ -70,6 +73,7 @@ __all__ = [
     "count_nodes",
     "count_rels",
     "create_store",
+    "declare",
     "degree_top_k",
     "delete_nodes",
     "delete_rels",

@@ -5,6 +5,10 @@ reads and rewrites only the buckets that hold a key of the batch. Where it has n
 it only adds the rows that are new. A delete writes the keys it deletes, which hide the rows
 until ``compact`` rewrites their buckets.
 
+Constraints that are declared (``declare``) hold from then on: a batch of nodes that would break
+one is refused before anything of it can be seen. Its values are held against the filters of
+the stored ones, and only what these cannot rule out is looked up.
+
 The batch is cast to the stored types. What a change reads twice is staged.
 """
 
@@ -19,6 +23,7 @@ from pyspark.sql.types import StructField, StructType
 
 from propgraph.functions.columns import all_set, holds
 from propgraph.model import End
+from propgraph.operators.checks import KINDS, key_violations, unique_violations
 from propgraph.operators.joins import hub_join
 from propgraph.operators.write import (
     REL_ID,
@@ -30,9 +35,68 @@ from propgraph.operators.write import (
     with_rel_ids,
 )
 from propgraph.sources.buckets import BUCKET, LOAD, Store, StoredTable, Tombs
+from propgraph.sources.filters import maybe_there
 from propgraph.staging import stage
 
 
+class ConstraintError(ValueError):
+    """A batch would break a constraint of the stored graph."""
+
+
+def declare(store: Store, label: str, prop: str, kind: str) -> Store:
+    """Put a property of a label under a constraint, 'unique' or 'key'; it must hold already.
+
+    ``unique``: no value on two nodes; ``key``: moreover, a value on every node.
+    """
+    if kind not in KINDS:
+        raise ValueError(f"kind must be one of {KINDS}, not {kind!r}")
+    table, load = store.nodes(label), store.next_version()
+    rows = store.read(table).select(*table.schema.names)
+    broken = unique_violations(rows, prop) if kind == "unique" else key_violations(rows, prop)
+    _refuse(broken, prop, f"{label}.{prop} is not {kind}")
+    known = prop in table.guarded()
+    table = replace(table, constraints=tuple(dict.fromkeys([*table.constraints, (prop, kind)])))
+    return store.commit({table.name: table if known else store.with_filters(table, rows, load, [prop])})
+
+
+def _refuse(rows: DataFrame, prop: str, why: str) -> None:
+    """Raise if there are ``rows``, with a few of their values."""
+    if found := [r[0] for r in rows.select(prop).limit(5).collect()]:
+        raise ConstraintError(f"{why}: {', '.join(map(str, found))}")
+
+
+def _obey(store: Store, table: StoredTable, batch: DataFrame, upsert: bool) -> None:
+    """Refuse a staged batch that breaks a constraint, in itself or with the stored rows.
+
+    In an upsert the batch stands for the stored rows of its keys; these are no conflict.
+    """
+    keys = list(table.keys)
+    for prop, kind in table.constraints:
+        label = f"{table.name.removeprefix('nodes/')}.{prop}"
+        if prop not in batch.columns:
+            if kind == "key":
+                new = batch
+                if upsert:
+                    known = store.read(table, _buckets(batch)).select(BUCKET, *keys)
+                    new = batch.join(known, [BUCKET, *keys], "left_anti")
+                _refuse(new, keys[0], f"nodes without {label}")
+            continue
+        if kind == "key":
+            _refuse(batch.where(F.col(prop).isNull()), keys[0], f"nodes without {label}")
+        _refuse(unique_violations(batch, prop), prop, f"{label} repeats in the batch")
+        if not (filters := store.filters(table, prop)):
+            continue
+        maybe = stage(maybe_there(batch, prop, filters), "maybe")
+        if maybe.isEmpty():
+            continue
+        # where the property is the key, its buckets hold all rows that can have it
+        places = _buckets(maybe, table.bucket()) if keys == [prop] else None
+        there = store.read(table, places).select(BUCKET, *dict.fromkeys([prop, *keys])).join(maybe, prop, "left_semi")
+        if upsert:
+            there = there.join(batch.select(BUCKET, *keys), [BUCKET, *keys], "left_anti")
+        _refuse(there, prop, f"{label} is there already")
+
+
 def _fitted(table: StoredTable, rows: DataFrame) -> tuple[StoredTable, DataFrame]:
     """The table with the batch's new columns, and the batch in the stored types, with its buckets."""
     known = {f.name: f for f in table.schema.fields}
@@ -50,8 +114,12 @@ def _buckets(rows: DataFrame, bucket: Column | None = None) -> list[int]:
 
 
 def _added(store: Store, table: StoredTable, rows: DataFrame, load: int, unique: bool) -> StoredTable:
+    if table.constraints and not unique:
+        rows = stage(rows, "batch")
+        _obey(store, table, rows, upsert=False)
     present = store.write(table, rows.hint("rebalance", F.col(BUCKET)), load)
-    return replace(table.holding((), load, present, add=True), unique=table.unique and unique)
+    table = replace(table.holding((), load, present, add=True), unique=table.unique and unique)
+    return store.with_filters(table, store.written(table, load), load) if present and table.constraints else table
 
 
 def _merged(store: Store, table: StoredTable, winners: DataFrame, load: int) -> StoredTable:
@@ -61,13 +129,16 @@ def _merged(store: Store, table: StoredTable, winners: DataFrame, load: int) ->
     touched = _buckets(staged)
     if not touched:
         return table
+    _obey(store, table, staged, upsert=True)
     old = store.read(table, touched).drop(LOAD)
     keys = [BUCKET, *table.keys]
     if set(winners.columns) == set(keys):
         known = old.select(*keys).join(staged, keys, "left_semi").distinct()
         return _added(store, table, staged.join(known, keys, "left_anti"), load, True)
     rows = lay_over(old, staged, keys)
-    return table.holding(touched, load, store.write(table, rows, load))
+    table = table.holding(touched, load, store.write(table, rows, load))
+    # what the batch has replaced may stay in older filters: these only say maybe
+    return store.with_filters(table, staged, load)
 
 
 def upsert_stored_nodes(
@@ -221,17 +292,17 @@ def delete_stored_nodes(
 
 
 def compact(store: Store) -> Store:
-    """Rewrite the buckets that hold deleted rows or lie in several folders; no tomb is left."""
+    """Rewrite the buckets that hold deleted rows or lie in several folders; no tomb and one filter a property is left."""
     changed, load = {}, store.next_version()
     for table in store.tables.values():
         touched = {b for b, loads in enumerate(table.loads) if len(loads) > 1}
         if table.tombs:
             touched |= set(_buckets(store.hidden(store.raw(table), table, "left_semi")))
-        if not touched and not table.tombs:
+        if not touched and not table.tombs and len(table.filters) <= len(table.guarded()):
             continue
-        after = replace(table, tombs=())
+        after = replace(table, tombs=(), filters=())
         if touched:
             rows = store.read(table, touched).drop(LOAD).hint("rebalance", F.col(BUCKET))
             after = after.holding(touched, load, store.write(table, rows, load))
-        changed[table.name] = after
+        changed[table.name] = store.with_filters(after, store.read(after).select(*table.schema.names), load)
     return store.commit(changed) if changed else store

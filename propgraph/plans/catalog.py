@@ -378,6 +378,20 @@ def stored_delete(spark, sf_dir):
     return counted[0].unionByName(counted[1])
 
 
+@query
+def stored_constraint(spark, sf_dir):
+    """Customers in credit under a key constraint: all customers are refused, those in debt are taken."""
+    customers = tables.table(spark, sf_dir, "customer")
+    rows = customers.select(F.col("c_custkey").alias("source_id"), F.col("c_acctbal").alias("balance"))
+    graph = PropertyGraph({"Source": Nodes(rows.where("balance >= 0"), ("source_id",))})
+    kept = stored.declare(buckets.create_store(graph, new_path(spark, "store"), STORE_BUCKETS), "Source", "source_id", "key")
+    try:
+        kept = stored.append_stored_nodes(kept, "Source", rows)
+    except stored.ConstraintError:
+        kept = stored.append_stored_nodes(kept, "Source", rows.where("balance < 0"))
+    return kept.graph().nodes["Source"].df
+
+
 def _earlier_ratings(edges: DataFrame) -> DataFrame:
     earlier = edges.where(F.col("timestamp") < LATER_LOAD).select(*IDENTITY).distinct()
     return stage(earlier.withColumn("rating", F.lit(0).cast("float")), "earlier")

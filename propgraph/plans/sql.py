@@ -191,3 +191,4 @@ ORACLE["flights_extended"] = f"""WITH {FLIGHTS}
 SELECT row_number() OVER (ORDER BY year >= 1998, key) - 1 AS key, year, month, day, airline, flight_number,
   origin_airport, destination_airport
 FROM flights"""
+ORACLE["stored_constraint"] = "SELECT c_custkey AS source_id, c_acctbal AS balance FROM customer"

@@ -5,6 +5,7 @@ Below the folder of a store:
 - ``<table>/pg_load=<v>/pg_bucket=<b>/`` the rows of bucket b as version v wrote them; a table
   is ``nodes/<label>`` or ``rels/<type>``, and a row's bucket is a hash of its key or identity;
 - ``tombs/<table>/<v>/`` keys that version v deleted; they hide rows that older versions wrote;
+- ``filters/<table>/<property>/<v>/`` which values of a property under a constraint there may be;
 - ``versions/<v>.json`` what a version consists of: for each bucket of each table the versions
   whose folders hold it, the tombs in force, keys, ends and schemas.
 
@@ -28,6 +29,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from propgraph.model import End, Nodes, PropertyGraph, Rels
 from propgraph.operators.joins import plain_key
 from propgraph.sources import files
+from propgraph.sources.filters import ValueFilter, build, words_for
 
 LOAD, BUCKET = "pg_load", "pg_bucket"
 
@@ -46,7 +48,9 @@ class Tombs:
 class StoredTable:
     """``loads`` has for each bucket the versions whose folders hold its rows.
 
-    ``unique`` says that no two rows share a key and none lacks one.
+    ``unique`` says that no two rows share a key and none lacks one. ``constraints`` are
+    (property, 'unique' or 'key'); for each such property every value that the table has is in
+    one of its ``filters``.
     """
 
     name: str
@@ -55,6 +59,8 @@ class StoredTable:
     loads: tuple[tuple[int, ...], ...]
     unique: bool
     tombs: tuple[Tombs, ...] = ()
+    constraints: tuple[tuple[str, str], ...] = ()
+    filters: tuple[ValueFilter, ...] = ()
 
     def bucket(self, cols: Sequence[str] | None = None) -> Column:
         """The bucket of a row whose key is in ``cols`` (default: the key columns), as the stored type."""
@@ -74,7 +80,11 @@ class StoredTable:
         return replace(self, loads=loads)
 
     def emptied(self) -> StoredTable:
-        return replace(self, loads=((),) * len(self.loads), tombs=())
+        return replace(self, loads=((),) * len(self.loads), tombs=(), filters=())
+
+    def guarded(self) -> list[str]:
+        """The properties under a constraint."""
+        return list(dict.fromkeys(prop for prop, _ in self.constraints))
 
 
 @dataclass(frozen=True)
@@ -145,6 +155,26 @@ class Store:
         rels = {t: Rels(frame(self.rels(t)), *ends, self.rels(t).keys) for t, ends in self.ends.items()}
         return PropertyGraph(nodes, rels)
 
+    def written(self, table: StoredTable, load: int) -> DataFrame:
+        """All that ``load`` wrote of a table."""
+        return self.spark.read.schema(table.schema).parquet(f"{self.path}/{table.name}/{LOAD}={load}").select(*table.schema.names)
+
+    def with_filters(self, table: StoredTable, rows: DataFrame, load: int, props: Sequence[str] | None = None) -> StoredTable:
+        """``table`` with filters of the values that stored ``rows`` have of the guarded properties."""
+        wanted = [p for p in (table.guarded() if props is None else props) if p in rows.columns]
+        if not wanted:
+            return table
+        words, made = words_for(rows.count()), []
+        for prop in wanted:
+            folder = f"filters/{table.name}/{prop}/{load}"
+            build(rows, prop, words).write.mode("overwrite").parquet(f"{self.path}/{folder}")
+            made.append(ValueFilter(prop, folder, words))
+        return replace(table, filters=(*table.filters, *made))
+
+    def filters(self, table: StoredTable, prop: str) -> list[tuple[DataFrame, int]]:
+        read = self.spark.read.schema("word long, bits long")
+        return [(read.parquet(f"{self.path}/{f.folder}"), f.words) for f in table.filters if f.prop == prop]
+
     def write(self, table: StoredTable, rows: DataFrame, load: int) -> list[int]:
         """Write rows (with ``BUCKET``) as ``load``, columns that they lack as null; the buckets that have some."""
         there = set(rows.columns)
@@ -175,7 +205,16 @@ def _version_file(path: str, version: int) -> str:
 def _describe(store: Store) -> str:
     def table(t: StoredTable) -> dict:
         tombs = [{"folder": x.folder, "load": x.load, "cols": dict(x.cols), "null_safe": x.null_safe} for x in t.tombs]
-        return {"keys": t.keys, "schema": t.schema.jsonValue(), "loads": t.loads, "unique": t.unique, "tombs": tombs}
+        filters = [{"prop": x.prop, "folder": x.folder, "words": x.words} for x in t.filters]
+        return {
+            "keys": t.keys,
+            "schema": t.schema.jsonValue(),
+            "loads": t.loads,
+            "unique": t.unique,
+            "tombs": tombs,
+            "constraints": t.constraints,
+            "filters": filters,
+        }
 
     ends = {t: [{"label": e.label, "cols": dict(e.cols)} for e in pair] for t, pair in store.ends.items()}
     return json.dumps({"tables": {n: table(t) for n, t in store.tables.items()}, "ends": ends})
@@ -198,6 +237,8 @@ def open_store(spark: SparkSession, path: str, version: int | None = None) -> St
             tuple(tuple(loads) for loads in t["loads"]),
             t["unique"],
             tuple(Tombs(**x) for x in t["tombs"]),
+            tuple((prop, kind) for prop, kind in t["constraints"]),
+            tuple(ValueFilter(**x) for x in t["filters"]),
         )
         for name, t in about["tables"].items()
     }

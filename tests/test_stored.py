@@ -18,8 +18,10 @@ from propgraph import (
     append_rels,
     append_stored_nodes,
     append_stored_rels,
+    ConstraintError,
     compact,
     create_store,
+    declare,
     delete_nodes,
     delete_rels,
     delete_stored_nodes,
@@ -34,6 +36,7 @@ from propgraph import (
 )
 from propgraph.operators import stored
 from propgraph.sources.buckets import BUCKET, LOAD
+from propgraph.sources.filters import build, maybe_there, words_for
 from propgraph.staging import stage
 
 EDGES = "source_id long, target_id long, at int, rating double"
@@ -220,3 +223,79 @@ def test_a_repeated_append_adds_nothing(spark, both):
     once = append_stored_rels(store, "RATED", batch, load="l1")
     assert once.graph().rels["RATED"].df.count() == g.rels["RATED"].df.count() + 3
     assert content(append_stored_rels(once, "RATED", batch, load="l1").graph()) == content(once.graph())
+
+
+@pytest.fixture
+def guarded(both):
+    store, g = both
+    return declare(declare(store, "Source", "name", "unique"), "Source", "id", "key"), g
+
+
+def refused(store, change, match):
+    before = content(open_store(store.spark, store.path).graph())
+    with pytest.raises(ConstraintError, match=match):
+        change()
+    assert content(open_store(store.spark, store.path).graph()) == before
+
+
+def named(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "id long, name string")
+
+
+def test_a_batch_that_breaks_a_constraint_is_refused(spark, guarded):
+    store, g = guarded
+    for batch, match in [
+        (named(spark, (100, "s7")), "name is there already: s7"),
+        (named(spark, (100, "new"), (101, "new")), "name repeats"),
+        (named(spark, (100, "new"), (100, "newer")), "id repeats"),
+        (named(spark, (7, "new")), "id is there already: 7"),
+        (named(spark, (None, "new")), "without Source.id"),
+    ]:
+        refused(store, lambda b=batch: append_stored_nodes(store, "Source", b), match)
+    fine = named(spark, (100, "new"), (101, None), (102, None))
+    after = append_stored_nodes(store, "Source", fine)
+    same(after, g.with_nodes("Source", Nodes(append_nodes(g.nodes["Source"].df, fine), ("id",))))
+    # the filters know what was added
+    refused(after, lambda: append_stored_nodes(after, "Source", named(spark, (103, "new"))), "there already: new")
+
+
+def test_upserts_obey_too(spark, guarded):
+    store, g = guarded
+    refused(store, lambda: upsert_stored_nodes(store, "Source", named(spark, (100, "s7"))), "there already: s7")
+    refused(store, lambda: upsert_stored_nodes(store, "Source", named(spark, (1, "x"), (2, "x"))), "repeats")
+    # two nodes change their names with each other; one keeps its own
+    batch = named(spark, (1, "s2"), (2, "s1"), (3, "s3"), (100, "s100"))
+    after = upsert_stored_nodes(store, "Source", batch)
+    same(after, g.with_nodes("Source", Nodes(upsert_nodes(g.nodes["Source"].df, batch, ["id"]), ("id",))))
+    # a name that was given up or deleted is free again
+    after = upsert_stored_nodes(after, "Source", named(spark, (100, "other")))
+    after = upsert_stored_nodes(after, "Source", named(spark, (101, "s100")))
+    after = delete_stored_nodes(after, "Source", F.col("id") == 101, detach=True)
+    after = append_stored_nodes(after, "Source", named(spark, (102, "s100")))
+    folded = compact(after)
+    assert len(folded.nodes("Source").filters) == 2 and content(folded.graph()) == content(after.graph())
+    refused(folded, lambda: append_stored_nodes(folded, "Source", named(spark, (103, "s100"))), "there already: s100")
+    # ends that are created have a key but no name
+    batch = spark.createDataFrame([(500, 1, 1, 2.0)], EDGES)
+    named_all = declare(compact(folded), "Source", "name", "key")
+    refused(named_all, lambda: upsert_stored_rels(named_all, "RATED", batch), "without Source.name")
+    assert upsert_stored_rels(named_all, "RATED", batch.selectExpr("1L source_id", "target_id", "at", "rating")).version
+
+
+def test_declaring_what_does_not_hold(spark, guarded):
+    store, _ = guarded
+    with pytest.raises(ConstraintError, match="score is not unique"):
+        declare(store, "Source", "score", "unique")
+    with pytest.raises(ValueError, match="kind"):
+        declare(store, "Source", "name", "index")
+
+
+def test_filters_rule_out_nearly_all_others_and_none_of_their_own(spark):
+    there, others = spark.range(20_000).withColumnRenamed("id", "v"), spark.range(20_000, 40_000).withColumnRenamed("id", "v")
+    filters = [(filters_of(there.where(f"v % 2 = {i}")), words_for(10_000)) for i in (0, 1)]
+    assert maybe_there(there, "v", filters).count() == 20_000
+    assert maybe_there(others, "v", filters).count() < 2_000
+
+
+def filters_of(df):
+    return build(df, "v", words_for(df.count()))

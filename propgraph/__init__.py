@@ -21,6 +21,7 @@ from propgraph.operators.match import (
     count_nodes,
     count_rels,
     degree_top_k,
+    frequent_top_k,
     graph_summary,
     scan_nodes,
     scan_rels,
@@ -80,6 +81,7 @@ __all__ = [
     "delete_stored_nodes",
     "delete_stored_rels",
     "extend_keys",
+    "frequent_top_k",
     "graph_summary",
     "group_edges",
     "head",

@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 
 from propgraph.functions.columns import all_set, holds
 from propgraph.model import End, PropertyGraph, Rels
-from propgraph.operators.joins import fresh, hub_join
+from propgraph.operators.joins import fresh, hub_join, plain_key
+from propgraph.staging import stage
+
+# cells of values for a top-k over very many; a task hands on at most so many rows
+CELLS = 1 << 14
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -104,6 +108,47 @@ def graph_summary(graph: PropertyGraph) -> DataFrame:
     return _union(rows)
 
 
+def cell_totals(df: DataFrame, col: str, cells: int) -> DataFrame:
+    """cell, total: how many values lie in each of ``cells`` cells, by hash; each value in one."""
+    return df.select(_cell(df, col, cells).alias("cell")).groupBy("cell").agg(F.count("*").alias("total"))
+
+
+def _cell(df: DataFrame, col: str, cells: int) -> Column:
+    value = plain_key(F.col(col), df.schema[col].dataType)
+    return F.lit(0).cast("long") if value is None else F.pmod(F.xxhash64(value), F.lit(cells))
+
+
+def _counted_in(df: DataFrame, col: str, count_col: str, chosen: DataFrame, cells: int, k: int) -> DataFrame:
+    """The first ``k`` of the values that lie in the ``chosen`` cells (cell; at most ``cells`` rows)."""
+    cell = fresh("_cell", df)
+    inside = df.withColumn(cell, _cell(df, col, cells)).join(
+        F.broadcast(chosen.withColumnRenamed("cell", f"{cell}_")), F.col(cell) == F.col(f"{cell}_"), "left_semi"
+    )
+    return inside.groupBy(col).agg(F.count("*").alias(count_col)).orderBy(F.desc(count_col), col).limit(k)
+
+
+def frequent_top_k(df: DataFrame, col: str, k: int = 10, count_col: str = "n", cells: int = CELLS) -> DataFrame:
+    """The ``k`` most frequent values of ``col``; ties go to the smaller. For columns with very many values.
+
+    In three phases, so that not every value is shuffled. First the totals of cells of values,
+    which are at most ``cells`` rows a task. Then the values in the fullest cells are counted:
+    the k-th count is a threshold that the k-th value of all reaches at least. A cell whose
+    total is below it cannot hold such a value; those in the other cells are counted exactly.
+    If the values are about equally frequent, most cells stay and it is the plain count.
+
+    Reads ``df`` three times, so it should be a stored table. Nulls are left out. Runs jobs
+    when called.
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    df = df.where(F.col(col).isNotNull()).select(col)
+    totals = stage(cell_totals(df, col, cells), "cells")
+    fullest = totals.orderBy(F.desc("total"), "cell").limit(4 * k).select("cell")
+    sure = _counted_in(df, col, count_col, fullest, cells, k).collect()
+    threshold = sure[-1][count_col] if len(sure) == k else 0
+    return _counted_in(df, col, count_col, totals.where(F.col("total") >= threshold).select("cell"), cells, k)
+
+
 def degree_top_k(
     graph: PropertyGraph,
     label: str,
@@ -113,12 +158,14 @@ def degree_top_k(
     name_prop: str = "name",
     name_col: str = "name",
     count_col: str = "n",
+    cells: int | None = None,
 ) -> DataFrame:
     """The ``k`` names of ``label`` nodes with most relationships to ``other`` nodes.
 
     Either direction counts, and ``types`` limits the relationship types. Grouping
     is by the property ``name_prop``: nodes of one name count together. Ties go to
-    the smaller name.
+    the smaller name. ``cells`` (such as ``CELLS``) says that there are very many names, which
+    are the keys; see ``frequent_top_k``.
     """
     nodes = graph.nodes[label]
     keyed = nodes.keys == (name_prop,)
@@ -138,6 +185,11 @@ def degree_top_k(
     if not frames:
         empty = nodes.df.select(F.col(name_prop).alias(name_col), F.lit(0).cast("bigint").alias(count_col))
         return empty.where(F.lit(False))
+    if cells is not None:
+        if not keyed:
+            raise ValueError(f"{label} nodes are not keyed by {name_prop}")
+        found = frequent_top_k(_union(frames), name_prop, k, count_col, cells)
+        return found.select(F.col(name_prop).alias(name_col), count_col).orderBy(F.desc(count_col), name_col).limit(k)
     degrees = _union(frames).groupBy(*nodes.keys).agg(F.count("*").alias(count_col))
     if not keyed:
         named_by = fresh("_name", nodes.df)

@@ -187,6 +187,15 @@ def airport_top10_to(spark, sf_dir):
     )
 
 
+@query
+def part_top10(spark, sf_dir):
+    """Parts with most ratings, among very many: not every part is shuffled."""
+    edges = stage(tables.ratings(spark, sf_dir).select("source_id", "target_id"), "ratings")
+    graph = _rating_graph(spark, sf_dir, edges)
+    names = {"name_prop": "target_id", "name_col": "target_id", "count_col": "rating_count"}
+    return match.degree_top_k(graph, "Target", "Source", cells=match.CELLS, **names)
+
+
 # Writes
 
 

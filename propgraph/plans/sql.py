@@ -192,3 +192,6 @@ SELECT row_number() OVER (ORDER BY year >= 1998, key) - 1 AS key, year, month, d
   origin_airport, destination_airport
 FROM flights"""
 ORACLE["stored_constraint"] = "SELECT c_custkey AS source_id, c_acctbal AS balance FROM customer"
+ORACLE["part_top10"] = f"""WITH {RATINGS}
+SELECT target_id, count(*) AS rating_count FROM ratings GROUP BY target_id
+ORDER BY rating_count DESC, target_id LIMIT 10"""

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import random
+
 import pytest
-from helpers import rows
+from helpers import rows, shuffled_rows
+from pyspark.sql import functions as F
 
 from propgraph import (
     End,
@@ -18,6 +21,7 @@ from propgraph import (
     scan_rels,
     write_graph,
 )
+from propgraph.operators import match
 
 
 @pytest.fixture
@@ -159,3 +163,33 @@ def test_a_pool_holds_relationships_between_the_same_ends_only(flights):
     other = Rels(flights.rels["TO"].df, *[End("Airports", {c: "id"}) for c in ("source_key", "target_id")])
     with pytest.raises(ValueError, match="pool"):
         flights.with_rels("NEAR", other.with_df(other.df, flights.rels["FROM"].pool))
+
+
+def test_top_k_of_very_many_names(spark, tmp_path):
+    """A million names, few of them frequent: the same answer, and a tenth of the rows shuffled."""
+    names = spark.range(0, 2_000_000, 1, 8).select(
+        F.when(F.col("id") % 4 == 0, F.concat(F.lit("hub"), F.floor(F.sqrt(F.col("id") % 400)).cast("string")))
+        .otherwise(F.concat(F.lit("n"), (F.xxhash64("id") % 500_000).cast("string")))
+        .alias("name")
+    )
+    path = str(tmp_path / "names")
+    names.unionByName(spark.createDataFrame([(None,)] * 9, "name string")).write.parquet(path)
+    df = spark.read.parquet(path)
+    plain = df.where("name IS NOT NULL").groupBy("name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "name").limit(10)
+    want = plain.collect()
+    assert df.select("name").distinct().count() > 700_000
+    phases = [match.cell_totals(df, "name", 1 << 12), match.frequent_top_k(df, "name", 10, cells=1 << 12)]
+    assert phases[1].collect() == want
+    phases[0].collect()
+    assert 10 * sum(shuffled_rows(p) for p in phases) < shuffled_rows(plain)
+
+
+@pytest.mark.parametrize("cells", [1, 7, 1 << 12])
+def test_top_k_by_cells_equals_the_plain_one(spark, cells):
+    draw = random.Random(cells)
+    values = [draw.choice([None, *range(30)]) for _ in range(300)] + [float("-0.0"), 0.0]
+    df = spark.createDataFrame([(None if v is None else float(v), 1) for v in values], "v double, _cell int")
+    for k in (1, 5, 100):
+        plain = df.where("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "v").limit(k)
+        assert match.frequent_top_k(df, "v", k, cells=cells).collect() == plain.collect()
+    assert match.frequent_top_k(df.limit(0), "v", 3).collect() == []

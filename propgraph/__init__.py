@@ -26,6 +26,7 @@ from propgraph.operators.match import (
     scan_nodes,
     scan_rels,
 )
+from propgraph.operators.planning import BatchPlan, Hub, plan_batches
 from propgraph.operators.shape import copies, extend_keys, head, node_set, rename, row_key
 from propgraph.operators.stored import (
     ConstraintError,
@@ -53,9 +54,11 @@ from propgraph.sources.store import read_graph, write_graph
 from propgraph.sources.text import read_edge_list, read_table
 
 __all__ = [
+    "BatchPlan",
     "Batched",
     "ConstraintError",
     "End",
+    "Hub",
     "Nodes",
     "Pool",
     "PropertyGraph",
@@ -93,6 +96,7 @@ __all__ = [
     "merge_stored_rels",
     "node_set",
     "open_store",
+    "plan_batches",
     "read_edge_list",
     "read_graph",
     "read_table",

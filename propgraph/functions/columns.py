@@ -17,10 +17,14 @@ def holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def group_digest(col: Column) -> Column:
+    """What the group of a value is taken from: the leading 32 bits of its md5, as bigint."""
+    return F.conv(F.substring(F.md5(col.cast("string")), 1, 8), 16, 10).cast("bigint")
+
+
 def hash_group(col: str | Column, n: int) -> Column:
-    """A group 0..n-1 that depends on the value only: leading 32 bits of its md5, mod n."""
-    digest = F.md5((F.col(col) if isinstance(col, str) else col).cast("string"))
-    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % n).cast("int")
+    """A group 0..n-1 that depends on the value only."""
+    return (group_digest(F.col(col) if isinstance(col, str) else col) % n).cast("int")
 
 
 def snake_group(rank: Column, n: int) -> Column:

@@ -22,6 +22,7 @@ import base64
 import struct
 from collections.abc import Iterator
 from functools import cache
+from hashlib import sha256
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from propgraph.llm.common import Remembered, slices
 
@@ -225,11 +226,20 @@ def decode(df: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids", by
 def digests(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode, decode what came out, and return per row: id, n_tokens, ids_sha256, decoded_sha256."""
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    ids = encode(rows, rank_file, pattern).drop("text")
-    both = decode(ids, rank_file, pattern)
-    return both.select(
-        "doc_id",
-        F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    kinds = [LongType(), StringType(), StringType()]
+    schema = StructType([rows.schema["doc_id"], *(StructField(n, t) for n, t in zip(names, kinds, strict=True))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(rank_file, pattern)
+        for batch in slices(batches, "text"):
+            found = []
+            for text in batch.column("text").to_pylist():
+                ids = encoder.encode(text or "")
+                decoded = encoder.decode(ids)
+                found.append((len(ids) // 4, sha256(ids).hexdigest(), sha256(decoded).hexdigest()))
+            arrays = [pa.array(list(c), t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", *names])
+        pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(run, schema)

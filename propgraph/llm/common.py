@@ -13,7 +13,17 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Hand texts to Python in batches of a few MB; a session that has the option set keeps it."""
+    if spark.conf.get(BATCH_BYTES, None) in (None, "64MB", "67108864b"):  # Spark's own choice
+        spark.conf.set(BATCH_BYTES, most)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

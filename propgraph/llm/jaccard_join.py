@@ -17,9 +17,12 @@ turns, which links a group of near copies in linear time; only buckets whose mem
 components are then compared pair by pair, in blocks of bounded size, inside tasks.
 Nothing is capped and no list of a bucket's members is ever built.
 
+A set is named by its fingerprint, so two texts under one id are two sets with links of their
+own; a component is named by the smallest id in it.
+
 Defined results: a null or empty text has an empty set and no links. Rows with a null id
-keep a null component. Of repeated ids each row stays, and they share their links. Ids
-are whole numbers; other columns are ignored.
+have links like any other, and a null component. Of repeated ids each row stays, with the
+component of its own text. Ids are whole numbers; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,9 +41,10 @@ from pyspark.sql.types import IntegerType
 from propgraph.llm import shingles
 from propgraph.llm.common import slices, whole_text
 from propgraph.llm.components import components
-from propgraph.operators.joins import hub_join
+from propgraph.operators.joins import fresh, hub_join
 from propgraph.staging import new_path, stage, staging, write_once
 
+SMALL = 32  # members of a bucket of which all pairs may be verified one by one
 BLOCK = 512  # members of a bucket that are compared at once with as many others
 STAR_TURNS = 4  # rounds in which the members of a bucket are compared with one of them
 PAIRS = 200_000  # pairs that a task compares at once
@@ -137,11 +141,17 @@ def set_prints(tokens: np.ndarray) -> tuple[int, int]:
     return int(half[0]), int(half[1])
 
 
+def many_prints(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ``set_prints`` of sets that stand one after another in ``tokens``."""
+    one = np.bitwise_xor.reduceat(shingles.mix(tokens, 4), starts)
+    return one.view(np.int64), np.add.reduceat(shingles.mix(tokens, 5), starts).view(np.int64)
+
+
 # steps over texts
 
 
 def _keyed(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
-    """doc_id, n, f1, f2 of each row's set, and its join keys; the fingerprints are 0 for an empty set."""
+    """doc_id, own, n, f1, f2 of each row's set, and its join keys; the fingerprints are 0 for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
@@ -151,30 +161,29 @@ def _keyed(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
             keys = [segment_keys(s, threshold) if len(s) else s.view(np.int64) for s in sets]
             starts = np.cumsum([0, *map(len, keys)])
             listed = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate(keys)))
-            arrays = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns), listed]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "f1", "f2", "keys"])
+            named = [batch.column("doc_id"), batch.column("own")]
+            arrays = [*named, *(pa.array(c, pa.int64()) for c in columns), listed]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "own", "n", "f1", "f2", "keys"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, own long, n long, f1 long, f2 long, keys array<long>")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, f1, f2, n, tokens, sketch of each row with a set."""
+    """node (the first fingerprint), n, tokens, sketch of each row with a set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             rows = []
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                tokens = shingles.shingle_set(text.as_py(), k)
+            for text in batch.column("text").to_pylist():
+                tokens = shingles.shingle_set(text, k)
                 if len(tokens):
-                    sketch = parity_sketch(tokens).tobytes()
-                    rows.append((doc_id.as_py(), *set_prints(tokens), len(tokens), tokens.view(np.int64), sketch))
+                    rows.append((set_prints(tokens)[0], len(tokens), tokens.view(np.int64), parity_sketch(tokens).tobytes()))
             if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+                kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
                 arrays = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["node", "f1", "f2", "n", "tokens", "sketch"])
+                yield pa.RecordBatch.from_arrays(arrays, ["node", "n", "tokens", "sketch"])
 
-    schema = "node long, f1 long, f2 long, n long, tokens array<long>, sketch binary"
-    return docs.mapInArrow(run, schema)
+    return docs.select("text").mapInArrow(run, "node long, n long, tokens array<long>, sketch binary")
 
 
 @F.arrow_udf(IntegerType())
@@ -209,16 +218,18 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame
 # pairs of buckets
 
 
-def _block_pairs(members: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
+def _block_pairs(members: DataFrame, sets: DataFrame, threshold: Threshold, verified: bool) -> DataFrame:
     """Pairs of nodes of one bucket and two components that may be linked by their sketches.
 
-    ``members``: key, node, component. A bucket is dealt into blocks, and each two blocks
-    meet in one group of at most 2 * BLOCK rows, so a large bucket is many groups. The
-    sketches join last, so they are shuffled once.
+    ``members``: key, node, component, size (of the bucket). A bucket is dealt into blocks, and
+    each two blocks meet in one group of at most 2 * BLOCK rows, so a large bucket is many
+    groups. The sets join last, so they are shuffled once.
+
+    ``verified``: the whole sets go along, a pair is verified where it is found, and only links
+    that join two components of a group are given: less than the group has members.
     """
-    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = hub_join(members, sizes, ["key"], "inner").withColumn("blocks", blocks)
+    rows = members.withColumn("blocks", blocks)
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
@@ -229,7 +240,8 @@ def _block_pairs(members: DataFrame, sets: DataFrame, threshold: Threshold) -> D
         "node",
         "component",
     )
-    rows = hub_join(rows, sets.select("node", "n", "sketch").hint("merge"), ["node"], "inner")
+    wanted = ["node", "n", "sketch", *(["tokens"] if verified else [])]
+    rows = hub_join(rows, sets.select(*wanted).hint("merge"), ["node"], "inner")
     group = ["key", "i", "j"]
     dealt = rows.repartition(*group).sortWithinPartitions(*group)
 
@@ -265,6 +277,8 @@ def _compare(part: pa.Table, cuts: list[int], threshold: Threshold) -> Iterator[
     """The pairs within each group, PAIRS at a time, that their sketches do not rule out."""
     column = {c: part.column(c).to_numpy() for c in ("i", "j", "mine", "node", "component", "n")}
     sketches = [np.frombuffer(s, np.uint64) for s in part.column("sketch").to_pylist()]
+    tokens = part.column("tokens").combine_chunks() if "tokens" in part.column_names else None
+    groups = np.searchsorted(np.array(cuts), np.arange(len(part)), side="right")
     left, right, waiting = [], [], 0
     for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
         if column["i"][a] == column["j"][a]:
@@ -276,12 +290,47 @@ def _compare(part: pa.Table, cuts: list[int], threshold: Threshold) -> Iterator[
         right.append(y + a)
         waiting += len(x)
         if waiting >= PAIRS or k == len(cuts) - 2:
-            yield _near(np.concatenate(left), np.concatenate(right), column, sketches, threshold)
+            x, y = _near(np.concatenate(left), np.concatenate(right), column, sketches, threshold)
+            if tokens is not None:
+                x, y = _joining(x, y, groups, column, tokens, threshold)
+            x, y = column["node"][x], column["node"][y]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
             left, right, waiting = [], [], 0
 
 
-def _near(x: np.ndarray, y: np.ndarray, column: dict, sketches: list[np.ndarray], threshold: Threshold) -> pa.RecordBatch:
-    node, n = column["node"], column["n"]
+def _joining(
+    x: np.ndarray, y: np.ndarray, groups: np.ndarray, column: dict, tokens: pa.ListArray, threshold: Threshold
+) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs that are linked and join two components of their group which no pair before has joined."""
+    pairs = np.stack([groups, column["component"]])
+    root = np.unique(pairs, axis=1, return_inverse=True)[1].ravel()
+    above = list(range(int(root.max()) + 1))
+    begins, values = tokens.offsets.to_numpy(), tokens.values.to_numpy()
+
+    def find(i: int) -> int:
+        while above[i] != i:
+            above[i] = above[above[i]]
+            i = above[i]
+        return i
+
+    kept = []
+    for at, (a, b) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
+        p, q = find(int(root[a])), find(int(root[b]))
+        if p == q:
+            continue
+        one, two = values[begins[a] : begins[a + 1]], values[begins[b] : begins[b + 1]]
+        common = len(np.intersect1d(one, two, assume_unique=True))
+        if common * threshold.den >= threshold.num * (len(one) + len(two) - common):
+            above[p] = q
+            kept.append(at)
+    return x[kept], y[kept]
+
+
+def _near(
+    x: np.ndarray, y: np.ndarray, column: dict, sketches: list[np.ndarray], threshold: Threshold
+) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs (places of rows) that are of two components and that sizes and sketches do not rule out."""
+    n = column["n"]
     apart = column["component"][x] != column["component"][y]
     sized = np.minimum(n[x], n[y]) * threshold.den >= np.maximum(n[x], n[y]) * threshold.num
     x, y = x[apart & sized], y[apart & sized]
@@ -297,8 +346,7 @@ def _near(x: np.ndarray, y: np.ndarray, column: dict, sketches: list[np.ndarray]
             p, q = np.searchsorted(rows, x[some]), np.searchsorted(rows, y[some])
             away = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1)
             close[some] = away <= threshold.differ(n[x[some]], n[y[some]])
-    x, y = node[x[close]], node[y[close]]
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+    return x[close], y[close]
 
 
 def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
@@ -327,19 +375,20 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> D
             placed = stage(placed, "placed")
             mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
             placed = stage(hub_join(placed, mixed.select("key"), ["key"], "left_semi"), "mixed-buckets")
-        rest = verify(stage(_block_pairs(placed, sets, threshold), "block-pairs"), sets, threshold)
-        return write_once(links.unionByName(rest), path)
+        sizes = placed.groupBy("key").agg(F.count("*").alias("size"))
+        sized = stage(hub_join(placed, sizes, ["key"], "inner"), "sized")
+        # the pairs of a small bucket are few
+        few = _block_pairs(sized.where(F.col("size") <= SMALL), sets, threshold, verified=False)
+        rest = verify(stage(few, "block-pairs"), sets, threshold)
+        many = stage(_block_pairs(sized.where(F.col("size") > SMALL), sets, threshold, verified=True), "block-links")
+        return write_once(links.unionByName(rest).unionByName(many), path)
 
 
-def jaccard_groups(
-    docs: DataFrame,
-    k: int = 5,
-    threshold: Threshold = Threshold(80, 100),
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """One row per row: doc_id, n_shingles, component_id (the smallest id that links reach, its own included)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+def _groups(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
+    """doc_id, own, n, group of each row of ``docs`` (doc_id, own, text).
+
+    ``group`` is null where the set is alone; it is the same number for all that links reach.
+    """
     spark = docs.sparkSession
     members, met = new_path(spark, "members"), new_path(spark, "met")
     with staging(spark):
@@ -350,20 +399,58 @@ def jaccard_groups(
         shared = keys.groupBy("key").agg(F.min("f1").alias("x"), F.max("f1").alias("y")).where("x <> y").select("key")
         shared = stage(shared, "shared-keys").hint("merge")
         met = write_once(hub_join(keys, shared, ["key"], "left_semi").distinct(), met)
-    nodes = members.where("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
-    nodes = stage(nodes.where("node IS NOT NULL"), "nodes")
-
-    asked = hub_join(nodes, met.select("f1").distinct(), ["f1"], "left_semi").select(F.col("node").alias("doc_id"))
-    found = _sets(hub_join(docs, stage(asked, "asked").hint("merge"), ["doc_id"], "left_semi"), k)
-    # of repeated ids only the row whose set made the node
-    found = stage(found.join(nodes.drop("copies"), ["f1", "f2", "node"], "left_semi").dropDuplicates(["node"]), "sets")
-    buckets = hub_join(met, found.select("f1", "node"), ["f1"], "inner").select("key", "node")
-    buckets = stage(buckets, "buckets")
-    linked = components(link_buckets(buckets, found, threshold))
-
-    repeated = nodes.where("copies > 1").select("f1", "f2", "node")
-    placed = hub_join(members, repeated, ["f1", "f2"], "left").withColumn("node", F.coalesce("node", "doc_id"))
-    placed = hub_join(placed, linked, ["node"], "left")
-    own = F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
-    own = F.when(F.col("doc_id").isNotNull(), own)
+    nodes = members.where("n > 0").groupBy("f1").agg(F.min("own").alias("own"), F.count("*").alias("copies"))
+    nodes = stage(nodes, "nodes")
+    asked = hub_join(nodes, met.select("f1").distinct(), ["f1"], "left_semi").select("own")
+    asked = hub_join(docs, stage(asked, "asked").hint("merge"), ["own"], "left_semi")
+    sets = stage(_sets(asked, k).dropDuplicates(["node"]), "sets")
+    buckets = met.select("key", F.col("f1").alias("node"))
+    linked = components(link_buckets(buckets, sets, threshold)).select(F.col("node").alias("f1"), "component")
+    grouped = hub_join(nodes.select("f1", "copies"), linked, ["f1"], "left").where("copies > 1 OR component IS NOT NULL")
+    grouped = stage(grouped.select("f1", F.coalesce("component", "f1").alias("group")), "groups")
+    return hub_join(members, grouped, ["f1"], "left").select(
+        "doc_id", "own", "n", F.when(F.col("n") > 0, F.col("group")).alias("group")
+    )
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, own (names the id and the text), text."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("own"), "text")
+
+
+def jaccard_groups(
+    docs: DataFrame,
+    k: int = 5,
+    threshold: Threshold = Threshold(80, 100),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row per row: doc_id, n_shingles, component_id (the smallest id that links reach, its own included)."""
+    rows = stage(_groups(_named(docs, id_col, text_col), k, threshold), "grouped")
+    least = rows.where("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("least"))
+    placed = hub_join(rows, stage(least, "least"), ["group"], "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return placed.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def keep_one(
+    docs: DataFrame,
+    k: int = 5,
+    threshold: Threshold = Threshold(80, 100),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without those that a row of a smaller id is linked to by a chain.
+
+    Of two texts of one id and one group one stays; repeated rows stay or go together. Rows with
+    a null id stay, and nothing goes on their account alone.
+    """
+    rows = stage(_groups(_named(docs, id_col, text_col), k, threshold), "grouped")
+    rows = rows.where("group IS NOT NULL AND doc_id IS NOT NULL")
+    first = rows.groupBy("group").agg(F.min(F.struct("doc_id", "own")).alias("first"))
+    dropped = hub_join(rows, stage(first, "first"), ["group"], "inner").where("own <> first.own")
+    dropped = stage(dropped.select("own").distinct(), "near-copies")
+    key = fresh("_own", docs)
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("long"), whole_text(text_col)))
+    return hub_join(keyed, dropped.withColumnRenamed("own", key).hint("merge"), [key], "left_anti").drop(key)

@@ -14,12 +14,17 @@ that all copies of a run are of one length. Each run is cut into its shortest wi
 equal windows tie their paragraphs one by one, and clusters are the components of these
 ties. In a cluster the first paragraph stays. No pairs of documents are made.
 
+A passage may also stand within longer lines, which then are no paragraphs alike. Its exact
+copies are found word by word (see ``repeated_runs``).
+
 Paragraphs with equal shingles are one node, however often they occur, and a group of
 near copies is tied to its smallest node first (see ``jaccard_join.link_buckets``).
 
 Defined results: a null text counts as empty and has no paragraphs. Null ids come first,
-so such a row's paragraph stays; paragraphs of such rows alone are matched by copies only. Of repeated rows the same paragraph stays in each. A
-passage that repeats inside one text is removed there too, also where it overlaps itself. Other columns are ignored.
+so such a row's paragraph stays. Of repeated rows the same paragraph stays in each, and of
+paragraphs at one place under one id (two texts of a repeated id) both do. A passage that
+repeats inside one text is removed there too, also where it overlaps itself. Other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +42,8 @@ from pyspark.sql import functions as F
 from propgraph.llm import shingles
 from propgraph.llm.common import slices, whole_text
 from propgraph.llm.components import components
-from propgraph.llm.jaccard_join import Threshold, link_buckets, parity_sketch, set_prints
+from propgraph.llm.jaccard_join import Threshold, link_buckets, many_prints, parity_sketch, set_prints
+from propgraph.llm.repeated_runs import repeated_runs
 from propgraph.operators.joins import hub_join
 from propgraph.staging import new_path, stage, staging, write_once
 
@@ -56,26 +62,29 @@ def _draw(n: int) -> np.ndarray:
     return np.random.default_rng(11).integers(0, 1 << 63, (2, n), np.uint64)
 
 
-def band_keys(tokens: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
-    draw = _draw(bands * rows)
-    least = (tokens[:, None] * (draw[0] | np.uint64(1)) + draw[1]).min(axis=0).reshape(bands, rows)
-    keys = np.arange(bands, dtype=np.uint64)
+def band_keys(tokens: np.ndarray, starts: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
+    """The keys of sets that stand one after another in ``tokens``, a row of ``bands`` each."""
+    factor, shift = _draw(bands * rows)
+    keys = np.tile(np.arange(bands, dtype=np.uint64), (len(starts), 1))
     for j in range(rows):
-        keys = shingles.mix(keys ^ least[:, j], j + 1)
+        for band in range(bands):
+            f = band * rows + j
+            least = np.minimum.reduceat(tokens * (factor[f] | np.uint64(1)) + shift[f], starts)
+            keys[:, band] = shingles.mix(keys[:, band] ^ least, j + 1)
     return keys.view(np.int64)
 
 
-def has_near(n: int, threshold: Threshold) -> bool:
+def has_near(n: np.ndarray, threshold: Threshold) -> np.ndarray:
     """Whether a set of ``n`` tokens can reach the threshold with any set but itself: with one token more at best."""
     return n * threshold.den >= (n + 1) * threshold.num
 
 
-def paragraphs(text: str) -> Iterator[tuple[int, int, int]]:
-    """Start, end (in characters) and number of words of each line with words."""
+def paragraphs(text: str) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Start, end (in characters) and words of each line with words."""
     at = 0
     for line in text.split("\n"):
-        if n := len(shingles.words(line)):
-            yield at, at + len(line), n
+        if found := shingles.words(line):
+            yield at, at + len(line), found
         at += len(line) + 1
 
 
@@ -90,24 +99,33 @@ def windows(spans: np.ndarray, least: int) -> list[tuple[int, int]]:
 
 
 def _keyed(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
-    """doc_id, row, line, start, end, n_words, f1, f2 of each paragraph, and its band keys.
+    """doc_id, own, row, line, start, end, n_words, f1, f2 of each paragraph, and its band keys.
 
-    ``row`` tells rows apart and holds once written; ``line`` counts the paragraphs of a text.
+    ``own`` names the id and the text; ``row`` tells rows apart and holds once written; ``line`` counts the paragraphs of a text.
     """
-    names, bands = ["doc_id", "row", "line", "start", "end", "n_words", "f1", "f2"], tune_bands(threshold)
+    names, bands = ["doc_id", "own", "row", "line", "start", "end", "n_words", "f1", "f2"], tune_bands(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            rows, keys = [], []
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "row", "text"))
-            for doc_id, row, text in zip(*columns, strict=True):
-                for line, (a, b, n) in enumerate(paragraphs(text)):
-                    tokens = shingles.shingle_set(text[a:b], k)
-                    rows.append((doc_id, row, line, a, b, n, *set_prints(tokens)))
-                    keys.append(band_keys(tokens, bands) if has_near(len(tokens), threshold) else [])
-            columns = [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * len(names)
-            arrays = [*(pa.array(c, pa.int64()) for c in columns), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, [*names, "keys"])
+            rows, found = [], []
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "own", "row", "text"))
+            for *row, text in zip(*columns, strict=True):
+                for line, (a, b, words) in enumerate(paragraphs(text)):
+                    rows.append((*row, line, a, b, len(words)))
+                    found += words
+            if not rows:
+                continue
+            # all lines at once
+            counts = np.array([r[-1] for r in rows])
+            tokens, starts = shingles.shingle_sets(shingles.hash_words(found), counts, k)
+            f1, f2 = many_prints(tokens, starts)
+            sizes = np.diff(np.append(starts, len(tokens)))
+            near = has_near(sizes, threshold)
+            keys = band_keys(tokens[np.repeat(near, sizes)], np.cumsum(sizes[near]) - sizes[near], bands)
+            ends = np.cumsum(np.where(near, bands, 0))
+            listed = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(keys.ravel()))
+            columns = [pa.array(list(c), pa.int64()) for c in zip(*rows, strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(f1), pa.array(f2), listed], [*names, "keys"])
 
     docs = docs.withColumn("row", F.monotonically_increasing_id())
     return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", keys array<long>")
@@ -162,7 +180,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                 for place in places:
                     tokens = shingles.shingle_set(text[place["start"] : place["end"]], k)
                     prints = set_prints(tokens) if len(tokens) else (0, 0)
-                    if prints[0] == place["node"]:  # of repeated ids only the row that has the paragraph
+                    if prints[0] == place["node"]:
                         sketch = parity_sketch(tokens).tobytes()
                         rows.append((prints[0], prints[1], len(tokens), tokens.view(np.int64), sketch))
             if rows:
@@ -182,12 +200,33 @@ def repeated_paragraphs(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per paragraph of a repeated passage: a run of ``least`` words that has a copy or near copy.
+    """One row per repeated passage's paragraph, and one per run of words that has an exact copy within other lines.
+
+    doc_id, unit ('line' or 'run'), start, end (characters of the text), n_words, cluster_id,
+    keep_doc_id (the document whose paragraph or run stays), kept. A run of whole lines is
+    found both ways: what is not kept goes.
+    """
+    lines = repeated_lines(docs, k, threshold, least, id_col, text_col).withColumn("unit", F.lit("line"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+    found = lines.unionByName(repeated_runs(texts, least).withColumn("unit", F.lit("run")))
+    return found.select("doc_id", "unit", "start", "end", "n_words", "cluster_id", "keep_doc_id", "kept")
+
+
+def repeated_lines(
+    docs: DataFrame,
+    k: int = 5,
+    threshold: Threshold = Threshold(80, 100),
+    least: int = LEAST_WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row per paragraph of a repeated passage: a run of ``least`` words in whole lines that has a copy or near copy.
 
     doc_id, start, end (characters of the text), n_words, cluster_id, keep_doc_id (the
     document whose paragraph stays), kept.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+    docs = docs.withColumn("own", F.xxhash64("doc_id", "text"))
     spark = docs.sparkSession
     rows, met = new_path(spark, "paragraphs"), new_path(spark, "met")
     with staging(spark):
@@ -199,11 +238,11 @@ def repeated_paragraphs(
         met = write_once(hub_join(keys, shared, ["key"], "left_semi").distinct(), met)
     # one place of each node that meets another, and the places by document
     asked = met.select(F.col("node").alias("f1")).distinct()
-    place = F.min(F.struct(F.col("doc_id").alias("id"), "start", "end")).alias("place")
-    places = hub_join(rows.where("doc_id IS NOT NULL"), asked, ["f1"], "left_semi").groupBy("f1").agg(place)
+    place = F.min(F.struct("own", "start", "end")).alias("place")
+    places = hub_join(rows, asked, ["f1"], "left_semi").groupBy("f1").agg(place)
     listed = F.collect_list(F.struct("place.start", "place.end", F.col("f1").alias("node"))).alias("places")
-    places = stage(places.groupBy(F.col("place.id").alias("id")).agg(listed), "places").hint("merge")
-    texts = hub_join(docs.select(F.col("doc_id").alias("id"), "text"), places, ["id"], "inner")
+    places = stage(places.groupBy(F.col("place.own").alias("own")).agg(listed), "places").hint("merge")
+    texts = hub_join(docs.select("own", "text"), places, ["own"], "inner")
     sets = stage(_sets(texts, k).dropDuplicates(["node"]), "sets")
     linked = components(link_buckets(met, sets, threshold)).withColumnRenamed("node", "f1")
     linked = hub_join(linked, sets.select(F.col("node").alias("f1"), "f2"), ["f1"], "inner")
@@ -214,7 +253,7 @@ def repeated_paragraphs(
     groups = stage(groups.select("f1", "f2", "most", F.coalesce("component", "f1").alias("like")), "groups")
     spans = groups.groupBy("like").agg(F.max("most").alias("span"))
     groups = stage(hub_join(groups.drop("most"), spans, ["like"], "inner"), "spans")
-    found = stage(hub_join(rows, groups, ["f1", "f2"], "inner").drop("f1", "f2"), "alike")
+    found = stage(hub_join(rows.drop("own"), groups, ["f1", "f2"], "inner").drop("f1", "f2"), "alike")
     clusters = components(_ties(found, least))
     found = found.withColumn("node", _node("row", F.col("line"))).drop("row", "line", "span")
     found = stage(hub_join(found, clusters, ["node"], "inner").drop("node"), "clustered")

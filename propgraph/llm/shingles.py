@@ -54,3 +54,29 @@ def shingle_set(text: str, k: int) -> np.ndarray:
     if not len(hashes):
         return hashes
     return np.unique(windows(hashes, min(k, len(hashes))))
+
+
+def shingle_sets(hashes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``shingle_set`` of each of many texts at once: all tokens one after another, and where each set starts.
+
+    ``hashes`` has the words of all texts in order, ``counts`` (none is 0) how many each has.
+    """
+    begins = np.cumsum(counts) - counts
+    text = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(hashes))
+    left = begins[text] + counts[text] - place  # words from here to the end
+    tokens, of = [], []
+    for size in range(1, k + 1):
+        at = place[left >= k] if size == k else begins[counts == size]
+        if len(at):
+            out = np.full(len(at), size, np.uint64)
+            for j in range(size):
+                out = mix(out * _A + hashes[at + j])
+            tokens.append(out)
+            of.append(text[at])
+    tokens, of = np.concatenate(tokens), np.concatenate(of)
+    order = np.lexsort((tokens, of))
+    tokens, of = tokens[order], of[order]
+    new = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (of[1:] != of[:-1])])
+    tokens, of = tokens[new], of[new]
+    return tokens, np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))

@@ -238,7 +238,7 @@ def scored(spark, index: BlockIndex, text: Column, k: int = NEIGHBOURS) -> Colum
 
     @F.arrow_udf(SCORED)
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array([sent.value.score(t, k) for t in texts.to_pylist()], ARROW_SCORED)
+        return pa.array([sent.value.score(t.as_py(), k) for t in texts], ARROW_SCORED)  # a text at a time
 
     return score(text)
 

@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import hashlib
 import random
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from propgraph.llm import exact_dedup, fuse_filter, jaccard_join, paragraph_dedup, shingles
 from propgraph.llm.components import components
 from propgraph.llm.jaccard_join import Threshold
+from propgraph.llm.repeated_runs import repeated_runs, window_hashes
 
 DOCS = "doc_id long, text string, digest string, key long, node int"
 
@@ -142,6 +144,8 @@ def shingle_sets(rows, k):
 @pytest.mark.parametrize(("k", "num"), [(4, 85), (5, 80)])
 def test_jaccard_groups(spark, conf, monkeypatch, k, num):
     monkeypatch.setattr(jaccard_join, "BLOCK", 3)  # large buckets, at this size
+    monkeypatch.setattr(jaccard_join, "SMALL", 2)
+    monkeypatch.setattr(jaccard_join, "STAR_TURNS", 1)
     conf("spark.sql.autoBroadcastJoinThreshold", -1)
     rows = corpus(k)
     n = len(rows)
@@ -168,6 +172,23 @@ def test_jaccard_groups_of_repeated_ids_and_of_no_rows(spark):
     assert jaccard_join.jaccard_groups(frame(spark, [])).count() == 0
 
 
+def test_two_texts_under_one_id(spark):
+    draw = random.Random(8)
+    a, b = words(draw, 60), words(draw, 60)
+    rows = [(1, a), (1, b), (2, [*a, "end"]), (3, [*b, "end"]), (None, [*b, "other"]), (4, words(draw, 30))]
+    rows = [(i, " ".join(t)) for i, t in rows]
+    found = jaccard_join.jaccard_groups(frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in found) == [
+        ("1", "1"), ("1", "1"), ("2", "1"), ("3", "1"), ("4", "4"), ("None", "None"),
+    ]
+    kept = jaccard_join.keep_one(frame(spark, [*rows, rows[1]]))
+    assert kept.columns == frame(spark, []).columns
+    # both texts of the first id stay, for neither has a copy of a smaller id
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted(
+        (str(i), t) for i, t in [rows[0], rows[1], rows[1], *rows[4:]]
+    )
+
+
 @pytest.mark.parametrize("num", [80, 85, 95])
 def test_linked_sets_share_a_segment_and_their_sketches_are_near(num):
     threshold, draw = Threshold(num, 100), np.random.default_rng(num)
@@ -215,7 +236,7 @@ def test_repeated_paragraphs(spark):
         (11, line(words(draw, 30_000))),
         (None, line(passages[0])),
     ]
-    found = paragraph_dedup.repeated_paragraphs(frame(spark, rows)).collect()
+    found = paragraph_dedup.repeated_lines(frame(spark, rows)).collect()
     got = sorted((str(r.doc_id), str(r.keep_doc_id), r.kept) for r in found)
     assert got == sorted(
         [("1", "None", False), ("2", "None", False), ("None", "None", True), ("3", "3", True), ("4", "3", False)]
@@ -247,7 +268,7 @@ def test_passages_broken_over_short_lines(spark):
         (10, wrap(x, 20) + "\n" + ends[2]),
         (11, wrap(y, 1) + "\n" + wrap(y, 1)),  # 20 words twice
     ]
-    found = paragraph_dedup.repeated_paragraphs(frame(spark, rows)).collect()
+    found = paragraph_dedup.repeated_lines(frame(spark, rows)).collect()
     got = {i: sorted((r.keep_doc_id, r.kept) for r in found if r.doc_id == i) for i, _ in rows}
     assert got == {
         1: [(1, True)] * 8,
@@ -266,6 +287,98 @@ def test_passages_broken_over_short_lines(spark):
     assert sorted(" ".join(passage).split()) == sorted(w for r in found if r.doc_id == 2 for w in texts[2][r.start : r.end].split())
 
 
+def brute_runs(rows, least):
+    """Runs of words whose windows occur twice: id, start, end, words; and how often each window occurs."""
+    texts = {}
+    for doc_id, text in rows:
+        found = re.finditer(r"[^\x20\x09-\x0D]+", text or "")
+        texts[(doc_id, text or "")] = [(m.start(), m.end(), m[0].translate(LOWERED)) for m in found]
+    times = defaultdict(list)
+    for key, found in texts.items():
+        for s in range(len(found) - least + 1):
+            times[tuple(w[2] for w in found[s : s + least])].append((key, s))
+    out = []
+    for (doc_id, _), found in texts.items():
+        last = None
+        for s in range(len(found) - least + 1):
+            if len(times[tuple(w[2] for w in found[s : s + least])]) < 2:
+                continue
+            if last is None or s > last[1] + least:
+                last = [s, s]
+                out.append((doc_id, found, last))
+            last[1] = s
+    return sorted((str(i), w[a][0], w[b + least - 1][1], b + least - a) for i, w, (a, b) in out)
+
+
+LOWERED = {c: c + 32 for c in range(65, 91)}
+
+
+def test_runs_within_longer_lines(spark):
+    draw = random.Random(3)
+    passages = [words(draw, draw.randint(50, 80)) for _ in range(10)]
+    rows = []
+    for i in range(120):
+        text = words(draw, draw.randint(0, 150))
+        for p in draw.sample(passages, draw.choice([0, 0, 1, 2])):
+            at = draw.randint(0, len(text))
+            text[at:at] = p if draw.random() < 0.8 else p[:49]  # one word short
+        rows.append((i, "".join(w + draw.choice([" ", "\n", " \t "]) for w in text)))
+    rows += [rows[3], (900, rows[4][1]), (901, "é日 " * 130), (None, rows[5][1]), (902, None), (903, " ".join(passages[0]).upper())]
+    found = repeated_runs(frame(spark, [(i, t or "") for i, t in rows]).select("doc_id", "text"), 50).collect()
+    assert sorted((str(r.doc_id), r.start, r.end, r.n_words) for r in found) == brute_runs(rows, 50)
+    # of every window that repeats a kept run holds a copy
+    texts = dict(rows)
+    windows = lambda r: {tuple(w[s : s + 50]) for w in [texts[r.doc_id][r.start : r.end].translate(LOWERED).split()] for s in range(len(w) - 49)}
+    kept = set().union(*(windows(r) for r in found if r.kept))
+    once = Counter(w for r in found for w in windows(r))  # where two passages meet is no copy
+    assert all(once[w] == 1 for r in found for w in windows(r) - kept)
+    assert {r.keep_doc_id for r in found if r.doc_id in (5, None)} == {None}
+    # copies of one passage are one cluster
+    alone = [r for r in found if r.doc_id == 903]
+    holding = [r for r in found if " ".join(passages[0]) in " ".join(texts[r.doc_id][r.start : r.end].translate(LOWERED).split())]
+    assert len(holding) > 2 and {r.cluster_id for r in holding} == {alone[0].cluster_id}
+    assert repeated_runs(frame(spark, []).select("doc_id", "text"), 50).count() == 0
+
+
+def test_every_passage_is_found_in_all_of_its_documents(spark):
+    """Alone in a line once, within longer lines twice."""
+    draw = random.Random(6)
+    p = " ".join(words(draw, 60))
+    rows = [(1, f"{' '.join(words(draw, 30))} {p} {' '.join(words(draw, 40))}"), (2, f"x\n{p}\ny"), (3, f"{p} {' '.join(words(draw, 9))}")]
+    rows += [(4, " ".join(words(draw, 200)))]
+    found = paragraph_dedup.repeated_paragraphs(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.unit, r.kept) for r in found} == {(1, "run", True), (2, "run", False), (3, "run", False)}
+
+
+def test_near_paragraphs_of_rows_without_an_id(spark):
+    draw = random.Random(7)
+    p = words(draw, 70)
+    near = [*p[:35], "changed", *p[36:]]
+    rows = [(None, " ".join(p)), (5, "one\n" + " ".join(near)), (5, " ".join(words(draw, 60)))]
+    found = paragraph_dedup.repeated_lines(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.kept) for r in found} == {(None, True), (5, False)}
+
+
+@pytest.mark.parametrize("k", [1, 2, 5, 16, 50])
+def test_window_hashes_depend_on_their_words_alone(k):
+    h = np.random.default_rng(1).integers(0, 1 << 63, 120).astype(np.uint64)
+    found = window_hashes(h, k)
+    assert len(np.unique(found)) == len(found) == 121 - k
+    assert (window_hashes(np.concatenate([h[7:], h]), k)[: len(found) - 7] == found[7:]).all()
+
+
+def test_many_sets_at_once_are_those_one_by_one():
+    draw = random.Random(2)
+    texts = [" ".join(draw.choices("abcd", k=n)) for n in (1, 2, 3, 4, 5, 6, 9, 40, 200)] + ["a " * 50]
+    counts = np.array([len(t.split()) for t in texts])
+    hashes = shingles.hash_words(shingles.words(" ".join(texts)))
+    tokens, starts = shingles.shingle_sets(hashes, counts, 5)
+    each = np.split(tokens, starts[1:])
+    assert all((a == shingles.shingle_set(t, 5)).all() for a, t in zip(each, texts, strict=True))
+    f1, f2 = jaccard_join.many_prints(tokens, starts)
+    assert [jaccard_join.set_prints(e) for e in each] == list(zip(f1.tolist(), f2.tolist(), strict=True))
+
+
 def test_windows_cover_every_run():
     draw = np.random.default_rng(3)
     for _ in range(200):
@@ -290,5 +403,5 @@ def test_bands_reach_the_recall():
     for _ in range(300):
         base = draw.integers(0, 1 << 63, 90, np.uint64)
         other = np.concatenate([base[10:], draw.integers(0, 1 << 63, 10, np.uint64)])  # 80 of 100
-        hits += bool(np.intersect1d(paragraph_dedup.band_keys(base, bands), paragraph_dedup.band_keys(other, bands)).size)
+        hits += bool(np.intersect1d(*(paragraph_dedup.band_keys(t, np.array([0]), bands) for t in (base, other))).size)
     assert hits >= 297

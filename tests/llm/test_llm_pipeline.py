@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.LLM_ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.LLM_QUERIES[name](spark, SF)
     columns = sorted(df.columns)
@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(n.split("_")[0] for n in queries.LLM_QUERIES) == sorted([*(f"op{i}" for i in range(1, 11)), "pipeline"])
+    assert sorted(n.split("_")[0] for n in queries.LLM_QUERIES) == sorted([*(f"op{i}" for i in range(1, 14)), "pipeline"])
 
 
 @pytest.fixture

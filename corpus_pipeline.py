@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from propgraph.llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, toxicity
 from propgraph.llm.common import table
-from propgraph.operators.joins import hub_join
 from propgraph.staging import stage
 
 
@@ -34,9 +33,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked at 0.8 over five-word shingles the smallest id stays."""
-    groups = jaccard_join.jaccard_groups(docs, 5, jaccard_join.Threshold(80, 100))
-    dropped = stage(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return hub_join(docs, dropped.hint("merge"), ["doc_id"], "left_anti")
+    return jaccard_join.keep_one(docs, 5, jaccard_join.Threshold(80, 100))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ from propgraph.llm import shingles
 from propgraph.llm.common import slices, whole_text
 from propgraph.llm.components import components
 from propgraph.llm.jaccard_join import Threshold, link_buckets, many_prints, parity_sketch, set_prints
-from propgraph.llm.repeated_runs import repeated_runs
+from propgraph.llm.repeated_runs import body_of, repeated_runs, text_facts
 from propgraph.operators.joins import hub_join
 from propgraph.staging import new_path, stage, staging, write_once
 
@@ -98,26 +98,31 @@ def windows(spans: np.ndarray, least: int) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def _keyed(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
+def _keyed(docs: DataFrame, k: int, threshold: Threshold, least: int) -> DataFrame:
     """doc_id, own, row, line, start, end, n_words, f1, f2 of each paragraph, and its band keys.
 
-    ``own`` names the id and the text; ``row`` tells rows apart and holds once written; ``line`` counts the paragraphs of a text.
+    ``own`` names the id and the text; ``row`` tells rows apart and holds once written; ``line`` counts the
+    paragraphs of a text. The first one also has the text's facts (see ``repeated_runs.facts_of``).
     """
     names, bands = ["doc_id", "own", "row", "line", "start", "end", "n_words", "f1", "f2"], tune_bands(threshold)
+    facts = {n: pa.int64() for n in ("body", "first", "last", "total")} | {n: pa.list_(pa.int64()) for n in ("seed_at", "seeds")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            rows, found = [], []
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "own", "row", "text"))
-            for *row, text in zip(*columns, strict=True):
+            rows, found, texts = [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "own", "row", "body", "text"))
+            for doc_id, own, row, body, text in zip(*columns, strict=True):
+                before = len(found)
                 for line, (a, b, words) in enumerate(paragraphs(text)):
-                    rows.append((*row, line, a, b, len(words)))
+                    rows.append((doc_id, own, row, line, a, b, len(words)))
                     found += words
+                if len(found) > before:
+                    texts.append((body, text, before, len(found)))
             if not rows:
                 continue
             # all lines at once
-            counts = np.array([r[-1] for r in rows])
-            tokens, starts = shingles.shingle_sets(shingles.hash_words(found), counts, k)
+            counts, hashes = np.array([r[-1] for r in rows]), shingles.hash_words(found)
+            tokens, starts = shingles.shingle_sets(hashes, counts, k)
             f1, f2 = many_prints(tokens, starts)
             sizes = np.diff(np.append(starts, len(tokens)))
             near = has_near(sizes, threshold)
@@ -125,10 +130,15 @@ def _keyed(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
             ends = np.cumsum(np.where(near, bands, 0))
             listed = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(keys.ravel()))
             columns = [pa.array(list(c), pa.int64()) for c in zip(*rows, strict=True)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(f1), pa.array(f2), listed], [*names, "keys"])
+            told = ((body, *text_facts(text, hashes[a:b], least)) for body, text, a, b in texts)
+            of = [next(told) if r[3] == 0 else (None,) * len(facts) for r in rows]
+            extra = [pa.array(list(c), kind) for c, kind in zip(zip(*of, strict=True), facts.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(f1), pa.array(f2), listed, *extra], [*names, "keys", *facts])
 
-    docs = docs.withColumn("row", F.monotonically_increasing_id())
-    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", keys array<long>")
+    docs = docs.select("doc_id", "own", F.monotonically_increasing_id().alias("row"), body_of().alias("body"), "text")
+    kinds = [f"{n} long" for n in (*names, "body", "first", "last", "total")]
+    kinds[len(names) : len(names)] = ["keys array<long>"]
+    return docs.mapInArrow(run, ", ".join([*kinds, "seed_at array<long>", "seeds array<long>"]))
 
 
 def _windows(found: DataFrame, least: int) -> DataFrame:
@@ -206,9 +216,12 @@ def repeated_paragraphs(
     keep_doc_id (the document whose paragraph or run stays), kept. A run of whole lines is
     found both ways: what is not kept goes.
     """
-    lines = repeated_lines(docs, k, threshold, least, id_col, text_col).withColumn("unit", F.lit("line"))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    found = lines.unionByName(repeated_runs(texts, least).withColumn("unit", F.lit("run")))
+    docs = _named(docs, id_col, text_col)
+    # of one pass over the texts: the paragraphs and the seeds of runs
+    keyed = stage(_keyed(docs, k, threshold, least), "keyed")
+    lines = _lines(docs, keyed, k, threshold, least).withColumn("unit", F.lit("line"))
+    facts = keyed.where("line = 0").select("doc_id", "own", "body", "first", "last", "total", "seed_at", "seeds")
+    found = lines.unionByName(repeated_runs(docs, facts, least).withColumn("unit", F.lit("run")))
     return found.select("doc_id", "unit", "start", "end", "n_words", "cluster_id", "keep_doc_id", "kept")
 
 
@@ -225,13 +238,21 @@ def repeated_lines(
     doc_id, start, end (characters of the text), n_words, cluster_id, keep_doc_id (the
     document whose paragraph stays), kept.
     """
+    docs = _named(docs, id_col, text_col)
+    return _lines(docs, stage(_keyed(docs, k, threshold, least), "keyed"), k, threshold, least)
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, own (names the id and the text), text."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    docs = docs.withColumn("own", F.xxhash64("doc_id", "text"))
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("own"), "text")
+
+
+def _lines(docs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold, least: int) -> DataFrame:
     spark = docs.sparkSession
     rows, met = new_path(spark, "paragraphs"), new_path(spark, "met")
     with staging(spark):
-        keyed = stage(_keyed(docs, k, threshold), "keyed")
-        rows = write_once(keyed.drop("keys"), rows)
+        rows = write_once(keyed.select("doc_id", "own", "row", "line", "start", "end", "n_words", "f1", "f2"), rows)
         keys = keyed.select(F.explode("keys").alias("key"), F.col("f1").alias("node"))
         shared = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("key")
         shared = stage(shared, "shared-bands").hint("merge")

@@ -8,10 +8,11 @@ no pairs are made, and a window's copies only meet in an aggregate. Overlapping
 text are one run; runs are tied to the run of the first copy of each of their windows, and
 clusters are the components.
 
-Documents are told apart by their id and text, so repeated rows are one document. A run is
-kept if any of its windows is a first copy (by id, null first, then text, then place); so of
-all that repeats one copy stays. Words are lower-cased (A-Z) and compared by their hashes,
-windows by 64 bits.
+Equal texts are one body, which is searched once. A body under several ids repeats as a whole;
+within bodies the windows decide. Repeated rows (one id and text) are one document. A run is
+kept if it holds the first copy (by id, null first, then text, then place) of any of its
+windows, or words that occur nowhere else; so of all that repeats one copy stays. Words are
+lower-cased (A-Z) and compared by their hashes, windows and bodies by 64 bits.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from propgraph.operators.joins import hub_join
 from propgraph.staging import stage
 
 SEED = 16
+SPACE = " \t\n\v\f\r"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,33 +81,48 @@ def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return chars[turns[::2]], chars[turns[1::2]]
 
 
-def _seeds(texts: DataFrame, least: int) -> DataFrame:
-    """key, at, seed of each text."""
+def text_facts(text: str, hashes: np.ndarray, least: int) -> tuple:
+    """first, last (characters of its words), total (words), seed_at, seeds of a text with words, whose hashes are given."""
+    places, found = seed_places(hashes, least)
+    first, last = len(text) - len(text.lstrip(SPACE)), len(text.rstrip(SPACE))
+    return first, last, len(hashes), places, found.view(np.int64)
+
+
+def body_of(text: str = "text"):
+    return F.xxhash64(text)
+
+
+def facts_of(texts: DataFrame, least: int) -> DataFrame:
+    """doc_id, own, body, first, last, total, seed_at, seeds of each row with words. ``texts``: doc_id, own, text."""
+    names = ["doc_id", "own", "body", "first", "last", "total"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
         for batch in slices(batches, "text", 1 << 20):
-            keys, at, seeds = [], [], []
-            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                places, found = seed_places(shingles.hash_words(shingles.words(text)), least)
-                keys.append(np.full(len(places), key, np.int64))
-                at.append(places)
-                seeds.append(found.view(np.int64))
-            columns = [pa.array(np.concatenate(c)) for c in (keys, at, seeds)]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "at", "seed"])
+            rows = []
+            for *row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "own", "body", "text")), strict=True):
+                hashes = shingles.hash_words(shingles.words(text))
+                if len(hashes):
+                    rows.append((*row, *text_facts(text, hashes, least)))
+            if rows:
+                columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, [*names, "seed_at", "seeds"])
 
-    return texts.select("key", "text").mapInArrow(run, "key long, at long, seed long")
+    longs = ", ".join(f"{n} long" for n in names)
+    chosen = texts.select("doc_id", "own", body_of().alias("body"), "text")
+    return chosen.mapInArrow(run, f"{longs}, seed_at array<long>, seeds array<long>")
 
 
 def _windows(texts: DataFrame, least: int) -> DataFrame:
-    """key, doc_id, s, run, start, end of the windows that hold a seed whose place is in ``places``."""
-    names = ["key", "doc_id", "s", "run", "start", "end"]
+    """body, least_doc, s, run, start, end of the windows that hold a seed whose place is in ``places``."""
+    schema = "body long, least_doc long, s int, run long, start int, end int"
+    names = ["body", "least_doc", "s", "run", "start", "end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reach = least - min(SEED, least)
         for batch in slices(batches, "text", 1 << 20):
-            out = []
-            columns = (batch.column(c).to_pylist() for c in ("key", "doc_id", "text", "places"))
-            for key, doc_id, text, places in zip(*columns, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("body", "least_doc", "text", "places"))
+            for body, doc_id, text, places in zip(*columns, strict=True):
                 hashes = shingles.hash_words(shingles.words(text))
                 wanted = np.zeros(len(hashes) + 1, np.int64)
                 places = np.unique(np.array(places, np.int64))
@@ -114,44 +131,47 @@ def _windows(texts: DataFrame, least: int) -> DataFrame:
                 s = np.flatnonzero(np.cumsum(wanted)[: len(hashes) - least + 1])
                 found = window_hashes(hashes, least)[s].view(np.int64)
                 starts, ends = word_spans(text.encode())
-                ids = pa.array([doc_id] * len(s), pa.int64())
-                places_of = [pa.array(c.astype(np.int64)) for c in (s, found, starts[s], ends[s + least - 1])]
-                out.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(s), key, np.int64)), ids, *places_of], names))
-            if out:
-                yield pa.Table.from_batches(out).combine_chunks().to_batches()[0]
+                columns = [
+                    pa.array(np.full(len(s), body, np.int64)),
+                    pa.array([doc_id] * len(s), pa.int64()),
+                    pa.array(s.astype(np.int32)),
+                    pa.array(found),
+                    *(pa.array(c.astype(np.int32)) for c in (starts[s], ends[s + least - 1])),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return texts.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return texts.mapInArrow(run, schema)
 
 
-def _joined(repeated: DataFrame, least: int) -> DataFrame:
-    """Per run: key, doc_id, s0, s1 (words), start, end (characters), kept, keep_doc_id, and ``ties`` to first copies."""
+def _spans(repeated: DataFrame, least: int) -> DataFrame:
+    """Per run of a body: body, s0, s1 (words), start, end (characters), kept, keep_doc, and ``ties`` to first copies."""
     schema = (
-        "key long, doc_id long, s0 long, s1 long, start long, end long, kept boolean, keep_doc_id long,"
-        " ties array<struct<key: long, s: long>>"
+        "body long, s0 long, s1 long, start long, end long, kept boolean, keep_doc long,"
+        " ties array<struct<body: long, s: long>>"
     )
-    names = ["key", "doc_id", "s0", "s1", "start", "end", "kept", "keep_doc_id", "ties"]
-    kinds = [pa.int64()] * 6 + [pa.bool_(), pa.int64(), pa.list_(pa.struct([("key", pa.int64()), ("s", pa.int64())]))]
+    names = ["body", "s0", "s1", "start", "end", "kept", "keep_doc", "ties"]
+    kinds = [pa.int64()] * 5 + [pa.bool_(), pa.int64(), pa.list_(pa.struct([("body", pa.int64()), ("s", pa.int64())]))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "found"):
             rows = []
-            for key, doc_id, found in zip(*(batch.column(c) for c in ("key", "doc_id", "found")), strict=True):
-                fields = found.values.flatten()  # s, start, end, first key, first s
+            for body, found in zip(batch.column("body").to_pylist(), batch.column("found"), strict=True):
+                fields = found.values.flatten()  # s, start, end, of, at, first_doc
                 s = fields[0].to_numpy()
-                order = np.argsort(s)
+                order = np.argsort(s, kind="stable")
                 s, start, end, of, at = (f.to_numpy()[order] for f in fields[:5])
                 first_docs = fields[5].take(pa.array(order)).to_pylist()
-                own = (of == key.as_py()) & (at == s)
+                own = (of == body) & (at == s)
                 cuts = np.flatnonzero(s[1:] > s[:-1] + least) + 1
                 # along one copy the distance to it stays the same
                 new = np.concatenate([[True], (of[1:] != of[:-1]) | (np.diff(at - s) != 0)])
                 for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(s)], strict=True):
-                    ties = [a + i for i in np.flatnonzero(new[a:b]).tolist()]
-                    ties = [{"key": int(of[i]), "s": int(at[i])} for i in dict.fromkeys([a, *ties]) if not own[i]]
-                    kept = bool(own[a:b].any())
-                    keep = doc_id.as_py() if kept else first_docs[a]
+                    ties = dict.fromkeys([a, *(a + np.flatnonzero(new[a:b])).tolist()])
+                    ties = [{"body": int(of[i]), "s": int(at[i])} for i in ties if not own[i]]
                     words = int(s[a]), int(s[b - 1]) + least
-                    rows.append((key.as_py(), doc_id.as_py(), *words, int(start[a]), int(end[b - 1]), kept, keep, ties))
+                    # one of its windows is the first copy, or two passages meet that are together nowhere else
+                    kept = bool(own[a:b].any() or (np.diff(s[a:b]) > 1).any())
+                    rows.append((body, *words, int(start[a]), int(end[b - 1]), kept, first_docs[a], ties))
             if rows:
                 columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names)
@@ -159,41 +179,83 @@ def _joined(repeated: DataFrame, least: int) -> DataFrame:
     return repeated.mapInArrow(run, schema)
 
 
-def repeated_runs(docs: DataFrame, least: int) -> DataFrame:
-    """doc_id, start, end, n_words, cluster_id, keep_doc_id, kept of each run. ``docs``: doc_id (long), text (not null)."""
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
-    seeds = stage(_seeds(texts, least), "seeds")
-    # in another text, or twice in one; repeated rows give the same places again
+def repeated_runs(texts: DataFrame, facts: DataFrame, least: int) -> DataFrame:
+    """doc_id, start, end, n_words, cluster_id, keep_doc_id, kept of each run.
+
+    ``texts``: doc_id (long), own (a hash of id and text), text (not null). ``facts``: what
+    ``facts_of`` gives of them, written.
+    """
+    # in another body, or twice in one; of repeated rows the same places come again
+    seeds = facts.select("body", F.inline(F.arrays_zip(F.col("seed_at").alias("at"), F.col("seeds").alias("seed"))))
     times = seeds.groupBy("seed").agg(
-        F.min("key").alias("k0"), F.max("key").alias("k1"), F.min("at").alias("a0"), F.max("at").alias("a1")
+        F.min("body").alias("b0"), F.max("body").alias("b1"), F.min("at").alias("a0"), F.max("at").alias("a1")
     )
-    twice = stage(times.where("k0 <> k1 OR a0 <> a1").select("seed"), "seeds-again")
-    places = hub_join(seeds, twice.hint("merge"), ["seed"], "left_semi").groupBy("key").agg(F.collect_list("at").alias("places"))
-    places = stage(places, "seed-places")
-    wanted = hub_join(texts, places.hint("merge"), ["key"], "inner")
-    windows = stage(_windows(wanted, least).dropDuplicates(["key", "s"]), "windows")
-
-    first = F.min(F.struct("doc_id", "key", "s")).alias("first")
-    copied = windows.groupBy("run").agg(F.count("*").alias("times"), first).where("times > 1").select("run", "first")
-    copied = hub_join(windows, stage(copied, "windows-again").hint("merge"), ["run"], "inner")
-    fields = F.struct(
-        "s", "start", "end", F.col("first.key").alias("of"), F.col("first.s").alias("at"), F.col("first.doc_id").alias("first_doc")
+    twice = stage(times.where("b0 <> b1 OR a0 <> a1").select("seed"), "seeds-again")
+    places = hub_join(seeds, twice.hint("merge"), ["seed"], "left_semi").groupBy("body")
+    places = places.agg(F.collect_set("at").alias("places"))
+    bodies = facts.groupBy("body").agg(
+        F.min(F.struct("doc_id")).alias("least"),  # null first
+        F.max(F.struct("doc_id")).alias("most"),
+        F.min("own").alias("own"),
+        F.max("first").alias("first"),
+        F.max("last").alias("last"),
+        F.max("total").alias("total"),
     )
-    listed = copied.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.collect_list(fields).alias("found"))
-    runs = stage(_joined(listed, least).withColumn("node", F.xxhash64("key", "s0")), "runs")
+    bodies = stage(
+        bodies.select("body", F.col("least.doc_id").alias("least_doc"), (F.col("least") != F.col("most")).alias("copied"), "own", "first", "last", "total"),
+        "bodies",
+    )
+    wanted = hub_join(places, bodies.select("body", "own", "least_doc").hint("merge"), ["body"], "inner")
+    wanted = stage(wanted, "seed-places")
+    windows = stage(_windows(hub_join(texts.select("own", "text"), wanted.hint("merge"), ["own"], "inner"), least), "windows")
 
-    ties = runs.select(F.col("node").alias("a"), F.explode("ties").alias("first"))
-    ties = ties.select("a", F.col("first.key").alias("key"), F.col("first.s").alias("s"))
-    holders = runs.select("key", F.col("node").alias("b"), "s0", "s1")
-    links = hub_join(ties, holders.hint("merge"), ["key"], "inner").where("s0 <= s AND s < s1").select("a", "b").distinct()
+    again = windows.groupBy("run").agg(
+        F.min("body").alias("b0"),
+        F.max("body").alias("b1"),
+        F.min("s").alias("s0"),
+        F.max("s").alias("s1"),
+        F.min(F.struct("least_doc", "body", "s")).alias("first_copy"),
+    )
+    again = stage(again.where("b0 <> b1 OR s0 <> s1").select("run", "first_copy"), "windows-again")
+    copied = hub_join(windows, again.hint("merge"), ["run"], "inner")
+    first = F.col("first_copy")
+    fields = F.struct("s", "start", "end", first["body"].alias("of"), first["s"].alias("at"), first["least_doc"].alias("first_doc"))
+    spans = stage(_spans(copied.groupBy("body").agg(F.collect_list(fields).alias("found")), least), "spans")
+
+    # a body under several ids is one run, from its first word to its last
+    spans = hub_join(spans, bodies.select("body", "copied", "total").hint("merge"), ["body"], "inner")
+    whole = bodies.where(F.col("copied") & (F.col("total") >= least))
+    elsewhere = spans.where("copied AND s0 = 0 AND s1 = total AND NOT kept").select("body", "keep_doc", F.lit(False).alias("kept"))
+    whole = hub_join(whole, elsewhere.hint("merge"), ["body"], "left").select(
+        "body",
+        F.lit(0).cast("long").alias("s0"),
+        F.col("total").alias("s1"),
+        F.col("first").alias("start"),
+        F.col("last").alias("end"),
+        F.coalesce("kept", F.lit(True)).alias("kept"),
+        F.when(F.col("kept").isNull(), F.col("least_doc")).otherwise(F.col("keep_doc")).alias("keep_doc"),
+        F.xxhash64("body").alias("node"),
+    )
+    own_node = F.when(F.col("copied"), F.xxhash64("body")).otherwise(F.xxhash64("body", "s0"))
+    ties = spans.select(own_node.alias("a"), F.explode("ties").alias("first_copy"))
+    ties = ties.select("a", F.col("first_copy.body").alias("body"), F.col("first_copy.s").alias("s"))
+    parts = spans.where("NOT copied").withColumn("node", own_node).select(*whole.columns)
+    runs = stage(parts.unionByName(whole), "runs")
+    holders = runs.select("body", F.col("node").alias("b"), "s0", "s1")
+    links = hub_join(ties, holders.hint("merge"), ["body"], "inner").where("s0 <= s AND s < s1").select("a", "b").distinct()
     clusters = components(stage(links, "ties")).withColumnRenamed("component", "cluster_id")
-    found = hub_join(runs, clusters, ["node"], "left")
+    runs = hub_join(runs, clusters.hint("merge"), ["node"], "left")
+
+    ids = facts.select("body", "doc_id").distinct()
+    runs = hub_join(runs, bodies.select("body", "least_doc").hint("merge"), ["body"], "inner")
+    found = hub_join(ids, runs.hint("merge"), ["body"], "inner")
+    stays = F.col("kept") & F.col("doc_id").eqNullSafe(F.col("least_doc"))
     return found.select(
         "doc_id",
         "start",
         "end",
         (F.col("s1") - F.col("s0")).alias("n_words"),
         F.coalesce("cluster_id", "node").alias("cluster_id"),
-        "keep_doc_id",
-        "kept",
+        F.when(F.col("kept"), F.col("least_doc")).otherwise(F.col("keep_doc")).alias("keep_doc_id"),
+        stays.alias("kept"),
     )

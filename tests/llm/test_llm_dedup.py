@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from propgraph.llm import exact_dedup, fuse_filter, jaccard_join, paragraph_dedup, shingles
 from propgraph.llm.components import components
 from propgraph.llm.jaccard_join import Threshold
-from propgraph.llm.repeated_runs import repeated_runs, window_hashes
+from propgraph.llm.repeated_runs import facts_of, repeated_runs, window_hashes
+from propgraph.staging import stage
 
 DOCS = "doc_id long, text string, digest string, key long, node int"
 
@@ -310,6 +311,11 @@ def brute_runs(rows, least):
     return sorted((str(i), w[a][0], w[b + least - 1][1], b + least - a) for i, w, (a, b) in out)
 
 
+def runs_of(df, least=50):
+    texts = df.select("doc_id", F.xxhash64("doc_id", "text").alias("own"), "text")
+    return repeated_runs(texts, stage(facts_of(texts, least), "facts"), least)
+
+
 LOWERED = {c: c + 32 for c in range(65, 91)}
 
 
@@ -324,7 +330,7 @@ def test_runs_within_longer_lines(spark):
             text[at:at] = p if draw.random() < 0.8 else p[:49]  # one word short
         rows.append((i, "".join(w + draw.choice([" ", "\n", " \t "]) for w in text)))
     rows += [rows[3], (900, rows[4][1]), (901, "é日 " * 130), (None, rows[5][1]), (902, None), (903, " ".join(passages[0]).upper())]
-    found = repeated_runs(frame(spark, [(i, t or "") for i, t in rows]).select("doc_id", "text"), 50).collect()
+    found = runs_of(frame(spark, [(i, t or "") for i, t in rows])).collect()
     assert sorted((str(r.doc_id), r.start, r.end, r.n_words) for r in found) == brute_runs(rows, 50)
     # of every window that repeats a kept run holds a copy
     texts = dict(rows)
@@ -337,14 +343,14 @@ def test_runs_within_longer_lines(spark):
     alone = [r for r in found if r.doc_id == 903]
     holding = [r for r in found if " ".join(passages[0]) in " ".join(texts[r.doc_id][r.start : r.end].translate(LOWERED).split())]
     assert len(holding) > 2 and {r.cluster_id for r in holding} == {alone[0].cluster_id}
-    assert repeated_runs(frame(spark, []).select("doc_id", "text"), 50).count() == 0
+    assert runs_of(frame(spark, [])).count() == 0
 
 
 def test_every_passage_is_found_in_all_of_its_documents(spark):
     """Alone in a line once, within longer lines twice."""
     draw = random.Random(6)
     p = " ".join(words(draw, 60))
-    rows = [(1, f"{' '.join(words(draw, 30))} {p} {' '.join(words(draw, 40))}"), (2, f"x\n{p}\ny"), (3, f"{p} {' '.join(words(draw, 9))}")]
+    rows = [(1, f"{' '.join(words(draw, 30))} {p} {' '.join(words(draw, 40))}"), (2, f"x\n{p}\ny"), (3, f"{p} {' '.join(words(draw, 25))}")]
     rows += [(4, " ".join(words(draw, 200)))]
     found = paragraph_dedup.repeated_paragraphs(frame(spark, rows)).collect()
     assert {(r.doc_id, r.unit, r.kept) for r in found} == {(1, "run", True), (2, "run", False), (3, "run", False)}

@@ -217,11 +217,15 @@ def repeated_paragraphs(
     found both ways: what is not kept goes.
     """
     docs = _named(docs, id_col, text_col)
-    # of one pass over the texts: the paragraphs and the seeds of runs
-    keyed = stage(_keyed(docs, k, threshold, least), "keyed")
-    lines = _lines(docs, keyed, k, threshold, least).withColumn("unit", F.lit("line"))
-    facts = keyed.where("line = 0").select("doc_id", "own", "body", "first", "last", "total", "seed_at", "seeds")
-    found = lines.unionByName(repeated_runs(docs, facts, least).withColumn("unit", F.lit("run")))
+    spark = docs.sparkSession
+    with_lines, with_runs = new_path(spark, "lines"), new_path(spark, "runs")
+    with staging(spark):
+        rows, met, facts = _prepared(docs, k, threshold, least)
+        with staging(spark):
+            lines = write_once(_lines(docs, rows, met, k, threshold, least).withColumn("unit", F.lit("line")), with_lines)
+        with staging(spark):
+            runs = write_once(repeated_runs(docs, facts, least).withColumn("unit", F.lit("run")), with_runs)
+    found = lines.unionByName(runs)
     return found.select("doc_id", "unit", "start", "end", "n_words", "cluster_id", "keep_doc_id", "kept")
 
 
@@ -239,7 +243,8 @@ def repeated_lines(
     document whose paragraph stays), kept.
     """
     docs = _named(docs, id_col, text_col)
-    return _lines(docs, stage(_keyed(docs, k, threshold, least), "keyed"), k, threshold, least)
+    rows, met, _ = _prepared(docs, k, threshold, least)
+    return _lines(docs, rows, met, k, threshold, least)
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -248,15 +253,23 @@ def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("own"), "text")
 
 
-def _lines(docs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold, least: int) -> DataFrame:
+def _prepared(docs: DataFrame, k: int, threshold: Threshold, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of one pass over the texts: the paragraphs, the band keys that several of them have, and the texts' facts."""
     spark = docs.sparkSession
-    rows, met = new_path(spark, "paragraphs"), new_path(spark, "met")
+    rows, met, facts = new_path(spark, "paragraphs"), new_path(spark, "met"), new_path(spark, "facts")
     with staging(spark):
+        keyed = stage(_keyed(docs, k, threshold, least), "keyed")
         rows = write_once(keyed.select("doc_id", "own", "row", "line", "start", "end", "n_words", "f1", "f2"), rows)
+        told = keyed.where("line = 0").select("doc_id", "own", "body", "first", "last", "total", "seed_at", "seeds")
+        facts = write_once(told, facts)
         keys = keyed.select(F.explode("keys").alias("key"), F.col("f1").alias("node"))
         shared = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("key")
         shared = stage(shared, "shared-bands").hint("merge")
         met = write_once(hub_join(keys, shared, ["key"], "left_semi").distinct(), met)
+    return rows, met, facts
+
+
+def _lines(docs: DataFrame, rows: DataFrame, met: DataFrame, k: int, threshold: Threshold, least: int) -> DataFrame:
     # one place of each node that meets another, and the places by document
     asked = met.select(F.col("node").alias("f1")).distinct()
     place = F.min(F.struct("own", "start", "end")).alias("place")

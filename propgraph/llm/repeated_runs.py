@@ -114,21 +114,19 @@ def facts_of(texts: DataFrame, least: int) -> DataFrame:
 
 
 def _windows(texts: DataFrame, least: int) -> DataFrame:
-    """body, least_doc, s, run, start, end of the windows that hold a seed whose place is in ``places``."""
+    """body, least_doc, s, run, start, end of the windows whose seed is in one of ``places``."""
     schema = "body long, least_doc long, s int, run long, start int, end int"
     names = ["body", "least_doc", "s", "run", "start", "end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reach = least - min(SEED, least)
+        size = min(SEED, least)
         for batch in slices(batches, "text", 1 << 20):
             columns = (batch.column(c).to_pylist() for c in ("body", "least_doc", "text", "places"))
             for body, doc_id, text, places in zip(*columns, strict=True):
                 hashes = shingles.hash_words(shingles.words(text))
-                wanted = np.zeros(len(hashes) + 1, np.int64)
-                places = np.unique(np.array(places, np.int64))
-                np.add.at(wanted, np.maximum(places - reach, 0), 1)
-                np.add.at(wanted, places + 1, -1)
-                s = np.flatnonzero(np.cumsum(wanted)[: len(hashes) - least + 1])
+                # the seed of a window is that with the least hash within it
+                short = window_hashes(hashes, size)
+                s = np.flatnonzero(np.isin(_sliding(short, least - size + 1, np.minimum), short[np.array(places, np.int64)]))
                 found = window_hashes(hashes, least)[s].view(np.int64)
                 starts, ends = word_spans(text.encode())
                 columns = [

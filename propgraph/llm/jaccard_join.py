@@ -349,10 +349,11 @@ def _near(
     return x[close], y[close]
 
 
-def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
+def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold, inside: bool = False) -> DataFrame:
     """Verified links (a, b) that join all nodes which any chain of links within buckets joins.
 
-    ``buckets``: key, node, distinct. ``sets``: node, n, tokens, sketch.
+    ``buckets``: key, node, distinct. ``sets``: node, n, tokens, sketch. ``inside``: the pairs of large
+    buckets are verified where they are found; for small sets, as these go along to each bucket.
     """
     spark = buckets.sparkSession
     path, links = new_path(spark, "links"), None
@@ -377,11 +378,13 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> D
             placed = stage(hub_join(placed, mixed.select("key"), ["key"], "left_semi"), "mixed-buckets")
         sizes = placed.groupBy("key").agg(F.count("*").alias("size"))
         sized = stage(hub_join(placed, sizes, ["key"], "inner"), "sized")
-        # the pairs of a small bucket are few
-        few = _block_pairs(sized.where(F.col("size") <= SMALL), sets, threshold, verified=False)
-        rest = verify(stage(few, "block-pairs"), sets, threshold)
-        many = stage(_block_pairs(sized.where(F.col("size") > SMALL), sets, threshold, verified=True), "block-links")
-        return write_once(links.unionByName(rest).unionByName(many), path)
+        few = sized.where(F.col("size") <= SMALL) if inside else sized
+        rest = verify(stage(_block_pairs(few, sets, threshold, verified=False), "block-pairs"), sets, threshold)
+        links = links.unionByName(rest)
+        if inside:
+            many = sized.where(F.col("size") > SMALL)
+            links = links.unionByName(_block_pairs(many, sets, threshold, verified=True))
+        return write_once(links, path)
 
 
 def _groups(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:

@@ -278,7 +278,7 @@ def _lines(docs: DataFrame, rows: DataFrame, met: DataFrame, k: int, threshold:
     places = stage(places.groupBy(F.col("place.own").alias("own")).agg(listed), "places").hint("merge")
     texts = hub_join(docs.select("own", "text"), places, ["own"], "inner")
     sets = stage(_sets(texts, k).dropDuplicates(["node"]), "sets")
-    linked = components(link_buckets(met, sets, threshold)).withColumnRenamed("node", "f1")
+    linked = components(link_buckets(met, sets, threshold, inside=True)).withColumnRenamed("node", "f1")
     linked = hub_join(linked, sets.select(F.col("node").alias("f1"), "f2"), ["f1"], "inner")
 
     # like: the component of paragraphs alike; span: the words of its longest

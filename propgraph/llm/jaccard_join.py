@@ -14,7 +14,8 @@ many give all their segments. So no pair is lost, and no bucket fills up with st
 
 Equal sets are one node. A bucket's members are first compared with one of them, in a few
 turns, which links a group of near copies in linear time; only buckets whose members are still in several
-components are then compared pair by pair, in blocks of bounded size, inside tasks.
+components are then compared pair by pair, in blocks of bounded size, inside tasks: first the
+nearest pairs that would join the components are verified, then what is still apart.
 Nothing is capped and no list of a bucket's members is ever built.
 
 A set is named by its fingerprint, so two texts under one id are two sets with links of their
@@ -44,7 +45,6 @@ from propgraph.llm.components import components
 from propgraph.operators.joins import fresh, hub_join
 from propgraph.staging import new_path, stage, staging, write_once
 
-SMALL = 32  # members of a bucket of which all pairs may be verified one by one
 BLOCK = 512  # members of a bucket that are compared at once with as many others
 STAR_TURNS = 4  # rounds in which the members of a bucket are compared with one of them
 PAIRS = 200_000  # pairs that a task compares at once
@@ -218,16 +218,18 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame
 # pairs of buckets
 
 
-def _block_pairs(members: DataFrame, sets: DataFrame, threshold: Threshold, verified: bool) -> DataFrame:
+def _block_pairs(members: DataFrame, sets: DataFrame, threshold: Threshold, forest: bool) -> DataFrame:
     """Pairs of nodes of one bucket and two components that may be linked by their sketches.
 
-    ``members``: key, node, component, size (of the bucket). A bucket is dealt into blocks, and
-    each two blocks meet in one group of at most 2 * BLOCK rows, so a large bucket is many
-    groups. The sets join last, so they are shuffled once.
+    ``members``: key, node, component. A bucket is dealt into blocks, and each two blocks meet in
+    one group of at most 2 * BLOCK rows, so a large bucket is many groups. The sets join last,
+    so they are shuffled once.
 
-    ``verified``: the whole sets go along, a pair is verified where it is found, and only links
-    that join two components of a group are given: less than the group has members.
+    ``forest``: only the nearest pairs that join the components of a group, one less than it has
+    components at most.
     """
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
+    members = hub_join(members, sizes, ["key"], "inner")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = members.withColumn("blocks", blocks)
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -240,8 +242,7 @@ def _block_pairs(members: DataFrame, sets: DataFrame, threshold: Threshold, veri
         "node",
         "component",
     )
-    wanted = ["node", "n", "sketch", *(["tokens"] if verified else [])]
-    rows = hub_join(rows, sets.select(*wanted).hint("merge"), ["node"], "inner")
+    rows = hub_join(rows, sets.select("node", "n", "sketch").hint("merge"), ["node"], "inner")
     group = ["key", "i", "j"]
     dealt = rows.repartition(*group).sortWithinPartitions(*group)
 
@@ -251,10 +252,10 @@ def _block_pairs(members: DataFrame, sets: DataFrame, threshold: Threshold, veri
             part = pa.Table.from_batches([batch])
             part = part if rest is None else pa.concat_tables([rest, part])
             cuts = _cuts(part, group)
-            yield from _compare(part, cuts, threshold)
+            yield from _compare(part, cuts, threshold, forest)
             rest = part.slice(cuts[-1])  # its group may go on in the next batch
         if rest is not None:
-            yield from _compare(rest, [0, len(rest)], threshold)
+            yield from _compare(rest, [0, len(rest)], threshold, forest)
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -273,11 +274,10 @@ def _triangle(size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.triu_indices(size, 1)
 
 
-def _compare(part: pa.Table, cuts: list[int], threshold: Threshold) -> Iterator[pa.RecordBatch]:
+def _compare(part: pa.Table, cuts: list[int], threshold: Threshold, forest: bool) -> Iterator[pa.RecordBatch]:
     """The pairs within each group, PAIRS at a time, that their sketches do not rule out."""
     column = {c: part.column(c).to_numpy() for c in ("i", "j", "mine", "node", "component", "n")}
     sketches = [np.frombuffer(s, np.uint64) for s in part.column("sketch").to_pylist()]
-    tokens = part.column("tokens").combine_chunks() if "tokens" in part.column_names else None
     groups = np.searchsorted(np.array(cuts), np.arange(len(part)), side="right")
     left, right, waiting = [], [], 0
     for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
@@ -290,22 +290,20 @@ def _compare(part: pa.Table, cuts: list[int], threshold: Threshold) -> Iterator[
         right.append(y + a)
         waiting += len(x)
         if waiting >= PAIRS or k == len(cuts) - 2:
-            x, y = _near(np.concatenate(left), np.concatenate(right), column, sketches, threshold)
-            if tokens is not None:
-                x, y = _joining(x, y, groups, column, tokens, threshold)
+            x, y, away = _near(np.concatenate(left), np.concatenate(right), column, sketches, threshold)
+            if forest:
+                x, y = _forest(x, y, away, groups, column["component"])
             x, y = column["node"][x], column["node"][y]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
             left, right, waiting = [], [], 0
 
 
-def _joining(
-    x: np.ndarray, y: np.ndarray, groups: np.ndarray, column: dict, tokens: pa.ListArray, threshold: Threshold
+def _forest(
+    x: np.ndarray, y: np.ndarray, away: np.ndarray, groups: np.ndarray, component: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Those of the pairs that are linked and join two components of their group which no pair before has joined."""
-    pairs = np.stack([groups, column["component"]])
-    root = np.unique(pairs, axis=1, return_inverse=True)[1].ravel()
+    """Those of the pairs, the nearest first, that join two components of their group which no pair before has joined."""
+    root = np.unique(np.stack([groups, component]), axis=1, return_inverse=True)[1].ravel()
     above = list(range(int(root.max()) + 1))
-    begins, values = tokens.offsets.to_numpy(), tokens.values.to_numpy()
 
     def find(i: int) -> int:
         while above[i] != i:
@@ -314,13 +312,9 @@ def _joining(
         return i
 
     kept = []
-    for at, (a, b) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
-        p, q = find(int(root[a])), find(int(root[b]))
-        if p == q:
-            continue
-        one, two = values[begins[a] : begins[a + 1]], values[begins[b] : begins[b + 1]]
-        common = len(np.intersect1d(one, two, assume_unique=True))
-        if common * threshold.den >= threshold.num * (len(one) + len(two) - common):
+    for at in np.argsort(away, kind="stable").tolist():
+        p, q = find(int(root[x[at]])), find(int(root[y[at]]))
+        if p != q:
             above[p] = q
             kept.append(at)
     return x[kept], y[kept]
@@ -328,14 +322,17 @@ def _joining(
 
 def _near(
     x: np.ndarray, y: np.ndarray, column: dict, sketches: list[np.ndarray], threshold: Threshold
-) -> tuple[np.ndarray, np.ndarray]:
-    """Those of the pairs (places of rows) that are of two components and that sizes and sketches do not rule out."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those of the pairs (places of rows) that are of two components and that sizes and sketches do not rule out.
+
+    Also how far apart they are, as a share of the tokens.
+    """
     n = column["n"]
     apart = column["component"][x] != column["component"][y]
     sized = np.minimum(n[x], n[y]) * threshold.den >= np.maximum(n[x], n[y]) * threshold.num
     x, y = x[apart & sized], y[apart & sized]
     widths = np.array([len(s) for s in sketches])
-    width, close = np.minimum(widths[x], widths[y]), np.zeros(len(x), bool)
+    width, far = np.minimum(widths[x], widths[y]), np.zeros(len(x))
     for w in np.unique(width).tolist():
         of_width = np.flatnonzero(width == w)
         rows = np.unique(np.concatenate([x[of_width], y[of_width]]))
@@ -344,16 +341,18 @@ def _near(
         for at in range(0, len(of_width), step):
             some = of_width[at : at + step]
             p, q = np.searchsorted(rows, x[some]), np.searchsorted(rows, y[some])
-            away = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1)
-            close[some] = away <= threshold.differ(n[x[some]], n[y[some]])
-    return x[close], y[close]
+            far[some] = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1)
+    close = far <= threshold.differ(n[x], n[y])
+    x, y = x[close], y[close]
+    return x, y, far[close] / (n[x] + n[y])
 
 
-def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold, inside: bool = False) -> DataFrame:
+def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
     """Verified links (a, b) that join all nodes which any chain of links within buckets joins.
 
-    ``buckets``: key, node, distinct. ``sets``: node, n, tokens, sketch. ``inside``: the pairs of large
-    buckets are verified where they are found; for small sets, as these go along to each bucket.
+    ``buckets``: key, node, distinct. ``sets``: node, n, tokens, sketch. First the members of a bucket
+    are compared with one of them, in a few turns; then, in buckets that are still of several
+    components, the nearest pairs that would join these; last whatever pairs are left apart.
     """
     spark = buckets.sparkSession
     path, links = new_path(spark, "links"), None
@@ -370,21 +369,20 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold, insi
             if links is not None and found.isEmpty():
                 break
             links = found if links is None else links.unionByName(found)
-            joined = components(links)
-            placed = hub_join(placed.drop("component"), joined, ["node"], "left")
-            placed = placed.select("key", "node", F.coalesce("component", "node").alias("component"))
-            placed = stage(placed, "placed")
-            mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-            placed = stage(hub_join(placed, mixed.select("key"), ["key"], "left_semi"), "mixed-buckets")
-        sizes = placed.groupBy("key").agg(F.count("*").alias("size"))
-        sized = stage(hub_join(placed, sizes, ["key"], "inner"), "sized")
-        few = sized.where(F.col("size") <= SMALL) if inside else sized
-        rest = verify(stage(_block_pairs(few, sets, threshold, verified=False), "block-pairs"), sets, threshold)
-        links = links.unionByName(rest)
-        if inside:
-            many = sized.where(F.col("size") > SMALL)
-            links = links.unionByName(_block_pairs(many, sets, threshold, verified=True))
-        return write_once(links, path)
+            placed = _still_mixed(placed, links)
+        nearest = verify(stage(_block_pairs(placed, sets, threshold, forest=True), "nearest-pairs"), sets, threshold)
+        links = links.unionByName(nearest)
+        placed = _still_mixed(placed, links)
+        rest = verify(stage(_block_pairs(placed, sets, threshold, forest=False), "block-pairs"), sets, threshold)
+        return write_once(links.unionByName(rest), path)
+
+
+def _still_mixed(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """``placed`` (key, node, component) after ``links``, without buckets that are of one component now."""
+    placed = hub_join(placed.drop("component"), components(links), ["node"], "left")
+    placed = stage(placed.select("key", "node", F.coalesce("component", "node").alias("component")), "placed")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    return stage(hub_join(placed, mixed.select("key"), ["key"], "left_semi"), "mixed-buckets")
 
 
 def _groups(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:

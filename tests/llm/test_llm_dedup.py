@@ -145,7 +145,6 @@ def shingle_sets(rows, k):
 @pytest.mark.parametrize(("k", "num"), [(4, 85), (5, 80)])
 def test_jaccard_groups(spark, conf, monkeypatch, k, num):
     monkeypatch.setattr(jaccard_join, "BLOCK", 3)  # large buckets, at this size
-    monkeypatch.setattr(jaccard_join, "SMALL", 2)
     monkeypatch.setattr(jaccard_join, "STAR_TURNS", 1)
     conf("spark.sql.autoBroadcastJoinThreshold", -1)
     rows = corpus(k)

@@ -105,10 +105,57 @@ def test_scores_of_odd_rows(spark, module):
 def test_features_and_risk():
     assert not quality.features("").any()
     draw = np.random.default_rng(2)
-    good, bad = draw.normal(1, 1, (800, len(quality.NAMES))), draw.normal(-1, 1, (800, len(quality.NAMES)))
-    mixed = np.concatenate([good[400:], bad[:200]])
-    model = quality.train(good[:400], mixed, 2 / 3, np.zeros(len(quality.NAMES)), np.ones(len(quality.NAMES)))
-    assert (model.scores(good) > 0.5).mean() > 0.95 and (model.scores(bad[200:]) < 0.5).mean() > 0.95
+    k = len(quality.NAMES)
+    good, bad = draw.normal(1, 1, (800, k)), draw.normal(-1, 1, (800, k))
+    scale = quality.Scale(np.zeros(k), np.ones(k))
+    for n_good, n_bad in ((400, 200), (40, 400)):  # the second has fewer positives than the prior says
+        p, u = scale(good[:400]), scale(np.concatenate([good[400 : 400 + n_good], bad[:n_bad]]))
+        theta = quality.minimise(lambda t, p=p, u=u: quality.Sums.of(p, u, t), 2 / 3, k + 1)
+        at = quality.Sums.of(p, u, theta)
+        assert at.negative_risk(2 / 3) > -0.01
+        assert at.risk(2 / 3) < quality.Sums.of(p, u, np.append(np.zeros(k), np.log(2))).risk(2 / 3)
+        if n_good > n_bad:
+            model = quality.Model(scale, theta)
+            assert (model.scores(good) > 0.5).mean() > 0.95 and (model.scores(bad[200:]) < 0.5).mean() > 0.95
+
+
+def test_sums_give_the_risk_and_steps_go_down_to_its_least():
+    draw = np.random.default_rng(4)
+    p, theta, prior = draw.normal(0.4, 1, (400, 4)), draw.normal(0, 0.1, 4), 0.4
+    u = np.concatenate([draw.normal(0.4, 1, (400, 4)), draw.normal(-0.4, 1, (600, 4))])
+    z_p, z_u = p @ theta, u @ theta
+    at = quality.Sums.of(p, u, theta)
+    negative = np.log1p(np.exp(z_u)).mean() - prior * np.log1p(np.exp(z_p)).mean()
+    assert negative > 0 and np.isclose(at.negative_risk(prior), negative)
+    assert np.isclose(at.risk(prior), prior * np.log1p(np.exp(-z_p)).mean() + negative + quality.DECAY / 2 * theta @ theta)
+    again = quality.Sums.from_flat(at.flat(), theta)
+    assert len(at.flat()) == quality.Sums.size(4) and again.risk(prior) == at.risk(prior)
+
+    def risk(t):
+        return quality.Sums.of(p, u, t).risk(prior)
+
+    slope = np.array([(risk(theta + e) - risk(theta - e)) / 2e-5 for e in np.eye(4) * 1e-5])
+    step, saved, held = at.newton(prior, 0.0)
+    assert held == 0 and np.isclose(saved, -slope @ step, rtol=1e-4)
+    best = quality.minimise(lambda t: quality.Sums.of(p, u, t), prior, 4)
+    assert all(risk(best) <= risk(best + e) for e in (*np.eye(4) * 0.1, *-np.eye(4) * 0.1))
+
+
+def test_every_unlabelled_document_and_trusted_positive_counts(spark, tables):
+    docs, labels = tables
+    extra = spark.createDataFrame([(None, "no id"), (10**9, "one"), (10**9, "two")], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(extra)
+    found = quality.vectors(docs.selectExpr("doc_id", "coalesce(text, '') AS text"))
+    scale = quality._scale(found)
+    theta = np.linspace(-1, 1, len(quality.NAMES) + 1)
+    got = quality._sums(quality.training_rows(found, labels, "quality"), scale, theta)
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    rows = [(r.doc_id, quality.features(r.text or "")) for r in docs.collect()]
+    assert np.allclose(scale.mean, np.mean([x for _, x in rows], 0))
+    u = np.array([x for i, x in rows if i not in marks])
+    p = np.array([x for i, x in rows if marks.get(i) == 1 and zlib.crc32(str(i).encode()) % 5])
+    assert got.n.tolist() == [len(p), len(u)]
+    assert np.allclose(got.flat(), quality.Sums.of(scale(p), scale(u), theta).flat())
 
 
 def test_packed_covers_a_whole_text():

@@ -6,7 +6,7 @@ first, found by running Karp-Rabin hashing at falling search lengths. As tiles m
 in any order in the document, a reordered passage is covered like an untouched one. A
 document is contaminated by an item if the tiles cover enough of its words.
 
-The seeds of a benchmark are sent to all tasks if there are at most SEED_LIMIT of them,
+The seeds of a benchmark are sent to all tasks if its texts take at most SEED_LIMIT bytes,
 and documents are then compared where they lie, without a shuffle. A larger benchmark is
 joined to the documents' word runs by hash. Both ways give the same rows.
 
@@ -30,12 +30,13 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stru
 
 from propgraph.llm import shingles
 from propgraph.llm.common import slices, whole_text
-from propgraph.operators.joins import hub_join
+from propgraph.operators.joins import fresh, hub_join
 from propgraph.staging import stage
 
 LEAST = 5  # words of a seed and of the shortest tile
 COVERAGE = 0.5
-SEED_LIMIT = 1_000_000
+SEED_LIMIT = 4_000_000  # bytes; a word takes at least one, so there are no more seeds than that
+ITEM_BYTES = 16  # counted for an item besides its text
 FIRST_SEARCH = 32  # words of the first search length
 
 find_words = re.compile(r"[^\W_]+").findall
@@ -222,9 +223,9 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _fits(items: DataFrame, limit: int) -> bool:
-    """Whether an upper bound of the number of seeds, the words, is within the limit; stops counting beyond it."""
-    words = items.select(F.size(F.split("text", r"[\s\p{Punct}]+")).alias("n")).agg(F.sum("n")).first()[0] or 0
-    return words <= limit
+    """Whether the items take at most ``limit`` bytes, so that they may be collected and sent to all tasks."""
+    taken = items.agg(F.sum(F.octet_length("text") + ITEM_BYTES)).first()[0] or 0
+    return taken <= limit
 
 
 def leaks(
@@ -261,6 +262,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: f
         return docs.where(F.size(_index_leaks(docs.sparkSession, index, whole_text(text_col), least, coverage)) == 0)
     named = docs.select(whole_text(text_col).alias("text"))
     found = stage(_joined_leaks(named, items, least, coverage), "leaks").select("text_key").distinct()
-    key = "_text_key"
+    key = fresh("_text_key", docs)
     keyed = docs.withColumn(key, F.sha2(whole_text(text_col), 256))
     return hub_join(keyed, found.withColumnRenamed("text_key", key), [key], "left_anti").drop(key)

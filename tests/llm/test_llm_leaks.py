@@ -91,5 +91,21 @@ def test_leaks_by_both_ways(spark, limit):
     assert decontaminate.leaks(docs, items.limit(0), seed_limit=limit).count() == 0
 
 
+def test_the_bound_counts_bytes(spark):
+    def fits(texts, limit):
+        return decontaminate._fits(spark.createDataFrame([(t,) for t in texts], "text string"), limit)
+
+    joined = ["\u2014".join(["w"] * 300)]  # 300 words without ASCII white space or marks
+    assert not fits(joined, 300) and fits(joined, 300 + 299 * 3 + 16)
+    assert not fits([""] * 100, 100) and fits([], 0)
+
+
+def test_a_column_named_like_the_key_stays(spark):
+    docs = spark.createDataFrame([(1, ITEM, "a"), (2, "clean", "b")], "doc_id long, text string, _text_key string")
+    items = spark.createDataFrame(ITEMS[:1], "item_id long, text string")
+    kept = decontaminate.clean(docs, items, seed_limit=0)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(2, "clean", "b")]
+
+
 def test_an_index_without_seeds():
     assert SeedIndex.of([], 5).leaks("a b c d e f", 5, 0.5) == []

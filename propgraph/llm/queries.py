@@ -130,8 +130,7 @@ def op9_paragraph_minhash_dedup(spark, sf_dir):
 
 @query
 def op5_block_max_toxicity(spark, sf_dir):
-    scores = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return scores.select("doc_id", "held_out", "score", "predicted")
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @query

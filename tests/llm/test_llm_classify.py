@@ -64,6 +64,20 @@ def test_toxicity_tells_held_out_rows_apart(tables):
     assert any(r.neighbours for r in rows)
 
 
+def test_few_examples_are_enough_for_their_copies(spark):
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdefghijklmnop", k=6)) for _ in range(60)]
+    clean = [" ".join(draw.choices(words, k=30)) for _ in range(40)]
+    toxic = [" ".join([*draw.choices(words, k=10), f"grobian{c}xyz verzagt{c}qu"]) for c in "abcdef"]
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:46]
+    labels = spark.createDataFrame([(i, int(n >= 40)) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    rows = [*zip(ids, clean + toxic, strict=True), *((1000 + n, t) for n, t in enumerate(toxic + clean[:6]))]
+    found = toxicity.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()
+    got = {r.doc_id: r for r in found}
+    assert all(got[1000 + n].predicted == 1 and got[1000 + n].neighbours[0] == ids[40 + n] for n in range(6))
+    assert all(got[1006 + n].predicted == 0 for n in range(6))
+
+
 def test_quality_tells_held_out_rows_apart(tables):
     docs, labels = tables
     rows = quality.score_documents(docs, labels).join(labels, "doc_id").collect()

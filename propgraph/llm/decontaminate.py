@@ -21,6 +21,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -89,24 +90,40 @@ def _matches(item: np.ndarray, doc: np.ndarray, free_i: np.ndarray, free_d: np.n
     return found
 
 
+def _free_parts(match: tuple[int, int, int], free_i: np.ndarray, free_d: np.ndarray, least: int) -> list[tuple]:
+    """What is left of a match, (-length, place in item, place in doc), in runs of at least ``least`` free words."""
+    n, i, d = -match[0], *match[1:]
+    free = np.concatenate([[False], free_i[i : i + n] & free_d[d : d + n], [False]])
+    starts, ends = np.flatnonzero(free[1:-1] & ~free[:-2]), np.flatnonzero(free[1:-1] & ~free[2:]) + 1
+    return [(a - b, i + a, d + a) for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if b - a >= least]
+
+
 def tile(item: np.ndarray, doc: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
-    """Tiles (place in item, place in doc, length) of greedy string tiling, by falling length."""
+    """Tiles (place in item, place in doc, length) of greedy string tiling, by falling length.
+
+    Again and again the longest match of unmarked words is marked; of equally long ones
+    the first in the item, then the first in the document. A match that a tile has cut
+    waits for its turn with what is left of it.
+    """
     free_i, free_d = np.ones(len(item), bool), np.ones(len(doc), bool)
-    tiles, size = [], max(least, min(FIRST_SEARCH, len(item), len(doc)))
-    while size <= min(len(item), len(doc)):
-        found = sorted(_matches(item, doc, free_i, free_d, size), key=lambda m: (-m[0], m[1], m[2]))
-        if found and found[0][0] > 2 * size:
-            size = found[0][0]  # search for the very long ones first
+    tiles, left, size = [], len(item), max(least, FIRST_SEARCH)
+    while min(left, len(doc)) >= least:
+        size = max(least, min(size, left, len(doc)))
+        waiting = [(-n, i, d) for n, i, d in _matches(item, doc, free_i, free_d, size)]
+        heapify(waiting)
+        if waiting and -waiting[0][0] > 2 * size:
+            size = -waiting[0][0]  # search for the very long ones first
             continue
-        cut = False
-        for n, i, d in found:
+        while waiting and left >= size:
+            match = heappop(waiting)
+            n, i, d = -match[0], *match[1:]
             if free_i[i : i + n].all() and free_d[d : d + n].all():
                 free_i[i : i + n] = free_d[d : d + n] = False
                 tiles.append((i, d, n))
+                left -= n
             else:
-                cut = True  # what is left of it may still be long enough
-        if cut:
-            continue
+                for part in _free_parts(match, free_i, free_d, size):
+                    heappush(waiting, part)
         if size == least:
             break
         size = max(least, size // 2)

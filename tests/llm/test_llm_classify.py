@@ -64,6 +64,37 @@ def test_toxicity_tells_held_out_rows_apart(tables):
     assert any(r.neighbours for r in rows)
 
 
+def dense_scores(spark, sf_dir, texts):
+    """Scores and nearest examples by the similarity of each text to each example, without blocks or bounds."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "coalesce(text, '') AS text")
+    index = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    examples = np.zeros((len(index.ids), len(index.vocabulary.terms)))
+    for block, (begins, places, weights) in enumerate(index.postings):
+        term = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+        examples[block * toxicity.BLOCK + places, term] = weights
+    scores, evidence = [], []
+    for text in texts:
+        terms, weights = index.vector(text)
+        sims = np.round(examples[:, terms] @ weights, 12) if len(terms) else np.zeros(len(index.ids))
+        near = sorted(np.flatnonzero(sims > 0).tolist(), key=lambda j: (-sims[j], index.ids[j]))[: toxicity.NEIGHBOURS]
+        vote = sum(sims[j] * index.votes[j] for j in near) + toxicity.PULL * index.background
+        scores.append(vote / (sum(sims[j] * index.share[j] for j in near) + toxicity.PULL))
+        evidence.append(index.ids[near].tolist())
+    return scores, evidence
+
+
+def test_toxicity_of_whole_tables_equals_brute_force(spark):
+    small = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{small}/{n}.parquet") for n in ("documents", "labels"))
+    rows = toxicity.score_documents(docs, labels).join(docs.select("doc_id", "text"), "doc_id").collect()
+    scores, evidence = dense_scores(spark, small, [r.text or "" for r in rows])
+    assert len(rows) == docs.count() and np.allclose([r.score for r in rows], scores)
+    # rounding may order equal similarities either way
+    same = [r.neighbours == e for r, e in zip(rows, evidence, strict=True)]
+    assert sum(same) >= 0.98 * len(rows) and any(evidence)
+    assert all(set(r.neighbours) == set(e) or len(e) == toxicity.NEIGHBOURS for r, e in zip(rows, evidence, strict=True))
+
+
 def test_few_examples_are_enough_for_their_copies(spark):
     draw = random.Random(3)
     words = ["".join(draw.choices("abcdefghijklmnop", k=6)) for _ in range(60)]

@@ -1,13 +1,21 @@
 from __future__ import annotations
 
+import base64
+import hashlib
 import random
 
 import duckdb
+import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
 from helpers import bag
+from test_llm_classify import dense_scores
+from test_llm_leaks import brute
 
 import corpus_pipeline
 from propgraph.llm import queries
+from propgraph.llm.decontaminate import find_words
 
 SF = "/root/testdata/sf0.001"
 
@@ -63,3 +71,58 @@ def test_stages_on_no_rows(spark, planted):
     docs = spark.read.parquet(f"{planted}/documents.parquet").limit(0)
     for _, step in corpus_pipeline.STAGES:
         assert step(spark, docs, planted).count() == 0
+
+
+def near_copies(texts):
+    """Ids that a smaller id is linked to by a chain, over all pairs of five-word sets."""
+    sets = {}
+    for i, text in texts.items():
+        w = text.encode().lower().split()
+        sets[i] = {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+    first = {i: i for i in sets}
+
+    def top(i):
+        while first[i] != i:
+            i = first[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                first[y] = x
+    return {i for i in sets if top(i) != i}
+
+
+def covers(item, text):
+    """Whether greedy tiling as it is defined covers half of the item; pairs without a shared run of five have no tile."""
+    item, doc = find_words(item.lower()), find_words(text.lower())
+    runs = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (item, doc)]
+    if runs[0].isdisjoint(runs[1]):
+        return False
+    return sum(n for *_, n in brute(item, doc, 5)) >= 0.5 * len(item)
+
+
+def test_pipeline_equals_brute_force(spark):
+    def texts_of(name, key):
+        return {r[key]: r.text or "" for r in spark.read.parquet(f"{SF}/{name}.parquet").collect()}
+
+    texts, items = texts_of("documents", "doc_id"), texts_of("benchmark", "item_id")
+    kept = {i: t for (i, t), s in zip(texts.items(), dense_scores(spark, SF, texts.values())[0], strict=True) if s < 0.5}
+    assert len(kept) < len(texts)
+    last = {t: max(i for i in kept if kept[i] == t) for t in set(kept.values())}
+    kept = {i: t for t, i in last.items()}
+    gone = near_copies(kept)
+    kept = {i: t for i, t in kept.items() if i not in gone}
+    clean = {i: t for i, t in kept.items() if not any(covers(item, t) for item in items.values())}
+    assert gone and len(clean) < len(kept)
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    encoder = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = []
+    for i, text in clean.items():
+        ids = encoder.encode_ordinary(text)
+        packed = np.array(ids, "<u4").tobytes()
+        want.append((i, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+    found = corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert bag(found.collect()) == bag(want)

@@ -231,14 +231,19 @@ def append_stored_rels(
     return store.commit({table.name: _added(store, table, rows, store.next_version(), False)})
 
 
+def _tombs_of(table: StoredTable, load: int) -> str:
+    return f"tombs/{table.name}/{load}"
+
+
 def _bury(store: Store, table: StoredTable, where: Column, load: int) -> Tombs | None:
     """Write what tells the rows apart for which ``where`` holds: the key, or all columns where keys repeat.
 
     Equal rows meet the same fate, so all columns are enough.
     """
     cols = list(table.keys if table.unique else table.schema.names)
-    gone = store.read(table).where(holds(where)).select(*cols).distinct()
-    folder = f"tombs/{table.name}/{load}"
+    gone = store.read(table).where(holds(where)).select(*cols)
+    gone = gone if table.unique else gone.distinct()
+    folder = _tombs_of(table, load)
     gone.write.mode("overwrite").parquet(f"{store.path}/{folder}")
     tombs = Tombs(folder, load, {c: c for c in cols}, not table.unique)
     return None if store.spark.read.schema(gone.schema).parquet(f"{store.path}/{folder}").isEmpty() else tombs
@@ -291,13 +296,28 @@ def delete_stored_nodes(
     return store.commit({n: t for n, t in tables.items() if t is not store.tables[n]})
 
 
+def _with_dead(store: Store, table: StoredTable) -> set[int]:
+    """The buckets that hold deleted rows.
+
+    A table's own tombs are keys of rows that it had, so their buckets say it, unless these were
+    rewritten since. Only tombs of other tables' keys are joined with the rows.
+    """
+    own = [t for t in table.tombs if t.folder == _tombs_of(table, t.load)]
+    others = tuple(t for t in table.tombs if t not in own)
+    found = set(_buckets(store.hidden(store.raw(table), replace(table, tombs=others), "left_semi"))) if others else set()
+    for tombs in own:
+        keys = store.spark.read.parquet(f"{store.path}/{tombs.folder}")
+        places = _buckets(keys, table.bucket([tombs.cols[k] for k in table.keys]))
+        found |= {b for b in places if any(v < tombs.load for v in table.loads[b])}
+    return found
+
+
 def compact(store: Store) -> Store:
     """Rewrite the buckets that hold deleted rows or lie in several folders; no tomb and one filter a property is left."""
     changed, load = {}, store.next_version()
     for table in store.tables.values():
         touched = {b for b, loads in enumerate(table.loads) if len(loads) > 1}
-        if table.tombs:
-            touched |= set(_buckets(store.hidden(store.raw(table), table, "left_semi")))
+        touched |= _with_dead(store, table)
         if not touched and not table.tombs and len(table.filters) <= len(table.guarded()):
             continue
         after = replace(table, tombs=(), filters=())

@@ -35,7 +35,7 @@ from propgraph import (
     upsert_stored_rels,
 )
 from propgraph.operators import stored
-from propgraph.sources.buckets import BUCKET, LOAD
+from propgraph.sources.buckets import BUCKET, LOAD, Store
 from propgraph.sources.filters import build, maybe_there, words_for
 from propgraph.staging import stage
 
@@ -197,6 +197,23 @@ def test_plain_delete_of_all(spark, both):
     same(delete_stored_nodes(bare, "Source", F.col("id") > 5), delete_nodes(delete_rels(g), "Source", F.col("id") > 5))
 
 
+def test_compaction_finds_own_tombs_by_their_buckets(spark, both, monkeypatch):
+    store, _ = both
+    after = delete_stored_rels(store, "RATED", F.col("rating") > 0.99)
+    hidden = Store.hidden
+
+    def not_joined(self, rows, table, how="left_anti"):
+        assert how == "left_anti", "the rows are joined with their own tombs"
+        return hidden(self, rows, table, how)
+
+    monkeypatch.setattr(Store, "hidden", not_joined)
+    folded = compact(after)
+    assert content(folded.graph()) == content(after.graph()) and not folded.rels("RATED").tombs
+    before, now = after.rels("RATED").loads, folded.rels("RATED").loads
+    buckets = {r[0] for r in hidden(after, after.raw(after.rels("RATED")), after.rels("RATED"), "left_semi").select(BUCKET).collect()}
+    assert buckets and {b for b in range(len(now)) if now[b] != before[b]} == buckets
+
+
 def test_a_change_that_fails_is_not_seen(spark, both):
     store, g = both
     failing = spark.createDataFrame([(1, "x")], "id long, name string").select("id", F.raise_error("stop").cast("string").alias("name"))

@@ -27,6 +27,8 @@ from propgraph.staging import stage
 FIXED_WIDTH = (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType)
 
 REL_ID = "rel_id"
+DIGEST = 32  # hexadecimal digits of a row's digest in an id
+WORD = 60  # copies of a row to a number
 
 Match = tuple[DataFrame, Mapping[str, str]]
 
@@ -165,20 +167,28 @@ def rename_keys(nodes: DataFrame, cols: Mapping[str, str]) -> DataFrame:
     return nodes.select(*[F.col(key).alias(col) for col, key in cols.items()])
 
 
+def _counted(rels: DataFrame, n: str, digest: str) -> DataFrame:
+    """Each distinct row of ``rels`` with its number and a digest of 16 bytes."""
+    columns = rels.columns
+    row = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}) if columns else F.lit("")
+    counted = rels.groupBy(*columns).agg(F.count("*").alias(n))
+    return counted.withColumn(digest, F.unhex(F.substring(F.sha2(row, 256), 1, DIGEST)))
+
+
+def _rel_id(load: str, digest: str, copy: Column) -> Column:
+    return F.concat_ws("-", F.lit(load), F.lower(F.hex(digest)), copy.cast("string"))
+
+
 def with_rel_ids(rels: DataFrame, load: str, name: str = REL_ID) -> DataFrame:
     """``rels`` with an id each that depends on the load's id and the row alone.
 
     Equal rows are told apart by a copy number: they are counted first and dealt out again, so
     no task has to gather them. The id is the load's, a digest of the row, and that number.
     """
-    columns = rels.columns
-    n = fresh("_copies", rels)
-    counted = rels.groupBy(*columns).agg(F.count("*").alias(n))
-    row = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}) if columns else F.lit("")
-    copy = fresh("_copy", rels)
-    dealt = counted.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))).alias(copy))
-    digest = F.substring(F.sha2(row, 256), 1, 32)
-    return dealt.select(*columns, F.concat_ws("-", F.lit(load), digest, F.col(copy).cast("string")).alias(name))
+    n, digest, copy = (fresh(c, rels) for c in ("_copies", "_digest", "_copy"))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))).alias(copy)
+    dealt = _counted(rels, n, digest).select(*rels.columns, digest, copies)
+    return dealt.select(*rels.columns, _rel_id(load, digest, F.col(copy)).alias(name))
 
 
 def not_loaded_yet(rels: DataFrame, existing: DataFrame, load: str, name: str = REL_ID) -> DataFrame:
@@ -189,6 +199,32 @@ def not_loaded_yet(rels: DataFrame, existing: DataFrame, load: str, name: str =
     return rels.join(known, name, "left_anti").select(*rels.columns)
 
 
+def new_with_rel_ids(rels: DataFrame, existing: DataFrame, load: str, name: str = REL_ID) -> DataFrame:
+    """``not_loaded_yet`` of ``with_rel_ids``, without the ids of all copies in a shuffle.
+
+    The copies of a row that ``existing`` has are bits, WORD of them to a number. So what is
+    joined is each distinct row once, or once for each WORD copies of it.
+    """
+    if name not in existing.columns:
+        return with_rel_ids(rels, load, name)
+    columns = rels.columns
+    n, digest, word, bits, at = (fresh(c, rels) for c in ("_copies", "_digest", "_word", "_bits", "_at"))
+    rest = F.substring(F.col(name), len(load) + 2, DIGEST + 20)
+    # other loads' ids may begin alike
+    ours = F.col(name).startswith(f"{load}-") & rest.rlike(f"^[0-9a-f]{{{DIGEST}}}-[1-9][0-9]{{0,17}}\\z")
+    place = F.substring(rest, DIGEST + 2, 18).cast("long") - 1
+    known = existing.where(ours).select(F.unhex(F.substring(rest, 1, DIGEST)).alias(digest), place.alias(at))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(WORD)).cast("int"))
+    known = known.groupBy(digest, F.floor(F.col(at) / WORD).alias(word)).agg(F.bit_or(bit).alias(bits))
+    last = F.floor((F.col(n) - 1) / WORD)
+    counted = _counted(rels, n, digest).select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias(word))
+    open_ = counted.join(known, [digest, word], "left").select(
+        "*", F.explode(F.sequence(F.lit(0), F.least(F.lit(WORD), F.col(n) - F.col(word) * WORD).cast("int") - 1)).alias(at)
+    )
+    open_ = open_.where(F.call_function("shiftright", F.coalesce(bits, F.lit(0).cast("long")), F.col(at)).bitwiseAND(F.lit(1)) == 0)
+    return open_.select(*columns, _rel_id(load, digest, F.col(word) * WORD + F.col(at) + 1).alias(name))
+
+
 def append_rels(
     existing: DataFrame,
     incoming: DataFrame,
@@ -204,7 +240,7 @@ def append_rels(
     """
     created = match_ends(incoming, src, dst)
     if load is not None:
-        created = not_loaded_yet(with_rel_ids(created, load), existing, load)
+        created = new_with_rel_ids(created, existing, load)
     return existing.unionByName(created, allowMissingColumns=True)
 
 

@@ -240,3 +240,23 @@ def test_a_load_that_is_repeated_adds_nothing(spark):
     assert with_rel_ids(nothing, "x").count() == 0
     both = append_rels(once, batch, *ends, load="b")
     assert both.count() == 6 and both.select("rel_id").distinct().count() == 6
+
+
+def test_ids_that_are_there_leave_gaps_and_others_alone(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    batch = spark.createDataFrame([(1, 2)] * 150 + [(None, 3)] * 2, "s int, t int")
+    once = stage(with_rel_ids(batch, "a"), "once")
+    copy = F.substring_index("rel_id", "-", -1).cast("int")
+    # gaps within and across words, an id twice, another load's that begins alike, what is no id of ours
+    kept = once.where(~copy.isin(2, 60, 61, 120, 149))
+    odd = [(1, 2, "a-b-" + "0" * 32 + "-1"), (1, 2, "a-x"), (1, 2, None), (1, 2, "b-1")]
+    there = stage(kept.unionByName(kept.limit(3)).unionByName(spark.createDataFrame(odd, "s int, t int, rel_id string")), "there")
+    found = append_rels(there, batch, load="a")
+    assert rows(found) == rows(there.unionByName(once.where(copy.isin(2, 60, 61, 120, 149))))
+
+
+def test_a_repeated_load_shuffles_no_ids(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    batch = stage(spark.createDataFrame([(1, 2), (1, 2), (2, 1)], "s int, t int"), "batch")
+    once = stage(append_rels(batch.limit(0), batch, load="a"), "once")
+    assert "hashpartitioning(rel_id" not in executed_plan(append_rels(once, batch, load="a"))

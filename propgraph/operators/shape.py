@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
@@ -64,15 +63,22 @@ def row_key(
 
     Runs jobs when called: the range sample, the write, the count.
     """
+    return _numbered(_ranged(df, order_cols, buckets), order_cols, name, keep, first)
+
+
+def _ranged(df: DataFrame, order_cols: Sequence[str], buckets: int | None = None) -> DataFrame:
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *order_cols)
+
+
+def _numbered(
+    df: DataFrame, order_cols: Sequence[str], name: str, keep: Sequence[str] | None, first: int
+) -> DataFrame:
+    """``row_key`` of range-partitioned rows."""
     spark = df.sparkSession
     keep = list(df.columns if keep is None else keep)
     slot, bucket, start = (fresh(c, df) for c in ("_slot", "_bucket", "_start"))
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (
-        df.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
-        .select(*keep, F.monotonically_increasing_id().alias(slot))
-    )
+    ordered = df.sortWithinPartitions(*order_cols).select(*keep, F.monotonically_increasing_id().alias(slot))
     rows = stage(ordered, "keyed").withColumn(bucket, F.shiftright(slot, _ROW_BITS))
     sizes = sorted(rows.groupBy(bucket).agg(F.count("*")).collect())
     starts = accumulate((size for _, size in sizes), initial=first)
@@ -91,14 +97,16 @@ def extend_keys(keyed: DataFrame, incoming: DataFrame, order_cols: Sequence[str]
     ``order_cols`` within their load; repeated ones among them count once. Columns that only
     one side has are null in the other's rows.
 
-    ``keyed`` should be a stored table. Runs jobs when called.
+    One shuffle serves the search and the numbering: the keys that are there are dealt by range
+    among the incoming rows. Both are read twice, so they should be stored tables. Runs jobs when called.
     """
     order_cols = list(order_cols)
-    there = [fresh(f"_there_{i}", keyed, incoming) for i in range(len(order_cols))]
-    known = keyed.select(*[F.col(c).alias(t) for c, t in zip(order_cols, there, strict=True)])
-    same = [F.col(c).eqNullSafe(F.col(t)) for c, t in zip(order_cols, there, strict=True)]
-    new = incoming.dropDuplicates(order_cols).join(known, reduce(lambda a, b: a & b, same), "left_anti")
+    held, new = fresh("_held", incoming), fresh("_new", incoming)
+    rest = [c for c in incoming.columns if c not in order_cols]
+    rows = incoming.select(*order_cols, F.struct(F.lit(True).alias(new), *rest).alias(held))
+    known = keyed.select(*order_cols, F.lit(None).cast(rows.schema[held].dataType).alias(held))
+    met = _ranged(rows.unionByName(known), order_cols).groupBy(*order_cols)
+    found = met.agg(F.first(held).alias(held), F.bool_and(F.col(held).isNotNull()).alias(new)).where(new)
+    found = found.select(*[F.col(c) if c in order_cols else F.col(held)[c].alias(c) for c in incoming.columns])
     last = keyed.agg(F.max(name)).first()[0]
-    # staged, for the numbering reads it twice
-    numbered = row_key(stage(new, "new-rows"), order_cols, name, first=0 if last is None else last + 1)
-    return keyed.unionByName(numbered, allowMissingColumns=True)
+    return keyed.unionByName(_numbered(found, order_cols, name, None, 0 if last is None else last + 1), allowMissingColumns=True)

@@ -57,40 +57,34 @@ def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.col("n_name").alias("name"), F.col("r_name").alias("region"))
 
 
-def flight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flight_rows(spark: SparkSession, sf_dir: str, bare: bool = False) -> DataFrame:
     """Shipments as flights from the supplier's to the customer's nation, with their natural key.
 
-    The lookups are joined to each other first, so the wide side is shuffled by
-    order and by supplier only, not by customer as well.
+    ``bare``: without ``flight_parts``, for rows that are shuffled again.
+
+    The orders go first, so the wide side is shuffled for them without any names. Suppliers and
+    nations are joined one by one: Spark knows their sizes and broadcasts them while they are small.
     """
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("airline"), "s_nationkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, sf_dir, "lineitem").select(*FLIGHT_ORDER)
 
-    origins = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", F.col("s_name").alias("airline"), F.col("n_name").alias("origin_airport")
-    )
-    homes = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", F.col("n_name").alias("destination_airport")
-    )
-    destinations = orders.join(homes, F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderkey", "destination_airport"
-    )
-    joined = lines.join(origins, F.col("l_suppkey") == F.col("s_suppkey")).join(
-        destinations, F.col("l_orderkey") == F.col("o_orderkey")
-    )
-    return joined.select(
-        *FLIGHT_ORDER,
-        F.year("l_shipdate").alias("year"),
-        F.month("l_shipdate").alias("month"),
-        F.day("l_shipdate").alias("day"),
-        "airline",
-        F.col("l_linenumber").alias("flight_number"),
-        "origin_airport",
-        "destination_airport",
-    )
+    origins = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin_airport"))
+    homes = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("destination_airport"))
+    placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    joined = lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = joined.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    joined = joined.join(origins, "s_nationkey").join(homes, "c_nationkey")
+    parts = [] if bare else flight_parts()
+    return joined.select(*FLIGHT_ORDER, *parts, "airline", "origin_airport", "destination_airport")
+
+
+def flight_parts() -> list[Column]:
+    """The columns of a flight that its natural key implies."""
+    parts = {"year": F.year("l_shipdate"), "month": F.month("l_shipdate"), "day": F.day("l_shipdate")}
+    return [c.alias(name) for name, c in (parts | {"flight_number": F.col("l_linenumber")}).items()]
 
 
 def flights(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:

@@ -93,6 +93,22 @@ def test_extended_keys_never_change(spark, conf):
     assert rows(extend_keys(keyed.limit(0), first, ["x", "y"])) == rows(keyed)
 
 
+def test_extending_keys_shuffles_the_rows_once(spark, conf, monkeypatch):
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    more = stage(spark.range(50).selectExpr("id AS x", "id % 7 AS y", "string(id) AS v"), "more")
+    keyed = row_key(more.where("x % 2 = 0"), ["x", "y"])
+    plans = []
+
+    def staged(df, name):
+        plans.append(executed_plan(df))
+        return stage(df, name)
+
+    monkeypatch.setattr(shape, "stage", staged)
+    found = extend_keys(keyed, more, ["x", "y"])
+    assert len(plans) == 1 and plans[0].count("rangepartitioning") == 1 and "hashpartitioning" not in plans[0]
+    assert sorted(r.key for r in found.collect()) == [*range(50)]
+
+
 def test_columns_of_the_user_survive(spark):
     df = spark.createDataFrame([(5, 6, 7, 8), (6, 5, 8, 7)], "_copy int, _bucket int, _slot int, _start int")
     assert rows(copies(df, 2)) == bag([(5, 6, 7, 8)] * 2 + [(6, 5, 8, 7)] * 2)

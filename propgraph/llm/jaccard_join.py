@@ -13,7 +13,8 @@ more segments than either has poor ones, unless both have too many, and sets wit
 many give all their segments. So no pair is lost, and no bucket fills up with strangers.
 
 Equal sets are one node. A bucket's members are first compared with one of them, in a few
-turns, which links a group of near copies in linear time; only buckets whose members are still in several
+turns, which links a group of near copies in linear time; of buckets with the same members one
+is looked at further; only buckets whose members are still in several
 components are then compared pair by pair, in blocks of bounded size, inside tasks: first the
 nearest pairs that would join the components are verified, then what is still apart.
 Nothing is capped and no list of a bucket's members is ever built.
@@ -35,7 +36,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -48,6 +49,7 @@ from propgraph.staging import new_path, stage, staging, write_once
 BLOCK = 512  # members of a bucket that are compared at once with as many others
 STAR_TURNS = 4  # rounds in which the members of a bucket are compared with one of them
 PAIRS = 200_000  # pairs that a task compares at once
+BEFORE = 4  # other buckets of a member that a pair is looked for in
 SKETCH_BITS = 1 << 15  # the longest sketch that is kept for the Hamming distance
 
 
@@ -226,8 +228,12 @@ def _block_pairs(members: DataFrame, sets: DataFrame, threshold: Threshold, fore
     so they are shuffled once.
 
     ``forest``: only the nearest pairs that join the components of a group, one less than it has
-    components at most.
+    components at most. Otherwise a pair that is also in one of the last buckets before, by key, of
+    both its nodes is left to that one; so the first bucket of a pair always gives it.
     """
+    by_node = Window.partitionBy("node").orderBy("key")
+    before = [] if forest else [f"before_{i}" for i in range(BEFORE)]
+    members = members.select("key", "node", "component", *[F.lag("key", i + 1).over(by_node).alias(c) for i, c in enumerate(before)])
     sizes = members.groupBy("key").agg(F.count("*").alias("size"))
     members = hub_join(members, sizes, ["key"], "inner")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -241,6 +247,7 @@ def _block_pairs(members: DataFrame, sets: DataFrame, threshold: Threshold, fore
         "mine",
         "node",
         "component",
+        *before,
     )
     rows = hub_join(rows, sets.select("node", "n", "sketch").hint("merge"), ["node"], "inner")
     group = ["key", "i", "j"]
@@ -293,11 +300,24 @@ def _compare(part: pa.Table, cuts: list[int], threshold: Threshold, forest: bool
             x, y, away = _near(np.concatenate(left), np.concatenate(right), column, sketches, threshold)
             if forest:
                 x, y = _forest(x, y, away, groups, column["component"])
+            else:
+                x, y = _first_met(x, y, part)
             x, y = column["node"][x], column["node"][y]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
             left, right, waiting = [], [], 0
 
 
+def _first_met(x: np.ndarray, y: np.ndarray, part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs that have no bucket in common among the last ones before."""
+    before = [part.column(f"before_{i}") for i in range(BEFORE)]
+    there, keys = [c.is_valid().to_numpy() for c in before], [c.fill_null(0).to_numpy() for c in before]
+    met = np.zeros(len(x), bool)
+    for i in range(BEFORE):
+        for j in range(BEFORE):
+            met |= there[i][x] & there[j][y] & (keys[i][x] == keys[j][y])
+    return x[~met], y[~met]
+
+
 def _forest(
     x: np.ndarray, y: np.ndarray, away: np.ndarray, groups: np.ndarray, component: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -370,6 +390,8 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> D
                 break
             links = found if links is None else links.unionByName(found)
             placed = _still_mixed(placed, links)
+            if turn == 0:
+                placed = _once_each(placed)
         nearest = verify(stage(_block_pairs(placed, sets, threshold, forest=True), "nearest-pairs"), sets, threshold)
         links = links.unionByName(nearest)
         placed = _still_mixed(placed, links)
@@ -377,6 +399,18 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> D
         return write_once(links.unionByName(rest), path)
 
 
+def _once_each(placed: DataFrame) -> DataFrame:
+    """``placed`` with one of the buckets that have the same members, by fingerprint: their pairs are the same.
+
+    Two near copies meet in very many buckets, mostly without others.
+    """
+    halves = [F.sum(F.xxhash64("node", F.lit(i)).bitwiseAND(F.lit((1 << 31) - 1))).alias(f"h{i}") for i in range(4)]
+    prints = placed.groupBy("key").agg(F.count("*").alias("size"), *halves)
+    same = ["size", *(f"h{i}" for i in range(4))]
+    chosen = stage(prints.groupBy(*same).agg(F.min("key").alias("key")).select("key"), "distinct-buckets")
+    return stage(hub_join(placed, chosen, ["key"], "left_semi"), "once-each")
+
+
 def _still_mixed(placed: DataFrame, links: DataFrame) -> DataFrame:
     """``placed`` (key, node, component) after ``links``, without buckets that are of one component now."""
     placed = hub_join(placed.drop("component"), components(links), ["node"], "left")

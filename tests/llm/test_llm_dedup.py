@@ -410,3 +410,15 @@ def test_bands_reach_the_recall():
         other = np.concatenate([base[10:], draw.integers(0, 1 << 63, 10, np.uint64)])  # 80 of 100
         hits += bool(np.intersect1d(*(paragraph_dedup.band_keys(t, np.array([0]), bands) for t in (base, other))).size)
     assert hits >= 297
+
+
+def test_a_pair_of_many_buckets_comes_from_few(spark, monkeypatch):
+    """Two sets that are close but not linked, in forty buckets together and in some others alone."""
+    words = np.random.default_rng(4).integers(1, 1 << 62, 100).astype(np.uint64)
+    rows = [(n, len(t), t.view(np.int64).tolist(), bytearray(jaccard_join.parity_sketch(t).tobytes())) for n, t in ((1, words[:92]), (2, words[8:]))]
+    sets = spark.createDataFrame(rows, "node long, n long, tokens array<long>, sketch binary")
+    met = [(k, n, n) for k in range(40) for n in (1, 2)] + [(k, k % 2 + 1, k % 2 + 1) for k in range(100, 104)]
+    members = spark.createDataFrame(met, "key long, node long, component long")
+    monkeypatch.setattr(type(members), "distinct", lambda self: self)
+    found = jaccard_join._block_pairs(members, sets, Threshold(80, 100), False).collect()
+    assert {(r.a, r.b) for r in found} == {(1, 2)} and len(found) == 1

@@ -2,7 +2,7 @@
 
 After Kiveris et al., "Connected Components in MapReduce and Beyond" (2014). Each step is
 an aggregate and a join over the links; each result is written, so that the plan stays
-small and a lost executor costs a re-read. Nothing is collected but one count and sum.
+small and a lost executor costs a re-read. Nothing is collected but whether a step has moved any link.
 """
 
 from __future__ import annotations
@@ -21,23 +21,18 @@ def _both_ways(links: DataFrame) -> DataFrame:
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
-    """Hang the neighbours of each u below the smallest of u and its neighbours.
+    """Hang the neighbours of each u below the smallest of u and its neighbours: a, b, moved (whether that is new).
 
     The large step moves the neighbours above u, the small one those below, and u itself.
     """
     least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-    joined = hub_join(pairs, least.withColumn("m", F.least("m", "u")), ["u"], "inner")
     if large:
-        moved = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        ends = F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))
-        moved = joined.select(F.inline(ends))
-    return moved.where("a <> b").distinct()
-
-
-def _state(links: DataFrame) -> tuple:
-    # the sum of hashes may pass 64 bits
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        joined = hub_join(pairs.where("v > u"), least.withColumn("m", F.least("m", "u")), ["u"], "inner")
+        return joined.select(F.col("v").alias("a"), F.col("m").alias("b"), (F.col("m") != F.col("u")).alias("moved"))
+    # u itself comes from the row of its smallest neighbour
+    joined = hub_join(pairs, least, ["u"], "inner").withColumn("moved", F.col("v") != F.col("m"))
+    moved = joined.select(F.when(F.col("moved"), F.col("v")).otherwise(F.col("u")).alias("a"), F.col("m").alias("b"), "moved")
+    return moved.groupBy("a", "b").agg(F.max("moved").alias("moved"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -53,13 +48,16 @@ def components(links: DataFrame) -> DataFrame:
 def _stars(links: DataFrame) -> DataFrame:
     ordered = F.struct(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     links = stage(links.where("a <> b").select(F.inline(F.array(ordered))).distinct(), "links")
-    state = _state(links)
-    while state[0]:
-        links = stage(_star(_both_ways(links), large=True), "links")
-        links = stage(_star(links.select(F.col("a").alias("u"), F.col("b").alias("v")), large=False), "links")
-        before, state = state, _state(links)
-        if state == before:
+    settled, single = links.isEmpty(), False
+    # if no node has two smaller neighbours and none with larger ones has a smaller one, all are stars
+    while not settled:
+        large = stage(_star(_both_ways(links), large=True), "links")
+        flat = large.where("moved").isEmpty()
+        if flat and single:
             break
+        links = stage(_star(large.select(F.col("a").alias("u"), F.col("b").alias("v")), large=False), "links")
+        single = links.where("moved").isEmpty()
+        settled = flat and single
     roots = links.select(F.col("b").alias("node")).distinct()
     below = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return below.unionByName(roots.withColumn("component", F.col("node")))

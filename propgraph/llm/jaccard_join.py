@@ -12,8 +12,8 @@ segments more than D + 1, so that a set may leave its poor segments out: a pair
 more segments than either has poor ones, unless both have too many, and sets with too
 many give all their segments. So no pair is lost, and no bucket fills up with strangers.
 
-Equal sets are one node. A bucket's members are first compared with one of them, in a few
-turns, which links a group of near copies in linear time; of buckets with the same members one
+Equal sets are one node. A bucket's members are first compared with one of them, then with a few
+others, which links a group of near copies in linear time; of buckets with the same members one
 is looked at further; only buckets whose members are still in several
 components are then compared pair by pair, in blocks of bounded size, inside tasks: first the
 nearest pairs that would join the components are verified, then what is still apart.
@@ -30,7 +30,7 @@ component of its own text. Ids are whole numbers; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -47,7 +47,7 @@ from propgraph.operators.joins import fresh, hub_join
 from propgraph.staging import new_path, stage, staging, write_once
 
 BLOCK = 512  # members of a bucket that are compared at once with as many others
-STAR_TURNS = 4  # rounds in which the members of a bucket are compared with one of them
+STAR_TURNS = 4  # members of a bucket that all others are compared with, first one, then the rest at once
 PAIRS = 200_000  # pairs that a task compares at once
 BEFORE = 4  # other buckets of a member that a pair is looked for in
 SKETCH_BITS = 1 << 15  # the longest sketch that is kept for the Hamming distance
@@ -371,26 +371,25 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> D
     """Verified links (a, b) that join all nodes which any chain of links within buckets joins.
 
     ``buckets``: key, node, distinct. ``sets``: node, n, tokens, sketch. First the members of a bucket
-    are compared with one of them, in a few turns; then, in buckets that are still of several
+    are compared with one of them, then with a few others; then, in buckets that are still of several
     components, the nearest pairs that would join these; last whatever pairs are left apart.
     """
     spark = buckets.sparkSession
     path, links = new_path(spark, "links"), None
     with staging(spark):
         placed = buckets.select("key", "node", F.col("node").alias("component"))
-        for turn in range(STAR_TURNS):
-            # another centre each turn, by the same order in all buckets, so most pairs come up once
-            order = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "component")
-            centres = placed.groupBy("key").agg(F.min(order).alias("centre"))
-            centres = centres.select("key", F.col("centre.node").alias("a"), F.col("centre.component").alias("of_a"))
-            stars = hub_join(placed, centres, ["key"], "inner").where("component <> of_a")
-            pairs = stage(stars.select("a", F.col("node").alias("b")).distinct(), "stars")
+        for turn, orders in enumerate(([0], range(1, STAR_TURNS))):
+            if not orders:
+                break
+            pairs = stage(_stars(placed, orders), "stars")
             found = verify(pairs, sets, threshold)
             if links is not None and found.isEmpty():
                 break
             links = found if links is None else links.unionByName(found)
             placed = _still_mixed(placed, links)
             if turn == 0:
+                if placed.isEmpty():
+                    return write_once(links, path)
                 placed = _once_each(placed)
         nearest = verify(stage(_block_pairs(placed, sets, threshold, forest=True), "nearest-pairs"), sets, threshold)
         links = links.unionByName(nearest)
@@ -399,6 +398,17 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: Threshold) -> D
         return write_once(links.unionByName(rest), path)
 
 
+def _stars(placed: DataFrame, orders: Iterable[int]) -> DataFrame:
+    """a, b: the members of each bucket with its first one by each order, where they are of two components."""
+    # the same order in all buckets, so most pairs come up once
+    order = [F.struct(F.xxhash64("node", F.lit(i)).alias("order"), "node", "component") for i in orders]
+    firsts = placed.groupBy("key").agg(*[F.min(c).alias(f"first_{i}") for i, c in enumerate(order)])
+    centres = [F.struct(F.col(f"first_{i}.node").alias("a"), F.col(f"first_{i}.component").alias("of_a")) for i in range(len(order))]
+    centres = firsts.select("key", F.inline(F.array_distinct(F.array(*centres))))
+    stars = hub_join(placed, centres, ["key"], "inner").where("component <> of_a")
+    return stars.select("a", F.col("node").alias("b")).distinct()
+
+
 def _once_each(placed: DataFrame) -> DataFrame:
     """``placed`` with one of the buckets that have the same members, by fingerprint: their pairs are the same.
 
@@ -432,7 +442,7 @@ def _groups(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
         keys = keyed.select(F.explode("keys").alias("key"), "f1")
         # several sets in one bucket; copies of a set are combined before the shuffle
         shared = keys.groupBy("key").agg(F.min("f1").alias("x"), F.max("f1").alias("y")).where("x <> y").select("key")
-        shared = stage(shared, "shared-keys").hint("merge")
+        shared = stage(shared, "shared-keys").hint("shuffle_hash")
         met = write_once(hub_join(keys, shared, ["key"], "left_semi").distinct(), met)
     nodes = members.where("n > 0").groupBy("f1").agg(F.min("own").alias("own"), F.count("*").alias("copies"))
     nodes = stage(nodes, "nodes")

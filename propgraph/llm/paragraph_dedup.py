@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from propgraph.llm import shingles
 from propgraph.llm.common import slices, whole_text
 from propgraph.llm.components import components
-from propgraph.llm.jaccard_join import Threshold, link_buckets, many_prints, parity_sketch, set_prints
+from propgraph.llm.jaccard_join import Threshold, link_buckets, many_prints, parity_sketch
 from propgraph.llm.repeated_runs import body_of, repeated_runs, text_facts
 from propgraph.operators.joins import hub_join
 from propgraph.staging import new_path, stage, staging, write_once
@@ -117,7 +117,7 @@ def _keyed(docs: DataFrame, k: int, threshold: Threshold, least: int) -> DataFra
                     rows.append((doc_id, own, row, line, a, b, len(words)))
                     found += words
                 if len(found) > before:
-                    texts.append((body, text, before, len(found)))
+                    texts.append((body, text, len(found) - before))
             if not rows:
                 continue
             # all lines at once
@@ -130,7 +130,9 @@ def _keyed(docs: DataFrame, k: int, threshold: Threshold, least: int) -> DataFra
             ends = np.cumsum(np.where(near, bands, 0))
             listed = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(keys.ravel()))
             columns = [pa.array(list(c), pa.int64()) for c in zip(*rows, strict=True)]
-            told = ((body, *text_facts(text, hashes[a:b], least)) for body, text, a, b in texts)
+            bodies, whole, totals = zip(*texts, strict=True)
+            told = text_facts(whole, hashes, np.array(totals), least)
+            told = ((body, *facts) for body, facts in zip(bodies, told, strict=True))
             of = [next(told) if r[3] == 0 else (None,) * len(facts) for r in rows]
             extra = [pa.array(list(c), kind) for c, kind in zip(zip(*of, strict=True), facts.values(), strict=True)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(f1), pa.array(f2), listed, *extra], [*names, "keys", *facts])
@@ -185,14 +187,21 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            rows = []
+            found, counts, nodes = [], [], []
             for text, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist(), strict=True):
                 for place in places:
-                    tokens = shingles.shingle_set(text[place["start"] : place["end"]], k)
-                    prints = set_prints(tokens) if len(tokens) else (0, 0)
-                    if prints[0] == place["node"]:
-                        sketch = parity_sketch(tokens).tobytes()
-                        rows.append((prints[0], prints[1], len(tokens), tokens.view(np.int64), sketch))
+                    if words := shingles.words(text[place["start"] : place["end"]]):
+                        found += words
+                        counts.append(len(words))
+                        nodes.append(place["node"])
+            if not nodes:
+                continue
+            tokens, starts = shingles.shingle_sets(shingles.hash_words(found), np.array(counts), k)
+            f1, f2 = many_prints(tokens, starts)
+            rows = []
+            for node, one, two, own in zip(nodes, f1.tolist(), f2.tolist(), np.split(tokens, starts[1:]), strict=True):
+                if one == node:
+                    rows.append((one, two, len(own), own.view(np.int64), parity_sketch(own).tobytes()))
             if rows:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
                 arrays = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
@@ -264,7 +273,7 @@ def _prepared(docs: DataFrame, k: int, threshold: Threshold, least: int) -> tupl
         facts = write_once(told, facts)
         keys = keyed.select(F.explode("keys").alias("key"), F.col("f1").alias("node"))
         shared = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("key")
-        shared = stage(shared, "shared-bands").hint("merge")
+        shared = stage(shared, "shared-bands").hint("shuffle_hash")
         met = write_once(hub_join(keys, shared, ["key"], "left_semi").distinct(), met)
     return rows, met, facts
 
@@ -275,7 +284,7 @@ def _lines(docs: DataFrame, rows: DataFrame, met: DataFrame, k: int, threshold:
     place = F.min(F.struct("own", "start", "end")).alias("place")
     places = hub_join(rows, asked, ["f1"], "left_semi").groupBy("f1").agg(place)
     listed = F.collect_list(F.struct("place.start", "place.end", F.col("f1").alias("node"))).alias("places")
-    places = stage(places.groupBy(F.col("place.own").alias("own")).agg(listed), "places").hint("merge")
+    places = stage(places.groupBy(F.col("place.own").alias("own")).agg(listed), "places").hint("shuffle_hash")
     texts = hub_join(docs.select("own", "text"), places, ["own"], "inner")
     sets = stage(_sets(texts, k).dropDuplicates(["node"]), "sets")
     linked = components(link_buckets(met, sets, threshold)).withColumnRenamed("node", "f1")

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from propgraph.llm import shingles
@@ -31,6 +31,7 @@ from propgraph.operators.joins import hub_join
 from propgraph.staging import stage
 
 SEED = 16
+WORD_BITS = 31  # of a place: more words than a text can have
 SPACE = " \t\n\v\f\r"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -59,17 +60,25 @@ def _sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     return pick(values[:n], values[width - span : width - span + n])
 
 
-def seed_places(hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the seeds of a text: of each ``least`` words in a row at least one, the same in every copy."""
+def seed_places(hashes: np.ndarray, counts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Seeds of texts of ``counts`` words that stand one after another: text, place within it, hash.
+
+    Of each ``least`` words in a row at least one, the same in every copy.
+    """
+    size, width = min(SEED, least), max(least - SEED, 0) + 1
     if len(hashes) < least:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    size = min(SEED, least)
-    found, width = window_hashes(hashes, size), least - size + 1
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    begins = np.cumsum(counts) - counts
+    text = np.repeat(np.arange(len(counts)), counts)
+    left = begins[text] + counts[text] - np.arange(len(hashes))  # words from here to the end of its text
+    found = window_hashes(hashes, size)
     lows = _sliding(found, width, np.minimum)
-    edge = np.zeros(width - 1, np.uint64)  # no window reaches beyond the ends
+    # no window reaches beyond the ends; texts in a row are kept apart by the last places of each
+    lows[left[: len(lows)] < least] = 0
+    edge = np.zeros(width - 1, np.uint64)
     highest = _sliding(np.concatenate([edge, lows, edge]), width, np.maximum)
-    places = np.flatnonzero(highest == found)
-    return places, found[places]
+    at = np.flatnonzero((highest == found) & (left[: len(found)] >= size) & (counts >= least)[text[: len(found)]])
+    return text[at], at - begins[text[at]], found[at]
 
 
 def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -81,11 +90,16 @@ def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return chars[turns[::2]], chars[turns[1::2]]
 
 
-def text_facts(text: str, hashes: np.ndarray, least: int) -> tuple:
-    """first, last (characters of its words), total (words), seed_at, seeds of a text with words, whose hashes are given."""
-    places, found = seed_places(hashes, least)
-    first, last = len(text) - len(text.lstrip(SPACE)), len(text.rstrip(SPACE))
-    return first, last, len(hashes), places, found.view(np.int64)
+def text_facts(texts: list[str], hashes: np.ndarray, counts: np.ndarray, least: int) -> Iterator[tuple]:
+    """first, last (characters of its words), total (words), seed_at, seeds of each of ``texts``, all with words.
+
+    ``hashes`` has the words of all texts in order, ``counts`` how many each has.
+    """
+    of, places, found = seed_places(hashes, counts, least)
+    cuts = np.searchsorted(of, np.arange(1, len(texts)))
+    seeds = zip(np.split(places, cuts), np.split(found.view(np.int64), cuts), strict=True)
+    for text, total, (at, seed) in zip(texts, counts.tolist(), seeds, strict=True):
+        yield len(text) - len(text.lstrip(SPACE)), len(text.rstrip(SPACE)), total, at, seed
 
 
 def body_of(text: str = "text"):
@@ -99,12 +113,15 @@ def facts_of(texts: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
         for batch in slices(batches, "text", 1 << 20):
-            rows = []
+            rows, found = [], []
             for *row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "own", "body", "text")), strict=True):
-                hashes = shingles.hash_words(shingles.words(text))
-                if len(hashes):
-                    rows.append((*row, *text_facts(text, hashes, least)))
+                if words := shingles.words(text):
+                    rows.append((row, text, len(words)))
+                    found += words
             if rows:
+                counts = np.array([r[-1] for r in rows])
+                told = text_facts([r[1] for r in rows], shingles.hash_words(found), counts, least)
+                rows = [(*r[0], *facts) for r, facts in zip(rows, told, strict=True)]
                 columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, [*names, "seed_at", "seeds"])
 
@@ -113,63 +130,71 @@ def facts_of(texts: DataFrame, least: int) -> DataFrame:
     return chosen.mapInArrow(run, f"{longs}, seed_at array<long>, seeds array<long>")
 
 
+def _ranked(wanted: DataFrame) -> DataFrame:
+    """``wanted`` with ``rank``: 0, 1, … by least_doc, null first, and body."""
+    rows = (1 << 33) - 1  # of a partition
+    placed = wanted.orderBy("least_doc", "body").withColumn("at", F.monotonically_increasing_id())
+    placed = stage(placed.withColumn("part", F.shiftrightunsigned("at", 33)), "ordered-bodies")
+    sizes = placed.groupBy("part").agg(F.count("*").alias("size"))
+    before = F.sum("size").over(Window.orderBy("part")) - F.col("size")
+    ranked = placed.join(F.broadcast(sizes.select("part", before.alias("before"))), "part")
+    return ranked.withColumn("rank", F.col("before") + F.col("at").bitwiseAND(F.lit(rows))).drop("part", "at", "before")
+
+
 def _windows(texts: DataFrame, least: int) -> DataFrame:
-    """body, least_doc, s, run, start, end of the windows whose seed is in one of ``places``."""
-    schema = "body long, least_doc long, s int, run long, start int, end int"
-    names = ["body", "least_doc", "s", "run", "start", "end"]
+    """place, run, start, end of the windows whose seed is in one of ``places``; ``place`` has the body's rank and the first word."""
+    schema = "place long, run long, start int, end int"
+    names = ["place", "run", "start", "end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = min(SEED, least)
         for batch in slices(batches, "text", 1 << 20):
-            columns = (batch.column(c).to_pylist() for c in ("body", "least_doc", "text", "places"))
-            for body, doc_id, text, places in zip(*columns, strict=True):
-                hashes = shingles.hash_words(shingles.words(text))
+            parts = []
+            for text, places in zip(batch.column("text").to_pylist(), batch.column("places"), strict=True):
+                data = text.encode()
+                hashes = shingles.hash_words(data.translate(shingles.ASCII_LOWER).split())
                 # the seed of a window is that with the least hash within it
                 short = window_hashes(hashes, size)
-                s = np.flatnonzero(np.isin(_sliding(short, least - size + 1, np.minimum), short[np.array(places, np.int64)]))
+                s = np.flatnonzero(np.isin(_sliding(short, least - size + 1, np.minimum), short[places.values.to_numpy()]))
                 found = window_hashes(hashes, least)[s].view(np.int64)
-                starts, ends = word_spans(text.encode())
-                columns = [
-                    pa.array(np.full(len(s), body, np.int64)),
-                    pa.array([doc_id] * len(s), pa.int64()),
-                    pa.array(s.astype(np.int32)),
-                    pa.array(found),
-                    *(pa.array(c.astype(np.int32)) for c in (starts[s], ends[s + least - 1])),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                starts, ends = word_spans(data)
+                parts.append((s, found, starts[s], ends[s + least - 1]))
+            ranks = np.repeat(batch.column("rank").to_numpy(), [len(p[0]) for p in parts])
+            s, found, starts, ends = (np.concatenate(c) for c in zip(*parts, strict=True))
+            columns = [ranks << WORD_BITS | s, found, starts.astype(np.int32), ends.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     return texts.mapInArrow(run, schema)
 
 
 def _spans(repeated: DataFrame, least: int) -> DataFrame:
-    """Per run of a body: body, s0, s1 (words), start, end (characters), kept, keep_doc, and ``ties`` to first copies."""
+    """Per run of a body: rank, s0, s1 (words), start, end (characters), kept, of (the first copy's rank), and ``ties`` to first copies."""
     schema = (
-        "body long, s0 long, s1 long, start long, end long, kept boolean, keep_doc long,"
-        " ties array<struct<body: long, s: long>>"
+        "rank long, s0 long, s1 long, start long, end long, kept boolean, of long,"
+        " ties array<struct<of: long, s: long>>"
     )
-    names = ["body", "s0", "s1", "start", "end", "kept", "keep_doc", "ties"]
-    kinds = [pa.int64()] * 5 + [pa.bool_(), pa.int64(), pa.list_(pa.struct([("body", pa.int64()), ("s", pa.int64())]))]
+    names = ["rank", "s0", "s1", "start", "end", "kept", "of", "ties"]
+    kinds = [pa.int64()] * 5 + [pa.bool_(), pa.int64(), pa.list_(pa.struct([("of", pa.int64()), ("s", pa.int64())]))]
+    words_of = (1 << WORD_BITS) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "found"):
             rows = []
-            for body, found in zip(batch.column("body").to_pylist(), batch.column("found"), strict=True):
-                fields = found.values.flatten()  # s, start, end, of, at, first_doc
-                s = fields[0].to_numpy()
-                order = np.argsort(s, kind="stable")
-                s, start, end, of, at = (f.to_numpy()[order] for f in fields[:5])
-                first_docs = fields[5].take(pa.array(order)).to_pylist()
-                own = (of == body) & (at == s)
+            for rank, found in zip(batch.column("rank").to_pylist(), batch.column("found"), strict=True):
+                fields = [f.to_numpy() for f in found.values.flatten()]  # place, start, end, first
+                order = np.argsort(fields[0], kind="stable")
+                place, start, end, first = (f[order] for f in fields)
+                s, of, at, own = place & words_of, first >> WORD_BITS, first & words_of, first == place
                 cuts = np.flatnonzero(s[1:] > s[:-1] + least) + 1
                 # along one copy the distance to it stays the same
                 new = np.concatenate([[True], (of[1:] != of[:-1]) | (np.diff(at - s) != 0)])
                 for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(s)], strict=True):
                     ties = dict.fromkeys([a, *(a + np.flatnonzero(new[a:b])).tolist()])
-                    ties = [{"body": int(of[i]), "s": int(at[i])} for i in ties if not own[i]]
+                    ties = [{"of": int(of[i]), "s": int(at[i])} for i in ties if not own[i]]
                     words = int(s[a]), int(s[b - 1]) + least
                     # one of its windows is the first copy, or two passages meet that are together nowhere else
                     kept = bool(own[a:b].any() or (np.diff(s[a:b]) > 1).any())
-                    rows.append((body, *words, int(start[a]), int(end[b - 1]), kept, first_docs[a], ties))
+                    rows.append((rank, *words, int(start[a]), int(end[b - 1]), kept, int(of[a]), ties))
             if rows:
                 columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names)
@@ -189,7 +214,7 @@ def repeated_runs(texts: DataFrame, facts: DataFrame, least: int) -> DataFrame:
         F.min("body").alias("b0"), F.max("body").alias("b1"), F.min("at").alias("a0"), F.max("at").alias("a1")
     )
     twice = stage(times.where("b0 <> b1 OR a0 <> a1").select("seed"), "seeds-again")
-    places = hub_join(seeds, twice.hint("merge"), ["seed"], "left_semi").groupBy("body")
+    places = hub_join(seeds, twice.hint("shuffle_hash"), ["seed"], "left_semi").groupBy("body")
     places = places.agg(F.collect_set("at").alias("places"))
     bodies = facts.groupBy("body").agg(
         F.min(F.struct("doc_id")).alias("least"),  # null first
@@ -204,21 +229,17 @@ def repeated_runs(texts: DataFrame, facts: DataFrame, least: int) -> DataFrame:
         "bodies",
     )
     wanted = hub_join(places, bodies.select("body", "own", "least_doc").hint("merge"), ["body"], "inner")
-    wanted = stage(wanted, "seed-places")
-    windows = stage(_windows(hub_join(texts.select("own", "text"), wanted.hint("merge"), ["own"], "inner"), least), "windows")
-
-    again = windows.groupBy("run").agg(
-        F.min("body").alias("b0"),
-        F.max("body").alias("b1"),
-        F.min("s").alias("s0"),
-        F.max("s").alias("s1"),
-        F.min(F.struct("least_doc", "body", "s")).alias("first_copy"),
-    )
-    again = stage(again.where("b0 <> b1 OR s0 <> s1").select("run", "first_copy"), "windows-again")
+    wanted = stage(_ranked(wanted), "seed-places")
+    asked = wanted.select("own", "rank", "places").hint("shuffle_hash")
+    windows = stage(_windows(hub_join(texts.select("own", "text"), asked, ["own"], "inner"), least), "windows")
+
+    again = windows.groupBy("run").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    again = stage(again.where("first <> last").select("run", "first"), "windows-again")
     copied = hub_join(windows, again.hint("merge"), ["run"], "inner")
-    first = F.col("first_copy")
-    fields = F.struct("s", "start", "end", first["body"].alias("of"), first["s"].alias("at"), first["least_doc"].alias("first_doc"))
-    spans = stage(_spans(copied.groupBy("body").agg(F.collect_list(fields).alias("found")), least), "spans")
+    found = F.collect_list(F.struct("place", "start", "end", "first")).alias("found")
+    spans = stage(_spans(copied.groupBy(F.shiftright("place", WORD_BITS).alias("rank")).agg(found), least), "spans")
+    spans = hub_join(spans, wanted.select(F.col("rank").alias("of"), F.col("least_doc").alias("keep_doc")).hint("merge"), ["of"], "inner")
+    spans = hub_join(spans.drop("of"), wanted.select("rank", "body").hint("merge"), ["rank"], "inner")
 
     # a body under several ids is one run, from its first word to its last
     spans = hub_join(spans, bodies.select("body", "copied", "total").hint("merge"), ["body"], "inner")
@@ -235,12 +256,12 @@ def repeated_runs(texts: DataFrame, facts: DataFrame, least: int) -> DataFrame:
         F.xxhash64("body").alias("node"),
     )
     own_node = F.when(F.col("copied"), F.xxhash64("body")).otherwise(F.xxhash64("body", "s0"))
-    ties = spans.select(own_node.alias("a"), F.explode("ties").alias("first_copy"))
-    ties = ties.select("a", F.col("first_copy.body").alias("body"), F.col("first_copy.s").alias("s"))
+    ties = spans.select(own_node.alias("a"), F.inline("ties"))
     parts = spans.where("NOT copied").withColumn("node", own_node).select(*whole.columns)
     runs = stage(parts.unionByName(whole), "runs")
     holders = runs.select("body", F.col("node").alias("b"), "s0", "s1")
-    links = hub_join(ties, holders.hint("merge"), ["body"], "inner").where("s0 <= s AND s < s1").select("a", "b").distinct()
+    holders = hub_join(holders, wanted.select("body", F.col("rank").alias("of")).hint("merge"), ["body"], "inner").drop("body")
+    links = hub_join(ties, holders.hint("merge"), ["of"], "inner").where("s0 <= s AND s < s1").select("a", "b").distinct()
     clusters = components(stage(links, "ties")).withColumnRenamed("component", "cluster_id")
     runs = hub_join(runs, clusters.hint("merge"), ["node"], "left")
 

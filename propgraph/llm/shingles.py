@@ -5,24 +5,13 @@ Two different shingles of one comparison share a hash with probability 2**-64 ea
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import xxhash
 
-from propgraph.llm.common import Remembered
-
 ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-KEPT_WORDS = 100_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 
 
-@cache
-def _hashes() -> Remembered:
-    """Hashes of the words a Python worker meets."""
-    return Remembered(xxhash.xxh64_intdigest, KEPT_WORDS)
-
-
 def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
     """A well spread function of each hash."""
     h = h ^ np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
@@ -37,7 +26,8 @@ def words(text: str) -> list[bytes]:
 
 
 def hash_words(found: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes().__getitem__, found), np.uint64, len(found))
+    # a word is hashed anew each time: remembering hashes takes twice as long
+    return np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
 
 
 def windows(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -75,7 +65,9 @@ def shingle_sets(hashes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.nda
             tokens.append(out)
             of.append(text[at])
     tokens, of = np.concatenate(tokens), np.concatenate(of)
-    order = np.lexsort((tokens, of))
+    # by text, then token; small numbers are sorted in linear time
+    order = np.argsort(tokens)
+    order = order[np.argsort(of[order].astype(np.min_scalar_type(len(counts))), kind="stable")]
     tokens, of = tokens[order], of[order]
     new = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (of[1:] != of[:-1])])
     tokens, of = tokens[new], of[new]

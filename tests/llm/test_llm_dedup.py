@@ -422,3 +422,22 @@ def test_a_pair_of_many_buckets_comes_from_few(spark, monkeypatch):
     monkeypatch.setattr(type(members), "distinct", lambda self: self)
     found = jaccard_join._block_pairs(members, sets, Threshold(80, 100), False).collect()
     assert {(r.a, r.b) for r in found} == {(1, 2)} and len(found) == 1
+
+
+@pytest.mark.parametrize("pairs, most", [(1, 1), (6, 4)])
+def test_few_steps_link_a_bucket(spark, monkeypatch, pairs, most):
+    """Pairs of near copies in one bucket: each step is tens of stages, so there must be few, and none when all is linked."""
+    draw = np.random.default_rng(5)
+    rows, members = [], []
+    for i in range(pairs):
+        words = draw.integers(1, 1 << 62, 105).astype(np.uint64)
+        for node, t in ((2 * i, words[:100]), (2 * i + 1, words[5:])):
+            rows.append((node, len(t), t.view(np.int64).tolist(), bytearray(jaccard_join.parity_sketch(t).tobytes())))
+            members.append((7, node))
+    sets = spark.createDataFrame(rows, "node long, n long, tokens array<long>, sketch binary")
+    verify, calls = jaccard_join.verify, []
+    monkeypatch.setattr(jaccard_join, "verify", lambda *a: (calls.append(1), verify(*a))[1])
+    buckets = spark.createDataFrame(members, "key long, node long")
+    found = jaccard_join.link_buckets(buckets, sets, Threshold(80, 100)).collect()
+    assert {(min(r), max(r)) for r in found} == {(2 * i, 2 * i + 1) for i in range(pairs)}
+    assert len(calls) <= most
